@@ -427,5 +427,125 @@ def _layer_sql() -> dict[str, str]:
     return out
 
 
+
+
+# -- sources, sinks, generator ---------------------------------------------------------------
+
+def _raw_present(table: str) -> str:
+    cols = ", ".join(fixed.RAW_COLUMNS[table])
+    return f"SELECT {cols}, strftime(_ingested_at, {TS}) AS _ingested_at FROM ({RAW[table]})"
+
+
+def _h(name: str, *ids: str) -> str:
+    """SQL twin of ``synth.uhash``."""
+    parts = ", ".join([f"'{fixed.DEFAULT_SEED}'", _lit(name)] + [f"CAST({i} AS VARCHAR)" for i in ids])
+    return f"CAST(('0x' || substr(md5(concat_ws(':', {parts})), 1, 8)) AS BIGINT)"
+
+
+def _perm(i: str, n: str, name: str) -> str:
+    from strata.sources.synth import PRIMES
+    return f"((({i}) - 1 + {_h(name + ':offset')} % ({n})) * {PRIMES[name]}) % ({n})"
+
+
+def _weighted(u: str, pairs) -> str:
+    total = sum(w for _, w in pairs)
+    acc, whens = 0, []
+    for value, w in pairs:
+        acc += w
+        whens.append(f"WHEN ({u}) % {total} < {acc} THEN {_lit(value)}")
+    return "CASE " + " ".join(whens) + " END"
+
+
+def _money_sql(cents: str) -> str:
+    return f"printf('%d.%02d', ({cents}) // 100, ({cents}) % 100)"
+
+
+def _synth_sql() -> dict[str, str]:
+    n_o, n_c = "(SELECT count(*) FROM orders)", "(SELECT count(*) FROM customer)"
+    n_r = f"least({n_o} * {fixed.DEFAULT_REVIEWS} // {fixed.DEFAULT_ORDERS}, {n_o})"
+    lo, hi = fixed.ITEMS_PER_ORDER
+    qlo, qhi = fixed.QUANTITY_RANGE
+    clo, chi = fixed.UNIT_PRICE_CENTS
+    ostart, odays = fixed.ORDER_WINDOW
+    sstart, sdays = fixed.SIGNUP_WINDOW
+    dlo, dhi = fixed.REVIEW_DELAY_DAYS
+    ilo, ihi = fixed.INSTALLMENTS
+    states = "[" + ", ".join(_lit(s) for s, _ in fixed.STATE_CITIES) + "]"
+    cities = "[" + ", ".join(_lit(c) for _, c in fixed.STATE_CITIES) + "]"
+    comments = "[" + ", ".join(_lit(c) for c in fixed.COMMENTS) + "]"
+    ctes = f"""WITH ids AS (SELECT o_orderkey + 1 AS i FROM orders),
+items AS (
+  SELECT i, j, {_h('product', 'i', 'j')} % {len(fixed.PRODUCTS)} + 1 AS p,
+         {_h('quantity', 'i', 'j')} % {qhi - qlo + 1} + {qlo} AS q,
+         {_h('unit', 'i', 'j')} % {chi - clo + 1} + {clo} AS c
+  FROM (SELECT i, unnest(generate_series(1, {_h('n_items', 'i')} % {hi - lo + 1} + {lo})) AS j FROM ids)),
+base AS (
+  SELECT ids.i, printf('O%06d', ids.i) AS order_id,
+         printf('C%05d', {_h('customer', 'ids.i')} % {n_c} + 1) AS customer_id,
+         CAST(DATE '{ostart}' + CAST({_h('order_date', 'ids.i')} % {odays} AS INTEGER) AS VARCHAR) AS order_date,
+         {_weighted(_h('status', 'ids.i'), fixed.STATUS_WEIGHTS)} AS status,
+         t.total_cents
+  FROM ids JOIN (SELECT i, sum(q * c) AS total_cents FROM items GROUP BY i) t ON t.i = ids.i),
+dirty AS (
+  SELECT i, order_id,
+         CASE WHEN {_perm('i', n_o, 'dirty_order')} = 1 THEN '' ELSE customer_id END AS customer_id,
+         order_date, status,
+         CASE WHEN {_perm('i', n_o, 'dirty_order')} = 0 THEN {_lit(fixed.DIRTY_ORDER_VALUE)}
+              ELSE {_money_sql('total_cents')} END AS total_amount
+  FROM base)
+"""
+    out = {}
+    out["synth_orders"] = ctes + f"""
+SELECT order_id, customer_id, order_date,
+       CASE WHEN {_perm('i', n_o, 'upper')} = 0 THEN 'DELIVERED' ELSE status END AS status, total_amount FROM dirty
+UNION ALL
+SELECT order_id, customer_id, order_date, status, total_amount FROM dirty
+WHERE {_perm('i', n_o, 'duplicate')} < {fixed.DIRTY_ORDER_DUPLICATES}"""
+    out["synth_order_items"] = ctes + f"""
+SELECT printf('O%06d', i) AS order_id, printf('O%06d', i) || '-I' || CAST(j AS VARCHAR) AS item_id,
+       printf('P%04d', p) AS product_id,
+       CASE WHEN {_perm('i', n_o, 'quantity')} = 0 AND j = 1 THEN {_lit(fixed.DIRTY_QUANTITY)}
+            ELSE CAST(q AS VARCHAR) END AS quantity,
+       {_money_sql('c')} AS unit_price
+FROM items"""
+    out["synth_payments"] = ctes + f"""
+SELECT printf('PAY%06d', i) AS payment_id, order_id,
+       CASE WHEN {_perm('i', n_o, 'pix')} = 0 THEN 'PIX'
+            ELSE {_weighted(_h('payment_type', 'i'), fixed.PAYMENT_WEIGHTS)} END AS payment_type,
+       CAST({_h('installments', 'i')} % {ihi - ilo + 1} + {ilo} AS VARCHAR) AS payment_installments,
+       CASE WHEN {_perm('i', n_o, 'dirty_order')} = 0 THEN {_lit(fixed.DIRTY_PAYMENT_VALUE)}
+            ELSE {_money_sql('total_cents')} END AS payment_value
+FROM base"""
+    out["synth_reviews"] = ctes + f"""
+SELECT printf('R%06d', r) AS review_id, order_id, customer_id,
+       CAST({_h('rating', 'r')} % 5 + 1 AS VARCHAR) AS rating,
+       CASE WHEN {_perm('r', n_r, 'comment')} < {fixed.DIRTY_EMPTY_COMMENTS} THEN ''
+            ELSE list_extract({comments}, CAST({_h('comment', 'r')} % {len(fixed.COMMENTS)} + 1 AS INTEGER)) END
+            AS comment,
+       CAST(CAST(order_date AS DATE) + CAST({_h('review_delay', 'r')} % {dhi - dlo + 1} + {dlo} AS INTEGER)
+            AS VARCHAR) AS review_date
+FROM (SELECT *, {_perm('i', n_o, 'review')} + 1 AS r FROM base WHERE {_perm('i', n_o, 'review')} < {n_r})"""
+    out["synth_customers"] = f"""
+WITH ids AS (SELECT c_custkey + 1 AS i FROM customer),
+h AS (SELECT i, {_h('state_city', 'i')} % {len(fixed.STATE_CITIES)} + 1 AS pair FROM ids)
+SELECT printf('C%05d', i) AS customer_id, printf('Cliente %05d', i) AS customer_name,
+       printf('cliente%05d@example.com', i) AS email,
+       CASE WHEN {_perm('i', n_c, 'state')} < {fixed.DIRTY_EMPTY_STATES} THEN ''
+            ELSE list_extract({states}, CAST(pair AS INTEGER)) END AS state,
+       list_extract({cities}, CAST(pair AS INTEGER)) AS city,
+       CAST(DATE '{sstart}' + CAST({_h('signup', 'i')} % {sdays} AS INTEGER) AS VARCHAR) AS signup_date
+FROM h"""
+    return out
+
+
+def _io_sql() -> dict[str, str]:
+    cols = ", ".join(fixed.RAW_COLUMNS["orders"])
+    return {
+        "csv_roundtrip_orders": _raw_present("orders"),
+        "csv_roundtrip_products": _raw_present("products"),
+        "stream_landing_orders": f"SELECT {cols}, true AS stamped FROM ({RAW['orders']})",
+    }
+
+
 def oracle_sql() -> dict[str, str]:
-    return {**_layer_sql(), **_operator_sql(), **_dq_sql()}
+    return {**_layer_sql(), **_operator_sql(), **_dq_sql(), **_io_sql(), **_synth_sql()}

@@ -23,9 +23,12 @@ from strata.functions import columns as C
 from strata.operators import marts as M
 from strata.operators import quality as Q
 from strata.operators.tables import dedup_by_key, distinct_projection, move_to_end, with_audit
-from strata.plans.layers import conform_layer, layer_counts, mart_layer
-from strata.sources.files import read_driver_table
-from strata.sources.star import LANDED_AT, raw_tables
+from strata.plans.layers import conform_layer, land_raw, layer_counts, mart_layer
+from strata.session import scratch_path
+from strata.sources import synth
+from strata.sources.files import read_driver_table, read_raw_csv, write_csv
+from strata.sources.star import LANDED_AT, raw_orders, raw_products, raw_tables
+from strata.streaming.landing import land_folder_now
 
 TS_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
@@ -195,6 +198,48 @@ def orphan_orders(spark, sf_dir):
     return present(Q.orphan_keys(o, "o_orderkey", li, "l_orderkey", exclude=[0, 1]))
 
 
+# -- sources and sinks ---------------------------------------------------------------
+
+def _csv_roundtrip(table: str, render):
+    def q(spark, sf_dir):
+        name = "orders" if table == "orders" else "part"
+        folder = scratch_path(spark, f"csv-{table}")
+        write_csv(render(_t(spark, sf_dir, name)), folder)
+        back = read_raw_csv(spark, folder, fixed.RAW_COLUMNS[table])
+        return present(land_raw({table: back}, LANDED_AT)[table])
+    q.__name__ = f"csv_roundtrip_{table}"
+    return q
+
+
+def stream_landing_orders(spark, sf_dir):
+    """Raw orders files landed by an availableNow streaming query, read back."""
+    folder = scratch_path(spark, "stream-src")
+    write_csv(raw_orders(_t(spark, sf_dir, "orders")), folder)
+    landed = land_folder_now(spark, folder, "orders", scratch_path(spark, "stream-raw"))
+    return present(landed.select(*fixed.RAW_COLUMNS["orders"],
+                                 F.col(fixed.AUDIT_COLUMN).isNotNull().alias("stamped")))
+
+
+# -- generator queries ------------------------------------------------------------------
+
+def synth_spec(spark, sf_dir) -> synth.Spec:
+    """Generator sizes taken from the given tables (two scalar counts)."""
+    n_customers = _t(spark, sf_dir, "customer").count()
+    n_orders = _t(spark, sf_dir, "orders").count()
+    n_reviews = n_orders * fixed.DEFAULT_REVIEWS // fixed.DEFAULT_ORDERS
+    return synth.Spec(fixed.DEFAULT_SEED, n_customers, n_orders, n_reviews, dirty=True)
+
+
+def _synth(table: str):
+    def q(spark, sf_dir):
+        spec = synth_spec(spark, sf_dir)
+        cids = _t(spark, sf_dir, "customer").select((F.col("c_custkey") + 1).alias("i"))
+        oids = _t(spark, sf_dir, "orders").select((F.col("o_orderkey") + 1).alias("i"))
+        return present(synth.generate(spark, spec, cids, oids)[table])
+    q.__name__ = f"synth_{table}"
+    return q
+
+
 # -- quality queries --------------------------------------------------------------
 
 SOURCE = "source"
@@ -310,6 +355,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "distinct_projection": distinct_pairs,
     "audit_column": audit_column,
     "orphan_keys": orphan_orders,
+    "csv_roundtrip_orders": _csv_roundtrip("orders", raw_orders),
+    "csv_roundtrip_products": _csv_roundtrip("products", raw_products),
+    "stream_landing_orders": stream_landing_orders,
+    **{f"synth_{t}": _synth(t) for t in ("customers", "orders", "order_items", "payments", "reviews")},
     "dq_not_empty": dq_not_empty,
     "dq_unique": dq_unique,
     "dq_not_null": dq_not_null,

@@ -43,8 +43,18 @@ def read_raw_csv(
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Write headered CSV part files (one per task, no funnel through one writer)."""
-    df.write.mode(mode).option("header", "true").option("encoding", "UTF-8").csv(path)
+    """Write headered CSV part files (one per task, no funnel through one writer).
+
+    Values are written as they are: Spark trims surrounding whitespace on
+    write by default, which would silently clean padded raw text. NULL is
+    written as an empty field and ``''`` as ``""``; both read back as NULL.
+    """
+    (df.write.mode(mode)
+     .option("header", "true")
+     .option("encoding", "UTF-8")
+     .option("ignoreLeadingWhiteSpace", "false")
+     .option("ignoreTrailingWhiteSpace", "false")
+     .csv(path))
 
 
 def read_table_file(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:

@@ -11,12 +11,18 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Existence of ``path`` on its Hadoop file system (any scheme)."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath)
+
+
 class SchemaMismatchError(ValueError):
     """A strict overwrite would change an existing table's schema."""
 
@@ -46,11 +52,7 @@ class LayerStore:
     def exists(self, layer: str, table: str) -> bool:
         if self.base_uri is None:
             return self.spark.catalog.tableExists(self.location(layer, table))
-        try:
-            self.read(layer, table).schema  # resolves the path, runs no job
-            return True
-        except AnalysisException:
-            return False
+        return path_exists(self.spark, self.location(layer, table))
 
     def read(self, layer: str, table: str) -> DataFrame:
         if self.base_uri is None:

@@ -1,0 +1,254 @@
+"""Seeded dirty-data generator for the six raw tables, as a Spark job.
+
+Every value is a function of ``(seed, column, id)`` through md5, so any
+task can compute any row: generation is a projection over an id column
+(``spark.range`` or ids taken from a table), with no driver-side random
+number loop and no shuffle. An order's items live in an array column
+(``transform`` over ``sequence(1, k)``), so the order total is summed in
+the same row and the items table is an ``inline`` of that array.
+
+Exact-size samples (reviewed orders, duplicated orders, dirt positions)
+use a permutation of ``0..n-1``: ``((i - 1 + offset) * P) mod n`` with ``P``
+a prime larger than ``n``, hence coprime with it. ``perm < k`` selects
+exactly ``k`` ids, deterministically and in parallel.
+
+The same schemas, domains and kinds of dirt as the original generator are
+produced; the bytes differ (a different random source).
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from strata import fixed
+from strata.sources.files import write_csv
+
+# Multipliers of the permutations (primes just below 2**31).
+PRIMES = {
+    "review": 2147483647,
+    "dirty_order": 2147483629,
+    "duplicate": 2147483587,
+    "upper": 2147483579,
+    "state": 2147483563,
+    "quantity": 2147483549,
+    "pix": 2147483543,
+    "comment": 2147483497,
+}
+
+
+@dataclass(frozen=True)
+class Spec:
+    seed: int = fixed.DEFAULT_SEED
+    n_customers: int = fixed.DEFAULT_CUSTOMERS
+    n_orders: int = fixed.DEFAULT_ORDERS
+    n_reviews: int = fixed.DEFAULT_REVIEWS
+    dirty: bool = True
+
+    def __post_init__(self):
+        if max(self.n_customers, self.n_orders) >= min(PRIMES.values()):
+            raise ValueError("row counts must stay below 2**31 - 256")
+
+
+# -- hash helpers ------------------------------------------------------------------------
+
+def uhash(seed: int, name: str, *ids: Column) -> Column:
+    """Uniform integer in [0, 2**32) from md5(seed:name:ids)."""
+    key = F.concat_ws(":", F.lit(str(seed)), F.lit(name), *[c.cast("string") for c in ids])
+    return F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("long")
+
+
+def between(seed: int, name: str, lo: int, hi: int, *ids: Column) -> Column:
+    """Uniform integer in [lo, hi]."""
+    return uhash(seed, name, *ids) % (hi - lo + 1) + lo
+
+
+def weighted(u: Column, pairs) -> Column:
+    """Pick a value by integer weights from a uniform integer ``u``."""
+    total = sum(w for _, w in pairs)
+    r = u % total
+    out, acc = None, 0
+    for value, w in pairs:
+        acc += w
+        out = F.when(r < acc, F.lit(value)) if out is None else out.when(r < acc, F.lit(value))
+    return out
+
+
+def permuted(i: Column, n: int, seed: int, name: str) -> Column:
+    """Position of 1-based id ``i`` in a seeded permutation of 0..n-1."""
+    n = max(int(n), 1)
+    offset = uhash(seed, name + ":offset") % n
+    return ((i - 1 + offset) * F.lit(PRIMES[name]).cast("long")) % n
+
+
+def _money(cents: Column) -> Column:
+    return F.format_string("%d.%02d", F.floor(cents / 100).cast("long"), cents % 100)
+
+
+def _day(start: str, plus: Column) -> Column:
+    return F.date_add(F.lit(start).cast("date"), plus.cast("int")).cast("string")
+
+
+# -- tables --------------------------------------------------------------------------------
+
+def products(spark: SparkSession, spec: Spec) -> DataFrame:
+    rows = []
+    for pid, name, category, price, stock in fixed.PRODUCTS:
+        if not spec.dirty:
+            price = fixed.CLEAN_PRODUCT_PRICE.get(pid, price)
+            name = fixed.CLEAN_PRODUCT_NAME.get(pid, name)
+        rows.append((pid, name, category, price, str(stock)))
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in fixed.RAW_COLUMNS["products"]])
+    return spark.createDataFrame(rows, schema)
+
+
+def customers(ids: DataFrame, spec: Spec) -> DataFrame:
+    """``ids`` has a 1-based bigint column ``i``."""
+    s, i = spec.seed, F.col("i")
+    pair = uhash(s, "state_city", i) % len(fixed.STATE_CITIES)
+    states = F.array(*[F.lit(st) for st, _ in fixed.STATE_CITIES])
+    cities = F.array(*[F.lit(c) for _, c in fixed.STATE_CITIES])
+    state = F.element_at(states, (pair + 1).cast("int"))
+    if spec.dirty:
+        state = F.when(permuted(i, spec.n_customers, s, "state") < fixed.DIRTY_EMPTY_STATES, F.lit("")).otherwise(state)
+    start, days = fixed.SIGNUP_WINDOW
+    return ids.select(
+        F.format_string("C%05d", i).alias("customer_id"),
+        F.format_string("Cliente %05d", i).alias("customer_name"),
+        F.format_string("cliente%05d@example.com", i).alias("email"),
+        state.alias("state"),
+        F.element_at(cities, (pair + 1).cast("int")).alias("city"),
+        _day(start, uhash(s, "signup", i) % days).alias("signup_date"),
+    )
+
+
+def _orders_base(ids: DataFrame, spec: Spec) -> DataFrame:
+    """One row per order with its items as an array and the exact total in cents."""
+    s, i = spec.seed, F.col("i")
+    lo, hi = fixed.ITEMS_PER_ORDER
+    qlo, qhi = fixed.QUANTITY_RANGE
+    clo, chi = fixed.UNIT_PRICE_CENTS
+    n_products = len(fixed.PRODUCTS)
+    items = F.transform(
+        F.sequence(F.lit(1), between(s, "n_items", lo, hi, i).cast("int")),
+        lambda j: F.struct(
+            j.alias("j"),
+            (uhash(s, "product", i, j) % n_products + 1).alias("p"),
+            between(s, "quantity", qlo, qhi, i, j).alias("q"),
+            between(s, "unit", clo, chi, i, j).alias("c"),
+        ),
+    )
+    start, days = fixed.ORDER_WINDOW
+    return ids.select(
+        i,
+        F.format_string("O%06d", i).alias("order_id"),
+        F.format_string("C%05d", uhash(s, "customer", i) % spec.n_customers + 1).alias("customer_id"),
+        _day(start, uhash(s, "order_date", i) % days).alias("order_date"),
+        weighted(uhash(s, "status", i), fixed.STATUS_WEIGHTS).alias("status"),
+        items.alias("items"),
+    ).withColumn("total_cents", F.aggregate("items", F.lit(0).cast("long"), lambda acc, x: acc + x.q * x.c))
+
+
+def orders(ids: DataFrame, spec: Spec) -> DataFrame:
+    base = _orders_base(ids, spec)
+    s, i, n = spec.seed, F.col("i"), spec.n_orders
+    total = _money(F.col("total_cents"))
+    customer = F.col("customer_id")
+    if spec.dirty:
+        pos = permuted(i, n, s, "dirty_order")
+        total = F.when(pos == 0, F.lit(fixed.DIRTY_ORDER_VALUE)).otherwise(total)
+        customer = F.when(pos == 1, F.lit("")).otherwise(customer)
+    rows = base.select(i, "order_id", customer.alias("customer_id"), "order_date", "status",
+                       total.alias("total_amount"))
+    cols = list(fixed.RAW_COLUMNS["orders"])
+    if not spec.dirty:
+        return rows.select(*cols)
+    # duplicates copy rows before the upper-case status is injected, so twins may differ
+    twins = rows.filter(permuted(i, n, s, "duplicate") < fixed.DIRTY_ORDER_DUPLICATES).select(*cols)
+    upper = F.when(permuted(i, n, s, "upper") == 0, F.lit("DELIVERED")).otherwise(F.col("status"))
+    return rows.withColumn("status", upper).select(*cols).unionByName(twins)
+
+
+def order_items(ids: DataFrame, spec: Spec) -> DataFrame:
+    base = _orders_base(ids, spec)
+    s = spec.seed
+    exploded = base.select("i", "order_id", F.inline("items"))
+    quantity = F.col("q").cast("string")
+    if spec.dirty:
+        hit = (permuted(F.col("i"), spec.n_orders, s, "quantity") == 0) & (F.col("j") == 1)
+        quantity = F.when(hit, F.lit(fixed.DIRTY_QUANTITY)).otherwise(quantity)
+    return exploded.select(
+        "order_id",
+        F.format_string("%s-I%d", F.col("order_id"), F.col("j")).alias("item_id"),
+        F.format_string("P%04d", F.col("p")).alias("product_id"),
+        quantity.alias("quantity"),
+        _money(F.col("c")).alias("unit_price"),
+    )
+
+
+def payments(ids: DataFrame, spec: Spec) -> DataFrame:
+    base = _orders_base(ids, spec)
+    s, i = spec.seed, F.col("i")
+    kind = weighted(uhash(s, "payment_type", i), fixed.PAYMENT_WEIGHTS)
+    value = _money(F.col("total_cents"))
+    if spec.dirty:
+        value = F.when(permuted(i, spec.n_orders, s, "dirty_order") == 0,
+                       F.lit(fixed.DIRTY_PAYMENT_VALUE)).otherwise(value)
+        kind = F.when(permuted(i, spec.n_orders, s, "pix") == 0, F.lit("PIX")).otherwise(kind)
+    ilo, ihi = fixed.INSTALLMENTS
+    return base.select(
+        F.format_string("PAY%06d", i).alias("payment_id"),
+        "order_id",
+        kind.alias("payment_type"),
+        between(s, "installments", ilo, ihi, i).cast("string").alias("payment_installments"),
+        value.alias("payment_value"),
+    )
+
+
+def reviews(ids: DataFrame, spec: Spec) -> DataFrame:
+    """Exactly min(n_reviews, n_orders) orders, at most one review each."""
+    base = _orders_base(ids, spec)
+    s, i = spec.seed, F.col("i")
+    n_reviews = min(spec.n_reviews, spec.n_orders)
+    pos = permuted(i, spec.n_orders, s, "review")
+    picked = base.filter(pos < n_reviews).withColumn("r", pos + 1)
+    r = F.col("r")
+    comments = F.array(*[F.lit(c) for c in fixed.COMMENTS])
+    comment = F.element_at(comments, (uhash(s, "comment", r) % len(fixed.COMMENTS) + 1).cast("int"))
+    if spec.dirty:
+        comment = F.when(permuted(r, n_reviews, s, "comment") < fixed.DIRTY_EMPTY_COMMENTS,
+                         F.lit("")).otherwise(comment)
+    dlo, dhi = fixed.REVIEW_DELAY_DAYS
+    return picked.select(
+        F.format_string("R%06d", r).alias("review_id"),
+        "order_id",
+        "customer_id",
+        between(s, "rating", 1, 5, r).cast("string").alias("rating"),
+        comment.alias("comment"),
+        F.date_add(F.col("order_date").cast("date"), between(s, "review_delay", dlo, dhi, r).cast("int"))
+        .cast("string").alias("review_date"),
+    )
+
+
+def generate(spark: SparkSession, spec: Spec = Spec(), customer_ids: DataFrame | None = None,
+             order_ids: DataFrame | None = None) -> dict[str, DataFrame]:
+    """The six raw tables. Ids default to ``spark.range(1, n + 1)``."""
+    cids = customer_ids if customer_ids is not None else spark.range(1, spec.n_customers + 1).withColumnRenamed("id", "i")
+    oids = order_ids if order_ids is not None else spark.range(1, spec.n_orders + 1).withColumnRenamed("id", "i")
+    return {
+        "payments": payments(oids, spec),
+        "customers": customers(cids, spec),
+        "orders": orders(oids, spec),
+        "order_items": order_items(oids, spec),
+        "products": products(spark, spec),
+        "reviews": reviews(oids, spec),
+    }
+
+
+def write_tables(tables: dict[str, DataFrame], base_uri: str) -> None:
+    """``{base_uri}/{table}.csv`` with header, one part file per task."""
+    for name, df in tables.items():
+        write_csv(df, f"{base_uri.rstrip('/')}/{name}.csv")

@@ -38,7 +38,8 @@ def read_raw_csv(
         .option("mode", "PERMISSIVE")
     )
     if keep_empty:
-        reader = reader.option("emptyValue", "")
+        # only a field holding a lone NUL character would still read as NULL
+        reader = reader.option("nullValue", "\u0000").option("emptyValue", "")
     return reader.csv(path)
 
 

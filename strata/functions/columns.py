@@ -19,6 +19,19 @@ def _col(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def padded_id(prefix: str, c: ColumnOrName, width: int) -> Column:
+    """``prefix`` + zero-padded integer, exactly like ``format_string(prefix%0{width}d)``.
+
+    ``lpad`` runs in generated code; the slower formatter is only used for
+    values ``lpad`` would mangle (negative, or wider than ``width``).
+    """
+    c = _col(c)
+    text = c.cast("string")
+    fits = (c >= 0) & (c < F.lit(10 ** width))
+    return F.concat(F.lit(prefix), F.when(fits, F.lpad(text, width, "0"))
+                    .otherwise(F.format_string(f"%0{width}d", c)))
+
+
 def strip_prefix(c: ColumnOrName, prefix: str) -> Column:
     """Drop a literal letter prefix and the zeros after it (``O000042`` -> ``42``).
 

@@ -436,10 +436,19 @@ def _raw_present(table: str) -> str:
     return f"SELECT {cols}, strftime(_ingested_at, {TS}) AS _ingested_at FROM ({RAW[table]})"
 
 
+def _md5(name: str, *ids: str) -> str:
+    parts = ", ".join([f"'{fixed.DEFAULT_SEED}'", _lit(name)] + [f"CAST({i} AS VARCHAR)" for i in ids])
+    return f"md5(concat_ws(':', {parts}))"
+
+
+def _draw(hexdigest: str, part: int) -> str:
+    """SQL twin of ``synth.draw``."""
+    return f"CAST(('0x' || substr({hexdigest}, {1 + 8 * part}, 8)) AS BIGINT)"
+
+
 def _h(name: str, *ids: str) -> str:
     """SQL twin of ``synth.uhash``."""
-    parts = ", ".join([f"'{fixed.DEFAULT_SEED}'", _lit(name)] + [f"CAST({i} AS VARCHAR)" for i in ids])
-    return f"CAST(('0x' || substr(md5(concat_ws(':', {parts})), 1, 8)) AS BIGINT)"
+    return _draw(_md5(name, *ids), 0)
 
 
 def _perm(i: str, n: str, name: str) -> str:
@@ -474,18 +483,20 @@ def _synth_sql() -> dict[str, str]:
     cities = "[" + ", ".join(_lit(c) for _, c in fixed.STATE_CITIES) + "]"
     comments = "[" + ", ".join(_lit(c) for c in fixed.COMMENTS) + "]"
     ctes = f"""WITH ids AS (SELECT o_orderkey + 1 AS i FROM orders),
+hashed AS (SELECT i, {_md5('order', 'i')} AS h, {_md5('payment', 'i')} AS hp FROM ids),
 items AS (
-  SELECT i, j, {_h('product', 'i', 'j')} % {len(fixed.PRODUCTS)} + 1 AS p,
-         {_h('quantity', 'i', 'j')} % {qhi - qlo + 1} + {qlo} AS q,
-         {_h('unit', 'i', 'j')} % {chi - clo + 1} + {clo} AS c
-  FROM (SELECT i, unnest(generate_series(1, {_h('n_items', 'i')} % {hi - lo + 1} + {lo})) AS j FROM ids)),
+  SELECT i, j, {_draw('ih', 0)} % {len(fixed.PRODUCTS)} + 1 AS p,
+         {_draw('ih', 1)} % {qhi - qlo + 1} + {qlo} AS q,
+         {_draw('ih', 2)} % {chi - clo + 1} + {clo} AS c
+  FROM (SELECT i, j, {_md5('item', 'i', 'j')} AS ih
+        FROM (SELECT i, unnest(generate_series(1, {_draw('h', 0)} % {hi - lo + 1} + {lo})) AS j FROM hashed))),
 base AS (
-  SELECT ids.i, printf('O%06d', ids.i) AS order_id,
-         printf('C%05d', {_h('customer', 'ids.i')} % {n_c} + 1) AS customer_id,
-         CAST(DATE '{ostart}' + CAST({_h('order_date', 'ids.i')} % {odays} AS INTEGER) AS VARCHAR) AS order_date,
-         {_weighted(_h('status', 'ids.i'), fixed.STATUS_WEIGHTS)} AS status,
+  SELECT hashed.i, hp, printf('O%06d', hashed.i) AS order_id,
+         printf('C%05d', {_draw('h', 1)} % {n_c} + 1) AS customer_id,
+         CAST(DATE '{ostart}' + CAST({_draw('h', 2)} % {odays} AS INTEGER) AS VARCHAR) AS order_date,
+         {_weighted(_draw('h', 3), fixed.STATUS_WEIGHTS)} AS status,
          t.total_cents
-  FROM ids JOIN (SELECT i, sum(q * c) AS total_cents FROM items GROUP BY i) t ON t.i = ids.i),
+  FROM hashed JOIN (SELECT i, sum(q * c) AS total_cents FROM items GROUP BY i) t ON t.i = hashed.i),
 dirty AS (
   SELECT i, order_id,
          CASE WHEN {_perm('i', n_o, 'dirty_order')} = 1 THEN '' ELSE customer_id END AS customer_id,
@@ -511,29 +522,31 @@ FROM items"""
     out["synth_payments"] = ctes + f"""
 SELECT printf('PAY%06d', i) AS payment_id, order_id,
        CASE WHEN {_perm('i', n_o, 'pix')} = 0 THEN 'PIX'
-            ELSE {_weighted(_h('payment_type', 'i'), fixed.PAYMENT_WEIGHTS)} END AS payment_type,
-       CAST({_h('installments', 'i')} % {ihi - ilo + 1} + {ilo} AS VARCHAR) AS payment_installments,
+            ELSE {_weighted(_draw('hp', 0), fixed.PAYMENT_WEIGHTS)} END AS payment_type,
+       CAST({_draw('hp', 1)} % {ihi - ilo + 1} + {ilo} AS VARCHAR) AS payment_installments,
        CASE WHEN {_perm('i', n_o, 'dirty_order')} = 0 THEN {_lit(fixed.DIRTY_PAYMENT_VALUE)}
             ELSE {_money_sql('total_cents')} END AS payment_value
 FROM base"""
     out["synth_reviews"] = ctes + f"""
 SELECT printf('R%06d', r) AS review_id, order_id, customer_id,
-       CAST({_h('rating', 'r')} % 5 + 1 AS VARCHAR) AS rating,
+       CAST({_draw('hr', 0)} % 5 + 1 AS VARCHAR) AS rating,
        CASE WHEN {_perm('r', n_r, 'comment')} < {fixed.DIRTY_EMPTY_COMMENTS} THEN ''
-            ELSE list_extract({comments}, CAST({_h('comment', 'r')} % {len(fixed.COMMENTS)} + 1 AS INTEGER)) END
+            ELSE list_extract({comments}, CAST({_draw('hr', 1)} % {len(fixed.COMMENTS)} + 1 AS INTEGER)) END
             AS comment,
-       CAST(CAST(order_date AS DATE) + CAST({_h('review_delay', 'r')} % {dhi - dlo + 1} + {dlo} AS INTEGER)
+       CAST(CAST(order_date AS DATE) + CAST({_draw('hr', 2)} % {dhi - dlo + 1} + {dlo} AS INTEGER)
             AS VARCHAR) AS review_date
-FROM (SELECT *, {_perm('i', n_o, 'review')} + 1 AS r FROM base WHERE {_perm('i', n_o, 'review')} < {n_r})"""
+FROM (SELECT *, {_md5('review', 'r')} AS hr
+      FROM (SELECT *, {_perm('i', n_o, 'review')} + 1 AS r FROM base WHERE {_perm('i', n_o, 'review')} < {n_r}))"""
     out["synth_customers"] = f"""
 WITH ids AS (SELECT c_custkey + 1 AS i FROM customer),
-h AS (SELECT i, {_h('state_city', 'i')} % {len(fixed.STATE_CITIES)} + 1 AS pair FROM ids)
+h AS (SELECT i, {_draw(_md5('customer', 'i'), 0)} % {len(fixed.STATE_CITIES)} + 1 AS pair,
+             {_draw(_md5('customer', 'i'), 1)} AS signup FROM ids)
 SELECT printf('C%05d', i) AS customer_id, printf('Cliente %05d', i) AS customer_name,
        printf('cliente%05d@example.com', i) AS email,
        CASE WHEN {_perm('i', n_c, 'state')} < {fixed.DIRTY_EMPTY_STATES} THEN ''
             ELSE list_extract({states}, CAST(pair AS INTEGER)) END AS state,
        list_extract({cities}, CAST(pair AS INTEGER)) AS city,
-       CAST(DATE '{sstart}' + CAST({_h('signup', 'i')} % {sdays} AS INTEGER) AS VARCHAR) AS signup_date
+       CAST(DATE '{sstart}' + CAST(signup % {sdays} AS INTEGER) AS VARCHAR) AS signup_date
 FROM h"""
     return out
 

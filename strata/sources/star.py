@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata import fixed
+from strata.functions.columns import padded_id
 from strata.operators.tables import with_audit
 from strata.sources.files import read_driver_table
 
@@ -22,8 +23,8 @@ from strata.sources.files import read_driver_table
 LANDED_AT = "2025-01-01 12:00:00"
 
 
-def _id(fmt: str, *cols: str):
-    return F.format_string(fmt, *[F.col(c) for c in cols])
+def _id(prefix: str, col: str, width: int):
+    return padded_id(prefix, col, width)
 
 
 def _money_text(c: str):
@@ -39,9 +40,9 @@ def raw_customers(customer: DataFrame, nation: DataFrame) -> DataFrame:
     # under the broadcast threshold, otherwise a shuffle join runs.
     j = customer.join(nation, customer["c_nationkey"] == nation["n_nationkey"], "left")
     return j.select(
-        _id("C%05d", "c_custkey").alias("customer_id"),
+        _id("C", "c_custkey", 5).alias("customer_id"),
         F.col("c_name").alias("customer_name"),
-        _id("cliente%05d@example.com", "c_custkey").alias("email"),
+        F.concat(_id("cliente", "c_custkey", 5), F.lit("@example.com")).alias("email"),
         F.when(F.col("c_acctbal") >= 0, F.col("c_mktsegment")).alias("state"),
         F.col("n_name").alias("city"),
         _day_text(F.date_add(F.lit("1992-01-01").cast("date"), (F.col("c_custkey") % 2557).cast("int")))
@@ -65,8 +66,8 @@ def _status():
 
 def raw_orders(orders: DataFrame) -> DataFrame:
     return orders.select(
-        _id("O%06d", "o_orderkey").alias("order_id"),
-        _id("C%05d", "o_custkey").alias("customer_id"),
+        _id("O", "o_orderkey", 6).alias("order_id"),
+        _id("C", "o_custkey", 5).alias("customer_id"),
         _day_text(F.col("o_orderdate")).alias("order_date"),
         _status().alias("status"),
         _money_text("o_totalprice").alias("total_amount"),
@@ -75,9 +76,9 @@ def raw_orders(orders: DataFrame) -> DataFrame:
 
 def raw_order_items(lineitem: DataFrame) -> DataFrame:
     return lineitem.select(
-        _id("O%06d", "l_orderkey").alias("order_id"),
-        _id("O%06d-I%d", "l_orderkey", "l_linenumber").alias("item_id"),
-        _id("P%04d", "l_partkey").alias("product_id"),
+        _id("O", "l_orderkey", 6).alias("order_id"),
+        F.concat(_id("O", "l_orderkey", 6), F.lit("-I"), F.col("l_linenumber").cast("string")).alias("item_id"),
+        _id("P", "l_partkey", 4).alias("product_id"),
         F.col("l_quantity").cast("int").cast("string").alias("quantity"),
         _money_text("l_extendedprice").alias("unit_price"),
     )
@@ -93,8 +94,8 @@ def raw_payments(orders: DataFrame) -> DataFrame:
         .otherwise(" PIX ")
     )
     return orders.select(
-        _id("PAY%06d", "o_orderkey").alias("payment_id"),
-        _id("O%06d", "o_orderkey").alias("order_id"),
+        _id("PAY", "o_orderkey", 6).alias("payment_id"),
+        _id("O", "o_orderkey", 6).alias("order_id"),
         kind.alias("payment_type"),
         (F.col("o_custkey") % 12 + 1).cast("string").alias("payment_installments"),
         _money_text("o_totalprice").alias("payment_value"),
@@ -103,7 +104,7 @@ def raw_payments(orders: DataFrame) -> DataFrame:
 
 def raw_products(part: DataFrame) -> DataFrame:
     return part.select(
-        _id("P%04d", "p_partkey").alias("product_id"),
+        _id("P", "p_partkey", 4).alias("product_id"),
         F.when(F.col("p_size") <= 48, F.col("p_name")).alias("product_name"),
         F.col("p_type").alias("category"),
         _money_text("p_retailprice").alias("price"),
@@ -113,9 +114,9 @@ def raw_products(part: DataFrame) -> DataFrame:
 
 def raw_reviews(orders: DataFrame) -> DataFrame:
     return orders.select(
-        _id("R%06d", "o_orderkey").alias("review_id"),
-        _id("O%06d", "o_orderkey").alias("order_id"),
-        _id("C%05d", "o_custkey").alias("customer_id"),
+        _id("R", "o_orderkey", 6).alias("review_id"),
+        _id("O", "o_orderkey", 6).alias("order_id"),
+        _id("C", "o_custkey", 5).alias("customer_id"),
         F.substring("o_orderpriority", 1, 1).alias("rating"),
         F.nullif(F.substr(F.col("o_orderpriority"), F.lit(3)), F.lit("MEDIUM")).alias("comment"),
         _day_text(F.date_add(F.col("o_orderdate").cast("date"), (F.col("o_orderkey") % 14 + 1).cast("int")))

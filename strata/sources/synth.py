@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata import fixed
+from strata.functions.columns import padded_id
 from strata.sources.files import write_csv
 
 # Multipliers of the permutations (primes just below 2**31).
@@ -55,15 +56,24 @@ class Spec:
 
 # -- hash helpers ------------------------------------------------------------------------
 
+def digest(seed: int, name: str, *ids: Column) -> Column:
+    """md5 hex of ``seed:name:ids``: four independent 32-bit draws."""
+    return F.md5(F.concat_ws(":", F.lit(str(seed)), F.lit(name), *[c.cast("string") for c in ids]))
+
+
+def draw(hexdigest: Column, part: int) -> Column:
+    """The ``part``-th (0..3) uniform integer in [0, 2**32) of a digest."""
+    return F.conv(F.substring(hexdigest, 1 + 8 * part, 8), 16, 10).cast("long")
+
+
 def uhash(seed: int, name: str, *ids: Column) -> Column:
     """Uniform integer in [0, 2**32) from md5(seed:name:ids)."""
-    key = F.concat_ws(":", F.lit(str(seed)), F.lit(name), *[c.cast("string") for c in ids])
-    return F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("long")
+    return draw(digest(seed, name, *ids), 0)
 
 
-def between(seed: int, name: str, lo: int, hi: int, *ids: Column) -> Column:
-    """Uniform integer in [lo, hi]."""
-    return uhash(seed, name, *ids) % (hi - lo + 1) + lo
+def span(u: Column, lo: int, hi: int) -> Column:
+    """Map a uniform integer to [lo, hi]."""
+    return u % (hi - lo + 1) + lo
 
 
 def weighted(u: Column, pairs) -> Column:
@@ -85,7 +95,8 @@ def permuted(i: Column, n: int, seed: int, name: str) -> Column:
 
 
 def _money(cents: Column) -> Column:
-    return F.format_string("%d.%02d", F.floor(cents / 100).cast("long"), cents % 100)
+    """Non-negative integer cents as ``units.cc`` text."""
+    return F.concat((cents / 100).cast("long").cast("string"), F.lit("."), F.lpad((cents % 100).cast("string"), 2, "0"))
 
 
 def _day(start: str, plus: Column) -> Column:
@@ -108,7 +119,8 @@ def products(spark: SparkSession, spec: Spec) -> DataFrame:
 def customers(ids: DataFrame, spec: Spec) -> DataFrame:
     """``ids`` has a 1-based bigint column ``i``."""
     s, i = spec.seed, F.col("i")
-    pair = uhash(s, "state_city", i) % len(fixed.STATE_CITIES)
+    h = digest(s, "customer", i)
+    pair = draw(h, 0) % len(fixed.STATE_CITIES)
     states = F.array(*[F.lit(st) for st, _ in fixed.STATE_CITIES])
     cities = F.array(*[F.lit(c) for _, c in fixed.STATE_CITIES])
     state = F.element_at(states, (pair + 1).cast("int"))
@@ -116,38 +128,43 @@ def customers(ids: DataFrame, spec: Spec) -> DataFrame:
         state = F.when(permuted(i, spec.n_customers, s, "state") < fixed.DIRTY_EMPTY_STATES, F.lit("")).otherwise(state)
     start, days = fixed.SIGNUP_WINDOW
     return ids.select(
-        F.format_string("C%05d", i).alias("customer_id"),
-        F.format_string("Cliente %05d", i).alias("customer_name"),
-        F.format_string("cliente%05d@example.com", i).alias("email"),
+        padded_id("C", i, 5).alias("customer_id"),
+        padded_id("Cliente ", i, 5).alias("customer_name"),
+        F.concat(padded_id("cliente", i, 5), F.lit("@example.com")).alias("email"),
         state.alias("state"),
         F.element_at(cities, (pair + 1).cast("int")).alias("city"),
-        _day(start, uhash(s, "signup", i) % days).alias("signup_date"),
+        _day(start, draw(h, 1) % days).alias("signup_date"),
     )
 
 
 def _orders_base(ids: DataFrame, spec: Spec) -> DataFrame:
-    """One row per order with its items as an array and the exact total in cents."""
+    """One row per order with its items as an array and the exact total in cents.
+
+    One digest per order (items, customer, date, status), one more for the
+    payment draws, and one per item (product, quantity, unit price).
+    """
     s, i = spec.seed, F.col("i")
     lo, hi = fixed.ITEMS_PER_ORDER
     qlo, qhi = fixed.QUANTITY_RANGE
     clo, chi = fixed.UNIT_PRICE_CENTS
     n_products = len(fixed.PRODUCTS)
-    items = F.transform(
-        F.sequence(F.lit(1), between(s, "n_items", lo, hi, i).cast("int")),
-        lambda j: F.struct(
-            j.alias("j"),
-            (uhash(s, "product", i, j) % n_products + 1).alias("p"),
-            between(s, "quantity", qlo, qhi, i, j).alias("q"),
-            between(s, "unit", clo, chi, i, j).alias("c"),
-        ),
-    )
+    h = F.col("_h")
+    keyed = F.transform(F.sequence(F.lit(1), span(draw(h, 0), lo, hi).cast("int")),
+                        lambda j: F.struct(j.alias("j"), digest(s, "item", i, j).alias("h")))
+    items = F.transform(keyed, lambda x: F.struct(
+        x["j"].alias("j"),
+        (draw(x["h"], 0) % n_products + 1).alias("p"),
+        span(draw(x["h"], 1), qlo, qhi).alias("q"),
+        span(draw(x["h"], 2), clo, chi).alias("c"),
+    ))
     start, days = fixed.ORDER_WINDOW
-    return ids.select(
+    return ids.select(i, digest(s, "order", i).alias("_h"), digest(s, "payment", i).alias("_hp")).select(
         i,
-        F.format_string("O%06d", i).alias("order_id"),
-        F.format_string("C%05d", uhash(s, "customer", i) % spec.n_customers + 1).alias("customer_id"),
-        _day(start, uhash(s, "order_date", i) % days).alias("order_date"),
-        weighted(uhash(s, "status", i), fixed.STATUS_WEIGHTS).alias("status"),
+        "_hp",
+        padded_id("O", i, 6).alias("order_id"),
+        padded_id("C", draw(h, 1) % spec.n_customers + 1, 5).alias("customer_id"),
+        _day(start, draw(h, 2) % days).alias("order_date"),
+        weighted(draw(h, 3), fixed.STATUS_WEIGHTS).alias("status"),
         items.alias("items"),
     ).withColumn("total_cents", F.aggregate("items", F.lit(0).cast("long"), lambda acc, x: acc + x.q * x.c))
 
@@ -182,8 +199,8 @@ def order_items(ids: DataFrame, spec: Spec) -> DataFrame:
         quantity = F.when(hit, F.lit(fixed.DIRTY_QUANTITY)).otherwise(quantity)
     return exploded.select(
         "order_id",
-        F.format_string("%s-I%d", F.col("order_id"), F.col("j")).alias("item_id"),
-        F.format_string("P%04d", F.col("p")).alias("product_id"),
+        F.concat(F.col("order_id"), F.lit("-I"), F.col("j").cast("string")).alias("item_id"),
+        padded_id("P", F.col("p"), 4).alias("product_id"),
         quantity.alias("quantity"),
         _money(F.col("c")).alias("unit_price"),
     )
@@ -192,7 +209,7 @@ def order_items(ids: DataFrame, spec: Spec) -> DataFrame:
 def payments(ids: DataFrame, spec: Spec) -> DataFrame:
     base = _orders_base(ids, spec)
     s, i = spec.seed, F.col("i")
-    kind = weighted(uhash(s, "payment_type", i), fixed.PAYMENT_WEIGHTS)
+    kind = weighted(draw(F.col("_hp"), 0), fixed.PAYMENT_WEIGHTS)
     value = _money(F.col("total_cents"))
     if spec.dirty:
         value = F.when(permuted(i, spec.n_orders, s, "dirty_order") == 0,
@@ -200,10 +217,10 @@ def payments(ids: DataFrame, spec: Spec) -> DataFrame:
         kind = F.when(permuted(i, spec.n_orders, s, "pix") == 0, F.lit("PIX")).otherwise(kind)
     ilo, ihi = fixed.INSTALLMENTS
     return base.select(
-        F.format_string("PAY%06d", i).alias("payment_id"),
+        padded_id("PAY", i, 6).alias("payment_id"),
         "order_id",
         kind.alias("payment_type"),
-        between(s, "installments", ilo, ihi, i).cast("string").alias("payment_installments"),
+        span(draw(F.col("_hp"), 1), ilo, ihi).cast("string").alias("payment_installments"),
         value.alias("payment_value"),
     )
 
@@ -216,19 +233,21 @@ def reviews(ids: DataFrame, spec: Spec) -> DataFrame:
     pos = permuted(i, spec.n_orders, s, "review")
     picked = base.filter(pos < n_reviews).withColumn("r", pos + 1)
     r = F.col("r")
+    picked = picked.withColumn("_hr", digest(s, "review", r))
+    h = F.col("_hr")
     comments = F.array(*[F.lit(c) for c in fixed.COMMENTS])
-    comment = F.element_at(comments, (uhash(s, "comment", r) % len(fixed.COMMENTS) + 1).cast("int"))
+    comment = F.element_at(comments, (draw(h, 1) % len(fixed.COMMENTS) + 1).cast("int"))
     if spec.dirty:
         comment = F.when(permuted(r, n_reviews, s, "comment") < fixed.DIRTY_EMPTY_COMMENTS,
                          F.lit("")).otherwise(comment)
     dlo, dhi = fixed.REVIEW_DELAY_DAYS
     return picked.select(
-        F.format_string("R%06d", r).alias("review_id"),
+        padded_id("R", r, 6).alias("review_id"),
         "order_id",
         "customer_id",
-        between(s, "rating", 1, 5, r).cast("string").alias("rating"),
+        span(draw(h, 0), 1, 5).cast("string").alias("rating"),
         comment.alias("comment"),
-        F.date_add(F.col("order_date").cast("date"), between(s, "review_delay", dlo, dhi, r).cast("int"))
+        F.date_add(F.col("order_date").cast("date"), span(draw(h, 2), dlo, dhi).cast("int"))
         .cast("string").alias("review_date"),
     )
 

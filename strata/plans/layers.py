@@ -92,6 +92,11 @@ def layer_counts(spark: SparkSession, layers: Mapping[str, Mapping[str, DataFram
 class RunResult:
     reports: dict[str, Q.QualityReport] = field(default_factory=dict)
     rows: dict[str, dict[str, int]] = field(default_factory=dict)
+    blocked_at: str | None = None      # layer whose check failed an ERROR (stop_on_error)
+
+    @property
+    def ok(self) -> bool:
+        return self.blocked_at is None
 
 
 def run_layers(
@@ -102,12 +107,14 @@ def run_layers(
     options: ConformOptions = DEFAULT,
     zone: str | None = fixed.LOCAL_ZONE,
     strict_raw_schema: bool = True,
+    stop_on_error: bool = False,
 ) -> RunResult:
     """raw -> check -> conformed -> check -> marts -> check.
 
     Each layer is written (row counts observed during the write), read
     back, and checked; a failed ERROR raises ``QualityGateError`` and the
-    next layer is not built. A failed WARN is only reported.
+    next layer is not built (with ``stop_on_error`` the run returns instead,
+    ``blocked_at`` naming the layer). A failed WARN is only reported.
     """
     result = RunResult()
 
@@ -116,15 +123,22 @@ def run_layers(
                               for t, df in frames.items()}
         return store.read_layer(layer, list(frames))
 
-    def check(layer: str, frames: Mapping[str, DataFrame | None]) -> None:
+    def passes(layer: str, frames: Mapping[str, DataFrame | None]) -> bool:
         report = Q.check_layer(spark, layer, dict(frames))
         result.reports[layer] = report
-        Q.gate(report)
+        if report.ok:
+            return True
+        if not stop_on_error:
+            raise Q.QualityGateError(report)
+        result.blocked_at = layer
+        return False
 
     raw = write_all(fixed.RAW, land_raw(sources, at), strict_raw_schema)
-    check(fixed.RAW, raw)
+    if not passes(fixed.RAW, raw):
+        return result
     conformed = write_all(fixed.CONFORMED, conform_layer(raw, options, zone), False)
-    check(fixed.CONFORMED, conformed)
+    if not passes(fixed.CONFORMED, conformed):
+        return result
     marts = write_all(fixed.MART, mart_layer(conformed), False)
-    check(fixed.MART, marts)
+    passes(fixed.MART, marts)
     return result

@@ -557,6 +557,9 @@ def _io_sql() -> dict[str, str]:
         "csv_roundtrip_orders": _raw_present("orders"),
         "csv_roundtrip_products": _raw_present("products"),
         "stream_landing_orders": f"SELECT {cols}, true AS stamped FROM ({RAW['orders']})",
+        "gated_sales_by_category": layered(f"SELECT {MART_PRESENT['vendas_por_categoria']} FROM mart_vendas_por_categoria"),
+        "gated_quality_report": layered("\nUNION ALL\n".join(
+            f"({layer_report_sql(layer)})" for layer in (fixed.RAW, fixed.CONFORMED, fixed.MART))),
     }
 
 

@@ -124,8 +124,8 @@ def raw_reviews(orders: DataFrame) -> DataFrame:
     )
 
 
-def raw_tables(spark: SparkSession, sf_dir: str, at: str | None = LANDED_AT) -> dict[str, DataFrame]:
-    """The six raw tables (all string columns + audit stamp) from ``sf_dir``."""
+def source_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The six source tables (all string columns, no audit stamp) from ``sf_dir``."""
     def read(name: str) -> DataFrame:
         return read_driver_table(spark, sf_dir, name)
 
@@ -138,4 +138,9 @@ def raw_tables(spark: SparkSession, sf_dir: str, at: str | None = LANDED_AT) ->
         "products": raw_products(read("part")),
         "reviews": raw_reviews(orders),
     }
-    return {t: with_audit(frames[t].select(*fixed.RAW_COLUMNS[t]), at) for t in fixed.TABLES}
+    return {t: frames[t].select(*fixed.RAW_COLUMNS[t]) for t in fixed.TABLES}
+
+
+def raw_tables(spark: SparkSession, sf_dir: str, at: str | None = LANDED_AT) -> dict[str, DataFrame]:
+    """The six raw tables (all string columns + audit stamp) from ``sf_dir``."""
+    return {t: with_audit(df, at) for t, df in source_tables(spark, sf_dir).items()}

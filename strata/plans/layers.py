@@ -8,6 +8,7 @@ layers, so a lost executor recomputes at most one layer.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime
 from functools import reduce
@@ -88,6 +89,21 @@ def layer_counts(spark: SparkSession, layers: Mapping[str, Mapping[str, DataFram
 
 # -- gated run -----------------------------------------------------------------
 
+def write_tables(store: LayerStore, layer: str, frames: Mapping[str, DataFrame], strict: bool = False,
+                 parallel: int | None = None) -> dict[str, int]:
+    """Write a layer's tables as concurrent Spark jobs; rows per table.
+
+    The tables of one layer are independent, so their jobs share the
+    cluster instead of queueing one after another (a small table no longer
+    leaves most executors idle).
+    """
+    items = list(frames.items())
+    workers = max(1, min(parallel or len(items), len(items)))
+    with ThreadPoolExecutor(max_workers=workers) as pool:
+        counts = pool.map(lambda kv: store.write(kv[1], layer, kv[0], schema_may_change=not strict), items)
+        return dict(zip([t for t, _ in items], counts))
+
+
 @dataclass
 class RunResult:
     reports: dict[str, Q.QualityReport] = field(default_factory=dict)
@@ -119,8 +135,8 @@ def run_layers(
     result = RunResult()
 
     def write_all(layer: str, frames: Mapping[str, DataFrame], strict: bool) -> Frames:
-        result.rows[layer] = {t: store.write(df, layer, t, schema_may_change=not strict)
-                              for t, df in frames.items()}
+        store.ensure_layer(layer)
+        result.rows[layer] = write_tables(store, layer, frames, strict)
         return store.read_layer(layer, list(frames))
 
     def passes(layer: str, frames: Mapping[str, DataFrame | None]) -> bool:

@@ -12,8 +12,9 @@ Scale notes (one key may hold a third of all rows):
   broadcast only when its measured size is under
   ``spark.sql.autoBroadcastJoinThreshold``;
 * where the grouping key functionally includes the join key, facts are
-  aggregated before the join (``customer_summary``), so the join sees one
-  row per key instead of every fact row.
+  aggregated before the join (``customer_summary``, ``product_rating``), so
+  the join sees one row per key instead of every fact row, and no later
+  aggregate pins a hot key to the join's partitioning.
 """
 
 from __future__ import annotations
@@ -69,18 +70,22 @@ def product_rating(t: Tables, sort: bool = True) -> DataFrame:
 
     An order holding several items of one product would repeat its review;
     joining reviews with the distinct (order, product) pairs instead of all
-    items removes that fan-out before it exists. The distinct pairs are an
-    aggregate, so a hot order collapses map-side. Equal to deduplicating
-    (review, product) after the join whenever review ids and product ids
-    are unique, which the conformed-layer ERROR checks enforce.
+    items removes that fan-out before it exists, and the distinct pairs are
+    an aggregate, so a hot order collapses map-side. Ratings are then
+    aggregated per product_id *before* the product attributes are joined:
+    the join sees one row per product, and a product holding a large share
+    of all reviews is spread by the (product, review) shuffle of the
+    distinct count instead of sitting in one join task. Averages, min/max
+    and distinct counts ignore repeated rows, so this equals grouping the
+    joined rows by (product_id, product_name, category). Equal to
+    deduplicating (review, product) after the join whenever review ids and
+    product ids are unique, which the conformed-layer ERROR checks enforce.
     """
     reviews = t["reviews"].select("review_id", "order_id", "rating")
     pairs = t["order_items"].select("order_id", "product_id").distinct()
-    products = t["products"].select("product_id", "product_name", "category")
-    out = (
+    per_product = (
         reviews.join(pairs, "order_id", "left")
-        .join(products, "product_id", "left")
-        .groupBy("product_id", "product_name", "category")
+        .groupBy("product_id")
         .agg(
             F.avg("rating").alias("avaliacao_media"),
             F.count_distinct("review_id").alias("total_avaliacoes"),
@@ -88,6 +93,11 @@ def product_rating(t: Tables, sort: bool = True) -> DataFrame:
             F.max("rating").alias("melhor_nota"),
         )
     )
+    products = t["products"].select("product_id", "product_name", "category").distinct()
+    out = per_product.join(products, "product_id", "left").select(
+        "product_id", "product_name", "category",
+        "avaliacao_media", "total_avaliacoes", "pior_nota", "melhor_nota",
+    )
     return _sorted(out, "avaliacao_media", ["product_id", "product_name", "category"], sort)
 
 

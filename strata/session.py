@@ -54,14 +54,17 @@ def build_session(
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder named by ``spark.checkpoint.dir``.
 
-    Jobs that must cut lineage or stage files write below it. Only when the
-    session names none (local tests) is a private folder created and
-    registered, so later calls agree.
+    Jobs that must cut lineage or stage files write below it. Only a local
+    session that names none (tests) gets a private folder, registered so
+    later calls agree; on a cluster an unset folder is an error, never a
+    machine-local temp folder.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         path = spark.sparkContext.getCheckpointDir()
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         path = tempfile.mkdtemp(prefix="strata-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     if spark.sparkContext.getCheckpointDir() is None:

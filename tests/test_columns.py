@@ -78,3 +78,10 @@ def test_strip_or_sentinel(spark):
     assert got == ["desconhecido", "442", ""]
     got_blank = [r[0] for r in df.select(C.strip_or_sentinel("v", "C", "desconhecido", True)).collect()]
     assert got_blank == ["desconhecido", "442", "desconhecido"]
+
+
+def test_now_in_zone_is_behind_utc_by_the_offset(spark):
+    row = spark.range(1).select(
+        ((F.unix_timestamp(F.current_timestamp()) - F.unix_timestamp(C.now_in_zone("America/Sao_Paulo")))
+         / 3600).alias("h")).first()
+    assert row.h in (2.0, 3.0)

@@ -331,7 +331,7 @@ def _operator_sql() -> dict[str, str]:
                        f"CAST(try_cast({price} || '000' AS DECIMAL(10,2)) AS DOUBLE) AS amount_overflow "
                        "FROM lineitem"),
         "int_try_cast": (f"SELECT o_orderkey, {rating_text} AS rating_text, "
-                         f"CAST(try_cast({rating_text} AS INTEGER) AS BIGINT) AS rating FROM orders"),
+                         f"CAST(try_cast({rating_text} AS INTEGER) AS DOUBLE) AS rating FROM orders"),
         "date_try_cast": (f"SELECT o_orderkey, {date_text} AS date_text, "
                           f"CAST(try_cast({date_text} AS DATE) AS VARCHAR) AS parsed FROM orders"),
         "null_default": f"SELECT c_custkey, coalesce({gaps}, 'desconhecido') AS segment FROM customer",

@@ -124,6 +124,7 @@ def run_layers(
     zone: str | None = fixed.LOCAL_ZONE,
     strict_raw_schema: bool = True,
     stop_on_error: bool = False,
+    normalize_first: bool = False,
 ) -> RunResult:
     """raw -> check -> conformed -> check -> marts -> check.
 
@@ -152,7 +153,7 @@ def run_layers(
     raw = write_all(fixed.RAW, land_raw(sources, at), strict_raw_schema)
     if not passes(fixed.RAW, raw):
         return result
-    conformed = write_all(fixed.CONFORMED, conform_layer(raw, options, zone), False)
+    conformed = write_all(fixed.CONFORMED, conform_layer(raw, options, zone, normalize_first), False)
     if not passes(fixed.CONFORMED, conformed):
         return result
     marts = write_all(fixed.MART, mart_layer(conformed), False)

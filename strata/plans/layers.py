@@ -138,7 +138,7 @@ def run_layers(
     def write_all(layer: str, frames: Mapping[str, DataFrame], strict: bool) -> Frames:
         store.ensure_layer(layer)
         result.rows[layer] = write_tables(store, layer, frames, strict)
-        return store.read_layer(layer, list(frames))
+        return store.read_layer(layer, list(frames), {t: df.schema for t, df in frames.items()})
 
     def passes(layer: str, frames: Mapping[str, DataFrame | None]) -> bool:
         report = Q.check_layer(spark, layer, dict(frames))

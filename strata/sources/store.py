@@ -54,14 +54,19 @@ class LayerStore:
             return self.spark.catalog.tableExists(self.location(layer, table))
         return path_exists(self.spark, self.location(layer, table))
 
-    def read(self, layer: str, table: str) -> DataFrame:
+    def read(self, layer: str, table: str, schema: T.StructType | None = None) -> DataFrame:
+        """The table; a known ``schema`` (path mode) spares the footer-reading job."""
         if self.base_uri is None:
             return self.spark.table(self.location(layer, table))
-        return self.spark.read.format(self.fmt).load(self.location(layer, table))
+        reader = self.spark.read.format(self.fmt)
+        if schema is not None:
+            reader = reader.schema(schema)
+        return reader.load(self.location(layer, table))
 
-    def read_layer(self, layer: str, tables) -> dict[str, DataFrame | None]:
+    def read_layer(self, layer: str, tables, schemas: dict | None = None) -> dict[str, DataFrame | None]:
         """All tables of a layer; an absent table maps to None (no counting)."""
-        return {t: (self.read(layer, t) if self.exists(layer, t) else None) for t in tables}
+        schemas = schemas or {}
+        return {t: (self.read(layer, t, schemas.get(t)) if self.exists(layer, t) else None) for t in tables}
 
     # -- sinks ----------------------------------------------------------------
     def write(self, df: DataFrame, layer: str, table: str, schema_may_change: bool = True) -> int:

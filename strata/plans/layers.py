@@ -90,24 +90,31 @@ def layer_counts(spark: SparkSession, layers: Mapping[str, Mapping[str, DataFram
 # -- gated run -----------------------------------------------------------------
 
 def write_tables(store: LayerStore, layer: str, frames: Mapping[str, DataFrame], strict: bool = False,
-                 parallel: int | None = None) -> dict[str, int]:
-    """Write a layer's tables as concurrent Spark jobs; rows per table.
+                 metrics: Mapping[str, list] | None = None, parallel: int | None = None) -> dict[str, dict]:
+    """Write a layer's tables as concurrent Spark jobs; observed values per table.
 
     The tables of one layer are independent, so their jobs share the
     cluster instead of queueing one after another (a small table no longer
-    leaves most executors idle).
+    leaves most executors idle). Each table's ``metrics`` are observed
+    during its write; the result always holds ``rows``.
     """
+    metrics = metrics or {}
     items = list(frames.items())
     workers = max(1, min(parallel or len(items), len(items)))
+
+    def one(kv):
+        table, df = kv
+        return store.write_observed(df, layer, table, metrics.get(table, ()), schema_may_change=not strict)
+
     with ThreadPoolExecutor(max_workers=workers) as pool:
-        counts = pool.map(lambda kv: store.write(kv[1], layer, kv[0], schema_may_change=not strict), items)
-        return dict(zip([t for t, _ in items], counts))
+        return dict(zip([t for t, _ in items], pool.map(one, items)))
 
 
 @dataclass
 class RunResult:
     reports: dict[str, Q.QualityReport] = field(default_factory=dict)
     rows: dict[str, dict[str, int]] = field(default_factory=dict)
+    measured: dict[str, dict[str, dict]] = field(default_factory=dict)   # counter checks observed at write
     blocked_at: str | None = None      # layer whose check failed an ERROR (stop_on_error)
 
     @property
@@ -128,20 +135,28 @@ def run_layers(
 ) -> RunResult:
     """raw -> check -> conformed -> check -> marts -> check.
 
-    Each layer is written (row counts observed during the write), read
-    back, and checked; a failed ERROR raises ``QualityGateError`` and the
+    Each layer is written, read back, and checked; a failed ERROR raises
+    ``QualityGateError`` and the
     next layer is not built (with ``stop_on_error`` the run returns instead,
     ``blocked_at`` naming the layer). A failed WARN is only reported.
+
+    Row counts and every counter check (not empty, not NULL, range,
+    non-negative, in set) are observed while a table is written, so only
+    uniqueness and referential checks read the written data again.
     """
     result = RunResult()
 
     def write_all(layer: str, frames: Mapping[str, DataFrame], strict: bool) -> Frames:
         store.ensure_layer(layer)
-        result.rows[layer] = write_tables(store, layer, frames, strict)
+        suite = Q.SUITES[layer]()
+        metrics = {t: Q.counter_metrics(suite, t, df.columns) for t, df in frames.items()}
+        observed = write_tables(store, layer, frames, strict, metrics)
+        result.rows[layer] = {t: v["rows"] for t, v in observed.items()}
+        result.measured[layer] = observed
         return store.read_layer(layer, list(frames), {t: df.schema for t, df in frames.items()})
 
     def passes(layer: str, frames: Mapping[str, DataFrame | None]) -> bool:
-        report = Q.check_layer(spark, layer, dict(frames))
+        report = Q.check_layer(spark, layer, dict(frames), measured=result.measured.get(layer))
         result.reports[layer] = report
         if report.ok:
             return True

@@ -76,6 +76,14 @@ class LayerStore:
         so the plan runs once. With ``schema_may_change=False`` the existing
         table's column names and types must match or nothing is written.
         """
+        return self.write_observed(df, layer, table, (), schema_may_change)["rows"]
+
+    def write_observed(self, df: DataFrame, layer: str, table: str, metrics=(),
+                       schema_may_change: bool = True) -> dict:
+        """``write`` that also observes the aggregate ``metrics`` in the same pass.
+
+        Returns ``{"rows": n, <metric alias>: value, ...}``.
+        """
         if not schema_may_change and self.exists(layer, table):
             old = self.read(layer, table).schema
             if _shape(old) != _shape(df.schema):
@@ -83,14 +91,15 @@ class LayerStore:
                     f"{self.location(layer, table)}: schema {_shape(old)} != {_shape(df.schema)}")
         self.ensure_layer(layer)
         obs = Observation(f"rows:{layer}.{table}")
-        writer = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.format(self.fmt).mode("overwrite")
+        observed = df.observe(obs, F.count(F.lit(1)).alias("rows"), *metrics)
+        writer = observed.write.format(self.fmt).mode("overwrite")
         if self.fmt == "delta" and schema_may_change:
             writer = writer.option("overwriteSchema", "true")
         if self.base_uri is None:
             writer.saveAsTable(self.location(layer, table))
         else:
             writer.save(self.location(layer, table))
-        return int(obs.get["rows"])
+        return {k: int(v) for k, v in obs.get.items()}
 
     def preview(self, layer: str, table: str, n: int = 10) -> DataFrame:
         """First ``n`` rows of the written table (reads back, no recompute)."""

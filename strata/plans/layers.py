@@ -136,9 +136,9 @@ def run_layers(
     """raw -> check -> conformed -> check -> marts -> check.
 
     Each layer is written, read back, and checked; a failed ERROR raises
-    ``QualityGateError`` and the
-    next layer is not built (with ``stop_on_error`` the run returns instead,
-    ``blocked_at`` naming the layer). A failed WARN is only reported.
+    ``QualityGateError`` and the next layer is not built (with
+    ``stop_on_error`` the run returns instead, ``blocked_at`` naming the
+    layer). A failed WARN is only reported.
 
     Row counts and every counter check (not empty, not NULL, range,
     non-negative, in set) are observed while a table is written, so only

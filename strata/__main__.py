@@ -1,9 +1,9 @@
 """Command line: one Spark job per layer, for a scheduler to chain.
 
     python -m strata generate --out URI [--seed N --customers N --orders N --reviews N --clean]
-    python -m strata land     --source URI --lake URI
-    python -m strata conform  --lake URI
-    python -m strata marts    --lake URI
+    python -m strata land     --source URI --lake URI [--preview N]
+    python -m strata conform  --lake URI [--preview N]
+    python -m strata marts    --lake URI [--preview N]
     python -m strata check    {bronze,silver,gold} --lake URI     # exit 1 on a failed ERROR
     python -m strata run      --source URI --lake URI             # all layers, gated
 
@@ -40,6 +40,9 @@ def _parser() -> argparse.ArgumentParser:
         s.add_argument("--lake")
     for name in ("conform", "marts"):
         sub.add_parser(name).add_argument("--lake")
+    for name in ("land", "conform", "marts"):
+        sub.choices[name].add_argument("--preview", type=int, default=0,
+                                       help="show N rows of each written table (read back, not recomputed)")
     c = sub.add_parser("check")
     c.add_argument("layer", choices=fixed.LAYERS)
     c.add_argument("--lake")
@@ -58,15 +61,19 @@ def main(argv: list[str] | None = None) -> int:
         synth.write_tables(synth.generate(spark, spec), args.out)
         return 0
     store = LayerStore(spark, args.lake)
-    if args.cmd == "land":
-        for t, df in L.land_raw(L.read_raw(spark, args.source)).items():
-            print(f"{fixed.RAW}.{t}: {store.write(df, fixed.RAW, t, schema_may_change=False)} rows")
-    elif args.cmd == "conform":
-        for t, df in L.conform_layer(store.read_layer(fixed.RAW, fixed.TABLES)).items():
-            print(f"{fixed.CONFORMED}.{t}: {store.write(df, fixed.CONFORMED, t)} rows")
-    elif args.cmd == "marts":
-        for t, df in L.mart_layer(store.read_layer(fixed.CONFORMED, fixed.TABLES)).items():
-            print(f"{fixed.MART}.{t}: {store.write(df, fixed.MART, t)} rows")
+    if args.cmd in ("land", "conform", "marts"):
+        if args.cmd == "land":
+            layer, frames, strict = fixed.RAW, L.land_raw(L.read_raw(spark, args.source)), True
+        elif args.cmd == "conform":
+            layer, frames, strict = fixed.CONFORMED, L.conform_layer(store.read_layer(fixed.RAW, fixed.TABLES)), False
+        else:
+            layer, frames, strict = fixed.MART, L.mart_layer(store.read_layer(fixed.CONFORMED, fixed.TABLES)), False
+        store.ensure_layer(layer)
+        for t, observed in L.write_tables(store, layer, frames, strict).items():
+            print(f"{layer}.{t}: {observed['rows']} rows")
+        for t in frames if args.preview else ():
+            print(f"{layer}.{t}")
+            store.preview(layer, t, args.preview).show(truncate=False)
     elif args.cmd == "check":
         report = Q.check_layer(spark, args.layer, store.read_layer(args.layer, _tables(args.layer)))
         for r in report.results:

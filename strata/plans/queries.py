@@ -202,11 +202,11 @@ def orphan_orders(spark, sf_dir):
 
 # -- sources and sinks ---------------------------------------------------------------
 
-def _csv_roundtrip(table: str, render):
+def _csv_roundtrip(table: str, source: str, render):
+    """Render ``source`` as the raw ``table``, write it as CSV, read it back, land it."""
     def q(spark, sf_dir):
-        name = "orders" if table == "orders" else "part"
         folder = scratch_path(spark, f"csv-{table}")
-        write_csv(render(_t(spark, sf_dir, name)), folder)
+        write_csv(render(_t(spark, sf_dir, source)), folder)
         back = read_raw_csv(spark, folder, fixed.RAW_COLUMNS[table])
         return present(land_raw({table: back}, LANDED_AT)[table])
     q.__name__ = f"csv_roundtrip_{table}"
@@ -384,8 +384,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "distinct_projection": distinct_pairs,
     "audit_column": audit_column,
     "orphan_keys": orphan_orders,
-    "csv_roundtrip_orders": _csv_roundtrip("orders", raw_orders),
-    "csv_roundtrip_products": _csv_roundtrip("products", raw_products),
+    "csv_roundtrip_orders": _csv_roundtrip("orders", "orders", raw_orders),
+    "csv_roundtrip_products": _csv_roundtrip("products", "part", raw_products),
     "stream_landing_orders": stream_landing_orders,
     "gated_sales_by_category": gated_sales_by_category,
     "gated_quality_report": gated_quality_report,

@@ -48,12 +48,12 @@ def dedup_by_key(
         return df.dropDuplicates(keys)
     ordered = list(order_by) if order_by else list(rest)
     ordered += [c for c in rest if c not in ordered]
-    winner = F.min(F.struct(*[F.col(c) for c in ordered])).alias("_winner")
+    winner = F.min(F.struct(*[F.col(f"`{c}`").alias(c) for c in ordered])).alias("__winner")
     return (
-        df.groupBy(*keys)
+        df.groupBy(*[F.col(f"`{k}`") for k in keys])
         .agg(winner)
-        .select(*keys, *[F.col(f"_winner.{c}").alias(c) for c in ordered])
-        .select(*df.columns)
+        .select(*[F.col(f"`{k}`") for k in keys], *[F.col("__winner").getField(c).alias(c) for c in ordered])
+        .select(*[F.col(f"`{c}`") for c in df.columns])
     )
 
 

@@ -70,7 +70,7 @@ def main(argv: list[str] | None = None) -> int:
             layer, frames, strict = fixed.MART, L.mart_layer(store.read_layer(fixed.CONFORMED, fixed.TABLES)), False
         store.ensure_layer(layer)
         for t, observed in L.write_tables(store, layer, frames, strict).items():
-            print(f"{layer}.{t}: {observed['rows']} rows")
+            print(f"{layer}.{t}: {observed['rows']} rows, {len(frames[t].columns)} columns")
         for t in frames if args.preview else ():
             print(f"{layer}.{t}")
             store.preview(layer, t, args.preview).show(truncate=False)

@@ -15,7 +15,7 @@ def test_layer_commands_and_exit_codes(spark, tmp_uri, capsys):
     assert main(["marts", "--lake", lake, "--preview", "2"]) == 0
     assert main(["check", "gold", "--lake", lake]) == 0
     out = capsys.readouterr().out
-    assert "bronze.orders: 50 rows" in out and "DQ layer=silver checks=45" in out
+    assert "bronze.orders: 50 rows, 6 columns" in out and "DQ layer=silver checks=45" in out
     assert "gold.resumo_clientes\n" in out and "total_gasto" in out          # preview of the written mart
     assert LayerStore(spark, lake).read(fixed.MART, "resumo_clientes").count() > 0
 

@@ -121,6 +121,10 @@ class RunResult:
     def ok(self) -> bool:
         return self.blocked_at is None
 
+    def report(self) -> DataFrame:
+        """The reports of every checked layer as one DataFrame."""
+        return reduce(lambda a, b: a.unionByName(b), [r.frame for r in self.reports.values()])
+
 
 def run_layers(
     spark: SparkSession,

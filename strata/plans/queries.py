@@ -242,11 +242,7 @@ def gated_sales_by_category(spark, sf_dir):
 
 def gated_quality_report(spark, sf_dir):
     _, result = _gated_run(spark, sf_dir)
-    frames = [r.frame for r in result.reports.values()]
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return present(out)
+    return present(result.report())
 
 
 # -- generator queries ------------------------------------------------------------------

@@ -317,9 +317,13 @@ def _operator_sql() -> dict[str, str]:
     rating_text = "substr(o_orderpriority, 1, CAST(o_orderkey % 2 + 1 AS INTEGER))"
     li_cols = DRIVER_COLUMNS["lineitem"]
     li_rest = [c for c in li_cols if c not in ("l_orderkey", "l_linenumber")]
-    li_present = ", ".join(
-        f"strftime({c}, {TS}) AS {c}" if c == "l_shipdate" else
-        (f"CAST({c} AS BIGINT) AS {c}" if c == "l_linenumber" else c) for c in li_cols)
+    def li_col(c: str) -> str:
+        if c == "l_shipdate":
+            return f"strftime({c}, {TS}) AS {c}"
+        return f"CAST({c} AS BIGINT) AS {c}" if c == "l_linenumber" else c
+
+    li_present = ", ".join(li_col(c) for c in li_cols)
+    li_key_last = ", ".join([li_col(c) for c in li_cols if c != "l_orderkey"] + ["l_orderkey"])
     return {
         "strip_prefix": "SELECT c_custkey, regexp_replace(c_name, '^Customer#0*', '') AS customer_ref FROM customer",
         "text_normalise": "SELECT c_custkey, lower(trim('  ' || c_mktsegment || ' ')) AS segment FROM customer",
@@ -344,6 +348,7 @@ def _operator_sql() -> dict[str, str]:
                          "(PARTITION BY l_orderkey, l_linenumber ORDER BY "
                          + ", ".join(f"{c} ASC NULLS FIRST" for c in li_rest) + ") = 1"),
         "distinct_projection": "SELECT DISTINCT l_orderkey, l_partkey FROM lineitem",
+        "column_to_end": f"SELECT {li_key_last} FROM lineitem",
         "audit_column": (f"SELECT o_custkey, o_orderstatus, o_totalprice, strftime(o_orderdate, {TS}) AS o_orderdate, "
                          f"o_orderpriority, strftime({AT}, {TS}) AS _ingested_at, o_orderkey FROM orders"),
         "orphan_keys": ("SELECT DISTINCT o_orderkey FROM orders WHERE o_orderkey NOT IN (0, 1) AND NOT EXISTS "

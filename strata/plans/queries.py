@@ -189,6 +189,10 @@ def distinct_pairs(spark, sf_dir):
     return present(distinct_projection(_t(spark, sf_dir, "lineitem"), ["l_orderkey", "l_partkey"]))
 
 
+def column_to_end(spark, sf_dir):
+    return present(move_to_end(_t(spark, sf_dir, "lineitem"), "l_orderkey"))
+
+
 def audit_column(spark, sf_dir):
     o = _t(spark, sf_dir, "orders")
     return present(move_to_end(with_audit(o, LANDED_AT), "o_orderkey"))
@@ -378,6 +382,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sentinel_or_strip": sentinel_or_strip,
     "dedup_by_key": dedup_lineitem,
     "distinct_projection": distinct_pairs,
+    "column_to_end": column_to_end,
     "audit_column": audit_column,
     "orphan_keys": orphan_orders,
     "csv_roundtrip_orders": _csv_roundtrip("orders", "orders", raw_orders),

@@ -71,3 +71,14 @@ def test_query_matches_oracle_at_small_scale(spark, name):
     want = sorted(tuple(row[names.index(c)] for c in cols) for row in cur.fetchall())
     assert sorted(names) == cols
     assert got == want
+
+
+def test_gated_run_in_catalog_mode(spark):
+    tables = synth.generate(spark, synth.Spec(n_customers=15, n_orders=30, n_reviews=10, dirty=False))
+    store = LayerStore(spark)                      # session catalog: bronze / silver / gold databases
+    result = run_layers(spark, tables, store, at="2025-01-01 12:00:00")
+    assert result.ok and result.rows[fixed.CONFORMED]["orders"] == 30
+    assert spark.catalog.tableExists("gold.resumo_clientes")
+    assert spark.table("silver.order_items").count() == result.rows[fixed.CONFORMED]["order_items"]
+    again = run_layers(spark, tables, store, at="2025-01-01 12:00:00")   # full refresh, same schema
+    assert again.rows == result.rows

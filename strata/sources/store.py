@@ -3,12 +3,14 @@
 Catalog mode (``base_uri=None``) uses ``layer.table`` identifiers in the
 session catalog. Path mode stores ``{base_uri}/{layer}/{table}`` in any
 Hadoop file system (``s3a://``, ``hdfs://``, ``file:``). Writes are full
-refreshes. Writing each layer and reading it back cuts the lineage, so a
+refreshes; in path mode a non-transactional format is written to a staging
+folder and swapped in only after the job has committed. Writing each layer and reading it back cuts the lineage, so a
 lost executor only recomputes from the last written layer.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -16,11 +18,37 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Existence of ``path`` on its Hadoop file system (any scheme)."""
+def _fs(spark: SparkSession, path: str):
+    """(Hadoop FileSystem, Path) for ``path`` (any scheme)."""
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
-    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Existence of ``path`` on its Hadoop file system (any scheme)."""
+    fs, hpath = _fs(spark, path)
+    return fs.exists(hpath)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    fs, hpath = _fs(spark, path)
+    if fs.exists(hpath):
+        fs.delete(hpath, True)
+
+
+def replace_path(spark: SparkSession, staging: str, target: str) -> None:
+    """Move a completely written ``staging`` folder onto ``target``."""
+    fs, old = _fs(spark, target)
+    _, new = _fs(spark, staging)
+    if fs.exists(old):
+        fs.delete(old, True)
+    if not fs.rename(new, old):
+        raise OSError(f"could not move {staging} to {target}")
+
+
+# formats that replace a table atomically on their own
+TRANSACTIONAL_FORMATS = ("delta", "iceberg", "hudi")
 
 
 class SchemaMismatchError(ValueError):
@@ -97,8 +125,19 @@ class LayerStore:
             writer = writer.option("overwriteSchema", "true")
         if self.base_uri is None:
             writer.saveAsTable(self.location(layer, table))
-        else:
+        elif self.fmt in TRANSACTIONAL_FORMATS:
             writer.save(self.location(layer, table))
+        else:
+            # Write beside the table, then swap: a failed or lost job leaves the
+            # previous table intact, and a table may be rewritten from itself
+            # (its files are read before they are replaced).
+            staging = f"{self.location(layer, table)}.__staging-{uuid.uuid4().hex[:12]}"
+            try:
+                writer.save(staging)
+            except Exception:
+                remove_path(self.spark, staging)
+                raise
+            replace_path(self.spark, staging, self.location(layer, table))
         return {k: int(v) for k, v in obs.get.items()}
 
     def preview(self, layer: str, table: str, n: int = 10) -> DataFrame:

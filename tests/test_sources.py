@@ -93,3 +93,26 @@ def test_streaming_landing_lands_each_file_once(spark, tmp_path):
     _write_text(src / "b.csv", header + "O000002,C00002,2025-01-02,delivered,20.0\n")
     second = land_folder_now(spark, str(src), "orders", target, ckpt)
     assert sorted(r.order_id for r in second.collect()) == ["O000001", "O000002"]
+
+
+def test_catalog_refuses_overwriting_a_table_it_reads(spark):
+    # T14: Spark refuses instead of losing data
+    store = LayerStore(spark)
+    store.write(spark.range(5).select(F.col("id").alias("k")), "t14_layer", "t")
+    with pytest.raises(AnalysisException):
+        store.write(store.read("t14_layer", "t").filter("k > 1"), "t14_layer", "t")
+    assert store.read("t14_layer", "t").count() == 5
+
+
+def test_path_overwrite_is_staged(spark, tmp_uri, tmp_path):
+    store = LayerStore(spark, tmp_uri + "/lake")
+    store.write(spark.range(5).select(F.col("id").alias("k")), "silver", "t")
+    # rewriting a table from itself works: old files are read before the swap
+    assert store.write(store.read("silver", "t").filter("k > 1"), "silver", "t") == 3
+    assert sorted(r.k for r in store.read("silver", "t").collect()) == [2, 3, 4]
+    # a failing job leaves the previous table intact and no staging folder behind
+    bad = spark.range(3).select((F.lit(1) / (F.col("id") - 1)).cast("int").alias("k"))   # ANSI: divide by zero
+    with pytest.raises(Exception):
+        store.write(bad, "silver", "t")
+    assert sorted(r.k for r in store.read("silver", "t").collect()) == [2, 3, 4]
+    assert sorted(p.name for p in (tmp_path / "lake" / "silver").iterdir() if not p.name.startswith(".")) == ["t"]

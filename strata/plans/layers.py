@@ -23,6 +23,7 @@ from strata.operators import quality as Q
 from strata.operators.conform import DEFAULT, ConformOptions, conform_table
 from strata.operators.tables import with_audit
 from strata.sources.files import read_raw_csv
+from strata.session import scratch_path
 from strata.sources.store import LayerStore
 
 Frames = dict[str, DataFrame]
@@ -87,6 +88,28 @@ def layer_counts(spark: SparkSession, layers: Mapping[str, Mapping[str, DataFram
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
+# -- checks over written tables ---------------------------------------------------
+
+def check_materialized(spark: SparkSession, layer: str, frames: Mapping[str, DataFrame | None],
+                       store: LayerStore | None = None) -> Q.QualityReport:
+    """Write derived frames once, then run the layer's suite on what was written.
+
+    Checking a derived frame directly recomputes it in every check branch
+    (each uniqueness and referential rule re-runs its dedup shuffle).
+    Writing it once below the shared folder cuts that lineage: counter
+    rules are observed during the write and the remaining rules read the
+    written, column-pruned tables.
+    """
+    store = store or LayerStore(spark, scratch_path(spark, f"checked-{layer}"))
+    present = {t: df for t, df in frames.items() if df is not None}
+    suite = Q.SUITES[layer]()
+    store.ensure_layer(layer)
+    observed = write_tables(store, layer, present, False,
+                            {t: Q.counter_metrics(suite, t, df.columns) for t, df in present.items()})
+    written = store.read_layer(layer, list(present), {t: df.schema for t, df in present.items()})
+    return Q.check_layer(spark, layer, {t: written.get(t) for t in frames}, measured=observed)
+
+
 # -- gated run -----------------------------------------------------------------
 
 def write_tables(store: LayerStore, layer: str, frames: Mapping[str, DataFrame], strict: bool = False,
@@ -136,13 +159,16 @@ def run_layers(
     strict_raw_schema: bool = True,
     stop_on_error: bool = False,
     normalize_first: bool = False,
+    gate: bool = True,
 ) -> RunResult:
     """raw -> check -> conformed -> check -> marts -> check.
 
     Each layer is written, read back, and checked; a failed ERROR raises
     ``QualityGateError`` and the next layer is not built (with
     ``stop_on_error`` the run returns instead, ``blocked_at`` naming the
-    layer). A failed WARN is only reported.
+    layer). A failed WARN is only reported. With ``gate=False`` every layer
+    is built and checked whatever the reports say (``blocked_at`` still
+    names the first layer with a failed ERROR).
 
     Row counts and every counter check (not empty, not NULL, range,
     non-negative, in set) are observed while a table is written, so only
@@ -164,10 +190,10 @@ def run_layers(
         result.reports[layer] = report
         if report.ok:
             return True
-        if not stop_on_error:
+        if gate and not stop_on_error:
             raise Q.QualityGateError(report)
-        result.blocked_at = layer
-        return False
+        result.blocked_at = result.blocked_at or layer
+        return not gate
 
     raw = write_all(fixed.RAW, land_raw(sources, at), strict_raw_schema)
     if not passes(fixed.RAW, raw):

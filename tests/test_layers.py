@@ -82,3 +82,23 @@ def test_gated_run_in_catalog_mode(spark):
     assert spark.table("silver.order_items").count() == result.rows[fixed.CONFORMED]["order_items"]
     again = run_layers(spark, tables, store, at="2025-01-01 12:00:00")   # full refresh, same schema
     assert again.rows == result.rows
+
+
+def test_check_materialized_equals_lazy_check(spark, tmp_uri):
+    from strata.plans.layers import check_materialized, conform_layer, land_raw
+    tables = synth.generate(spark, synth.Spec(n_customers=20, n_orders=40, n_reviews=15))
+    conformed = conform_layer(land_raw(tables, "2025-01-01 12:00:00"))
+    lazy = Q.check_layer(spark, fixed.CONFORMED, conformed)
+    written = check_materialized(spark, fixed.CONFORMED, conformed, LayerStore(spark, tmp_uri + "/checked"))
+    assert sorted(map(tuple, written.frame.collect())) == sorted(map(tuple, lazy.frame.collect()))
+    assert [r.check for r in written.warnings] == [r.check for r in lazy.warnings]
+
+
+def test_ungated_run_builds_every_layer(spark, tmp_uri):
+    tables = synth.generate(spark, synth.Spec(n_customers=10, n_orders=20, n_reviews=5, dirty=False))
+    bad = dict(tables)
+    bad["reviews"] = tables["reviews"].withColumn("rating", F.lit("9"))
+    store = LayerStore(spark, tmp_uri + "/lake")
+    result = run_layers(spark, bad, store, gate=False)
+    assert result.blocked_at == fixed.CONFORMED and set(result.reports) == set(fixed.LAYERS)
+    assert store.exists(fixed.MART, "resumo_clientes")

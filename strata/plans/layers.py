@@ -90,24 +90,41 @@ def layer_counts(spark: SparkSession, layers: Mapping[str, Mapping[str, DataFram
 
 # -- checks over written tables ---------------------------------------------------
 
-def check_materialized(spark: SparkSession, layer: str, frames: Mapping[str, DataFrame | None],
-                       store: LayerStore | None = None) -> Q.QualityReport:
-    """Write derived frames once, then run the layer's suite on what was written.
-
-    Checking a derived frame directly recomputes it in every check branch
-    (each uniqueness and referential rule re-runs its dedup shuffle).
-    Writing it once below the shared folder cuts that lineage: counter
-    rules are observed during the write and the remaining rules read the
-    written, column-pruned tables.
+def check_passes(suite, table: str) -> int:
+    """How many passes over ``table`` the compiled suite makes."""
+    counters = any(t == table and r.kind in Q.COUNTER_KINDS for t, r in suite)
+    own = sum(1 for t, r in suite if t == table and r.kind in ("unique", "referential"))
+    as_parent = sum(1 for t, r in suite if r.kind == "referential" and r.parent == table)
+    return int(counters) + own + as_parent
+
+
+def materialize(spark: SparkSession, layer: str, frames: Mapping[str, DataFrame | None],
+                store: LayerStore | None = None) -> tuple[dict, dict]:
+    """Write the frames the layer's suite would otherwise recompute.
+
+    A derived frame read by several check passes (counters, each uniqueness
+    and referential rule) would be recomputed in every pass; writing it once
+    below the shared folder cuts that lineage, and its counter rules are
+    observed during the write. A frame read by a single pass is left lazy.
+    Returns (frames to check, observed counter values).
     """
-    store = store or LayerStore(spark, scratch_path(spark, f"checked-{layer}"))
-    present = {t: df for t, df in frames.items() if df is not None}
     suite = Q.SUITES[layer]()
+    heavy = {t: df for t, df in frames.items() if df is not None and check_passes(suite, t) > 1}
+    if not heavy:
+        return dict(frames), {}
+    store = store or LayerStore(spark, scratch_path(spark, f"checked-{layer}"))
     store.ensure_layer(layer)
-    observed = write_tables(store, layer, present, False,
-                            {t: Q.counter_metrics(suite, t, df.columns) for t, df in present.items()})
-    written = store.read_layer(layer, list(present), {t: df.schema for t, df in present.items()})
-    return Q.check_layer(spark, layer, {t: written.get(t) for t in frames}, measured=observed)
+    observed = write_tables(store, layer, heavy, False,
+                            {t: Q.counter_metrics(suite, t, df.columns) for t, df in heavy.items()})
+    written = store.read_layer(layer, list(heavy), {t: df.schema for t, df in heavy.items()})
+    return {t: written.get(t, df) if t in heavy else df for t, df in frames.items()}, observed
+
+
+def check_materialized(spark: SparkSession, layer: str, frames: Mapping[str, DataFrame | None],
+                       store: LayerStore | None = None) -> Q.QualityReport:
+    """The layer's suite over ``frames``, writing first the ones it would recompute."""
+    checked, observed = materialize(spark, layer, frames, store)
+    return Q.check_layer(spark, layer, checked, measured=observed)
 
 
 # -- gated run -----------------------------------------------------------------

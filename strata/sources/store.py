@@ -3,8 +3,9 @@
 Catalog mode (``base_uri=None``) uses ``layer.table`` identifiers in the
 session catalog. Path mode stores ``{base_uri}/{layer}/{table}`` in any
 Hadoop file system (``s3a://``, ``hdfs://``, ``file:``). Writes are full
-refreshes; in path mode a non-transactional format is written to a staging
-folder and swapped in only after the job has committed. Writing each layer and reading it back cuts the lineage, so a
+refreshes; a non-transactional format is written to a staging folder (path
+mode) or staging table (catalog mode) and swapped in only after the job
+has committed. Writing each layer and reading it back cuts the lineage, so a
 lost executor only recomputes from the last written layer.
 """
 
@@ -124,7 +125,10 @@ class LayerStore:
         if self.fmt == "delta" and schema_may_change:
             writer = writer.option("overwriteSchema", "true")
         if self.base_uri is None:
-            writer.saveAsTable(self.location(layer, table))
+            if self.fmt in TRANSACTIONAL_FORMATS:
+                writer.saveAsTable(self.location(layer, table))
+            else:
+                self._save_table_staged(writer, layer, table)
         elif self.fmt in TRANSACTIONAL_FORMATS:
             writer.save(self.location(layer, table))
         else:
@@ -140,6 +144,18 @@ class LayerStore:
             replace_path(self.spark, staging, self.location(layer, table))
         return {k: int(v) for k, v in obs.get.items()}
 
+    def _save_table_staged(self, writer, layer: str, table: str) -> None:
+        """Catalog twin of the path-mode swap: staging table, then rename."""
+        target = f"`{layer}`.`{table}`"
+        staging = f"`{layer}`.`{table}__staging_{uuid.uuid4().hex[:12]}`"
+        try:
+            writer.saveAsTable(staging)
+        except Exception:
+            self.spark.sql(f"DROP TABLE IF EXISTS {staging}")
+            raise
+        self.spark.sql(f"DROP TABLE IF EXISTS {target}")
+        self.spark.sql(f"ALTER TABLE {staging} RENAME TO {target}")
+
     def preview(self, layer: str, table: str, n: int = 10) -> DataFrame:
         """First ``n`` rows of the written table (reads back, no recompute)."""
         return self.read(layer, table).limit(n)

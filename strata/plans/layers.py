@@ -165,6 +165,16 @@ class RunResult:
         """The reports of every checked layer as one DataFrame."""
         return reduce(lambda a, b: a.unionByName(b), [r.frame for r in self.reports.values()])
 
+    def counts(self, spark: SparkSession) -> DataFrame:
+        """Rows per (layer, table) as observed during the writes: no pass over data.
+
+        Same shape as ``layer_counts``; a layer that was never built (gate)
+        gives NULL for its tables.
+        """
+        expected = {fixed.RAW: fixed.TABLES, fixed.CONFORMED: fixed.TABLES, fixed.MART: fixed.MART_TABLES}
+        rows = [(layer, t, self.rows.get(layer, {}).get(t)) for layer, tables in expected.items() for t in tables]
+        return spark.createDataFrame(rows, COUNTS_SCHEMA)
+
 
 def run_layers(
     spark: SparkSession,

@@ -102,3 +102,13 @@ def test_ungated_run_builds_every_layer(spark, tmp_uri):
     result = run_layers(spark, bad, store, gate=False)
     assert result.blocked_at == fixed.CONFORMED and set(result.reports) == set(fixed.LAYERS)
     assert store.exists(fixed.MART, "resumo_clientes")
+
+
+def test_run_counts_equal_layer_counts(spark, tmp_uri):
+    from strata.plans.layers import conform_layer, land_raw, mart_layer
+    tables = synth.generate(spark, synth.Spec(n_customers=12, n_orders=25, n_reviews=8))
+    result = run_layers(spark, tables, LayerStore(spark, tmp_uri + "/lake"), at="2025-01-01 12:00:00")
+    raw = land_raw(tables, "2025-01-01 12:00:00")
+    conformed = conform_layer(raw)
+    recount = layer_counts(spark, {fixed.RAW: raw, fixed.CONFORMED: conformed, fixed.MART: mart_layer(conformed)})
+    assert sorted(map(tuple, result.counts(spark).collect())) == sorted(map(tuple, recount.collect()))

@@ -54,7 +54,8 @@ def test_entry_and_contract(spark):
 
 
 FAST = ["mart_sales_by_category", "mart_customer_summary", "mart_product_rating", "conform_order_items",
-        "dq_conformed_suite", "synth_orders", "money_cast", "orphan_keys"]
+        "dq_conformed_suite", "synth_orders", "money_cast", "orphan_keys", "date_try_cast", "dq_referential",
+        "synth_reviews", "csv_roundtrip_products", "status_revenue", "top_customers"]
 
 
 @pytest.mark.parametrize("name", FAST)

@@ -15,15 +15,17 @@ def all_string_schema(columns: Sequence[str]) -> T.StructType:
 def read_raw_csv(
     spark: SparkSession,
     path: str,
-    columns: Sequence[str],
+    columns: Sequence[str] | None = None,
     encoding: str = "UTF-8",
     keep_empty: bool = False,
 ) -> DataFrame:
     """Read a headered CSV with every column as string.
 
-    The schema is given, so Spark runs no header/inference job; with
-    ``enforceSchema=false`` the file header is still checked against
-    ``columns`` and a renamed column fails the read. Empty fields read as
+    With ``columns`` the schema is given, so Spark runs no header job, and
+    with ``enforceSchema=false`` the file header is still checked against
+    ``columns`` (a renamed column fails the read). Without ``columns`` the
+    names come from the header (one small job reads it); types are never
+    inferred, every column stays a string. Empty fields read as
     NULL; ``keep_empty`` keeps them as ``''`` (an empty quoted value stays
     empty, an unquoted one is still NULL). A missing path raises
     ``AnalysisException`` (PATH_NOT_FOUND) before any job, on any file
@@ -31,12 +33,13 @@ def read_raw_csv(
     read in parallel.
     """
     reader = (
-        spark.read.schema(all_string_schema(columns))
-        .option("header", "true")
+        spark.read.option("header", "true")
         .option("encoding", encoding)
-        .option("enforceSchema", "false")
         .option("mode", "PERMISSIVE")
+        .option("inferSchema", "false")
     )
+    if columns is not None:
+        reader = reader.schema(all_string_schema(columns)).option("enforceSchema", "false")
     if keep_empty:
         # only a field holding a lone NUL character would still read as NULL
         reader = reader.option("nullValue", "\u0000").option("emptyValue", "")

@@ -121,3 +121,11 @@ def test_path_overwrite_is_staged(spark, tmp_uri, tmp_path):
         store.write(bad, "silver", "t")
     assert sorted(r.k for r in store.read("silver", "t").collect()) == [2, 3, 4]
     assert sorted(p.name for p in (tmp_path / "lake" / "silver").iterdir() if not p.name.startswith(".")) == ["t"]
+
+
+def test_csv_header_driven_read_is_all_string(spark, tmp_path):
+    f = tmp_path / "t.csv"
+    _write_text(f, "order_id,total_amount,order_date\nO000001,10.5,2025-01-01\n")
+    df = read_raw_csv(spark, str(f))
+    assert df.dtypes == [("order_id", "string"), ("total_amount", "string"), ("order_date", "string")]
+    assert tuple(df.first()) == ("O000001", "10.5", "2025-01-01")

@@ -2,7 +2,7 @@
 
     python -m strata generate --out URI [--seed N --customers N --orders N --reviews N --clean]
     python -m strata land     --source URI --lake URI [--preview N]
-    python -m strata conform  --lake URI [--preview N]
+    python -m strata conform  --lake URI [--preview N] [--blank-as-missing --all-whitespace --normalize-first]
     python -m strata marts    --lake URI [--preview N]
     python -m strata check    {bronze,silver,gold} --lake URI     # exit 1 on a failed ERROR
     python -m strata run      --source URI --lake URI             # all layers, gated
@@ -18,6 +18,7 @@ import sys
 
 from strata import fixed
 from strata.operators import quality as Q
+from strata.operators.conform import ConformOptions
 from strata.plans import layers as L
 from strata.session import build_session
 from strata.sources import synth
@@ -43,12 +44,21 @@ def _parser() -> argparse.ArgumentParser:
     for name in ("land", "conform", "marts"):
         sub.choices[name].add_argument("--preview", type=int, default=0,
                                        help="show N rows of each written table (read back, not recomputed)")
+    for name in ("conform", "run"):
+        c = sub.choices[name]
+        c.add_argument("--blank-as-missing", action="store_true", help="blank text also gets the defaults")
+        c.add_argument("--all-whitespace", action="store_true", help="trim tabs/newlines too when normalising")
+        c.add_argument("--normalize-first", action="store_true", help="deduplicate on normalised keys")
     c = sub.add_parser("check")
     c.add_argument("layer", choices=fixed.LAYERS)
     c.add_argument("--lake")
     return p
 
 
+def _options(args) -> ConformOptions:
+    return ConformOptions(blank_as_missing=args.blank_as_missing, all_whitespace=args.all_whitespace)
+
+
 def _tables(layer: str):
     return fixed.MART_TABLES if layer == fixed.MART else fixed.TABLES
 
@@ -65,7 +75,9 @@ def main(argv: list[str] | None = None) -> int:
         if args.cmd == "land":
             layer, frames, strict = fixed.RAW, L.land_raw(L.read_raw(spark, args.source)), True
         elif args.cmd == "conform":
-            layer, frames, strict = fixed.CONFORMED, L.conform_layer(store.read_layer(fixed.RAW, fixed.TABLES)), False
+            frames = L.conform_layer(store.read_layer(fixed.RAW, fixed.TABLES), _options(args),
+                                     normalize_first=args.normalize_first)
+            layer, strict = fixed.CONFORMED, False
         else:
             layer, frames, strict = fixed.MART, L.mart_layer(store.read_layer(fixed.CONFORMED, fixed.TABLES)), False
         store.ensure_layer(layer)
@@ -82,7 +94,8 @@ def main(argv: list[str] | None = None) -> int:
         print(report.summary_line())
         return 0 if report.ok else 1
     elif args.cmd == "run":
-        result = L.run_layers(spark, L.read_raw(spark, args.source), store, stop_on_error=True)
+        result = L.run_layers(spark, L.read_raw(spark, args.source), store, options=_options(args),
+                              stop_on_error=True, normalize_first=args.normalize_first)
         for report in result.reports.values():
             print(report.summary_line())
         return 0 if result.ok else 1

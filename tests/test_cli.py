@@ -28,3 +28,15 @@ def test_run_command(spark, tmp_uri):
     csv = tmp_uri + "/csv"
     assert main(["generate", "--out", csv, "--customers", "10", "--orders", "20", "--reviews", "5", "--clean"]) == 0
     assert main(["run", "--source", csv, "--lake", tmp_uri + "/lake"]) == 0
+
+
+def test_conform_options_from_the_command_line(spark, tmp_uri):
+    csv, lake = tmp_uri + "/csv", tmp_uri + "/lake"
+    assert main(["generate", "--out", csv, "--customers", "10", "--orders", "20", "--reviews", "8"]) == 0
+    assert main(["land", "--source", csv, "--lake", lake]) == 0
+    assert main(["conform", "--lake", lake]) == 0
+    plain = LayerStore(spark, lake).read(fixed.CONFORMED, "reviews")
+    assert plain.filter("comment = ''").count() == 0        # empty CSV fields already read as NULL
+    assert main(["conform", "--lake", lake, "--blank-as-missing", "--all-whitespace", "--normalize-first"]) == 0
+    orders = LayerStore(spark, lake).read(fixed.CONFORMED, "orders")
+    assert orders.count() == orders.select("order_id").distinct().count()

@@ -87,6 +87,7 @@ def default_if_blank(c: ColumnOrName, default) -> Column:
 
 
 def fill_default(c: ColumnOrName, default, blank_as_missing: bool = False) -> Column:
+    """``default_if_null``, or ``default_if_blank`` with ``blank_as_missing``."""
     return default_if_blank(c, default) if blank_as_missing else default_if_null(c, default)
 
 
@@ -106,4 +107,5 @@ def utc_to_zone(c: ColumnOrName, zone: str) -> Column:
 
 
 def now_in_zone(zone: str) -> Column:
+    """The query's current instant as ``zone`` wall-clock time."""
     return F.from_utc_timestamp(F.current_timestamp(), zone)

@@ -33,6 +33,7 @@ def _ids(*names: str) -> dict:
 
 
 def conform_payments(df: DataFrame, o: ConformOptions = DEFAULT) -> DataFrame:
+    """IDs stripped, payment type normalised, value as money."""
     return df.withColumns({
         **_ids("payment_id", "order_id"),
         "payment_type": C.trim_lower("payment_type", o.all_whitespace),
@@ -41,6 +42,7 @@ def conform_payments(df: DataFrame, o: ConformOptions = DEFAULT) -> DataFrame:
 
 
 def conform_customers(df: DataFrame, o: ConformOptions = DEFAULT) -> DataFrame:
+    """ID stripped, e-mail and state defaulted, signup date parsed."""
     return df.withColumns({
         **_ids("customer_id"),
         "email": C.fill_default("email", fixed.NOT_INFORMED, o.blank_as_missing),
@@ -50,6 +52,7 @@ def conform_customers(df: DataFrame, o: ConformOptions = DEFAULT) -> DataFrame:
 
 
 def conform_orders(df: DataFrame, o: ConformOptions = DEFAULT) -> DataFrame:
+    """IDs stripped (missing customer -> sentinel), date parsed, status normalised, amount as money."""
     return df.withColumns({
         **_ids("order_id"),
         "customer_id": C.strip_or_sentinel(
@@ -62,6 +65,7 @@ def conform_orders(df: DataFrame, o: ConformOptions = DEFAULT) -> DataFrame:
 
 
 def conform_order_items(df: DataFrame, o: ConformOptions = DEFAULT) -> DataFrame:
+    """IDs stripped, quantity as int, unit price as money."""
     return df.withColumns({
         **_ids("order_id", "item_id", "product_id"),
         "quantity": C.to_int("quantity"),
@@ -70,6 +74,7 @@ def conform_order_items(df: DataFrame, o: ConformOptions = DEFAULT) -> DataFrame
 
 
 def conform_products(df: DataFrame, o: ConformOptions = DEFAULT) -> DataFrame:
+    """ID stripped, name defaulted, price as money, stock as int."""
     return df.withColumns({
         **_ids("product_id"),
         "product_name": C.fill_default("product_name", fixed.UNNAMED_PRODUCT, o.blank_as_missing),
@@ -79,6 +84,7 @@ def conform_products(df: DataFrame, o: ConformOptions = DEFAULT) -> DataFrame:
 
 
 def conform_reviews(df: DataFrame, o: ConformOptions = DEFAULT) -> DataFrame:
+    """IDs stripped, rating as int, comment defaulted, review date parsed."""
     return df.withColumns({
         **_ids("review_id", "order_id", "customer_id"),
         "rating": C.to_int("rating"),

@@ -46,6 +46,7 @@ def land_raw(sources: Mapping[str, DataFrame], at: datetime | str | None = None)
 
 def conform_layer(raw: Mapping[str, DataFrame], options: ConformOptions = DEFAULT,
                   zone: str | None = fixed.LOCAL_ZONE, normalize_first: bool = False) -> Frames:
+    """Conformed layer: ``conform_table`` for every raw table."""
     return {t: conform_table(df, t, options=options, zone=zone, normalize_first=normalize_first)
             for t, df in raw.items()}
 
@@ -53,6 +54,7 @@ def conform_layer(raw: Mapping[str, DataFrame], options: ConformOptions = DEFAUL
 # -- marts -------------------------------------------------------------------
 
 def mart_layer(conformed: Mapping[str, DataFrame]) -> Frames:
+    """Mart layer: the four marts, unsorted (a written table promises no order)."""
     return M.build_marts(dict(conformed), sort=False)
 
 

@@ -43,6 +43,7 @@ TS_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 
 def present(df: DataFrame) -> DataFrame:
+    """Engine-neutral value types for comparison (see the module docstring)."""
     out = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")

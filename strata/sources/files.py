@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 
 def all_string_schema(columns: Sequence[str]) -> T.StructType:
+    """Every column a nullable string."""
     return T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
 
 

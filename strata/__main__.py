@@ -26,7 +26,8 @@ from strata.sources.store import LayerStore
 
 
 def _parser() -> argparse.ArgumentParser:
-    p = argparse.ArgumentParser(prog="strata")
+    p = argparse.ArgumentParser(prog="strata", description=__doc__,
+                                formatter_class=argparse.RawDescriptionHelpFormatter)
     sub = p.add_subparsers(dest="cmd", required=True)
     g = sub.add_parser("generate")
     g.add_argument("--out", required=True)

@@ -5,7 +5,7 @@
     python -m strata conform  --lake URI [--preview N] [--blank-as-missing --all-whitespace --normalize-first]
     python -m strata marts    --lake URI [--preview N]
     python -m strata check    {bronze,silver,gold} --lake URI     # exit 1 on a failed ERROR
-    python -m strata run      --source URI --lake URI             # all layers, gated
+    python -m strata run      --source URI --lake URI [conform options]   # all layers, gated
 
 ``--lake`` is the layer store root (any Hadoop URI); without it the session
 catalog's ``bronze``/``silver``/``gold`` databases are used.

@@ -458,7 +458,8 @@ def _h(name: str, *ids: str) -> str:
 
 def _perm(i: str, n: str, name: str) -> str:
     from strata.sources.synth import PRIMES
-    return f"((({i}) - 1 + {_h(name + ':offset')} % ({n})) * {PRIMES[name]}) % ({n})"
+    return (f"CAST(((CAST(({i}) - 1 + {_h(name + ':offset')} % ({n}) AS HUGEINT)) * {PRIMES[name]}) "
+            f"% ({n}) AS BIGINT)")
 
 
 def _weighted(u: str, pairs) -> str:

@@ -9,7 +9,8 @@ the same row and the items table is an ``inline`` of that array.
 
 Exact-size samples (reviewed orders, duplicated orders, dirt positions)
 use a permutation of ``0..n-1``: ``((i - 1 + offset) * P) mod n`` with ``P``
-a prime larger than ``n``, hence coprime with it. ``perm < k`` selects
+a prime larger than ``n`` (61-bit, exact decimal product), hence coprime
+with it. ``perm < k`` selects
 exactly ``k`` ids, deterministically and in parallel.
 
 The same schemas, domains and kinds of dirt as the original generator are
@@ -28,17 +29,19 @@ from strata import fixed
 from strata.functions.columns import padded_id
 from strata.sources.files import write_csv
 
-# Multipliers of the permutations (primes just below 2**31).
+# Multipliers of the permutations: the eight largest primes below 2**61, so
+# any table size up to 2**61 rows is coprime with them.
 PRIMES = {
-    "review": 2147483647,
-    "dirty_order": 2147483629,
-    "duplicate": 2147483587,
-    "upper": 2147483579,
-    "state": 2147483563,
-    "quantity": 2147483549,
-    "pix": 2147483543,
-    "comment": 2147483497,
+    "review": 2305843009213693951,
+    "dirty_order": 2305843009213693921,
+    "duplicate": 2305843009213693907,
+    "upper": 2305843009213693723,
+    "state": 2305843009213693693,
+    "quantity": 2305843009213693669,
+    "pix": 2305843009213693613,
+    "comment": 2305843009213693561,
 }
+MAX_ROWS = min(PRIMES.values())
 
 
 @dataclass(frozen=True)
@@ -50,8 +53,8 @@ class Spec:
     dirty: bool = True
 
     def __post_init__(self):
-        if max(self.n_customers, self.n_orders) >= min(PRIMES.values()):
-            raise ValueError("row counts must stay below 2**31 - 256")
+        if max(self.n_customers, self.n_orders) >= MAX_ROWS:
+            raise ValueError("row counts must stay below 2**61 - 2**10")
 
 
 # -- hash helpers ------------------------------------------------------------------------
@@ -88,10 +91,15 @@ def weighted(u: Column, pairs) -> Column:
 
 
 def permuted(i: Column, n: int, seed: int, name: str) -> Column:
-    """Position of 1-based id ``i`` in a seeded permutation of 0..n-1."""
+    """Position of 1-based id ``i`` in a seeded permutation of 0..n-1.
+
+    The product of a position (< 2n) and a 61-bit prime needs up to ~2**123,
+    so it is computed exactly in decimal(38,0) before the modulus.
+    """
     n = max(int(n), 1)
     offset = uhash(seed, name + ":offset") % n
-    return ((i - 1 + offset) * F.lit(PRIMES[name]).cast("long")) % n
+    position = (i - 1 + offset).cast("decimal(20,0)")
+    return ((position * F.lit(PRIMES[name]).cast("decimal(19,0)")) % n).cast("long")
 
 
 def _money(cents: Column) -> Column:

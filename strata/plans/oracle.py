@@ -498,7 +498,8 @@ items AS (
         FROM (SELECT i, unnest(generate_series(1, {_draw('h', 0)} % {hi - lo + 1} + {lo})) AS j FROM hashed))),
 base AS (
   SELECT hashed.i, hp, printf('O%06d', hashed.i) AS order_id,
-         printf('C%05d', {_draw('h', 1)} % {n_c} + 1) AS customer_id,
+         printf('C%05d', ({_draw('h', 1)} % 2147483648 * 2147483648 + {_draw('hp', 2)} % 2147483648) % {n_c} + 1)
+           AS customer_id,
          CAST(DATE '{ostart}' + CAST({_draw('h', 2)} % {odays} AS INTEGER) AS VARCHAR) AS order_date,
          {_weighted(_draw('h', 3), fixed.STATUS_WEIGHTS)} AS status,
          t.total_cents

@@ -69,6 +69,11 @@ def draw(hexdigest: Column, part: int) -> Column:
     return F.conv(F.substring(hexdigest, 1 + 8 * part, 8), 16, 10).cast("long")
 
 
+def wide_draw(high: Column, high_part: int, low: Column, low_part: int) -> Column:
+    """A uniform integer in [0, 2**62) from two 32-bit draws (fits a long)."""
+    return draw(high, high_part) % (1 << 31) * (1 << 31) + draw(low, low_part) % (1 << 31)
+
+
 def uhash(seed: int, name: str, *ids: Column) -> Column:
     """Uniform integer in [0, 2**32) from md5(seed:name:ids)."""
     return draw(digest(seed, name, *ids), 0)
@@ -170,7 +175,7 @@ def _orders_base(ids: DataFrame, spec: Spec) -> DataFrame:
         i,
         "_hp",
         padded_id("O", i, 6).alias("order_id"),
-        padded_id("C", draw(h, 1) % spec.n_customers + 1, 5).alias("customer_id"),
+        padded_id("C", wide_draw(h, 1, F.col("_hp"), 2) % spec.n_customers + 1, 5).alias("customer_id"),
         _day(start, draw(h, 2) % days).alias("order_date"),
         weighted(draw(h, 3), fixed.STATUS_WEIGHTS).alias("status"),
         items.alias("items"),

@@ -22,14 +22,18 @@ def _col(c: ColumnOrName) -> Column:
 def padded_id(prefix: str, c: ColumnOrName, width: int) -> Column:
     """``prefix`` + zero-padded integer, exactly like ``format_string(prefix%0{width}d)``.
 
-    ``lpad`` runs in generated code; the slower formatter is only used for
-    values ``lpad`` would mangle (negative, or wider than ``width``).
+    Non-negative values stay in generated code (``lpad``, or the plain text
+    when already wider than ``width``); the slower formatter only handles
+    negatives.
     """
     c = _col(c)
     text = c.cast("string")
-    fits = (c >= 0) & (c < F.lit(10 ** width))
-    return F.concat(F.lit(prefix), F.when(fits, F.lpad(text, width, "0"))
-                    .otherwise(F.format_string(f"%0{width}d", c)))
+    padded = (
+        F.when(c >= F.lit(10 ** width), text)            # already wider: no padding
+        .when(c >= 0, F.lpad(text, width, "0"))
+        .otherwise(F.format_string(f"%0{width}d", c))    # negatives only
+    )
+    return F.concat(F.lit(prefix), padded)
 
 
 def strip_prefix(c: ColumnOrName, prefix: str) -> Column:

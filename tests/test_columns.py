@@ -85,3 +85,10 @@ def test_now_in_zone_is_behind_utc_by_the_offset(spark):
         ((F.unix_timestamp(F.current_timestamp()) - F.unix_timestamp(C.now_in_zone("America/Sao_Paulo")))
          / 3600).alias("h")).first()
     assert row.h in (2.0, 3.0)
+
+
+def test_padded_id_matches_printf_for_all_widths(spark):
+    values = [0, 7, 99999, 100000, 1234567890123, -5, -123456]
+    df = spark.createDataFrame([(v,) for v in values], "v long")
+    got = [r[0] for r in df.select(C.padded_id("C", "v", 5)).collect()]
+    assert got == ["C%05d" % v for v in values]

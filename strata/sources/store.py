@@ -12,9 +12,10 @@ lost executor only recomputes from the last written layer.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -107,8 +108,8 @@ class LayerStore:
         """
         return self.write_observed(df, layer, table, (), schema_may_change)["rows"]
 
-    def write_observed(self, df: DataFrame, layer: str, table: str, metrics=(),
-                       schema_may_change: bool = True) -> dict:
+    def write_observed(self, df: DataFrame, layer: str, table: str, metrics: Sequence[Column] = (),
+                       schema_may_change: bool = True) -> dict[str, int]:
         """``write`` that also observes the aggregate ``metrics`` in the same pass.
 
         Returns ``{"rows": n, <metric alias>: value, ...}``.

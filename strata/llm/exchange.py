@@ -15,9 +15,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-BLOCK = 1 << 16
-_PACKED = pa.schema([("part", pa.int32()), ("settled", pa.bool_()), ("keys", pa.binary()), ("docs", pa.binary())])
+_BLOCK = pa.schema([("part", pa.int32()), ("settled", pa.bool_()), ("keys", pa.binary()), ("docs", pa.binary())])
+BLOCK_COLUMNS = "part int, settled boolean, keys binary, docs binary"
 _FOUND = pa.schema([("doc_id", pa.int64()), ("keys", pa.binary())])
+SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
 
 def pack(values: np.ndarray) -> bytes:
@@ -47,37 +48,34 @@ def _wanted(docs: np.ndarray, group: np.ndarray, low: np.ndarray, high: np.ndarr
     return docs > low[group] if later else (low != high)[group]
 
 
-def _combine(keys: np.ndarray, docs: np.ndarray, parts: int, later: bool) -> Iterator[pa.RecordBatch]:
-    if not len(keys):
-        return
-    keys, docs, distinct, group, low, high = _groups(keys, docs)
-    part = ((distinct >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
-    rows: list[tuple[int, bool, bytes, bytes]] = []
-    cuts = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
-    for a, b in zip(cuts, np.r_[cuts[1:], len(distinct)]):
-        rows.append((int(part[a]), False, distinct[a:b].tobytes(), pack(low[a:b])))
-    take = _wanted(docs, group, low, high, later)
-    keys, docs = keys[take], docs[take]
-    for a in range(0, len(keys), BLOCK):
-        some = docs[a : a + BLOCK]
-        spread = int((int(some[0]) * 0x9E3779B97F4A7C15 + a) % (1 << 64) >> 32) * parts >> 32
-        rows.append((spread, True, keys[a : a + BLOCK].tobytes(), pack(some)))
-    yield pa.RecordBatch.from_pydict(dict(zip(_PACKED.names, zip(*rows))), schema=_PACKED)
-
-
-def _found(keys: np.ndarray, docs: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """One row for each document, with its distinct keys."""
-    if not len(keys):
-        return
+def _parts(spread: np.ndarray, parts: int) -> np.ndarray:
+    """Equal shares of the 64-bit range, in its order."""
+    return ((spread >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
+
+
+def _blocks(part: np.ndarray, settled: bool, keys: np.ndarray, docs: np.ndarray) -> list[tuple[int, bool, bytes, bytes]]:
+    """One row for each run of equal ``part``."""
+    cuts = np.flatnonzero(np.r_[True, part[1:] != part[:-1]]) if len(part) else []
+    return [(int(part[a]), settled, keys[a:b].tobytes(), pack(docs[a:b])) for a, b in zip(cuts, np.r_[cuts[1:], len(part)].astype(int))]
+
+
+def _batch(rows: list[tuple[int, bool, bytes, bytes]]) -> Iterator[pa.RecordBatch]:
+    if rows:
+        yield pa.RecordBatch.from_pydict(dict(zip(_BLOCK.names, zip(*rows))), schema=_BLOCK)
+
+
+def pairs(batch: pa.RecordBatch) -> Iterator[tuple[bool, np.ndarray, np.ndarray]]:
+    """(settled, keys, documents) of each block."""
+    for settled, keys, docs in zip(*(batch.column(c).to_pylist() for c in ("settled", "keys", "docs"))):
+        yield settled, np.frombuffer(keys, np.uint64), unpack(docs)
+
+
+def _distinct(keys: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct pairs, by document and then key."""
     order = np.lexsort((keys, docs))
     keys, docs = keys[order], docs[order]
-    new = np.r_[True, (keys[1:] != keys[:-1]) | (docs[1:] != docs[:-1])]
-    keys, docs = keys[new], docs[new]
-    starts = np.flatnonzero(np.r_[True, docs[1:] != docs[:-1]])
-    ends = np.r_[starts[1:], len(docs)]
-    for a in range(0, len(starts), 8192):
-        some = [keys[i:j].tobytes() for i, j in zip(starts[a : a + 8192], ends[a : a + 8192])]
-        yield pa.RecordBatch.from_arrays([pa.array(docs[starts[a : a + 8192]]), pa.array(some, pa.binary())], schema=_FOUND)
+    new = np.r_[True, (keys[1:] != keys[:-1]) | (docs[1:] != docs[:-1])] if len(keys) else np.empty(0, bool)
+    return keys[new], docs[new]
 
 
 def shared_keys(
@@ -86,35 +84,58 @@ def shared_keys(
     partitions: int,
     later: bool = False,
 ) -> DataFrame:
-    """(doc_id, keys): for each document, keys that another document holds too.
+    """Blocks of (key, document) pairs: the keys of documents that another document holds too.
 
     ``extract`` turns a batch of ``rows`` into arrays (uint64 keys, int64
     documents). With ``later`` a document gets only the keys that a document
-    of smaller id holds. ``keys`` is a block of 8-byte little-endian values;
-    a document comes in several rows, which may repeat a key. Reducers hold
-    1/``partitions`` of the distinct (batch, key) pairs.
+    of smaller id holds. Blocks are read with ``pairs`` or ``by_document``;
+    a pair may come twice. A block is what one batch sends to one of the
+    ``partitions`` reducers, which hold that share of the distinct
+    (batch, key) pairs.
     """
-    parts = 16 * partitions
 
     def combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for keys, docs in extract(batch):
-                yield from _combine(keys, docs, parts, later)
+                if not len(keys):
+                    continue
+                keys, docs, distinct, group, low, high = _groups(keys, docs)
+                take = _wanted(docs, group, low, high, later)
+                keys, docs = keys[take], docs[take]
+                part = _parts(docs.view(np.uint64) * SPREAD, partitions)
+                order = np.argsort(part, kind="stable")
+                yield from _batch([*_blocks(_parts(distinct, partitions), False, distinct, low), *_blocks(part[order], True, keys[order], docs[order])])
 
     def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        all_keys, all_docs = [], []
+        found: dict[bool, list] = {False: [], True: []}
         for batch in batches:
-            for settled, keys, docs in zip(*(batch.column(c).to_pylist() for c in ("settled", "keys", "docs"))):
-                keys, docs = np.frombuffer(keys, np.uint64), unpack(docs)
-                if settled:
-                    yield from _found(keys, docs)
-                else:
-                    all_keys.append(keys)
-                    all_docs.append(docs)
-        if all_keys:
-            keys, docs, _, group, low, high = _groups(np.concatenate(all_keys), np.concatenate(all_docs))
+            for settled, keys, docs in pairs(batch):
+                found[settled].append((keys, docs))
+        if found[False]:
+            keys, docs, _, group, low, high = _groups(*map(np.concatenate, zip(*found[False])))
             take = _wanted(docs, group, low, high, later)
-            yield from _found(keys[take], docs[take])
-
-    packed = rows.mapInArrow(combine, "part int, settled boolean, keys binary, docs binary")
-    return packed.repartition(partitions, "part").mapInArrow(reduce, "doc_id long, keys binary")
+            found[True].append((keys[take], docs[take]))
+        if found[True]:
+            keys, docs = _distinct(*map(np.concatenate, zip(*found[True])))
+            part = _parts(docs.view(np.uint64) * SPREAD, partitions)
+            order = np.argsort(part, kind="stable")
+            yield from _batch(_blocks(part[order], True, keys[order], docs[order]))
+
+    return rows.mapInArrow(combine, BLOCK_COLUMNS).repartitionById(partitions, "part").mapInArrow(reduce, BLOCK_COLUMNS)
+
+
+def by_document(blocks: DataFrame, partitions: int) -> DataFrame:
+    """(doc_id, keys), one row for each document of ``shared_keys``: its distinct keys, 8 bytes each."""
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = [(keys, docs) for batch in batches for _, keys, docs in pairs(batch)]
+        if not found:
+            return
+        keys, docs = _distinct(*map(np.concatenate, zip(*found)))
+        starts = np.flatnonzero(np.r_[True, docs[1:] != docs[:-1]])
+        ends = np.r_[starts[1:], len(docs)]
+        for a in range(0, len(starts), 4096):
+            some = [keys[i:j].tobytes() for i, j in zip(starts[a : a + 4096], ends[a : a + 4096])]
+            yield pa.RecordBatch.from_arrays([pa.array(docs[starts[a : a + 4096]]), pa.array(some, pa.binary())], schema=_FOUND)
+
+    return blocks.repartitionById(partitions, "part").mapInArrow(gather, "doc_id long, keys binary")

@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.exchange import shared_keys
-from strata.llm.words import chunks, split_words, hash_strings, sliding_min, windows, word_hashes
+from strata.llm.components import typed
+from strata.llm.exchange import by_document, shared_keys
+from strata.llm.words import chunks, hash_strings, sliding_min, split_words, windows, word_hashes
 
 WINDOW_WORDS = 13
 ANCHOR_WORDS = 7
@@ -59,7 +60,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW_WORDS, anchor: int = AN
     """
     spark = docs.sparkSession
     partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    docs = typed(docs, doc_id="bigint", text="string")
 
     def anchors(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         keys, ids = [], []
@@ -80,7 +81,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW_WORDS, anchor: int = AN
             bounds = np.searchsorted(owner, np.arange(part.num_rows + 1))
             doc_ids, shared = part.column("doc_id").to_numpy(zero_copy_only=False), part.column("shared")
             for i, (a, b) in enumerate(zip(bounds[:-1], bounds[1:])):
-                found = np.frombuffer(b"".join(shared[i].as_py()), np.uint64)
+                found = np.frombuffer(shared[i].as_py(), np.uint64)
                 hit = np.unique(full[a:b][np.isin(seeds[a:b], found)])
                 keys.append(hit)
                 ids.append(np.full(len(hit), doc_ids[i]))
@@ -99,8 +100,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW_WORDS, anchor: int = AN
                 for i, (a, b) in enumerate(zip(bounds[:-1], bounds[1:])):
                     first, last = offsets[i], offsets[i + 1]
                     n, gone, ranges = int(last - first), None, []
-                    if blocks := repeated[i].as_py():
-                        hit = start[a:b][np.isin(full[a:b], np.frombuffer(b"".join(blocks), np.uint64))] - first
+                    if block := repeated[i].as_py():
+                        hit = start[a:b][np.isin(full[a:b], np.frombuffer(block, np.uint64))] - first
                         edge = np.bincount(hit, minlength=n + 1) - np.bincount(hit + window, minlength=n + 1)[: n + 1]
                         gone = np.cumsum(edge[:n]) > 0
                         flip = np.flatnonzero(np.diff(np.r_[False, gone, False]))
@@ -110,11 +111,28 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW_WORDS, anchor: int = AN
                     rows.append((n, n - len(kept), hashlib.sha256(text.encode()).hexdigest(), text, ranges))
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), *(pa.array(x, f.type) for x, f in zip(zip(*rows), list(_KEPT)[1:]))], schema=_KEPT)
 
-    def per_document(found: DataFrame, name: str) -> DataFrame:
-        return found.groupBy("doc_id").agg(F.collect_list("keys").alias(name))
+    def shared_by(rows: DataFrame, extract: Callable, name: str, later: bool = False) -> DataFrame:
+        return by_document(shared_keys(rows, extract, partitions, later), partitions).withColumnRenamed("keys", name)
 
+    # Both joins read the same rows with an id, so the text is shuffled once.
     known = docs.filter("doc_id IS NOT NULL")
-    seeds = per_document(shared_keys(known, anchors, partitions), "shared")
-    seeded = docs.join(seeds, "doc_id")
-    repeats = per_document(shared_keys(seeded, extended, partitions, later=True), "repeated")
-    return docs.join(repeats, "doc_id", "left").mapInArrow(cut, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string, removed array<array<long>>")
+    seeded = known.join(shared_by(known, anchors, "shared"), "doc_id")
+    repeats = shared_by(seeded, extended, "repeated", later=True)
+    nameless = docs.filter("doc_id IS NULL").withColumn("repeated", F.lit(None).cast("binary"))
+    columns = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string, removed array<array<long>>"
+    return known.join(repeats, "doc_id", "left").union(nameless).mapInArrow(cut, columns)
+
+
+#: DuckDB: every window with the least document that holds it, words outside the repeated ones joined again.
+ORACLE_SQL = rf"""
+WITH texts AS (SELECT row_number() OVER () AS id, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+runs AS (
+  SELECT id, doc_id, i, words[i : i + {WINDOW_WORDS - 1}] AS run
+  FROM (SELECT id, doc_id, words, unnest(range(1, len(words) - {WINDOW_WORDS - 2})) AS i FROM texts WHERE len(words) >= {WINDOW_WORDS})),
+repeated AS (SELECT id, i FROM (SELECT id, doc_id, i, min(doc_id) OVER (PARTITION BY run) AS least FROM runs) WHERE least < doc_id),
+gone AS (SELECT DISTINCT id, unnest(range(i, i + {WINDOW_WORDS})) AS i FROM repeated),
+word AS (SELECT id, unnest(words) AS w, unnest(range(1, len(words) + 1)) AS i FROM texts WHERE len(words) > 0),
+kept AS (SELECT id, string_agg(w, ' ' ORDER BY i) AS text, count(*) AS n FROM word ANTI JOIN gone USING (id, i) GROUP BY id)
+SELECT doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM texts LEFT JOIN kept USING (id)
+"""

@@ -27,8 +27,7 @@ def read_raw_csv(
     ``columns`` (a renamed column fails the read). Without ``columns`` the
     names come from the header (one small job reads it); types are never
     inferred, every column stays a string. Empty fields read as
-    NULL; ``keep_empty`` keeps them as ``''`` (an empty quoted value stays
-    empty, an unquoted one is still NULL). A missing path raises
+    NULL; ``keep_empty`` keeps them as ``''``, quoted or not. A missing path raises
     ``AnalysisException`` (PATH_NOT_FOUND) before any job, on any file
     system. Files split into ~maxPartitionBytes tasks, so a big file is
     read in parallel.
@@ -41,10 +40,9 @@ def read_raw_csv(
     )
     if columns is not None:
         reader = reader.schema(all_string_schema(columns)).option("enforceSchema", "false")
-    if keep_empty:
-        # only a field holding a lone NUL character would still read as NULL
-        reader = reader.option("nullValue", "\u0000").option("emptyValue", "")
-    return reader.csv(path)
+    df = reader.csv(path)
+    # all-string columns: NULL can only come from an empty field
+    return df.fillna("") if keep_empty else df
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -62,29 +60,20 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
      .csv(path))
 
 
-def read_table_file(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    return spark.read.format(fmt).load(path)
-
-
-# Declared schemas of the star-schema input tables. Reading with a declared
-# schema skips the footer-reading job Spark otherwise runs per read, and a
-# table that is never used costs nothing at all.
-STAR_SCHEMAS = {
-    "nation": "n_nationkey int, n_name string, n_regionkey int",
-    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
-    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
-    "orders": ("o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
-               "o_orderdate timestamp_ntz, o_orderpriority string"),
-    "lineitem": ("l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
-                 "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
-                 "l_linestatus string, l_shipdate timestamp_ntz"),
-    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
-}
+_schemas: dict[tuple, T.StructType] = {}
 
 
 def read_driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the star-schema test tables (``{sf_dir}/{name}.parquet``)."""
+    """One of the star-schema test tables (``{sf_dir}/{name}.parquet``).
+
+    The schema comes from the file itself. It is kept for a session by path
+    and modification time, so a table read by many queries has its footer
+    read once, and a changed file is looked at again.
+    """
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    if name in STAR_SCHEMAS:
-        return spark.read.schema(STAR_SCHEMAS[name]).parquet(path)
-    return spark.read.parquet(path)
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    status = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(hpath)
+    key = (spark.sparkContext.applicationId, path, status.getModificationTime(), status.getLen())
+    if key not in _schemas:
+        _schemas[key] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[key]).parquet(path)

@@ -17,15 +17,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from strata import fixed
-from strata.session import scratch_path
 from strata.sources.files import all_string_schema
 
 
 def raw_csv_stream(spark: SparkSession, folder: str, columns: Sequence[str],
                    max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming DataFrame over the CSV files of ``folder`` (all string)."""
+    # enforceSchema=false: a file whose header differs from ``columns`` fails the query
     reader = (spark.readStream.schema(all_string_schema(columns))
-              .option("header", "true").option("encoding", "UTF-8"))
+              .option("header", "true").option("encoding", "UTF-8").option("enforceSchema", "false"))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return reader.csv(folder)
@@ -42,13 +42,15 @@ def land_stream(
 ) -> StreamingQuery:
     """Land new files of ``folder`` into ``target``, stamped on arrival.
 
-    ``checkpoint`` defaults to a fresh folder below ``spark.checkpoint.dir``
-    (it must be on shared storage; pass a stable one to resume a landing).
+    The checkpoint records which files were landed. By default it lives in
+    the target (``_landing``, which readers skip), so every landing into one
+    target resumes the one before; a fresh checkpoint beside an old target
+    would take new batches for landed ones and lose their files.
     """
     stream = raw_csv_stream(spark, folder, fixed.RAW_COLUMNS[table])
     stamped = stream.withColumn(fixed.AUDIT_COLUMN, F.current_timestamp())
     writer = (stamped.writeStream.format(fmt)
-              .option("checkpointLocation", checkpoint or scratch_path(spark, f"landing-{table}"))
+              .option("checkpointLocation", checkpoint or f"{target.rstrip('/')}/_landing")
               .outputMode("append"))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start(target)
@@ -58,7 +60,5 @@ def land_folder_now(spark: SparkSession, folder: str, table: str, target: str,
                     checkpoint: str | None = None, fmt: str = "parquet") -> DataFrame:
     """Run one ``availableNow`` landing to completion and read the target back."""
     query = land_stream(spark, folder, table, target, checkpoint, True, fmt)
-    query.awaitTermination()
-    if query.exception() is not None:
-        raise query.exception()
+    query.awaitTermination()  # raises what stopped the query
     return spark.read.format(fmt).load(target)

@@ -68,32 +68,28 @@ def orders_by_status(t: Tables, sort: bool = True) -> DataFrame:
 def product_rating(t: Tables, sort: bool = True) -> DataFrame:
     """Rating per product, each review counted at most once per product.
 
-    An order holding several items of one product would repeat its review;
-    joining reviews with the distinct (order, product) pairs instead of all
-    items removes that fan-out before it exists, and the distinct pairs are
-    an aggregate, so a hot order collapses map-side. Ratings are then
-    aggregated per product_id *before* the product attributes are joined:
-    the join sees one row per product, and a product holding a large share
-    of all reviews is spread by the (product, review) shuffle of the
-    distinct count instead of sitting in one join task. Averages, min/max
-    and distinct counts ignore repeated rows, so this equals grouping the
-    joined rows by (product_id, product_name, category). Equal to
-    deduplicating (review, product) after the join whenever review ids and
-    product ids are unique, which the conformed-layer ERROR checks enforce.
+    Neither review ids nor product ids need be unique: a (review, product)
+    pair counts once with its least rating, whatever orders it came through,
+    and a product shows its least (name, category), NULLs first.
+
+    Reviews are joined with the distinct (order, product) pairs, so an order
+    holding several items of one product does not repeat its review. Ratings
+    are aggregated per (product, review) and then per product *before* the
+    attributes are joined: both aggregates combine map-side, a product with
+    a large share of all reviews is spread over its reviews, and the join
+    sees one row per product.
     """
     reviews = t["reviews"].select("review_id", "order_id", "rating")
     pairs = t["order_items"].select("order_id", "product_id").distinct()
-    per_product = (
-        reviews.join(pairs, "order_id", "left")
-        .groupBy("product_id")
-        .agg(
-            F.avg("rating").alias("avaliacao_media"),
-            F.count_distinct("review_id").alias("total_avaliacoes"),
-            F.min("rating").alias("pior_nota"),
-            F.max("rating").alias("melhor_nota"),
-        )
+    per_review = reviews.join(pairs, "order_id", "left").groupBy("product_id", "review_id").agg(F.min("rating").alias("rating"))
+    per_product = per_review.groupBy("product_id").agg(
+        F.avg("rating").alias("avaliacao_media"),
+        F.count("review_id").alias("total_avaliacoes"),
+        F.min("rating").alias("pior_nota"),
+        F.max("rating").alias("melhor_nota"),
     )
-    products = t["products"].select("product_id", "product_name", "category").distinct()
+    least = F.min(F.struct("product_name", "category"))
+    products = t["products"].groupBy("product_id").agg(least.alias("least")).select("product_id", "least.*")
     out = per_product.join(products, "product_id", "left").select(
         "product_id", "product_name", "category",
         "avaliacao_media", "total_avaliacoes", "pior_nota", "melhor_nota",

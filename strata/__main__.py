@@ -1,6 +1,5 @@
 """Command line: one Spark job per layer, for a scheduler to chain.
 
-    python -m strata generate --out URI [--seed N --customers N --orders N --reviews N --clean]
     python -m strata land     --source URI --lake URI [--preview N]
     python -m strata conform  --lake URI [--preview N] [--blank-as-missing --all-whitespace --normalize-first]
     python -m strata marts    --lake URI [--preview N]
@@ -8,7 +7,9 @@
     python -m strata run      --source URI --lake URI [conform options]   # all layers, gated
 
 ``--lake`` is the layer store root (any Hadoop URI); without it the session
-catalog's ``bronze``/``silver``/``gold`` databases are used.
+catalog's ``bronze``/``silver``/``gold`` databases are used, which needs a
+catalog that outlives the process (``--persistent-catalog``, or one set in
+Spark's configuration); the steps refuse to run on Spark's in-memory catalog.
 """
 
 from __future__ import annotations
@@ -16,26 +17,20 @@ from __future__ import annotations
 import argparse
 import sys
 
+from pyspark.sql import SparkSession
+
 from strata import fixed
 from strata.operators import quality as Q
 from strata.operators.conform import ConformOptions
 from strata.plans import layers as L
 from strata.session import build_session
-from strata.sources import synth
-from strata.sources.store import LayerStore
+from strata.sources.store import LayerStore, MissingTableError
 
 
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="strata", description=__doc__,
                                 formatter_class=argparse.RawDescriptionHelpFormatter)
     sub = p.add_subparsers(dest="cmd", required=True)
-    g = sub.add_parser("generate")
-    g.add_argument("--out", required=True)
-    g.add_argument("--seed", type=int, default=fixed.DEFAULT_SEED)
-    g.add_argument("--customers", type=int, default=fixed.DEFAULT_CUSTOMERS)
-    g.add_argument("--orders", type=int, default=fixed.DEFAULT_ORDERS)
-    g.add_argument("--reviews", type=int, default=fixed.DEFAULT_REVIEWS)
-    g.add_argument("--clean", action="store_true")
     for name in ("land", "run"):
         s = sub.add_parser(name)
         s.add_argument("--source", required=True)
@@ -53,6 +48,8 @@ def _parser() -> argparse.ArgumentParser:
     c = sub.add_parser("check")
     c.add_argument("layer", choices=fixed.LAYERS)
     c.add_argument("--lake")
+    for s in sub.choices.values():
+        s.add_argument("--persistent-catalog", action="store_true", help="use a metastore that outlives the process")
     return p
 
 
@@ -66,11 +63,19 @@ def _tables(layer: str):
 
 def main(argv: list[str] | None = None) -> int:
     args = _parser().parse_args(argv)
-    spark = build_session(f"strata-{args.cmd}")
-    if args.cmd == "generate":
-        spec = synth.Spec(args.seed, args.customers, args.orders, args.reviews, dirty=not args.clean)
-        synth.write_tables(synth.generate(spark, spec), args.out)
-        return 0
+    spark = build_session(f"strata-{args.cmd}", persistent_catalog=args.persistent_catalog)
+    if args.lake is None and spark.conf.get("spark.sql.catalogImplementation", "in-memory") == "in-memory":
+        print("error: without --lake the steps need a catalog that outlives the process: "
+              "pass --lake URI or --persistent-catalog", file=sys.stderr)
+        return 2
+    try:
+        return _run(args, spark)
+    except MissingTableError as error:
+        print(f"error: {error}", file=sys.stderr)
+        return 2
+
+
+def _run(args: argparse.Namespace, spark: SparkSession) -> int:
     store = LayerStore(spark, args.lake)
     if args.cmd in ("land", "conform", "marts"):
         if args.cmd == "land":
@@ -89,16 +94,15 @@ def main(argv: list[str] | None = None) -> int:
             store.preview(layer, t, args.preview).show(truncate=False)
     elif args.cmd == "check":
         report = Q.check_layer(spark, args.layer, store.read_layer(args.layer, _tables(args.layer)))
-        for r in report.results:
-            if not r.passed:
-                print(f"DQ FAIL [{r.severity}] {r.table} :: {r.check} - {r.detail}")
-        print(report.summary_line())
+        for r in report.failed():
+            print(f"DQ FAIL [{r.severity}] {r.table} :: {r.check} - {r.detail}")
+        print(report.summary())
         return 0 if report.ok else 1
     elif args.cmd == "run":
         result = L.run_layers(spark, L.read_raw(spark, args.source), store, options=_options(args),
                               stop_on_error=True, normalize_first=args.normalize_first)
         for report in result.reports.values():
-            print(report.summary_line())
+            print(report.summary())
         return 0 if result.ok else 1
     return 0
 

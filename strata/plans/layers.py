@@ -13,6 +13,7 @@ from dataclasses import dataclass, field
 from datetime import datetime
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,7 +25,7 @@ from strata.operators.conform import DEFAULT, ConformOptions, conform_table
 from strata.operators.tables import with_audit
 from strata.sources.files import read_raw_csv
 from strata.session import scratch_path
-from strata.sources.store import LayerStore
+from strata.sources.store import LayerStore, MissingTableError
 
 Frames = dict[str, DataFrame]
 
@@ -44,18 +45,26 @@ def land_raw(sources: Mapping[str, DataFrame], at: datetime | str | None = None)
 
 # -- conformed ---------------------------------------------------------------
 
+def require(layer: str, frames: Mapping[str, DataFrame | None]) -> Frames:
+    """``frames`` if all are there; else an error that names the missing tables."""
+    missing = [f"{layer}.{t}" for t, df in frames.items() if df is None]
+    if missing:
+        raise MissingTableError(f"missing: {', '.join(missing)} (build layer {layer} first)")
+    return dict(frames)
+
+
 def conform_layer(raw: Mapping[str, DataFrame], options: ConformOptions = DEFAULT,
                   zone: str | None = fixed.LOCAL_ZONE, normalize_first: bool = False) -> Frames:
     """Conformed layer: ``conform_table`` for every raw table."""
     return {t: conform_table(df, t, options=options, zone=zone, normalize_first=normalize_first)
-            for t, df in raw.items()}
+            for t, df in require(fixed.RAW, raw).items()}
 
 
 # -- marts -------------------------------------------------------------------
 
 def mart_layer(conformed: Mapping[str, DataFrame]) -> Frames:
     """Mart layer: the four marts, unsorted (a written table promises no order)."""
-    return M.build_marts(dict(conformed), sort=False)
+    return M.build_marts(require(fixed.CONFORMED, conformed), sort=False)
 
 
 # -- lineage counts ------------------------------------------------------------
@@ -135,10 +144,12 @@ def write_tables(store: LayerStore, layer: str, frames: Mapping[str, DataFrame],
                  metrics: Mapping[str, list] | None = None, parallel: int | None = None) -> dict[str, dict]:
     """Write a layer's tables as concurrent Spark jobs; observed values per table.
 
-    The tables of one layer are independent, so their jobs share the
-    cluster instead of queueing one after another (a small table no longer
-    leaves most executors idle). Each table's ``metrics`` are observed
-    during its write; the result always holds ``rows``.
+    The tables of one layer are independent. Their jobs are submitted from
+    threads that inherit the caller's job group and local properties; with
+    ``spark.scheduler.mode=FAIR`` they share the cluster, with the default
+    FIFO a later job gets the executors an earlier one leaves idle. Each
+    table's ``metrics`` are observed during its write; the result always
+    holds ``rows``.
     """
     metrics = metrics or {}
     items = list(frames.items())
@@ -149,7 +160,8 @@ def write_tables(store: LayerStore, layer: str, frames: Mapping[str, DataFrame],
         return store.write_observed(df, layer, table, metrics.get(table, ()), schema_may_change=not strict)
 
     with ThreadPoolExecutor(max_workers=workers) as pool:
-        return dict(zip([t for t, _ in items], pool.map(one, items)))
+        done = [pool.submit(inheritable_thread_target(store.spark)(one), item) for item in items]
+        return {t: d.result() for (t, _), d in zip(items, done)}
 
 
 @dataclass

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -25,9 +26,14 @@ def build_session(
     master: str | None = None,
     shuffle_partitions: int | None = None,
     conf: dict | None = None,
+    persistent_catalog: bool = False,
 ) -> SparkSession:
     """Build (or reuse) a session with the library's base settings.
 
+    ``persistent_catalog`` keeps databases and tables beyond the process (a
+    Hive metastore, configured by the deployment); jobs that run as separate
+    processes and name tables by ``layer.table`` need it.
+
     On a cluster leave ``master`` unset so spark-submit decides; size
     ``shuffle_partitions`` to the data (about 128-256 MB per partition),
     AQE coalesces what turns out smaller.
@@ -35,6 +41,8 @@ def build_session(
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
+    if persistent_catalog:
+        builder = builder.enableHiveSupport()
     settings = dict(BASE_CONF)
     if shuffle_partitions:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
@@ -72,7 +80,26 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
+_scratch: dict[str, SparkSession] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path below the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique path below the shared folder, removed by ``clear_scratch`` or when the process ends."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    _scratch[path] = spark
+    return path
+
+
+def clear_scratch() -> None:
+    """Remove the scratch folders of this process; frames that read them must have been consumed."""
+    while _scratch:
+        path, spark = _scratch.popitem()
+        try:
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+        except Exception:  # the JVM has gone before the process: the folder's retention policy applies
+            pass
+
+
+atexit.register(clear_scratch)
 

@@ -3,10 +3,21 @@
 Catalog mode (``base_uri=None``) uses ``layer.table`` identifiers in the
 session catalog. Path mode stores ``{base_uri}/{layer}/{table}`` in any
 Hadoop file system (``s3a://``, ``hdfs://``, ``file:``). Writes are full
-refreshes; a non-transactional format is written to a staging folder (path
-mode) or staging table (catalog mode) and swapped in only after the job
-has committed. Writing each layer and reading it back cuts the lineage, so a
-lost executor only recomputes from the last written layer.
+refreshes.
+
+Formats without transactions are written as versions, and a pointer is
+switched only after the job has committed:
+
+* path mode: a new ``data-...`` folder below the table, then one empty file
+  in ``_commits`` whose name holds the version. Readers take the last name.
+  Nothing is renamed or copied, which object stores could not do at once;
+* catalog mode: a new ``table__v...`` table, then ``CREATE OR REPLACE VIEW``.
+
+Until the switch, readers see the old version whole; a crash before it
+leaves the old version, one after it the new. The version before stays for
+queries that still read it; older ones are removed by the next write.
+Writing each layer and reading it back cuts the lineage, so a lost executor
+only recomputes from the last written layer.
 """
 
 from __future__ import annotations
@@ -19,6 +30,8 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+COMMITS = "_commits"
+
 
 def _fs(spark: SparkSession, path: str):
     """(Hadoop FileSystem, Path) for ``path`` (any scheme)."""
@@ -39,14 +52,10 @@ def remove_path(spark: SparkSession, path: str) -> None:
         fs.delete(hpath, True)
 
 
-def replace_path(spark: SparkSession, staging: str, target: str) -> None:
-    """Move a completely written ``staging`` folder onto ``target``."""
-    fs, old = _fs(spark, target)
-    _, new = _fs(spark, staging)
-    if fs.exists(old):
-        fs.delete(old, True)
-    if not fs.rename(new, old):
-        raise OSError(f"could not move {staging} to {target}")
+def _names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, sorted; none if it is not there."""
+    fs, hpath = _fs(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(hpath)) if fs.exists(hpath) else []
 
 
 # formats that replace a table atomically on their own
@@ -57,6 +66,10 @@ class SchemaMismatchError(ValueError):
     """A strict overwrite would change an existing table's schema."""
 
 
+class MissingTableError(LookupError):
+    """A job needs a table that its layer does not have."""
+
+
 def _shape(schema: T.StructType) -> list[tuple[str, str]]:
     return [(f.name, f.dataType.simpleString()) for f in schema.fields]
 
@@ -69,6 +82,7 @@ class LayerStore:
 
     # -- naming ---------------------------------------------------------------
     def location(self, layer: str, table: str) -> str:
+        """The table's identifier or root folder."""
         if self.base_uri is None:
             return f"{layer}.{table}"
         return f"{self.base_uri.rstrip('/')}/{layer}/{table}"
@@ -78,20 +92,37 @@ class LayerStore:
         if self.base_uri is None:
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{layer}`")
 
+    def _data(self, layer: str, table: str) -> str | None:
+        """Path mode: the folder of the current version, or None.
+
+        A folder without commits that some other writer filled is read as it is.
+        """
+        root = self.location(layer, table)
+        if self.fmt in TRANSACTIONAL_FORMATS:
+            return root if path_exists(self.spark, root) else None
+        commits = _names(self.spark, f"{root}/{COMMITS}")
+        if commits:
+            return f"{root}/{commits[-1].split('.', 1)[1]}"
+        foreign = [n for n in _names(self.spark, root) if not n.startswith(("_", ".", "data-"))]
+        return root if foreign else None
+
     # -- sources --------------------------------------------------------------
     def exists(self, layer: str, table: str) -> bool:
         if self.base_uri is None:
             return self.spark.catalog.tableExists(self.location(layer, table))
-        return path_exists(self.spark, self.location(layer, table))
+        return self._data(layer, table) is not None
 
     def read(self, layer: str, table: str, schema: T.StructType | None = None) -> DataFrame:
         """The table; a known ``schema`` (path mode) spares the footer-reading job."""
         if self.base_uri is None:
             return self.spark.table(self.location(layer, table))
+        path = self._data(layer, table)
+        if path is None:
+            raise MissingTableError(f"{self.location(layer, table)} does not exist")
         reader = self.spark.read.format(self.fmt)
         if schema is not None:
             reader = reader.schema(schema)
-        return reader.load(self.location(layer, table))
+        return reader.load(path)
 
     def read_layer(self, layer: str, tables, schemas: dict | None = None) -> dict[str, DataFrame | None]:
         """All tables of a layer; an absent table maps to None (no counting)."""
@@ -125,38 +156,50 @@ class LayerStore:
         writer = observed.write.format(self.fmt).mode("overwrite")
         if self.fmt == "delta" and schema_may_change:
             writer = writer.option("overwriteSchema", "true")
-        if self.base_uri is None:
-            if self.fmt in TRANSACTIONAL_FORMATS:
+        if self.fmt in TRANSACTIONAL_FORMATS:
+            if self.base_uri is None:
                 writer.saveAsTable(self.location(layer, table))
             else:
-                self._save_table_staged(writer, layer, table)
-        elif self.fmt in TRANSACTIONAL_FORMATS:
-            writer.save(self.location(layer, table))
+                writer.save(self.location(layer, table))
+        elif self.base_uri is None:
+            self._commit_table(writer, layer, table)
         else:
-            # Write beside the table, then swap: a failed or lost job leaves the
-            # previous table intact, and a table may be rewritten from itself
-            # (its files are read before they are replaced).
-            staging = f"{self.location(layer, table)}.__staging-{uuid.uuid4().hex[:12]}"
-            try:
-                writer.save(staging)
-            except Exception:
-                remove_path(self.spark, staging)
-                raise
-            replace_path(self.spark, staging, self.location(layer, table))
+            self._commit_folder(writer, layer, table)
         return {k: int(v) for k, v in obs.get.items()}
 
-    def _save_table_staged(self, writer, layer: str, table: str) -> None:
-        """Catalog twin of the path-mode swap: staging table, then rename."""
-        target = f"`{layer}`.`{table}`"
-        staging = f"`{layer}`.`{table}__staging_{uuid.uuid4().hex[:12]}`"
+    def _commit_folder(self, writer, layer: str, table: str) -> None:
+        """Write a new version folder, then name it in ``_commits``."""
+        root = self.location(layer, table)
+        data = f"data-{uuid.uuid4().hex[:12]}"
         try:
-            writer.saveAsTable(staging)
+            writer.save(f"{root}/{data}")
         except Exception:
-            self.spark.sql(f"DROP TABLE IF EXISTS {staging}")
+            remove_path(self.spark, f"{root}/{data}")
             raise
-        self.spark.sql(f"DROP TABLE IF EXISTS {target}")
-        self.spark.sql(f"ALTER TABLE {staging} RENAME TO {target}")
-
-    def preview(self, layer: str, table: str, n: int = 10) -> DataFrame:
-        """First ``n`` rows of the written table (reads back, no recompute)."""
-        return self.read(layer, table).limit(n)
+        commits = _names(self.spark, f"{root}/{COMMITS}")
+        number = int(commits[-1].split(".", 1)[0]) + 1 if commits else 0
+        fs, path = _fs(self.spark, f"{root}/{COMMITS}/{number:012d}.{data}")
+        fs.create(path, False).close()
+        for old in commits[:-1]:
+            remove_path(self.spark, f"{root}/{old.split('.', 1)[1]}")
+            remove_path(self.spark, f"{root}/{COMMITS}/{old}")
+
+    def _commit_table(self, writer, layer: str, table: str) -> None:
+        """Write a new version table, then point the view ``layer.table`` at it."""
+        stem = f"{table}__v"
+        versions = sorted(t.name for t in self.spark.catalog.listTables(layer) if t.name.startswith(stem))
+        number = int(versions[-1][len(stem):].split("_", 1)[0]) + 1 if versions else 0
+        version = f"{stem}{number:012d}_{uuid.uuid4().hex[:12]}"
+        try:
+            writer.saveAsTable(f"`{layer}`.`{version}`")
+        except Exception:
+            self.spark.sql(f"DROP TABLE IF EXISTS `{layer}`.`{version}`")
+            raise
+        self.spark.sql(f"CREATE OR REPLACE VIEW `{layer}`.`{table}` AS SELECT * FROM `{layer}`.`{version}`")
+        for old in versions[:-1]:
+            self.spark.sql(f"DROP TABLE IF EXISTS `{layer}`.`{old}`")
+
+    def preview(self, layer: str, table: str, n: int = 10, keys: Sequence[str] = ()) -> DataFrame:
+        """``n`` rows of the written table (reads back, no recompute), the first by ``keys`` if given."""
+        df = self.read(layer, table)
+        return (df.orderBy(*keys) if keys else df).limit(n)

@@ -10,8 +10,7 @@ Where to start:
 * ``strata.operators`` - ``conform_table``, ``dedup_by_key``, the four marts,
   ``check_tables`` / ``check_layer`` and the quality rules;
 * ``strata.functions.columns`` - tolerant casts and text normalisation;
-* ``strata.sources`` - raw CSV reading/writing, ``LayerStore``, the
-  data generator (``synth``);
+* ``strata.sources`` - raw CSV reading/writing, ``LayerStore``;
 * ``strata.streaming.landing`` - incremental raw landing;
 * ``python -m strata`` - the same jobs from the command line.
 """

@@ -93,61 +93,3 @@ DETAIL_OUT_OF_RANGE = "{n} valores fora da faixa"
 DETAIL_NEGATIVE = "{n} negativos"
 DETAIL_OUT_OF_SET = "{n} valores fora do conjunto"
 DETAIL_ORPHANS = "{n} orfaos (sentinelas {sentinels} ignoradas)"  # sentinels as a sorted Python list
-
-# --- fixed values: generator catalogue and domains ----------------------------
-# product catalogue: (product_id, product_name, category, price, stock);
-# P0004 (negative price) and P0008 (no name) are deliberate dirt
-PRODUCTS = (
-    ("P0001", "Smartphone", "Eletrônicos", "899.9", 68),
-    ("P0002", "Fone Bluetooth", "Eletrônicos", "149.9", 100),
-    ("P0003", "Notebook", "Eletrônicos", "3499.9", 60),
-    ("P0004", "Teclado Mecânico", "Informática", "-20.0", 27),
-    ("P0005", "Mouse Gamer", "Informática", "179.9", 21),
-    ("P0006", "Monitor 24", "Informática", "899.9", 53),
-    ("P0007", "Cafeteira", "Casa", "399.9", 73),
-    ("P0008", "", "Casa", "499.9", 95),
-    ("P0009", "Aspirador", "Casa", "699.9", 34),
-    ("P0010", "Tênis Esportivo", "Esportes", "349.9", 69),
-    ("P0011", "Mochila", "Esportes", "199.9", 76),
-    ("P0012", "Relógio Fitness", "Esportes", "299.9", 90),
-    ("P0013", "Livro de Python", "Livros", "89.9", 50),
-    ("P0014", "Livro de SQL", "Livros", "99.9", 14),
-    ("P0015", "Livro de Data Engineering", "Livros", "149.9", 55),
-)
-# clean mode replaces the two dirty catalogue values
-CLEAN_PRODUCT_PRICE = {"P0004": "79.9"}
-CLEAN_PRODUCT_NAME = {"P0008": "Liquidificador"}
-
-STATE_CITIES = (
-    ("RJ", "Rio de Janeiro"), ("RJ", "Petrópolis"), ("SP", "São Paulo"),
-    ("SP", "Campinas"), ("PR", "Curitiba"), ("MG", "Belo Horizonte"),
-    ("RS", "Porto Alegre"), ("BA", "Salvador"), ("PE", "Recife"),
-    ("CE", "Fortaleza"), ("SC", "Florianópolis"), ("GO", "Goiânia"),
-)
-STATUS_WEIGHTS = (("delivered", 70), ("shipped", 13), ("processing", 11), ("cancelled", 6))
-PAYMENT_WEIGHTS = (("credit_card", 26), ("debit_card", 26), ("boleto", 25), ("pix", 23))
-COMMENTS = (
-    "Produto excelente", "Entrega rápida", "Poderia ser melhor",
-    "Atendeu expectativas", "Chegou danificado", "Ótima qualidade",
-    "Não recomendo", "Custo-benefício bom", "Exatamente como descrito",
-    "Superou expectativas",
-)
-# generator defaults and dirt counts
-DEFAULT_SEED = 42
-DEFAULT_CUSTOMERS = 508
-DEFAULT_ORDERS = 1800
-DEFAULT_REVIEWS = 1300
-DIRTY_ORDER_DUPLICATES = 10
-DIRTY_EMPTY_STATES = 3
-DIRTY_EMPTY_COMMENTS = 5
-DIRTY_ORDER_VALUE = "-100.0"
-DIRTY_PAYMENT_VALUE = "-50.0"
-DIRTY_QUANTITY = "-2"
-# date windows: (first day, number of days)
-SIGNUP_WINDOW = ("2024-01-01", 730)
-ORDER_WINDOW = ("2025-01-01", 365)
-REVIEW_DELAY_DAYS = (1, 14)
-ITEMS_PER_ORDER = (1, 4)
-QUANTITY_RANGE = (1, 5)
-UNIT_PRICE_CENTS = (5000, 350000)
-INSTALLMENTS = (1, 12)

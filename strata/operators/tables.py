@@ -61,7 +61,3 @@ def distinct_projection(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``SELECT DISTINCT columns`` (map-side partial aggregation, then shuffle)."""
     return df.select(*columns).distinct()
 
-
-def with_columns(df: DataFrame, exprs: dict[str, Column]) -> DataFrame:
-    """Replace/add several columns in one Project, keeping column order."""
-    return df.withColumns(exprs)

@@ -8,8 +8,9 @@ rounding and types are made to agree with ``strata.plans.queries.present``.
 
 from __future__ import annotations
 
+import re
+
 from strata import fixed
-from strata.operators import quality as Q
 
 AT = "TIMESTAMP '2025-01-01 12:00:00'"
 TS = "'%Y-%m-%d %H:%M:%S.%f'"
@@ -24,49 +25,74 @@ def _lit(v) -> str:
 
 # -- raw rendering -------------------------------------------------------------------
 
+def _variants(table: str, *picked: str) -> str:
+    """Each row as v 0, and again as v 1, 2, ... where that condition holds."""
+    more = "".join(f" OR (v = {i} AND {cond})" for i, cond in enumerate(picked, 1))
+    return f"{table} JOIN (VALUES {', '.join(f'({i})' for i in range(len(picked) + 1))}) variant(v) ON v = 0{more}"
+
+
+def _signed(price: str, bad: str, text: str, negative: str) -> str:
+    money = f"CAST(CAST({price} AS DECIMAL(12,2)) AS VARCHAR)"
+    return f"CASE WHEN {bad} THEN '{text}' WHEN {negative} THEN '-' || {money} ELSE {money} END"
+
+
+_CUSTOMER = "CASE WHEN o_orderkey % 53 <> 7 THEN printf('C%05d', o_custkey) END AS customer_id"
+
 RAW = {
     "customers": f"""
 SELECT printf('C%05d', c_custkey) AS customer_id, c_name AS customer_name,
-       printf('cliente%05d@example.com', c_custkey) AS email,
+       CASE WHEN c_custkey % 31 <> 4 THEN printf('cliente%05d@example.com', c_custkey) END AS email,
        CASE WHEN c_acctbal >= 0 THEN c_mktsegment END AS state, n_name AS city,
-       CAST(DATE '1992-01-01' + CAST(c_custkey % 2557 AS INTEGER) AS VARCHAR) AS signup_date,
+       CASE WHEN c_custkey % 37 = 5 THEN '31.12.1999'
+            ELSE CAST(DATE '1992-01-01' + CAST(c_custkey % 2557 AS INTEGER) AS VARCHAR) END AS signup_date,
        {AT} AS _ingested_at
 FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey""",
     "orders": f"""
-SELECT printf('O%06d', o_orderkey) AS order_id, printf('C%05d', o_custkey) AS customer_id,
-       CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS order_date,
-       CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN upper(st) WHEN '2' THEN ' ' || st || ' ' ELSE st END AS status,
-       CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS VARCHAR) AS total_amount,
+SELECT CASE v WHEN 2 THEN 'O' || o_orderkey ELSE printf('O%06d', o_orderkey) END AS order_id, {_CUSTOMER},
+       CASE WHEN o_orderkey % 89 = 3 THEN '2025-13-45' ELSE CAST(CAST(o_orderdate AS DATE) AS VARCHAR) END AS order_date,
+       CASE WHEN v = 1 THEN 'cancelled' WHEN o_orderkey % 103 = 8 THEN 'returned'
+            WHEN substr(o_orderpriority, 1, 1) = '1' THEN upper(st) WHEN substr(o_orderpriority, 1, 1) = '2' THEN ' ' || st || ' '
+            ELSE st END AS status,
+       {_signed('o_totalprice', 'o_orderkey % 83 = 4', 'n/a', 'o_orderkey % 79 = 6')} AS total_amount,
        {AT} AS _ingested_at
-FROM (SELECT *, CASE o_orderstatus WHEN 'F' THEN 'delivered' WHEN 'O' THEN 'processing'
-                                   WHEN 'P' THEN 'shipped' END AS st FROM orders)""",
+FROM (SELECT *, CASE o_orderstatus WHEN 'F' THEN 'delivered' WHEN 'O' THEN 'processing' WHEN 'P' THEN 'shipped' END AS st
+      FROM {_variants('orders', 'o_orderkey % 97 = 5', 'o_orderkey % 101 = 2')})""",
     "order_items": f"""
 SELECT printf('O%06d', l_orderkey) AS order_id, printf('O%06d-I%d', l_orderkey, l_linenumber) AS item_id,
-       printf('P%04d', l_partkey) AS product_id, CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) AS quantity,
-       CAST(CAST(l_extendedprice AS DECIMAL(12,2)) AS VARCHAR) AS unit_price,
+       CASE WHEN l_partkey % 71 = 9 THEN 'P' || (l_partkey + 1000000) ELSE printf('P%04d', l_partkey) END AS product_id,
+       CASE WHEN l_linenumber = 1 AND l_orderkey % 61 = 7 THEN 'x' WHEN l_linenumber = 1 AND l_orderkey % 67 = 8 THEN '-2'
+            ELSE CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) END AS quantity,
+       CASE WHEN l_linenumber = 2 AND l_orderkey % 73 = 3 THEN 'free'
+            ELSE CAST(CAST(l_extendedprice AS DECIMAL(12,2)) AS VARCHAR) END AS unit_price,
        {AT} AS _ingested_at
 FROM lineitem""",
     "payments": f"""
-SELECT printf('PAY%06d', o_orderkey) AS payment_id, printf('O%06d', o_orderkey) AS order_id,
+SELECT printf('PAY%06d', o_orderkey) AS payment_id,
+       CASE WHEN o_orderkey % 107 = 3 THEN 'O' || (o_orderkey + 90000000) ELSE printf('O%06d', o_orderkey) END AS order_id,
        CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN 'credit_card' WHEN '2' THEN 'debit_card'
             WHEN '3' THEN 'boleto' WHEN '4' THEN 'pix' ELSE ' PIX ' END AS payment_type,
        CAST(o_custkey % 12 + 1 AS VARCHAR) AS payment_installments,
-       CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS VARCHAR) AS payment_value,
+       {_signed('o_totalprice', 'o_orderkey % 83 = 5', 'abc', 'o_orderkey % 79 = 7')} AS payment_value,
        {AT} AS _ingested_at
 FROM orders""",
     "products": f"""
-SELECT printf('P%04d', p_partkey) AS product_id,
-       CASE WHEN p_size <= 48 THEN p_name END AS product_name, p_type AS category,
-       CAST(CAST(p_retailprice AS DECIMAL(12,2)) AS VARCHAR) AS price, CAST(p_size AS VARCHAR) AS stock,
+SELECT CASE v WHEN 1 THEN 'P' || p_partkey ELSE printf('P%04d', p_partkey) END AS product_id,
+       CASE WHEN p_size <= 48 THEN p_name || CASE v WHEN 1 THEN ' v2' ELSE '' END END AS product_name, p_type AS category,
+       CASE WHEN p_partkey % 47 = 8 THEN '?' WHEN p_partkey % 43 = 7 THEN '-1.50'
+            ELSE CAST(CAST(p_retailprice AS DECIMAL(12,2)) AS VARCHAR) END AS price,
+       CAST(p_size AS VARCHAR) AS stock,
        {AT} AS _ingested_at
-FROM part""",
+FROM {_variants('part', 'p_partkey % 41 = 6')}""",
     "reviews": f"""
-SELECT printf('R%06d', o_orderkey) AS review_id, printf('O%06d', o_orderkey) AS order_id,
-       printf('C%05d', o_custkey) AS customer_id, substr(o_orderpriority, 1, 1) AS rating,
+SELECT CASE v WHEN 1 THEN 'R' || (o_orderkey - 1) ELSE printf('R%06d', o_orderkey) END AS review_id,
+       printf('O%06d', o_orderkey) AS order_id, {_CUSTOMER},
+       CASE WHEN v = 1 THEN '5' WHEN o_orderkey % 113 = 9 THEN '9' WHEN o_orderkey % 109 = 10 THEN 'five'
+            ELSE substr(o_orderpriority, 1, 1) END AS rating,
        nullif(substr(o_orderpriority, 3), 'MEDIUM') AS comment,
-       CAST(CAST(o_orderdate AS DATE) + CAST(o_orderkey % 14 + 1 AS INTEGER) AS VARCHAR) AS review_date,
+       CASE WHEN o_orderkey % 89 = 4 THEN 'soon'
+            ELSE CAST(CAST(o_orderdate AS DATE) + CAST(o_orderkey % 14 + 1 AS INTEGER) AS VARCHAR) END AS review_date,
        {AT} AS _ingested_at
-FROM orders""",
+FROM {_variants('orders', 'o_orderkey % 59 = 5')}""",
 }
 
 
@@ -138,10 +164,11 @@ SELECT status, count(DISTINCT order_id) AS total_pedidos, sum(total_amount) AS r
 FROM conf_orders GROUP BY status""",
     "avaliacao_produto": """
 SELECT d.product_id, p.product_name, p.category, avg(d.rating) AS avaliacao_media,
-       count(DISTINCT d.review_id) AS total_avaliacoes, min(d.rating) AS pior_nota, max(d.rating) AS melhor_nota
-FROM (SELECT DISTINCT r.review_id, r.rating, i.product_id
-      FROM conf_reviews r LEFT JOIN conf_order_items i ON r.order_id = i.order_id) d
-LEFT JOIN conf_products p ON d.product_id = p.product_id
+       count(d.review_id) AS total_avaliacoes, min(d.rating) AS pior_nota, max(d.rating) AS melhor_nota
+FROM (SELECT i.product_id, r.review_id, min(r.rating) AS rating
+      FROM conf_reviews r LEFT JOIN conf_order_items i ON r.order_id = i.order_id GROUP BY i.product_id, r.review_id) d
+LEFT JOIN (SELECT product_id, product_name, category FROM conf_products QUALIFY row_number() OVER
+           (PARTITION BY product_id ORDER BY product_name NULLS FIRST, category NULLS FIRST) = 1) p ON d.product_id = p.product_id
 GROUP BY d.product_id, p.product_name, p.category""",
     "resumo_clientes": f"""
 SELECT o.customer_id, c.customer_name, c.state, c.city, count(DISTINCT o.order_id) AS total_pedidos,
@@ -210,76 +237,168 @@ def _count_if(cond: str) -> str:
     return f"count(*) FILTER (WHERE {cond})"
 
 
-def report_sql(suite, relations: dict[str, str], columns: dict[str, tuple], layer: str,
+#: The checks of each layer as they appear in the reports, written out here and
+#: not taken from the engine: table, check, severity, and what the check needs besides.
+CHECKS = {
+    fixed.RAW: """
+payments | not_empty | ERROR
+payments | columns_exist('_ingested_at',) | ERROR
+payments | not_null(_ingested_at) | ERROR
+customers | not_empty | ERROR
+customers | columns_exist('_ingested_at',) | ERROR
+customers | not_null(_ingested_at) | ERROR
+orders | not_empty | ERROR
+orders | columns_exist('_ingested_at',) | ERROR
+orders | not_null(_ingested_at) | ERROR
+order_items | not_empty | ERROR
+order_items | columns_exist('_ingested_at',) | ERROR
+order_items | not_null(_ingested_at) | ERROR
+products | not_empty | ERROR
+products | columns_exist('_ingested_at',) | ERROR
+products | not_null(_ingested_at) | ERROR
+reviews | not_empty | ERROR
+reviews | columns_exist('_ingested_at',) | ERROR
+reviews | not_null(_ingested_at) | ERROR
+""",
+    fixed.CONFORMED: """
+payments | not_empty | ERROR
+payments | not_null(payment_id) | ERROR
+payments | unique(payment_id) | ERROR
+customers | not_empty | ERROR
+customers | not_null(customer_id) | ERROR
+customers | unique(customer_id) | ERROR
+orders | not_empty | ERROR
+orders | not_null(order_id) | ERROR
+orders | unique(order_id) | ERROR
+order_items | not_empty | ERROR
+order_items | not_null(order_id) | ERROR
+order_items | not_null(item_id) | ERROR
+order_items | unique(order_id+item_id) | ERROR
+products | not_empty | ERROR
+products | not_null(product_id) | ERROR
+products | unique(product_id) | ERROR
+reviews | not_empty | ERROR
+reviews | not_null(review_id) | ERROR
+reviews | unique(review_id) | ERROR
+customers | not_null(signup_date) | ERROR
+orders | not_null(order_date) | ERROR
+orders | not_null(total_amount) | ERROR
+orders | in_set(status) | ERROR | 'delivered', 'shipped', 'cancelled', 'processing'
+orders | non_negative(total_amount) | WARN
+orders | referential(customer_id -> customer_id) | WARN | customers | 'desconhecido'
+payments | not_null(payment_value) | ERROR
+payments | non_negative(payment_value) | WARN
+payments | referential(order_id -> order_id) | ERROR | orders |
+order_items | not_null(quantity) | ERROR
+order_items | not_null(unit_price) | ERROR
+order_items | not_null(product_id) | ERROR
+order_items | non_negative(quantity) | WARN
+order_items | referential(order_id -> order_id) | ERROR | orders |
+order_items | referential(product_id -> product_id) | ERROR | products |
+reviews | not_null(rating) | ERROR
+reviews | not_null(review_date) | ERROR
+reviews | range(rating, 1..5) | ERROR
+reviews | referential(order_id -> order_id) | ERROR | orders |
+reviews | referential(customer_id -> customer_id) | WARN | customers | 'desconhecido'
+""",
+    fixed.MART: """
+vendas_por_categoria | not_empty | ERROR
+vendas_por_categoria | not_null(category) | ERROR
+vendas_por_categoria | not_null(receita_total) | ERROR
+vendas_por_categoria | not_null(itens_vendidos) | ERROR
+vendas_por_categoria | not_null(total_pedidos) | ERROR
+pedidos_por_status | not_empty | ERROR
+pedidos_por_status | not_null(status) | ERROR
+pedidos_por_status | not_null(total_pedidos) | ERROR
+pedidos_por_status | not_null(receita_total) | ERROR
+pedidos_por_status | not_null(ticket_medio) | ERROR
+avaliacao_produto | not_empty | ERROR
+avaliacao_produto | not_null(product_id) | ERROR
+avaliacao_produto | not_null(avaliacao_media) | ERROR
+avaliacao_produto | not_null(total_avaliacoes) | ERROR
+resumo_clientes | not_empty | ERROR
+resumo_clientes | not_null(customer_id) | ERROR
+resumo_clientes | not_null(total_pedidos) | ERROR
+resumo_clientes | not_null(total_gasto) | ERROR
+resumo_clientes | not_null(ticket_medio) | ERROR
+avaliacao_produto | range(avaliacao_media, 1..5) | ERROR
+vendas_por_categoria | non_negative(receita_total) | WARN
+pedidos_por_status | non_negative(receita_total) | WARN
+resumo_clientes | non_negative(total_gasto) | WARN
+""",
+}
+
+
+def report_sql(checks: str, relations: dict[str, str], columns: dict[str, tuple], layer: str,
                qualify: bool = False) -> str:
-    """UNION ALL of one SELECT per check, numbered like ``check_tables``."""
+    """UNION ALL of one SELECT per check of the list, numbered in its order."""
     selects, seen, seq = [], set(), 0
 
     def label(t):
         return f"{layer}.{t}" if qualify else t
 
-    for table, rule in suite:
+    for line in checks.strip().splitlines():
+        table, name, sev, *more = (x.strip() for x in line.split("|"))
         rel = relations.get(table)
         if table not in seen:
             seen.add(table)
             ok = rel is not None
-            selects.append(_row(layer, seq, label(table), fixed.CHECK_TABLE_EXISTS, fixed.ERROR,
-                                "true" if ok else "false", 0 if ok else 1,
-                                "''" if ok else _lit(fixed.DETAIL_MISSING_TABLE)))
+            selects.append(_row(layer, seq, label(table), "table_exists", "ERROR",
+                                "true" if ok else "false", 0 if ok else 1, "''" if ok else "'tabela ausente'"))
             seq += 1
-        if rel is None or (rule.kind == "referential" and relations.get(rule.parent) is None):
+        kind, _, inner = name.partition("(")
+        inner = inner.removesuffix(")")
+        if rel is None or (kind == "referential" and relations.get(more[0]) is None):
             continue
-        name, sev, lab = rule.name, rule.severity, label(table)
-        missing = [c for c in rule.columns if c not in columns[table]]
-        if rule.kind == "columns_exist" or missing:
-            detail = _lit(fixed.DETAIL_MISSING_COLUMNS.format(cols=repr(missing)))
-            selects.append(_row(layer, seq, lab, name, sev, "true" if not missing else "false",
-                                len(missing), detail))
-        elif rule.kind == "not_empty":
+        lab = label(table)
+        if kind == "columns_exist":
+            missing = [c for c in re.findall(r"'([^']+)'", inner) if c not in columns[table]]
+            selects.append(_row(layer, seq, lab, name, sev, "false" if missing else "true", len(missing),
+                                _lit(f"ausentes={missing!r}")))
+        elif kind == "not_empty":
             selects.append(_row(layer, seq, lab, name, sev, "count(*) > 0",
                                 "CASE WHEN count(*) > 0 THEN 0 ELSE 1 END",
                                 "'count=' || CAST(count(*) AS VARCHAR)", f" FROM {rel}"))
-        elif rule.kind in ("not_null", "range", "non_negative", "in_set"):
-            c = rule.columns[0]
-            cond = {
-                "not_null": f"{c} IS NULL",
-                "range": f"{c} < {_lit(rule.lo)} OR {c} > {_lit(rule.hi)}",
-                "non_negative": f"{c} < 0",
-                "in_set": (f"{c} IS NOT NULL AND {c} NOT IN ({', '.join(_lit(v) for v in rule.allowed)})"
-                           if rule.allowed else f"{c} IS NOT NULL"),
-            }[rule.kind]
-            suffix = {
-                "not_null": " nulos", "range": " valores fora da faixa",
-                "non_negative": " negativos", "in_set": " valores fora do conjunto",
-            }[rule.kind]
+        elif kind in ("not_null", "range", "non_negative", "in_set"):
+            c = inner.split(",")[0]
+            if kind == "not_null":
+                cond, suffix = f"{c} IS NULL", " nulos"
+            elif kind == "range":
+                lo, hi = inner.split(",")[1].split("..")
+                cond, suffix = f"{c} < {lo} OR {c} > {hi}", " valores fora da faixa"
+            elif kind == "non_negative":
+                cond, suffix = f"{c} < 0", " negativos"
+            else:
+                cond = f"{c} IS NOT NULL" + (f" AND {c} NOT IN ({more[0]})" if more and more[0] else "")
+                suffix = " valores fora do conjunto"
             n = _count_if(cond)
             selects.append(_row(layer, seq, lab, name, sev, f"{n} = 0", n,
                                 f"CAST({n} AS VARCHAR) || {_lit(suffix)}", f" FROM {rel}"))
-        elif rule.kind == "unique":
-            keys = ", ".join(rule.columns)
+        elif kind == "unique":
+            keys = inner.replace("+", ", ")
             src = f" FROM (SELECT {keys}, count(*) AS n FROM {rel} GROUP BY {keys}) g"
             rows, nkeys = "coalesce(sum(n), 0)", "count(*)"
             selects.append(_row(layer, seq, lab, name, sev, f"{rows} = {nkeys}", f"{rows} - {nkeys}",
                                 f"CAST({rows} AS BIGINT) || ' linhas vs ' || CAST({nkeys} AS VARCHAR) "
                                 "|| ' chaves distintas'", src))
-        elif rule.kind == "referential":
-            c, pc, prel = rule.columns[0], rule.parent_column, relations[rule.parent]
-            excl = f" AND {c} NOT IN ({', '.join(_lit(v) for v in rule.exclude)})" if rule.exclude else ""
+        else:
+            c, pc = inner.split(" -> ")
+            parent, exclude = relations[more[0]], more[1]
+            excl = f" AND {c} NOT IN ({exclude})" if exclude else ""
             src = (f" FROM (SELECT DISTINCT {c} AS k FROM {rel} WHERE {c} IS NOT NULL{excl}) ck "
-                   f"WHERE NOT EXISTS (SELECT 1 FROM {prel} p WHERE p.{pc} = ck.k)")
-            tail = f" orfaos (sentinelas {sorted(rule.exclude)!r} ignoradas)"
+                   f"WHERE NOT EXISTS (SELECT 1 FROM {parent} p WHERE p.{pc} = ck.k)")
+            tail = _lit(f" orfaos (sentinelas [{exclude}] ignoradas)")
             selects.append(_row(layer, seq, lab, name, sev, "count(*) = 0", "count(*)",
-                                f"CAST(count(*) AS VARCHAR) || {_lit(tail)}", src))
+                                f"CAST(count(*) AS VARCHAR) || {tail}", src))
         seq += 1
     return "\nUNION ALL\n".join(selects)
 
 
-def layer_report_sql(layer: str) -> str:
+def layer_report_sql(layer: str, without: tuple[str, ...] = ()) -> str:
     prefix = {fixed.RAW: "raw_", fixed.CONFORMED: "conf_", fixed.MART: "mart_"}[layer]
     tables = fixed.MART_TABLES if layer == fixed.MART else fixed.TABLES
-    relations = {t: prefix + t for t in tables}
-    columns = _layer_columns(layer)
-    return report_sql(Q.SUITES[layer](), relations, columns, layer, qualify=True)
+    relations = {t: prefix + t for t in tables if t not in without}
+    return report_sql(CHECKS[layer], relations, _layer_columns(layer), layer, qualify=True)
 
 
 def _layer_columns(layer: str) -> dict[str, tuple]:
@@ -357,44 +476,51 @@ def _operator_sql() -> dict[str, str]:
 
 
 def _dq_sql() -> dict[str, str]:
-    cols = dict(DRIVER_COLUMNS)
-    out = {}
-    cols["negative_lines"] = DRIVER_COLUMNS["lineitem"]
-    out["dq_not_empty"] = (
-        "WITH negative_lines AS (SELECT * FROM lineitem WHERE l_quantity < 0) "
-        + report_sql([("lineitem", Q.not_empty()), ("lineitem", Q.columns_exist("l_orderkey", "l_shipdate")),
-                      ("negative_lines", Q.not_empty()), ("negative_lines", Q.columns_exist("l_receiptdate"))],
-                     {"lineitem": "lineitem", "negative_lines": "negative_lines"}, cols, "source"))
-    out["dq_unique"] = report_sql(
-        [("lineitem", Q.unique("l_orderkey", "l_linenumber")), ("orders", Q.unique("o_orderkey"))],
-        {"lineitem": "lineitem", "orders": "orders"}, cols, "source")
-    ccols = {"customer": DRIVER_COLUMNS["customer"] + ("c_segment",)}
-    suite = [("customer", r) for r in Q.not_null("c_name", "c_segment")]
-    suite += [("customer", r) for r in Q.not_null("c_segment", severity=fixed.WARN)]
-    out["dq_not_null"] = (
-        "WITH c AS (SELECT *, CASE WHEN c_acctbal >= 0 THEN c_mktsegment END AS c_segment FROM customer) "
-        + report_sql(suite, {"customer": "c"}, ccols, "source"))
-    ocols = {"orders": DRIVER_COLUMNS["orders"] + ("rating",)}
-    out["dq_range"] = (
-        "WITH o AS (SELECT *, CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS rating FROM orders) "
-        + report_sql([("orders", Q.in_range("rating", 1, 5)), ("orders", Q.in_range("rating", 1, 4)),
-                      ("orders", Q.in_range("o_totalprice", 1000, 400000, fixed.WARN))],
-                     {"orders": "o"}, ocols, "source"))
-    out["dq_non_negative"] = report_sql(
-        [("customer", Q.non_negative("c_acctbal")), ("orders", Q.non_negative("o_totalprice")),
-         ("customer", Q.non_negative("c_acctbal", fixed.ERROR))],
-        {"customer": "customer", "orders": "orders"}, cols, "source")
-    out["dq_in_set"] = report_sql(
-        [("orders", Q.in_set("o_orderstatus", ["F", "O", "P"])), ("orders", Q.in_set("o_orderstatus", ["F", "O"])),
-         ("orders", Q.in_set("o_orderstatus", [], fixed.WARN))],
-        {"orders": "orders"}, cols, "source")
-    out["dq_referential"] = report_sql(
-        [("lineitem", Q.referential("l_orderkey", "orders", "o_orderkey")),
-         ("lineitem", Q.referential("l_partkey", "part", "p_partkey")),
-         ("orders", Q.referential("o_orderkey", "lineitem", "l_orderkey")),
-         ("orders", Q.referential("o_orderkey", "lineitem", "l_orderkey", exclude=[0, 1], severity=fixed.WARN))],
-        {"lineitem": "lineitem", "orders": "orders", "part": "part"}, cols, "source")
-    return out
+    cols = dict(DRIVER_COLUMNS) | {"negative_lines": DRIVER_COLUMNS["lineitem"]}
+    plain = {t: t for t in cols}
+
+    def report(checks: str, head: str = "", **other: str) -> str:
+        return head + report_sql(checks, plain | other, cols, "source")
+
+    return {
+        "dq_not_empty": report("""
+lineitem | not_empty | ERROR
+lineitem | columns_exist('l_orderkey', 'l_shipdate') | ERROR
+negative_lines | not_empty | ERROR
+negative_lines | columns_exist('l_receiptdate',) | ERROR
+""", "WITH negative_lines AS (SELECT * FROM lineitem WHERE l_quantity < 0) "),
+        "dq_unique": report("""
+lineitem | unique(l_orderkey+l_linenumber) | ERROR
+orders | unique(o_orderkey) | ERROR
+"""),
+        "dq_not_null": report("""
+customer | not_null(c_name) | ERROR
+customer | not_null(c_segment) | ERROR
+customer | not_null(c_segment) | WARN
+""", "WITH c AS (SELECT *, CASE WHEN c_acctbal >= 0 THEN c_mktsegment END AS c_segment FROM customer) ", customer="c"),
+        "dq_range": report("""
+orders | range(rating, 1..5) | ERROR
+orders | range(rating, 1..4) | ERROR
+orders | range(o_totalprice, 1000..400000) | WARN
+""", "WITH o AS (SELECT *, CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS rating FROM orders) ", orders="o"),
+        "dq_non_negative": report("""
+customer | non_negative(c_acctbal) | WARN
+orders | non_negative(o_totalprice) | WARN
+customer | non_negative(c_acctbal) | ERROR
+"""),
+        "dq_in_set": report("""
+orders | in_set(o_orderstatus) | ERROR | 'F', 'O', 'P'
+orders | in_set(o_orderstatus) | ERROR | 'F', 'O'
+orders | in_set(o_orderstatus) | WARN |
+"""),
+        "dq_referential": report("""
+lineitem | referential(l_orderkey -> o_orderkey) | ERROR | orders |
+lineitem | referential(l_partkey -> p_partkey) | ERROR | part |
+orders | referential(o_orderkey -> l_orderkey) | ERROR | lineitem |
+orders | referential(o_orderkey -> l_orderkey) | WARN | lineitem | 0, 1
+"""),
+        "dq_missing_table": layered(layer_report_sql(fixed.CONFORMED, without=("reviews", "products"))),
+    }
 
 
 def _layer_sql() -> dict[str, str]:
@@ -434,141 +560,33 @@ def _layer_sql() -> dict[str, str]:
 
 
 
-# -- sources, sinks, generator ---------------------------------------------------------------
+# -- sources and sinks -----------------------------------------------------------------------
 
 def _raw_present(table: str) -> str:
     cols = ", ".join(fixed.RAW_COLUMNS[table])
     return f"SELECT {cols}, strftime(_ingested_at, {TS}) AS _ingested_at FROM ({RAW[table]})"
 
 
-def _md5(name: str, *ids: str) -> str:
-    parts = ", ".join([f"'{fixed.DEFAULT_SEED}'", _lit(name)] + [f"CAST({i} AS VARCHAR)" for i in ids])
-    return f"md5(concat_ws(':', {parts}))"
-
-
-def _draw(hexdigest: str, part: int) -> str:
-    """SQL twin of ``synth.draw``."""
-    return f"CAST(('0x' || substr({hexdigest}, {1 + 8 * part}, 8)) AS BIGINT)"
-
-
-def _h(name: str, *ids: str) -> str:
-    """SQL twin of ``synth.uhash``."""
-    return _draw(_md5(name, *ids), 0)
-
-
-def _perm(i: str, n: str, name: str) -> str:
-    from strata.sources.synth import PRIMES
-    return (f"CAST(((CAST(({i}) - 1 + {_h(name + ':offset')} % ({n}) AS HUGEINT)) * {PRIMES[name]}) "
-            f"% ({n}) AS BIGINT)")
-
-
-def _weighted(u: str, pairs) -> str:
-    total = sum(w for _, w in pairs)
-    acc, whens = 0, []
-    for value, w in pairs:
-        acc += w
-        whens.append(f"WHEN ({u}) % {total} < {acc} THEN {_lit(value)}")
-    return "CASE " + " ".join(whens) + " END"
-
-
-def _money_sql(cents: str) -> str:
-    return f"printf('%d.%02d', ({cents}) // 100, ({cents}) % 100)"
-
-
-def _synth_sql() -> dict[str, str]:
-    n_o, n_c = "(SELECT count(*) FROM orders)", "(SELECT count(*) FROM customer)"
-    n_r = f"least({n_o} * {fixed.DEFAULT_REVIEWS} // {fixed.DEFAULT_ORDERS}, {n_o})"
-    lo, hi = fixed.ITEMS_PER_ORDER
-    qlo, qhi = fixed.QUANTITY_RANGE
-    clo, chi = fixed.UNIT_PRICE_CENTS
-    ostart, odays = fixed.ORDER_WINDOW
-    sstart, sdays = fixed.SIGNUP_WINDOW
-    dlo, dhi = fixed.REVIEW_DELAY_DAYS
-    ilo, ihi = fixed.INSTALLMENTS
-    states = "[" + ", ".join(_lit(s) for s, _ in fixed.STATE_CITIES) + "]"
-    cities = "[" + ", ".join(_lit(c) for _, c in fixed.STATE_CITIES) + "]"
-    comments = "[" + ", ".join(_lit(c) for c in fixed.COMMENTS) + "]"
-    ctes = f"""WITH ids AS (SELECT o_orderkey + 1 AS i FROM orders),
-hashed AS (SELECT i, {_md5('order', 'i')} AS h, {_md5('payment', 'i')} AS hp FROM ids),
-items AS (
-  SELECT i, j, {_draw('ih', 0)} % {len(fixed.PRODUCTS)} + 1 AS p,
-         {_draw('ih', 1)} % {qhi - qlo + 1} + {qlo} AS q,
-         {_draw('ih', 2)} % {chi - clo + 1} + {clo} AS c
-  FROM (SELECT i, j, {_md5('item', 'i', 'j')} AS ih
-        FROM (SELECT i, unnest(generate_series(1, {_draw('h', 0)} % {hi - lo + 1} + {lo})) AS j FROM hashed))),
-base AS (
-  SELECT hashed.i, hp, printf('O%06d', hashed.i) AS order_id,
-         printf('C%05d', ({_draw('h', 1)} % 2147483648 * 2147483648 + {_draw('hp', 2)} % 2147483648) % {n_c} + 1)
-           AS customer_id,
-         CAST(DATE '{ostart}' + CAST({_draw('h', 2)} % {odays} AS INTEGER) AS VARCHAR) AS order_date,
-         {_weighted(_draw('h', 3), fixed.STATUS_WEIGHTS)} AS status,
-         t.total_cents
-  FROM hashed JOIN (SELECT i, sum(q * c) AS total_cents FROM items GROUP BY i) t ON t.i = hashed.i),
-dirty AS (
-  SELECT i, order_id,
-         CASE WHEN {_perm('i', n_o, 'dirty_order')} = 1 THEN '' ELSE customer_id END AS customer_id,
-         order_date, status,
-         CASE WHEN {_perm('i', n_o, 'dirty_order')} = 0 THEN {_lit(fixed.DIRTY_ORDER_VALUE)}
-              ELSE {_money_sql('total_cents')} END AS total_amount
-  FROM base)
-"""
-    out = {}
-    out["synth_orders"] = ctes + f"""
-SELECT order_id, customer_id, order_date,
-       CASE WHEN {_perm('i', n_o, 'upper')} = 0 THEN 'DELIVERED' ELSE status END AS status, total_amount FROM dirty
-UNION ALL
-SELECT order_id, customer_id, order_date, status, total_amount FROM dirty
-WHERE {_perm('i', n_o, 'duplicate')} < {fixed.DIRTY_ORDER_DUPLICATES}"""
-    out["synth_order_items"] = ctes + f"""
-SELECT printf('O%06d', i) AS order_id, printf('O%06d', i) || '-I' || CAST(j AS VARCHAR) AS item_id,
-       printf('P%04d', p) AS product_id,
-       CASE WHEN {_perm('i', n_o, 'quantity')} = 0 AND j = 1 THEN {_lit(fixed.DIRTY_QUANTITY)}
-            ELSE CAST(q AS VARCHAR) END AS quantity,
-       {_money_sql('c')} AS unit_price
-FROM items"""
-    out["synth_payments"] = ctes + f"""
-SELECT printf('PAY%06d', i) AS payment_id, order_id,
-       CASE WHEN {_perm('i', n_o, 'pix')} = 0 THEN 'PIX'
-            ELSE {_weighted(_draw('hp', 0), fixed.PAYMENT_WEIGHTS)} END AS payment_type,
-       CAST({_draw('hp', 1)} % {ihi - ilo + 1} + {ilo} AS VARCHAR) AS payment_installments,
-       CASE WHEN {_perm('i', n_o, 'dirty_order')} = 0 THEN {_lit(fixed.DIRTY_PAYMENT_VALUE)}
-            ELSE {_money_sql('total_cents')} END AS payment_value
-FROM base"""
-    out["synth_reviews"] = ctes + f"""
-SELECT printf('R%06d', r) AS review_id, order_id, customer_id,
-       CAST({_draw('hr', 0)} % 5 + 1 AS VARCHAR) AS rating,
-       CASE WHEN {_perm('r', n_r, 'comment')} < {fixed.DIRTY_EMPTY_COMMENTS} THEN ''
-            ELSE list_extract({comments}, CAST({_draw('hr', 1)} % {len(fixed.COMMENTS)} + 1 AS INTEGER)) END
-            AS comment,
-       CAST(CAST(order_date AS DATE) + CAST({_draw('hr', 2)} % {dhi - dlo + 1} + {dlo} AS INTEGER)
-            AS VARCHAR) AS review_date
-FROM (SELECT *, {_md5('review', 'r')} AS hr
-      FROM (SELECT *, {_perm('i', n_o, 'review')} + 1 AS r FROM base WHERE {_perm('i', n_o, 'review')} < {n_r}))"""
-    out["synth_customers"] = f"""
-WITH ids AS (SELECT c_custkey + 1 AS i FROM customer),
-h AS (SELECT i, {_draw(_md5('customer', 'i'), 0)} % {len(fixed.STATE_CITIES)} + 1 AS pair,
-             {_draw(_md5('customer', 'i'), 1)} AS signup FROM ids)
-SELECT printf('C%05d', i) AS customer_id, printf('Cliente %05d', i) AS customer_name,
-       printf('cliente%05d@example.com', i) AS email,
-       CASE WHEN {_perm('i', n_c, 'state')} < {fixed.DIRTY_EMPTY_STATES} THEN ''
-            ELSE list_extract({states}, CAST(pair AS INTEGER)) END AS state,
-       list_extract({cities}, CAST(pair AS INTEGER)) AS city,
-       CAST(DATE '{sstart}' + CAST(signup % {sdays} AS INTEGER) AS VARCHAR) AS signup_date
-FROM h"""
-    return out
-
-
 def _io_sql() -> dict[str, str]:
     cols = ", ".join(fixed.RAW_COLUMNS["orders"])
+    filled = ", ".join(f"coalesce({c}, '') AS {c}" for c in fixed.RAW_COLUMNS["customers"])
+    counts = "\nUNION ALL\n".join(
+        f"SELECT '{layer}' AS layer, '{t}' AS table_name, {f'(SELECT count(*) FROM {prefix}{t})' if prefix else '-1'} AS rows"
+        for layer, prefix, tables in ((fixed.RAW, "raw_", fixed.TABLES), (fixed.CONFORMED, "conf_", fixed.TABLES), (fixed.MART, "", fixed.MART_TABLES))
+        for t in tables)
     return {
+        "csv_keep_empty": f"SELECT {filled} FROM ({RAW['customers']})",
+        "rewritten_preview": ("SELECT product_id, product_name, CAST(try_cast(price AS DECIMAL(10,2)) AS DOUBLE) AS price "
+                              f"FROM ({RAW['products']}) ORDER BY product_id, product_name NULLS FIRST LIMIT 25"),
+        "gated_counts": layered(counts),
         "csv_roundtrip_orders": _raw_present("orders"),
         "csv_roundtrip_products": _raw_present("products"),
         "stream_landing_orders": f"SELECT {cols}, true AS stamped FROM ({RAW['orders']})",
         "gated_sales_by_category": layered(f"SELECT {MART_PRESENT['vendas_por_categoria']} FROM mart_vendas_por_categoria"),
         "gated_quality_report": layered("\nUNION ALL\n".join(
-            f"({layer_report_sql(layer)})" for layer in (fixed.RAW, fixed.CONFORMED, fixed.MART))),
+            f"({layer_report_sql(layer)})" for layer in (fixed.RAW, fixed.CONFORMED))),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {**_layer_sql(), **_operator_sql(), **_dq_sql(), **_io_sql(), **_synth_sql()}
+    return {**_layer_sql(), **_operator_sql(), **_dq_sql(), **_io_sql()}

@@ -24,6 +24,7 @@ from strata.operators import marts as M
 from strata.operators import quality as Q
 from strata.operators.tables import dedup_by_key, distinct_projection, move_to_end, with_audit
 from strata.plans.layers import (
+    COUNTS_SCHEMA,
     check_materialized,
     conform_layer,
     materialize,
@@ -31,9 +32,9 @@ from strata.plans.layers import (
     layer_counts,
     mart_layer,
     run_layers,
+    write_tables,
 )
 from strata.session import scratch_path
-from strata.sources import synth
 from strata.sources.files import read_driver_table, read_raw_csv, write_csv
 from strata.sources.star import LANDED_AT, raw_orders, raw_products, raw_tables, source_tables
 from strata.sources.store import LayerStore
@@ -110,9 +111,16 @@ def status_revenue(spark, sf_dir):
 
 
 def layer_row_counts(spark, sf_dir):
+    """Every conformed table is built and written once; its count is observed during the write."""
     r = raw(spark, sf_dir)
-    c = conform_layer(r)
-    return present(layer_counts(spark, {fixed.RAW: r, fixed.CONFORMED: c, fixed.MART: mart_layer(c)}))
+    store = LayerStore(spark, scratch_path(spark, "counted"))
+    built = conform_layer(r)
+    counted = write_tables(store, fixed.CONFORMED, built)
+    c = store.read_layer(fixed.CONFORMED, built, {t: df.schema for t, df in built.items()})
+    rows = [(fixed.CONFORMED, t, counted[t]["rows"]) for t in built]
+    others = {fixed.RAW: r, fixed.MART: mart_layer(c)}
+    expected = {fixed.RAW: fixed.TABLES, fixed.MART: fixed.MART_TABLES}
+    return present(layer_counts(spark, others, expected).unionByName(spark.createDataFrame(rows, COUNTS_SCHEMA)))
 
 
 # -- operator queries --------------------------------------------------------------
@@ -227,55 +235,57 @@ def _csv_roundtrip(table: str, source: str, render):
 
 
 def stream_landing_orders(spark, sf_dir):
-    """Raw orders files landed by an availableNow streaming query, read back."""
-    folder = scratch_path(spark, "stream-src")
-    write_csv(raw_orders(_t(spark, sf_dir, "orders")), folder)
-    landed = land_folder_now(spark, folder, "orders", scratch_path(spark, "stream-raw"))
+    """Raw orders files landed in two steps, more files arriving in between, and read back."""
+    folder, target = scratch_path(spark, "stream-src"), scratch_path(spark, "stream-raw")
+    orders = _t(spark, sf_dir, "orders")
+    for rest in (0, 1):
+        write_csv(raw_orders(orders.filter(F.col("o_orderkey") % 2 == rest)), folder, mode="append")
+        landed = land_folder_now(spark, folder, "orders", target)
     return present(landed.select(*fixed.RAW_COLUMNS["orders"],
                                  F.col(fixed.AUDIT_COLUMN).isNotNull().alias("stamped")))
 
 
-def _gated_run(spark, sf_dir):
-    """Land, conform and build marts with a quality gate after each layer.
+def csv_keep_empty(spark, sf_dir):
+    """Raw customers through CSV, empty fields kept as empty text (they are written without quotes)."""
+    folder = scratch_path(spark, "csv-empty")
+    write_csv(raw_tables(spark, sf_dir, None)["customers"].select(*fixed.RAW_COLUMNS["customers"]), folder)
+    return present(read_raw_csv(spark, folder, fixed.RAW_COLUMNS["customers"], keep_empty=True))
 
-    Every layer is written below the shared folder and read back, which
-    cuts the lineage between layers. On these tables the mart check flags
-    the NULL-product rating group (reviews of orders without items), so the
-    run reports a block at the mart layer after writing it.
+
+def rewritten_preview(spark, sf_dir):
+    """A table written, rewritten from itself with another schema, and its first rows by key."""
+    store = LayerStore(spark, scratch_path(spark, "rewritten"))
+    store.write(raw_products(_t(spark, sf_dir, "part")), fixed.RAW, "products", schema_may_change=False)
+    typed = store.read(fixed.RAW, "products").select("product_id", "product_name", C.to_money("price").alias("price"))
+    store.write(typed, fixed.RAW, "products")
+    return present(store.preview(fixed.RAW, "products", 25, ["product_id", "product_name"]))
+
+
+def _run(spark, sf_dir, gate: bool):
+    """Land, conform and build marts with a quality check after each layer.
+
+    Every layer is written below the shared folder and read back, which cuts
+    the lineage between layers. The dirt of these tables fails ERROR checks
+    of the conformed layer: a gated run stops there and builds no marts.
     """
     store = LayerStore(spark, scratch_path(spark, "lake"))
-    result = run_layers(spark, source_tables(spark, sf_dir), store, at=LANDED_AT, stop_on_error=True)
-    return store, result
+    return store, run_layers(spark, source_tables(spark, sf_dir), store, at=LANDED_AT, stop_on_error=True, gate=gate)
 
 
 def gated_sales_by_category(spark, sf_dir):
-    store, _ = _gated_run(spark, sf_dir)
+    store, _ = _run(spark, sf_dir, gate=False)
     return present(store.read(fixed.MART, "vendas_por_categoria"))
 
 
 def gated_quality_report(spark, sf_dir):
-    _, result = _gated_run(spark, sf_dir)
+    _, result = _run(spark, sf_dir, gate=True)
     return present(result.report())
 
 
-# -- generator queries ------------------------------------------------------------------
-
-def synth_spec(spark, sf_dir) -> synth.Spec:
-    """Generator sizes taken from the given tables (two scalar counts)."""
-    n_customers = _t(spark, sf_dir, "customer").count()
-    n_orders = _t(spark, sf_dir, "orders").count()
-    n_reviews = n_orders * fixed.DEFAULT_REVIEWS // fixed.DEFAULT_ORDERS
-    return synth.Spec(fixed.DEFAULT_SEED, n_customers, n_orders, n_reviews, dirty=True)
-
-
-def _synth(table: str):
-    def q(spark, sf_dir):
-        spec = synth_spec(spark, sf_dir)
-        cids = _t(spark, sf_dir, "customer").select((F.col("c_custkey") + 1).alias("i"))
-        oids = _t(spark, sf_dir, "orders").select((F.col("o_orderkey") + 1).alias("i"))
-        return present(synth.generate(spark, spec, cids, oids)[table])
-    q.__name__ = f"synth_{table}"
-    return q
+def gated_counts(spark, sf_dir):
+    """Rows per layer and table of the gated run; NULL for the marts it did not build (shown as -1)."""
+    _, result = _run(spark, sf_dir, gate=True)
+    return present(result.counts(spark).fillna(-1))
 
 
 # -- quality queries --------------------------------------------------------------
@@ -342,6 +352,12 @@ def dq_referential(spark, sf_dir):
     return _report(spark, frames, suite)
 
 
+def dq_missing_table(spark, sf_dir):
+    """The conformed suite without its reviews and products tables."""
+    frames = {t: df for t, df in conformed(spark, sf_dir).items() if t not in ("reviews", "products")}
+    return present(check_materialized(spark, fixed.CONFORMED, frames).frame)
+
+
 # A table that several check passes read (the conformed tables: counters,
 # uniqueness, references) is written once below the shared folder first, its
 # counters observed during the write; single-pass tables are checked lazily.
@@ -355,7 +371,9 @@ def dq_conformed_suite(spark, sf_dir):
 
 
 def dq_mart_suite(spark, sf_dir):
-    return present(check_materialized(spark, fixed.MART, marts(spark, sf_dir)).frame)
+    """The marts share conformed tables, which are written once first."""
+    c, _ = materialize(spark, fixed.CONFORMED, conformed(spark, sf_dir))
+    return present(check_materialized(spark, fixed.MART, mart_layer(c)).frame)
 
 
 def _all_reports(spark, sf_dir) -> DataFrame:
@@ -404,7 +422,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_landing_orders": stream_landing_orders,
     "gated_sales_by_category": gated_sales_by_category,
     "gated_quality_report": gated_quality_report,
-    **{f"synth_{t}": _synth(t) for t in ("customers", "orders", "order_items", "payments", "reviews")},
+    "gated_counts": gated_counts,
+    "csv_keep_empty": csv_keep_empty,
+    "rewritten_preview": rewritten_preview,
+    "dq_missing_table": dq_missing_table,
     "dq_not_empty": dq_not_empty,
     "dq_unique": dq_unique,
     "dq_not_null": dq_not_null,

@@ -18,7 +18,7 @@ def spark():
     scratch = tempfile.mkdtemp(prefix="strata-tests-")
     session = build_session(
         "strata-tests",
-        master="local[*, 4]",   # all cores; a failed task is retried up to 4 times
+        master=f"local[{os.environ.get("TEST_CPUS", "*")}, 4]",   # all cores; a failed task is retried up to 4 times
         shuffle_partitions=8,
         conf={
             "spark.sql.warehouse.dir": os.path.join(scratch, "warehouse"),

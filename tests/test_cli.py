@@ -1,5 +1,6 @@
-"""Command line: one job per layer, exit code 1 when a check fails an ERROR."""
+"""Command line: one job per layer, exit code 1 when a check fails an ERROR, 2 when a step cannot run."""
 
+from shop import raw_shop, write_shop
 from strata import fixed
 from strata.__main__ import main
 from strata.sources.store import LayerStore
@@ -7,36 +8,45 @@ from strata.sources.store import LayerStore
 
 def test_layer_commands_and_exit_codes(spark, tmp_uri, capsys):
     csv, lake = tmp_uri + "/csv", tmp_uri + "/lake"
-    assert main(["generate", "--out", csv, "--customers", "20", "--orders", "40", "--reviews", "25"]) == 0
+    write_shop(raw_shop(spark), csv)
     assert main(["land", "--source", csv, "--lake", lake]) == 0
     assert main(["check", "bronze", "--lake", lake]) == 0
     assert main(["conform", "--lake", lake]) == 0
-    assert main(["check", "silver", "--lake", lake]) == 0          # only WARNs (injected negatives)
+    assert main(["check", "silver", "--lake", lake]) == 0          # only WARNs
     assert main(["marts", "--lake", lake, "--preview", "2"]) == 0
     assert main(["check", "gold", "--lake", lake]) == 0
     out = capsys.readouterr().out
-    assert "bronze.orders: 50 rows, 6 columns" in out and "DQ layer=silver checks=45" in out
+    assert "bronze.orders: 45 rows, 6 columns" in out and "DQ layer=silver checks=45" in out
     assert "gold.resumo_clientes\n" in out and "total_gasto" in out          # preview of the written mart
     assert LayerStore(spark, lake).read(fixed.MART, "resumo_clientes").count() > 0
+    assert main(["land", "--source", csv, "--lake", lake]) == 0               # a second full refresh
+    assert LayerStore(spark, lake).read(fixed.RAW, "orders").count() == 45
 
 
-def test_check_fails_on_missing_layer(spark, tmp_uri):
+def test_steps_out_of_order_name_what_is_missing(spark, tmp_uri, capsys):
     assert main(["check", "silver", "--lake", tmp_uri + "/empty"]) == 1
+    assert main(["conform", "--lake", tmp_uri + "/empty"]) == 2
+    assert "bronze.orders" in capsys.readouterr().err
+    assert main(["marts", "--lake", tmp_uri + "/empty"]) == 2
+    assert "silver.customers" in capsys.readouterr().err
+
+
+def test_steps_refuse_a_catalog_that_ends_with_the_process(spark, tmp_uri, capsys):
+    assert main(["land", "--source", tmp_uri + "/csv"]) == 2
+    assert "--lake" in capsys.readouterr().err
 
 
 def test_run_command(spark, tmp_uri):
-    csv = tmp_uri + "/csv"
-    assert main(["generate", "--out", csv, "--customers", "10", "--orders", "20", "--reviews", "5", "--clean"]) == 0
-    assert main(["run", "--source", csv, "--lake", tmp_uri + "/lake"]) == 0
+    write_shop(raw_shop(spark, dirty=False), tmp_uri + "/csv")
+    assert main(["run", "--source", tmp_uri + "/csv", "--lake", tmp_uri + "/lake"]) == 0
 
 
 def test_conform_options_from_the_command_line(spark, tmp_uri):
     csv, lake = tmp_uri + "/csv", tmp_uri + "/lake"
-    assert main(["generate", "--out", csv, "--customers", "10", "--orders", "20", "--reviews", "8"]) == 0
+    write_shop(raw_shop(spark), csv)
     assert main(["land", "--source", csv, "--lake", lake]) == 0
     assert main(["conform", "--lake", lake]) == 0
-    plain = LayerStore(spark, lake).read(fixed.CONFORMED, "reviews")
-    assert plain.filter("comment = ''").count() == 0        # empty CSV fields already read as NULL
+    assert LayerStore(spark, lake).read(fixed.CONFORMED, "reviews").filter("comment = ''").count() == 0
     assert main(["conform", "--lake", lake, "--blank-as-missing", "--all-whitespace", "--normalize-first"]) == 0
     orders = LayerStore(spark, lake).read(fixed.CONFORMED, "orders")
     assert orders.count() == orders.select("order_id").distinct().count()

@@ -7,29 +7,34 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL
 from strata import fixed
 from strata.operators import quality as Q
-from strata.plans.layers import layer_counts, read_raw, run_layers
-from strata.sources import synth
-from strata.sources.store import LayerStore
+from strata.plans.layers import check_materialized, conform_layer, land_raw, layer_counts, mart_layer, read_raw, run_layers
+from shop import raw_shop, write_shop
+from strata.plans import queries as core
+from strata.sources.store import LayerStore, MissingTableError
 
 
-def test_generated_csv_through_all_layers(spark, tmp_uri):
-    tables = synth.generate(spark, synth.Spec(n_customers=40, n_orders=80, n_reviews=50))
-    synth.write_tables(tables, tmp_uri + "/csv")
+def test_csv_through_all_layers(spark, tmp_uri):
+    write_shop(raw_shop(spark, customers=40, orders=80, reviews=50), tmp_uri + "/csv")
     store = LayerStore(spark, tmp_uri + "/lake")
     result = run_layers(spark, read_raw(spark, tmp_uri + "/csv"), store, at="2025-01-01 12:00:00")
-    assert result.rows[fixed.RAW]["orders"] == 90
-    assert result.rows[fixed.CONFORMED]["orders"] == 80          # 10 duplicates removed
+    assert result.rows[fixed.RAW]["orders"] == 85
+    assert result.rows[fixed.CONFORMED]["orders"] == 80          # 5 duplicates removed
     assert set(result.rows[fixed.MART]) == set(fixed.MART_TABLES)
     assert all(r.ok for r in result.reports.values())
-    warned = {r.check for r in result.reports[fixed.CONFORMED].warnings}
-    assert {"non_negative(total_amount)", "non_negative(payment_value)", "non_negative(quantity)"} <= warned
-    conformed = store.read(fixed.CONFORMED, "orders")
-    assert conformed.columns[-1] == fixed.AUDIT_COLUMN
-    assert conformed.filter(F.col("customer_id") == fixed.UNKNOWN).count() == 1
+    warned = {r.check for r in result.reports[fixed.CONFORMED].failed("WARN")}
+    assert warned == {"non_negative(total_amount)", "non_negative(payment_value)", "non_negative(quantity)"}
+    assert store.read(fixed.CONFORMED, "orders").columns[-1] == fixed.AUDIT_COLUMN
+
+
+def test_a_missing_table_is_named(spark):
+    with pytest.raises(MissingTableError, match="bronze.orders"):
+        conform_layer({"orders": None})
+    with pytest.raises(MissingTableError, match="silver.reviews"):
+        mart_layer({"reviews": None})
 
 
 def test_gate_blocks_next_layer(spark, tmp_uri):
-    tables = synth.generate(spark, synth.Spec(n_customers=10, n_orders=20, n_reviews=5, dirty=False))
+    tables = raw_shop(spark, dirty=False)
     bad = dict(tables)
     bad["reviews"] = tables["reviews"].withColumn("rating", F.lit("9"))
     store = LayerStore(spark, tmp_uri + "/lake")
@@ -50,12 +55,13 @@ def test_entry_and_contract(spark):
     import __spark_entry__ as E
     df = E.entry(spark)
     assert df.count() > 0 and "receita_total" in df.columns
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(core.QUERIES) <= set(E.queries()) and set(core.QUERIES) <= set(E.oracle_sql())
 
 
 FAST = ["mart_sales_by_category", "mart_customer_summary", "mart_product_rating", "conform_order_items",
-        "dq_conformed_suite", "synth_orders", "money_cast", "orphan_keys", "date_try_cast", "dq_referential",
-        "synth_reviews", "csv_roundtrip_products", "status_revenue", "top_customers"]
+        "dq_conformed_suite", "money_cast", "orphan_keys", "date_try_cast", "dq_referential", "csv_roundtrip_products",
+        "status_revenue", "top_customers", "stream_landing_orders", "layer_row_counts", "gated_quality_report",
+        "gated_counts", "csv_keep_empty", "rewritten_preview", "dq_missing_table", "dq_failures"]
 
 
 @pytest.mark.parametrize("name", FAST)
@@ -66,16 +72,16 @@ def test_query_matches_oracle_at_small_scale(spark, name):
         con.execute(f"CREATE VIEW {v} AS SELECT * FROM read_parquet('{SF_SMALL}/{v}.parquet')")
     df = E.queries()[name](spark, SF_SMALL)
     cols = sorted(df.columns)
-    got = sorted(tuple(r[c] for c in cols) for r in df.collect())
+    got = sorted((tuple(r[c] for c in cols) for r in df.collect()), key=repr)
     cur = con.execute(E.oracle_sql()[name])
     names = [d[0] for d in cur.description]
-    want = sorted(tuple(row[names.index(c)] for c in cols) for row in cur.fetchall())
+    want = sorted((tuple(row[names.index(c)] for c in cols) for row in cur.fetchall()), key=repr)
     assert sorted(names) == cols
     assert got == want
 
 
 def test_gated_run_in_catalog_mode(spark):
-    tables = synth.generate(spark, synth.Spec(n_customers=15, n_orders=30, n_reviews=10, dirty=False))
+    tables = raw_shop(spark, orders=30, dirty=False)
     store = LayerStore(spark)                      # session catalog: bronze / silver / gold databases
     result = run_layers(spark, tables, store, at="2025-01-01 12:00:00")
     assert result.ok and result.rows[fixed.CONFORMED]["orders"] == 30
@@ -86,17 +92,16 @@ def test_gated_run_in_catalog_mode(spark):
 
 
 def test_check_materialized_equals_lazy_check(spark, tmp_uri):
-    from strata.plans.layers import check_materialized, conform_layer, land_raw
-    tables = synth.generate(spark, synth.Spec(n_customers=20, n_orders=40, n_reviews=15))
+    tables = raw_shop(spark)
     conformed = conform_layer(land_raw(tables, "2025-01-01 12:00:00"))
     lazy = Q.check_layer(spark, fixed.CONFORMED, conformed)
     written = check_materialized(spark, fixed.CONFORMED, conformed, LayerStore(spark, tmp_uri + "/checked"))
     assert sorted(map(tuple, written.frame.collect())) == sorted(map(tuple, lazy.frame.collect()))
-    assert [r.check for r in written.warnings] == [r.check for r in lazy.warnings]
+    assert [r.check for r in written.failed("WARN")] == [r.check for r in lazy.failed("WARN")]
 
 
 def test_ungated_run_builds_every_layer(spark, tmp_uri):
-    tables = synth.generate(spark, synth.Spec(n_customers=10, n_orders=20, n_reviews=5, dirty=False))
+    tables = raw_shop(spark, dirty=False)
     bad = dict(tables)
     bad["reviews"] = tables["reviews"].withColumn("rating", F.lit("9"))
     store = LayerStore(spark, tmp_uri + "/lake")
@@ -106,8 +111,7 @@ def test_ungated_run_builds_every_layer(spark, tmp_uri):
 
 
 def test_run_counts_equal_layer_counts(spark, tmp_uri):
-    from strata.plans.layers import conform_layer, land_raw, mart_layer
-    tables = synth.generate(spark, synth.Spec(n_customers=12, n_orders=25, n_reviews=8))
+    tables = raw_shop(spark)
     result = run_layers(spark, tables, LayerStore(spark, tmp_uri + "/lake"), at="2025-01-01 12:00:00")
     raw = land_raw(tables, "2025-01-01 12:00:00")
     conformed = conform_layer(raw)

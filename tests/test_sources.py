@@ -5,8 +5,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from strata import fixed
-from strata.sources.files import read_raw_csv, write_csv
-from strata.sources.store import LayerStore, SchemaMismatchError
+from strata.sources.files import read_driver_table, read_raw_csv, write_csv
+from strata.sources.store import LayerStore, SchemaMismatchError, path_exists
 from strata.streaming.landing import land_folder_now
 
 
@@ -31,6 +31,9 @@ def test_csv_keep_empty_option(spark, tmp_path):
     _write_text(f, 'a,b\n"",x\n')
     df = read_raw_csv(spark, str(f), ["a", "b"], keep_empty=True)
     assert df.first().a == ""
+    _write_text(f, 'a,b\n,x\n" ",\n')                     # empty without quotes, the usual case
+    assert [tuple(r) for r in read_raw_csv(spark, str(f), ["a", "b"], keep_empty=True).collect()] == [("", "x"), (" ", "")]
+    assert [tuple(r) for r in read_raw_csv(spark, str(f), ["a", "b"]).collect()] == [(None, "x"), (" ", None)]
 
 
 def test_csv_wrong_header_fails(spark, tmp_path):
@@ -87,12 +90,44 @@ def test_streaming_landing_lands_each_file_once(spark, tmp_path):
     src.mkdir()
     header = ",".join(fixed.RAW_COLUMNS["orders"]) + "\n"
     _write_text(src / "a.csv", header + "O000001,C00001,2025-01-01,shipped,10.0\n")
-    target, ckpt = str(tmp_path / "raw"), str(tmp_path / "ckpt")
-    first = land_folder_now(spark, str(src), "orders", target, ckpt)
+    target = str(tmp_path / "raw")
+    first = land_folder_now(spark, str(src), "orders", target)
     assert first.count() == 1 and first.filter(F.col(fixed.AUDIT_COLUMN).isNull()).count() == 0
     _write_text(src / "b.csv", header + "O000002,C00002,2025-01-02,delivered,20.0\n")
-    second = land_folder_now(spark, str(src), "orders", target, ckpt)
+    second = land_folder_now(spark, str(src), "orders", target)
     assert sorted(r.order_id for r in second.collect()) == ["O000001", "O000002"]
+    assert land_folder_now(spark, str(src), "orders", target).count() == 2
+
+
+def test_streaming_landing_refuses_a_swapped_header(spark, tmp_path):
+    src = tmp_path / "in"
+    src.mkdir()
+    _write_text(src / "a.csv", "order_id,total_amount,order_date,status,customer_id\nO1,9,2025-01-01,shipped,C1\n")
+    with pytest.raises(Exception, match="FAILED_READ_FILE|header"):
+        land_folder_now(spark, str(src), "orders", str(tmp_path / "raw"))
+
+
+def test_driver_table_keeps_every_column_and_misses_none(spark, tmp_path):
+    at = str(tmp_path)
+    spark.range(3).selectExpr("id AS o_orderkey", "'x' AS added").write.parquet(f"{at}/orders.parquet")
+    df = read_driver_table(spark, at, "orders")
+    assert df.columns == ["o_orderkey", "added"] and df.count() == 3
+    with pytest.raises(AnalysisException):
+        df.select("o_custkey")
+    spark.range(5).write.mode("overwrite").parquet(f"{at}/orders.parquet")
+    assert read_driver_table(spark, at, "orders").columns == ["id"]
+
+
+def test_scratch_folders_are_removed(spark):
+    from strata import session
+
+    path = session.scratch_path(spark, "probe")
+    spark.range(1).write.parquet(path)
+    assert path_exists(spark, path)
+    kept, session._scratch = session._scratch, {path: spark}
+    session.clear_scratch()
+    session._scratch = kept
+    assert not path_exists(spark, path)
 
 
 def test_catalog_overwrite_is_staged(spark):
@@ -106,7 +141,8 @@ def test_catalog_overwrite_is_staged(spark):
     with pytest.raises(Exception):
         store.write(bad, "t14_layer", "t")
     assert sorted(r.k for r in store.read("t14_layer", "t").collect()) == [2, 3, 4]
-    assert [t.name for t in spark.catalog.listTables("t14_layer")] == ["t"]
+    names = sorted(t.name for t in spark.catalog.listTables("t14_layer"))
+    assert names[0] == "t" and len(names) == 3               # the view, its version and the one before
 
 
 def test_path_overwrite_is_staged(spark, tmp_uri, tmp_path):
@@ -115,12 +151,35 @@ def test_path_overwrite_is_staged(spark, tmp_uri, tmp_path):
     # rewriting a table from itself works: old files are read before the swap
     assert store.write(store.read("silver", "t").filter("k > 1"), "silver", "t") == 3
     assert sorted(r.k for r in store.read("silver", "t").collect()) == [2, 3, 4]
-    # a failing job leaves the previous table intact and no staging folder behind
+    # a failing job leaves the previous table intact and no version behind
     bad = spark.range(3).select((F.lit(1) / (F.col("id") - 1)).cast("int").alias("k"))   # ANSI: divide by zero
     with pytest.raises(Exception):
         store.write(bad, "silver", "t")
     assert sorted(r.k for r in store.read("silver", "t").collect()) == [2, 3, 4]
-    assert sorted(p.name for p in (tmp_path / "lake" / "silver").iterdir() if not p.name.startswith(".")) == ["t"]
+    folders = [p.name for p in (tmp_path / "lake" / "silver" / "t").iterdir()]
+    assert sum(n.startswith("data-") for n in folders) == 2  # the current version and the one before
+
+
+def test_a_crash_before_the_commit_leaves_the_old_table(spark, tmp_uri, monkeypatch):
+    store = LayerStore(spark, tmp_uri + "/lake")
+    store.write(spark.range(5), "silver", "t")
+    before = store.read("silver", "t")
+
+    import strata.sources.store as S
+
+    plain = S._names
+    monkeypatch.setattr(S, "_names", lambda s, p: (_ for _ in ()).throw(OSError("lost")) if p.endswith("_commits") else plain(s, p))
+    with pytest.raises(OSError):
+        store._commit_folder(spark.range(9).write.format("parquet"), "silver", "t")   # written, not yet named
+    monkeypatch.undo()
+    assert store.read("silver", "t").count() == 5
+    store.write(spark.range(7), "silver", "t")
+    assert store.read("silver", "t").count() == 7 and before.count() == 5             # a reader of the old version goes on
+
+
+def test_a_folder_of_another_writer_is_read_as_it_is(spark, tmp_uri):
+    spark.range(4).write.parquet(tmp_uri + "/lake/silver/t")
+    assert LayerStore(spark, tmp_uri + "/lake").read("silver", "t").count() == 4
 
 
 def test_csv_header_driven_read_is_all_string(spark, tmp_path):

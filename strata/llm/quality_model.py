@@ -102,7 +102,7 @@ def _scores(docs: pa.Table, grams: pa.Table, trusted: pa.Table, order: int) -> p
 def _discounts(counts: DataFrame) -> DataFrame:
     """Modified Kneser-Ney discounts by language, from the numbers of n-grams counted 1, 2, 3 and 4 times."""
     n = [F.sum((F.col("c") == i).cast("long")).alias(f"n{i}") for i in (1, 2, 3, 4)]
-    y = F.col("n1") / (F.col("n1") + 2 * F.col("n2"))
+    y = F.try_divide(F.col("n1"), F.col("n1") + 2 * F.col("n2"))
 
     def discount(i: int) -> Column:
         good = (F.col(f"n{i}") > 0) & (F.col("n1") > 0) & (F.col("n2") > 0)

@@ -66,8 +66,8 @@ def mine(pages: DataFrame, labels: DataFrame, support: float = MIN_SUPPORT, conf
     FP-growth over the token sets of labelled pages, a bad page's with one
     more item; rules that lead to that item with at least ``confidence`` and
     ``support`` (and ``least_pages`` pages) stay, unless a rule on some of
-    their tokens is as confident.
-    ``anchor`` is the rule's rarest token. No labelled pages: no rules.
+    their tokens is as confident. ``anchor`` is the rule's rarest token. No
+    labelled pages: no rules.
     """
     marked = labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg((F.min("quality") == 0).alias("bad"))
     baskets = pages.select(F.col("page_id").alias("doc_id"), tokens(F.col("url")).alias("items")).join(marked, "doc_id")
@@ -76,6 +76,7 @@ def mine(pages: DataFrame, labels: DataFrame, support: float = MIN_SUPPORT, conf
     support = min(1.0, max(support, least_pages / max(1, pages_labelled)))
     model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(baskets)
     rules = model.associationRules.filter(F.array_contains("consequent", BLOCK_ITEM)).select(F.array_sort("antecedent").alias("tokens"), "confidence", "support")
+    rules = rules.filter(F.round(F.col("support") * pages_labelled) >= least_pages)
     rules = rules.withColumns({"size": F.size("tokens"), "rule": F.array_join("tokens", " ")})
     simpler = rules.select(F.col("tokens").alias("part"), F.col("size").alias("part_size"), F.col("confidence").alias("as_sure"), F.element_at("tokens", 1).alias("token"))
     implied = rules.select("rule", "tokens", "size", "confidence", F.explode("tokens").alias("token")).join(simpler, "token")

@@ -99,7 +99,7 @@ def _examples(docs: DataFrame) -> DataFrame:
     plain = some.select("doc_id", F.posexplode(F.split("text", "\n")).alias("i", "paragraph")).filter(F.pmod(F.xxhash64("doc_id", "i"), F.lit(2)) == 0)
     plain = plain.select("doc_id", "i", words(F.col("paragraph")).alias("words")).filter("size(words) > 0")
     # corpus paragraphs that are themselves close to a notice are no examples of "none"
-    close = F.exists(F.array(*[F.array(*map(F.lit, sorted(set(t)))) for t in notices.select("words").toPandas()["words"]]), lambda t: F.size(F.array_intersect(t, F.col("words"))) >= LEAST_SIMILARITY * F.size(t))
+    close = F.exists(F.array(*[F.array(*map(F.lit, sorted(set(t)))) for (t,) in notices.select("words").collect()]), lambda t: F.size(F.array_intersect(t, F.col("words"))) >= LEAST_SIMILARITY * F.size(t))
     none = plain.filter(~close).select(F.lit(0).alias("label"), (F.pmod(F.xxhash64("doc_id", "i"), F.lit(5)) == 4).alias("held"), "words")
     return good.union(none)
 

@@ -67,7 +67,7 @@ def test_counters_and_uniqueness_match_python(spark, data):
     df = spark.createDataFrame(data, "k string, n int, s string")
     suite = [("t", Q.not_empty()), ("t", Q.unique("k"))] + [("t", r) for r in Q.not_null("n", "s")]
     suite += [("t", Q.in_range("n", -1, 1)), ("t", Q.non_negative("n")), ("t", Q.in_set("s", ["x", "y"]))]
-    got = {r.check: r.violations for r in Q.QualityReport("x", Q.check_tables(spark, {"t": df}, suite, "x")).results}
+    got = {r.check: r.violations for r in Q.QualityReport("x", Q.check_tables(spark, {"t": df}, suite, "x")).rows()}
     n = [r[1] for r in data]
     s = [r[2] for r in data]
     assert got["unique(k)"] == len(data) - len({r[0] for r in data})

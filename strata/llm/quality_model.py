@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strata.llm.blocks import BLOCK_ROWS, block_count, block_of, packed, unpacked
 from strata.llm.components import checkpointed, typed
 from strata.llm.words import mix, split_words, windows
 
@@ -17,12 +18,13 @@ ORDER = 4
 START, END = "\x01", "\x02"
 #: Probability below the unigrams: uniform over all code points.
 FLOOR = 1 / 0x110000
-#: Documents handled together, on average: they ask for their distinct n-grams once.
-BLOCK_DOCS = 2048
 #: Log perplexity above median + FENCE * (upper quantile - median) of trusted text is rejected.
 UPPER_QUANTILE, FENCE = 0.99, 2.0
 BIN = 0.001
 
+_GRAMS = pa.schema([("block", pa.int64()), ("language", pa.string()), ("gram", pa.string()), ("count", pa.int64())])
+_SCORES = pa.schema([("doc_id", pa.int64()), ("language", pa.string()), ("trusted", pa.bool_()), ("n_grams", pa.int64()), ("logp", pa.float64())])
+
 
 def _word_grams(words: list[str], order: int) -> tuple[str, np.ndarray, np.ndarray, np.ndarray]:
     """All n-grams of marked words: (the marked words in a row, key, place and word index of each n-gram)."""
@@ -52,7 +54,7 @@ def _text(table: pa.Table) -> pa.Array:
     return column if isinstance(column, pa.Array) else pa.concat_arrays(column.chunks)
 
 
-def _gram_rows(docs: pa.Table, trusted: pa.Table, order: int) -> pa.Table:
+def _gram_rows(block: int, docs: pa.Table, trusted: pa.Table, order: int) -> pa.Table:
     """A block's distinct n-grams by language, with their counts in trusted documents."""
     ids = trusted.column("doc_id").to_numpy()
     found: list[tuple[str, list[str], np.ndarray]] = []
@@ -66,7 +68,6 @@ def _gram_rows(docs: pa.Table, trusted: pa.Table, order: int) -> pa.Table:
         _, first, index = np.unique(keys, return_index=True, return_inverse=True)
         count = np.bincount(index, weights=times[owner], minlength=len(first)).astype(np.int64)
         found.append((language, [row[p : p + order] for p in place[first].tolist()], count))
-    block = docs.column("block")[0].as_py() if docs.num_rows else 0
     size = sum(len(g) for _, g, _ in found)
     return pa.table({
         "block": pa.array(np.full(size, block), pa.int64()),
@@ -140,7 +141,7 @@ def _probabilities(counts: DataFrame, order: int) -> DataFrame:
     return known.select("language", "gram", p.alias("p"))
 
 
-def perplexities(docs: DataFrame, labels: DataFrame, order: int = ORDER, block_docs: int = BLOCK_DOCS) -> DataFrame:
+def perplexities(docs: DataFrame, labels: DataFrame, order: int = ORDER, block_docs: int = BLOCK_ROWS) -> DataFrame:
     """(doc_id, language, trusted, n_grams, logp): log probability of every document, one row per input row.
 
     Trusted are documents labelled quality 1 and not toxic. A language's
@@ -150,15 +151,17 @@ def perplexities(docs: DataFrame, labels: DataFrame, order: int = ORDER, block_d
     once, counts come from the same rows, and each n-gram's probability goes
     back to the blocks that asked.
     """
-    count = docs.count()
-    blocks = max(16, -(-count // block_docs))
-    block = lambda: F.pmod(F.xxhash64(F.coalesce("doc_id", F.lit(0))), F.lit(blocks)).alias("block")
+    block = block_of("doc_id", block_count(docs.count(), block_docs))
     docs = typed(docs, doc_id="bigint", lang="string", text="string")
-    docs = docs.select(block(), "doc_id", F.coalesce("lang", F.lit("")).alias("language"), "text")
+    docs = packed(docs.select(block, "doc_id", F.coalesce("lang", F.lit("")).alias("language"), "text"))
     good = labels.filter("quality = 1 AND coalesce(toxic, 0) = 0 AND doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
-    good = good.select(block(), "doc_id")
+    good = good.select(block, "doc_id")
+
+    def counted(key: tuple, d: pa.Table, t: pa.Table) -> pa.Table:
+        rows = unpacked(d)
+        return _gram_rows(key[0].as_py(), rows, t, order) if rows else pa.Table.from_pylist([], _GRAMS)
 
-    grams = docs.groupBy("block").cogroup(good.groupBy("block")).applyInArrow(lambda d, t: _gram_rows(d, t, order), "block long, language string, gram string, count long")
+    grams = docs.groupBy("block").cogroup(good.groupBy("block")).applyInArrow(counted, "block long, language string, gram string, count long")
     counts = grams.groupBy("language", "gram").agg(F.sum("count").alias("c"))
     model = _probabilities(counts, order).select("language", "gram", F.log("p").alias("logp"))
     asked = grams.select("block", "language", "gram").join(model, ["language", "gram"])
@@ -168,15 +171,14 @@ def perplexities(docs: DataFrame, labels: DataFrame, order: int = ORDER, block_d
     )
 
     def scores(d: pa.Table, a: pa.Table) -> pa.Table:
+        rows = unpacked(d)
         ids = a.column("trusted").drop_null().to_numpy()
-        if not d.num_rows:
-            return pa.table({"doc_id": pa.array([], pa.int64()), "language": pa.array([], pa.string()), "trusted": pa.array([], pa.bool_()), "n_grams": pa.array([], pa.int64()), "logp": pa.array([], pa.float64())})
-        return _scores(d, a.filter(a.column("gram").is_valid()), ids, order)
+        return _scores(rows, a.filter(a.column("gram").is_valid()), ids, order) if rows else pa.Table.from_pylist([], _SCORES)
 
     return docs.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(scores, "doc_id long, language string, trusted boolean, n_grams long, logp double")
 
 
-def classify(docs: DataFrame, labels: DataFrame, order: int = ORDER, quantile: float = UPPER_QUANTILE, fence: float = FENCE, block_docs: int = BLOCK_DOCS) -> DataFrame:
+def classify(docs: DataFrame, labels: DataFrame, order: int = ORDER, quantile: float = UPPER_QUANTILE, fence: float = FENCE, block_docs: int = BLOCK_ROWS) -> DataFrame:
     """(doc_id, language, n_grams, perplexity, threshold, kept): the verdict on every row of ``docs``.
 
     Perplexity is per character (ends of words included). A language's

@@ -10,14 +10,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata.llm.blocks import block_count, block_of, packed, unpacked
 from strata.llm.components import checkpointed, components, typed
 from strata.llm.exchange import pairs as key_pairs
 from strata.llm.exchange import shared_keys
 from strata.llm.words import STEP, chunks, mix, windows, word_hashes
 from strata.session import scratch_path
+from strata.sources.store import remove_path
 
-SHINGLE_WORDS = 4
-THRESHOLD = 85  # percent
+#: Near-duplicate defaults: words of a shingle, and similarity in percent.
+SHINGLE_WORDS, THRESHOLD = 5, 80
+#: What the registered query links on.
+QUERY_WORDS, QUERY_THRESHOLD = 4, 85
+#: A group of at most so many classes is compared in one round.
+SMALL_GROUP = 16
+_TEXTS = pa.schema([("class", pa.int64()), ("text", pa.string())])
 _CLASSES = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("class", pa.int64())])
 
 
@@ -34,15 +41,19 @@ def _pieces(low: int, above: int, threshold: int) -> tuple[int, int]:
 
     Sets of Jaccard similarity >= t whose smaller one has a elements differ in
     at most d = a (1 - t) / t. Of d + 1 + spare pieces of two such sketches
-    more than ``spare`` are equal, so one is equal and not empty as soon as
-    one of the two has at most ``spare`` empty pieces. ``spare`` is set well
-    above the number of empty pieces that chance gives.
+    more than ``spare`` are untouched: equal, and made of the same elements.
+    Pieces of less than two elements say little (one frequent shingle alone
+    in its piece would bring together all texts that hold it); as soon as one
+    of the two sketches has at most ``spare`` of them, another piece is equal
+    too. ``spare`` is set above the number that chance gives, as far as that
+    does not thin the pieces further.
     """
     most = (100 - threshold) * (above - 1) // threshold
     spare = 0
-    while most and spare < most // 4 + 2:
-        empty = (most + 1 + spare) * math.exp(-low / (most + 1 + spare))
-        if spare >= empty + 4 * math.sqrt(empty) + 1:
+    while most and spare < most // 2 + 2:
+        mean = low / (most + 1 + spare)
+        weak = (most + 1 + spare) * math.exp(-mean) * (1 + mean)
+        if spare >= weak + 3 * math.sqrt(weak) + 1:
             break
         spare += 1
     return most + 1 + spare, spare
@@ -91,15 +102,33 @@ def _piece_keys(sets: np.ndarray, offsets: np.ndarray, rows: np.ndarray, band: i
     order = np.argsort(slot, kind="stable")
     slot, codes = slot[order], mix((elements & np.uint64(0xFFFFFFFF)) + STEP)[order]
     starts = np.flatnonzero(np.r_[True, slot[1:] != slot[:-1]]) if len(slot) else np.empty(0, np.int64)
-    value, slot = (np.bitwise_xor.reduceat(codes, starts), slot[starts]) if len(starts) else (codes, slot)
-    slot, value = slot[value != 0], value[value != 0]
-    empty = count - np.bincount(slot // count, minlength=len(rows))
-    for i in np.flatnonzero(empty > spare):  # rare: their empty pieces are pieces like any other
-        missing = np.setdiff1d(np.arange(count), slot[slot // count == i] - i * count)
-        slot, value = np.r_[slot, missing + i * count], np.r_[value, np.zeros(len(missing), np.uint64)]
+    if not len(slot):
+        return codes, rows[:0]
+    held = np.diff(np.r_[starts, len(slot)])
+    value, slot = np.bitwise_xor.reduceat(codes, starts), slot[starts]
+    strong = (held > 1) & (value != 0)
+    weak = count - np.bincount(slot[strong] // count, minlength=len(rows))
+    rare = weak > spare  # such a set also lists its weak pieces, the empty ones too
+    keep = strong | rare[slot // count]
+    more = [np.setdiff1d(np.arange(count) + i * count, slot[slot // count == i]) for i in np.flatnonzero(rare)]
+    missing = np.concatenate([np.empty(0, np.int64), *more])
+    slot, value = np.r_[slot[keep], missing], np.r_[value[keep], np.zeros(len(missing), np.uint64)]
     return mix(value ^ mix((slot % count).astype(np.uint64) + np.uint64(band << 32) + STEP)), rows[slot // count]
 
 
+def _joined(labels: DataFrame | None, links: DataFrame) -> DataFrame:
+    """Component labels after more links: components of the components the links connect."""
+    if labels is None:
+        return checkpointed(components(links))
+    for end in "ab":
+        known = labels.select(F.col("node").alias(end), F.col("component").alias("c"))
+        links = links.join(known, end, "left").withColumn(end, F.coalesce("c", end)).drop("c")
+    merged = checkpointed(components(links))
+    old = labels.join(merged.select(F.col("node").alias("component"), F.col("component").alias("c")), "component", "left")
+    old = old.select("node", F.coalesce("c", "component").alias("component"))
+    return checkpointed(old.union(merged.join(labels.select("node"), "node", "left_anti")))
+
+
 def jaccard_components(docs: DataFrame, k: int = SHINGLE_WORDS, threshold: int = THRESHOLD, partitions: int | None = None) -> DataFrame:
     """Link documents whose sets of ``k``-word shingles have a Jaccard similarity of ``threshold`` percent or more.
 
@@ -118,10 +147,11 @@ def jaccard_components(docs: DataFrame, k: int = SHINGLE_WORDS, threshold: int =
     can differ in, so linked classes share a piece (pigeonhole), in the band
     of the smaller set's size. Classes sharing a piece are candidates; they
     are verified on their whole shingle sets. In each group of one piece a
-    few pivots are compared with the others per round, whatever is already
-    linked needs no further comparison, and a group is done when its members
-    are one component or each has been a pivot: no link between components
-    can be missed, and no group is expanded into pairs up front.
+    few pivots are compared with the others per round (8 times as many in
+    each), whatever is already connected needs no further comparison, and a
+    group is done when its members are one component or each has been a
+    pivot: no link between components can be missed, and no large group is
+    expanded into pairs up front.
     """
     spark = docs.sparkSession
     partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -155,7 +185,7 @@ def jaccard_components(docs: DataFrame, k: int = SHINGLE_WORDS, threshold: int =
         if keys:
             yield np.concatenate(keys), np.concatenate(ids)
 
-    def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def pair_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, keys, ids in key_pairs(batch):
                 yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(ids)], ["key", "class"])
@@ -176,52 +206,63 @@ def jaccard_components(docs: DataFrame, k: int = SHINGLE_WORDS, threshold: int =
                     ok[i] = 100 * both >= threshold * (len(x) + len(y) - both)
                 yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b"), pa.array(ok)], ["a", "b", "ok"])
 
-    def own_class(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+    def own_texts(d: pa.Table, w: pa.Table) -> pa.Table:
+        """(class, text) of the wanted classes, from the rows of their documents."""
+        rows = unpacked(d)
+        if rows is None or not w.num_rows:
+            return pa.Table.from_pylist([], _TEXTS)
+        rows = rows.join(w.select(["doc_id", "class"]), "doc_id", join_type="inner").combine_chunks()
+        out = []
+        for batch in rows.to_batches():
             for part in chunks(batch):
                 sets, offsets = shingle_sets(part.column("text"), k)
                 same = _set_ids(sets, offsets) == part.column("class").to_numpy()
-                yield pa.RecordBatch.from_arrays([part.column("class"), part.column("text")], ["class", "text"]).filter(pa.array(same))
+                out.append(part.select(["class", "text"]).filter(pa.array(same)))
+        found = pa.Table.from_batches(out, _TEXTS)
+        first = np.unique(found.column("class").to_numpy(), return_index=True)[1]
+        return found.take(pa.array(first))
 
     members = checkpointed(docs.mapInArrow(classes, "doc_id long, n_shingles long, class long"))
     groups_at, texts_at = scratch_path(spark, "jaccard-groups"), scratch_path(spark, "jaccard-texts")
-    shared_keys(docs.filter("doc_id IS NOT NULL"), pieces, partitions).mapInArrow(unpacked, "key long, class long").distinct().write.parquet(groups_at)
+    sizes = members.groupBy("class").agg(F.first("n_shingles").alias("n"))  # the same for all of a class
+    found = shared_keys(docs.filter("doc_id IS NOT NULL"), pieces, partitions).mapInArrow(pair_rows, "key long, class long")
+    found.join(sizes, "class").write.parquet(groups_at)
     groups = spark.read.parquet(groups_at)
+    block = block_of("doc_id", block_count(members.count()))
     wanted = members.join(groups.select("class").distinct(), "class", "left_semi").groupBy("class").agg(F.min("doc_id").alias("doc_id"))
-    texts = docs.join(wanted, "doc_id").mapInArrow(own_class, "class long, text string").dropDuplicates(["class"])
-    texts.write.parquet(texts_at)
+    wanted = wanted.select(block, "doc_id", "class")
+    told = packed(docs.filter("doc_id IS NOT NULL").select(block, "doc_id", "text")).groupBy("block").cogroup(wanted.groupBy("block"))
+    told.applyInArrow(own_texts, "class long, text string").write.option("compression", "zstd").parquet(texts_at)
     texts = spark.read.parquet(texts_at)
+    text_a, text_b = (texts.select(F.col("class").alias(c), F.col("text").alias(f"text_{c}")) for c in "ab")
 
-    links, tested, pivots = None, None, 1
-    open_groups = groups.withColumn("component", F.col("class"))
-    labels = None
+    labels, tested, links, pivots = None, None, None, 1
+    left = groups.withColumn("component", F.col("class"))
     while True:
-        several = open_groups.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("key")
-        open_groups = checkpointed(open_groups.join(several, "key"))
-        if open_groups.isEmpty():
+        several = left.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("m"))
+        left = checkpointed(left.join(several.filter("x <> y").select("key", "m"), "key"))
+        if left.isEmpty():
             break
         order = F.xxhash64("class", "key")
-        chosen = checkpointed(
-            open_groups.groupBy("key", F.pmod(order, F.lit(pivots)).alias("slot"))
-            .agg(F.min(F.struct(order.alias("order"), "class", "component")).alias("p"))
-            .select("key", F.col("p.class").alias("pivot"), F.col("p.component").alias("pivot_component"))
-        )
-        pairs = open_groups.join(chosen, "key").filter("component <> pivot_component")
+        slot = F.when(F.col("m") <= SMALL_GROUP, F.col("class")).otherwise(F.pmod(order, F.lit(pivots)))
+        pivot = left.groupBy("key", slot.alias("slot")).agg(F.min(F.struct(order.alias("order"), "class", "component", "n")).alias("p"))
+        pivot = pivot.select("key", F.col("p.class").alias("pivot"), F.col("p.component").alias("pivot_component"), F.col("p.n").alias("pivot_n"))
+        fit = 100 * F.least("n", "pivot_n") >= threshold * F.greatest("n", "pivot_n")
+        pairs = left.join(pivot, "key").filter((F.col("component") != F.col("pivot_component")) & fit)
         pairs = pairs.select(F.least("class", "pivot").alias("a"), F.greatest("class", "pivot").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        told = pairs.join(texts.select(F.col("class").alias("b"), F.col("text").alias("text_b")), "b").join(texts.select(F.col("class").alias("a"), F.col("text").alias("text_a")), "a")
-        told = checkpointed(told.select("a", "b", "text_a", "text_b").mapInArrow(verified, "a long, b long, ok boolean"))
+        told = pairs.join(text_b, "b").join(text_a, "a").select("a", "b", "text_a", "text_b")
+        told = checkpointed(told.mapInArrow(verified, "a long, b long, ok boolean"))
+        new = told.filter("ok").select("a", "b")
         tested = told.select("a", "b") if tested is None else tested.union(told.select("a", "b"))
-        found = told.filter("ok").select("a", "b")
-        links = found if links is None else links.union(found)
-        labels = checkpointed(components(links))
-        rest = open_groups.select("key", "class").join(chosen.select("key", F.col("pivot").alias("class")), ["key", "class"], "left_anti")
-        open_groups = rest.join(labels.withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))
-        pivots *= 4
-    for path in (groups_at, texts_at):
-        at = spark._jvm.org.apache.hadoop.fs.Path(path)
-        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+        links = new if links is None else links.union(new)
+        labels = _joined(labels, new)
+        left = left.drop("component", "m").join(pivot.select("key", F.col("pivot").alias("class")), ["key", "class"], "left_anti")
+        left = left.join(labels.withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))
+        pivots *= 8
+    remove_path(spark, groups_at)
+    remove_path(spark, texts_at)
 
     known = members.filter("n_shingles > 0")
     if links is None:
@@ -243,12 +284,12 @@ WITH RECURSIVE texts AS (
     regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
   FROM documents),
 shingles AS (
-  SELECT DISTINCT id, doc_id, CASE WHEN len(words) < {SHINGLE_WORDS} THEN words ELSE words[i : i + {SHINGLE_WORDS - 1}] END AS s
-  FROM (SELECT id, doc_id, words, unnest(range(1, greatest(len(words) - {SHINGLE_WORDS - 2}, 2))) AS i FROM texts WHERE len(words) > 0)),
+  SELECT DISTINCT id, doc_id, CASE WHEN len(words) < {QUERY_WORDS} THEN words ELSE words[i : i + {QUERY_WORDS - 1}] END AS s
+  FROM (SELECT id, doc_id, words, unnest(range(1, greatest(len(words) - {QUERY_WORDS - 2}, 2))) AS i FROM texts WHERE len(words) > 0)),
 sizes AS (SELECT id, doc_id, count(*) AS n FROM shingles GROUP BY id, doc_id),
 common AS (SELECT a.id AS x, b.id AS y, count(*) AS shared FROM shingles a JOIN shingles b ON a.s = b.s AND a.id < b.id GROUP BY ALL),
 links AS (
-  SELECT x, y FROM common JOIN sizes p ON p.id = x JOIN sizes q ON q.id = y WHERE 100 * shared >= {THRESHOLD} * (p.n + q.n - shared)),
+  SELECT x, y FROM common JOIN sizes p ON p.id = x JOIN sizes q ON q.id = y WHERE 100 * shared >= {QUERY_THRESHOLD} * (p.n + q.n - shared)),
 edges AS (SELECT x, y FROM links UNION SELECT y, x FROM links),
 reach AS (SELECT id AS origin, id AS node FROM texts UNION SELECT origin, y FROM reach JOIN edges ON x = node)
 SELECT t.doc_id, coalesce(any_value(s.n), 0)::BIGINT AS n_shingles, min(o.doc_id) AS component_id

@@ -27,7 +27,7 @@ def op3_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    linked = jaccard_join.jaccard_components(_table(spark, sf_dir, "documents"))
+    linked = jaccard_join.jaccard_components(_table(spark, sf_dir, "documents"), jaccard_join.QUERY_WORDS, jaccard_join.QUERY_THRESHOLD)
     return linked.select("doc_id", "n_shingles", "component_id")
 
 

@@ -42,7 +42,7 @@ def docs(spark):
     return spark.createDataFrame(rows, "doc_id long, text string, class string, key int, shared string, component int, repeated binary").repartition(5)
 
 
-def sets(rows, k=4):
+def sets(rows, k):
     out = []
     for i, t in rows:
         w = WORD.findall(re.sub("[A-Z]+", lambda m: m[0].lower(), t or ""))
@@ -50,8 +50,8 @@ def sets(rows, k=4):
     return out
 
 
-def brute_components(rows, threshold=85):
-    known = sets(rows)
+def brute_components(rows, k=5, threshold=80):
+    known = sets(rows, k)
     parent = list(range(len(known)))
 
     def root(x):
@@ -74,9 +74,10 @@ def brute_components(rows, threshold=85):
     )
 
 
-def test_jaccard_components_equal_brute_force(docs):
-    found = jaccard_join.jaccard_components(docs).collect()
-    named, nameless = brute_components(corpus())
+@pytest.mark.parametrize("k, threshold", [(5, 80), (4, 85)])
+def test_jaccard_components_equal_brute_force(docs, k, threshold):
+    found = jaccard_join.jaccard_components(docs, k, threshold).collect()
+    named, nameless = brute_components(corpus(), k, threshold)
     assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in found if r.doc_id is not None) == named
     assert sorted((r.n_shingles, -1 if r.component_id is None else r.component_id) for r in found if r.doc_id is None) == nameless
     assert len({c for _, _, c in named}) < len(named)
@@ -88,7 +89,7 @@ def test_jaccard_at_the_threshold(spark):
     rows = [(1, " ".join(base)), (2, " ".join(over))]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     for threshold, linked in ((98, True), (99, False)):
-        out = {r.doc_id: r.component_id for r in jaccard_join.jaccard_components(df, threshold=threshold).collect()}
+        out = {r.doc_id: r.component_id for r in jaccard_join.jaccard_components(df, k=4, threshold=threshold).collect()}
         assert (out[2] == 1) == linked
 
 

@@ -19,6 +19,8 @@ _BLOCK = pa.schema([("part", pa.int32()), ("settled", pa.bool_()), ("keys", pa.b
 BLOCK_COLUMNS = "part int, settled boolean, keys binary, docs binary"
 _FOUND = pa.schema([("doc_id", pa.int64()), ("keys", pa.binary())])
 SPREAD = np.uint64(0x9E3779B97F4A7C15)
+#: Rows of a batch that goes back to Spark.
+ROWS = 1 << 16
 
 
 def pack(values: np.ndarray) -> bytes:
@@ -83,13 +85,14 @@ def shared_keys(
     extract: Callable[[pa.RecordBatch], Iterator[tuple[np.ndarray, np.ndarray]]],
     partitions: int,
     later: bool = False,
+    as_rows: bool = False,
 ) -> DataFrame:
     """Blocks of (key, document) pairs: the keys of documents that another document holds too.
 
     ``extract`` turns a batch of ``rows`` into arrays (uint64 keys, int64
     documents). With ``later`` a document gets only the keys that a document
-    of smaller id holds. Blocks are read with ``pairs`` or ``by_document``;
-    a pair may come twice. A block is what one batch sends to one of the
+    of smaller id holds. Blocks are read with ``by_document``; ``as_rows``
+    gives rows (key, doc_id) instead. A pair may come twice. A block is what one batch sends to one of the
     ``partitions`` reducers, which hold that share of the distinct
     (batch, key) pairs.
     """
@@ -117,11 +120,16 @@ def shared_keys(
             found[True].append((keys[take], docs[take]))
         if found[True]:
             keys, docs = _distinct(*map(np.concatenate, zip(*found[True])))
+            if as_rows:
+                for a in range(0, len(keys), ROWS):
+                    some = slice(a, a + ROWS)
+                    yield pa.RecordBatch.from_arrays([pa.array(keys[some].view(np.int64)), pa.array(docs[some])], ["key", "doc_id"])
+                return
             part = _parts(docs.view(np.uint64) * SPREAD, partitions)
             order = np.argsort(part, kind="stable")
             yield from _batch(_blocks(part[order], True, keys[order], docs[order]))
 
-    return rows.mapInArrow(combine, BLOCK_COLUMNS).repartitionById(partitions, "part").mapInArrow(reduce, BLOCK_COLUMNS)
+    return rows.mapInArrow(combine, BLOCK_COLUMNS).repartitionById(partitions, "part").mapInArrow(reduce, "key long, doc_id long" if as_rows else BLOCK_COLUMNS)
 
 
 def by_document(blocks: DataFrame, partitions: int) -> DataFrame:

@@ -12,18 +12,21 @@ from pyspark.sql import functions as F
 
 from strata.llm.blocks import block_count, block_of, packed, unpacked
 from strata.llm.components import checkpointed, components, typed
-from strata.llm.exchange import pairs as key_pairs
 from strata.llm.exchange import shared_keys
 from strata.llm.words import STEP, chunks, mix, windows, word_hashes
 from strata.session import scratch_path
 from strata.sources.store import remove_path
 
 #: Near-duplicate defaults: words of a shingle, and similarity in percent.
-SHINGLE_WORDS, THRESHOLD = 5, 80
+SHINGLE_WORDS, THRESHOLD = 5, 85
 #: What the registered query links on.
 QUERY_WORDS, QUERY_THRESHOLD = 4, 85
+#: Bands of sets below this size join pairs of pieces.
+PAIRED_BELOW = 64
 #: A group of at most so many classes is compared in one round.
 SMALL_GROUP = 16
+#: Pieces that a task combines at once (bounds its memory).
+KEYS_AT_ONCE = 400_000
 _TEXTS = pa.schema([("class", pa.int64()), ("text", pa.string())])
 _CLASSES = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("class", pa.int64())])
 
@@ -36,8 +39,8 @@ def _bands(top: int) -> tuple[int, ...]:
     return (*bounds, bounds[-1] * 3 // 2)
 
 
-def _pieces(low: int, above: int, threshold: int) -> tuple[int, int]:
-    """(pieces, spare) of the sketches of a band, for pairs whose smaller set has low <= size < above.
+def _pieces(low: int, above: int, threshold: int) -> tuple[int, int, int]:
+    """(differences, pieces, spare) of a band, for pairs whose smaller set has low <= size < above.
 
     Sets of Jaccard similarity >= t whose smaller one has a elements differ in
     at most d = a (1 - t) / t. Of d + 1 + spare pieces of two such sketches
@@ -46,17 +49,20 @@ def _pieces(low: int, above: int, threshold: int) -> tuple[int, int]:
     in its piece would bring together all texts that hold it); as soon as one
     of the two sketches has at most ``spare`` of them, another piece is equal
     too. ``spare`` is set above the number that chance gives, as far as that
-    does not thin the pieces further.
+    does not thin the pieces further. Small sets have few elements a piece;
+    of their d + 2 pieces two are untouched, and pairs of pieces are joined.
     """
     most = (100 - threshold) * (above - 1) // threshold
+    if above <= PAIRED_BELOW:
+        return most, most + 2, 0
     spare = 0
-    while most and spare < most // 2 + 2:
+    while spare < most // 2 + 2:
         mean = low / (most + 1 + spare)
         weak = (most + 1 + spare) * math.exp(-mean) * (1 + mean)
         if spare >= weak + 3 * math.sqrt(weak) + 1:
             break
         spare += 1
-    return most + 1 + spare, spare
+    return most, most + 1 + spare, spare
 
 
 def shingle_sets(texts: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -94,7 +100,7 @@ def _piece_keys(sets: np.ndarray, offsets: np.ndarray, rows: np.ndarray, band: i
     difference of their sets. A piece is kept as the XOR of the codes of its
     set bits; its key also holds the band and the piece's number.
     """
-    count, spare = _pieces(low, above, threshold)
+    _, count, spare = _pieces(low, above, threshold)
     sizes = np.diff(offsets)[rows]
     at = np.repeat(offsets[rows] - np.r_[0, np.cumsum(sizes)[:-1]], sizes) + np.arange(sizes.sum())
     elements = mix(sets[at] + np.uint64((band + 1) * int(STEP) % (1 << 64)))
@@ -106,6 +112,13 @@ def _piece_keys(sets: np.ndarray, offsets: np.ndarray, rows: np.ndarray, band: i
         return codes, rows[:0]
     held = np.diff(np.r_[starts, len(slot)])
     value, slot = np.bitwise_xor.reduceat(codes, starts), slot[starts]
+    if above <= PAIRED_BELOW:
+        sketch = np.zeros(len(rows) * count, np.uint64)
+        sketch[slot] = value
+        i, j = np.triu_indices(count, 1)
+        name = mix((i * count + j).astype(np.uint64) + np.uint64(band << 32) + STEP)
+        sketch = sketch.reshape(-1, count)
+        return mix(mix(sketch[:, i] ^ name) + sketch[:, j]).ravel(), np.repeat(rows, len(i))
     strong = (held > 1) & (value != 0)
     weak = count - np.bincount(slot[strong] // count, minlength=len(rows))
     rare = weak > spare  # such a set also lists its weak pieces, the empty ones too
@@ -178,18 +191,16 @@ def jaccard_components(docs: DataFrame, k: int = SHINGLE_WORDS, threshold: int =
                 low, above = int(bounds[band]), int(bounds[band + 1])
                 # members, and larger sets that a member of the band may be linked with
                 rows = fresh[(own == band) | ((own > band) & (100 * (above - 1) >= threshold * sizes[fresh]))]
-                if len(rows) and _pieces(low, above, threshold)[0] > 1:  # else only equal sets link
+                if len(rows) and _pieces(low, above, threshold)[0]:  # else only equal sets link
                     found, at = _piece_keys(sets, offsets, rows, band, low, above, threshold)
                     keys.append(found)
                     ids.append(named[at])
+            if sum(map(len, keys)) >= KEYS_AT_ONCE:
+                yield np.concatenate(keys), np.concatenate(ids)
+                keys, ids = [], []
         if keys:
             yield np.concatenate(keys), np.concatenate(ids)
 
-    def pair_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for _, keys, ids in key_pairs(batch):
-                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(ids)], ["key", "class"])
-
     def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in chunks(batch, "text_b"):
@@ -225,7 +236,7 @@ def jaccard_components(docs: DataFrame, k: int = SHINGLE_WORDS, threshold: int =
     members = checkpointed(docs.mapInArrow(classes, "doc_id long, n_shingles long, class long"))
     groups_at, texts_at = scratch_path(spark, "jaccard-groups"), scratch_path(spark, "jaccard-texts")
     sizes = members.groupBy("class").agg(F.first("n_shingles").alias("n"))  # the same for all of a class
-    found = shared_keys(docs.filter("doc_id IS NOT NULL"), pieces, partitions).mapInArrow(pair_rows, "key long, class long")
+    found = shared_keys(docs.filter("doc_id IS NOT NULL"), pieces, partitions, as_rows=True).withColumnRenamed("doc_id", "class")
     found.join(sizes, "class").write.parquet(groups_at)
     groups = spark.read.parquet(groups_at)
     block = block_of("doc_id", block_count(members.count()))

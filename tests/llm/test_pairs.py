@@ -50,7 +50,7 @@ def sets(rows, k):
     return out
 
 
-def brute_components(rows, k=5, threshold=80):
+def brute_components(rows, k=5, threshold=85):
     known = sets(rows, k)
     parent = list(range(len(known)))
 
@@ -74,7 +74,7 @@ def brute_components(rows, k=5, threshold=80):
     )
 
 
-@pytest.mark.parametrize("k, threshold", [(5, 80), (4, 85)])
+@pytest.mark.parametrize("k, threshold", [(5, 85), (4, 85), (3, 80)])
 def test_jaccard_components_equal_brute_force(docs, k, threshold):
     found = jaccard_join.jaccard_components(docs, k, threshold).collect()
     named, nameless = brute_components(corpus(), k, threshold)
@@ -123,9 +123,25 @@ def test_empty_table(spark, run):
 
 
 def test_pieces_leave_an_equal_one():
-    for low, above in ((6, 9), (42, 63), (316, 474), (5000, 7500)):
-        pieces, spare = jaccard_join._pieces(low, above, 85)
-        assert pieces - 15 * (above - 1) // 85 > spare >= 0
+    for low, above in ((6, 9), (42, 63), (94, 141), (316, 474), (5000, 7500)):
+        most, pieces, spare = jaccard_join._pieces(low, above, 85)
+        assert most == 15 * (above - 1) // 85
+        assert pieces - most >= (2 if above <= jaccard_join.PAIRED_BELOW else spare + 1)
+
+
+def test_short_texts_with_words_added_and_dropped(spark):
+    rng = random.Random(6)
+    rows = []
+    for f in range(12):
+        base = text(rng, rng.randrange(8, 60), 10**6).split()
+        for _ in range(12):
+            copy = list(base)
+            for _ in range(rng.randrange(0, 4)):
+                at = rng.choice([0, len(copy)])
+                copy[at:at] = [f"x{rng.randrange(30)}"]
+            rows.append((len(rows), " ".join(copy[rng.randrange(0, 3) :])))
+    out = jaccard_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in out) == brute_components(rows)[0]
 
 
 def brute_removed(rows, n=13):

@@ -244,7 +244,7 @@ def test_pipeline_stages(spark, tmp_path):
     rows += [(300, " ".join([*copy[:40], "changed", *copy[41:]]), "en", "s0"), (301, rows[5][1], "en", "s1")]
     item = prose(30)
     rows += [(302, f"{prose(30)} {item} {prose(30)}", "en", "s2"), (303, "$$%% ##&& " * 60, "en", "s1"), (304, None, "en", None)]
-    rows += [(305, prose(600) + " write to someone@mail.example.org soon", "en", "s3")]
+    rows += [(305, prose(5000) + " write to someone@mail.example.org soon", "en", "s3")]
     docs = spark.createDataFrame([(*r, len(r[1] or "")) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
     at = str(tmp_path)
     docs.write.parquet(f"{at}/documents.parquet")

@@ -14,6 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from strata.llm import decontaminate, jaccard_join, mix, pii, quality_model
 from strata.session import scratch_path
 
+#: Near duplicates: words of a shingle, and least similarity in percent (op4's query has its own).
+NEAR_WORDS, NEAR_THRESHOLD = 5, 80
+
 
 def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose doc_id is in ``ids`` (one column; null matches null)."""
@@ -29,7 +32,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked documents the one with the least doc_id."""
-    groups = jaccard_join.jaccard_components(docs)
+    groups = jaccard_join.jaccard_components(docs, NEAR_WORDS, NEAR_THRESHOLD)
     return _only(docs, groups.filter("doc_id IS NULL OR doc_id = component_id").select("doc_id"))
 
 

@@ -268,3 +268,12 @@ def test_pipeline_stages(spark, tmp_path):
     assert {r.doc_id for r in last} <= clean | {305} and all(0 < r.taken <= 3 * r.size for r in last)
     want = mix.mix_sources(now).filter("taken > 0").collect()
     assert sorted(map(str, last)) == sorted(map(str, want))
+
+
+def test_near_duplicate_stage_links_from_80_percent(spark):
+    base = [f"a{i}" for i in range(104)]  # 100 shingles of five words
+    copy = lambda name, n: " ".join(f"{name}{w}" for w in base[: len(base) - n] + [f"b{i}" for i in range(n)])  # noqa: E731  n shingles differ on each side
+    rows = [(1, copy("x", 0)), (2, copy("x", 10)), (3, copy("y", 0)), (4, copy("y", 12))]  # 90 of 110, 88 of 112
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = corpus_pipeline.near_duplicates(spark, docs, "").collect()
+    assert sorted(r.doc_id for r in kept) == [1, 3, 4]

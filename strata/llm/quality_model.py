@@ -21,6 +21,8 @@ FLOOR = 1 / 0x110000
 #: Log perplexity above median + FENCE * (upper quantile - median) of trusted text is rejected.
 UPPER_QUANTILE, FENCE = 0.99, 2.0
 BIN = 0.001
+#: Characters of whole texts that are taken apart at once (bounds a task's arrays).
+CHUNK_CHARS = 1 << 20
 
 _GRAMS = pa.schema([("block", pa.int64()), ("language", pa.string()), ("gram", pa.string()), ("count", pa.int64())])
 _SCORES = pa.schema([("doc_id", pa.int64()), ("language", pa.string()), ("trusted", pa.bool_()), ("n_grams", pa.int64()), ("logp", pa.float64())])
@@ -37,6 +39,31 @@ def _word_grams(words: list[str], order: int) -> tuple[str, np.ndarray, np.ndarr
     return row, windows(codes + np.uint64(1), order)[place], place, owner
 
 
+def _text_grams(codes: np.ndarray, words: list[str], offsets: np.ndarray, order: int) -> Iterator[tuple[np.ndarray, pa.DictionaryArray, np.ndarray]]:
+    """All n-grams of some texts at a time, across the ends of words: (their characters, key of each n-gram, index of its text).
+
+    The characters are a row for each distinct key, in the order of the dictionary.
+    """
+    letters = np.frombuffer("".join(w + END for w in words).encode("utf-32-le"), np.uint32)
+    sizes = np.fromiter(map(len, words), np.int64, len(words)) + 1
+    starts = np.cumsum(sizes) - sizes
+    length = np.diff(np.r_[0, np.cumsum(sizes[codes])][offsets])
+    piece = np.cumsum(length) // CHUNK_CHARS
+    cuts = np.flatnonzero(np.r_[True, piece[1:] != piece[:-1]])
+    for a, b in zip(cuts, np.r_[cuts[1:], len(length)]):
+        some = codes[offsets[a] : offsets[b]]
+        n = sizes[some]
+        at = np.repeat(starts[some] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        owner = np.repeat(np.arange(a, b), length[a:b])
+        place = np.arange(len(at)) + (owner - a) * (order - 1)
+        row = np.full(len(at) + (b - a) * (order - 1), ord(START), np.uint32)
+        row[place + order - 1] = letters[at]
+        keys = pa.array(windows(row.astype(np.uint64) + np.uint64(1), order)[place]).dictionary_encode()
+        first = np.empty(len(keys.dictionary), np.int64)
+        first[keys.indices.to_numpy()[::-1]] = place[::-1]
+        yield row[first[:, None] + np.arange(order)], keys, owner
+
+
 def _gram_keys(grams: list[str], order: int) -> np.ndarray:
     codes = np.frombuffer("".join(grams).encode("utf-32-le"), np.uint32).astype(np.uint64) + np.uint64(1)
     return windows(codes, order)[::order]
@@ -54,7 +81,7 @@ def _text(table: pa.Table) -> pa.Array:
     return column if isinstance(column, pa.Array) else pa.concat_arrays(column.chunks)
 
 
-def _gram_rows(block: int, docs: pa.Table, trusted: pa.Table, order: int) -> pa.Table:
+def _gram_rows(block: int, docs: pa.Table, trusted: pa.Table, order: int, across: bool) -> pa.Table:
     """A block's distinct n-grams by language, with their counts in trusted documents."""
     ids = trusted.column("doc_id").to_numpy()
     found: list[tuple[str, list[str], np.ndarray]] = []
@@ -63,6 +90,16 @@ def _gram_rows(block: int, docs: pa.Table, trusted: pa.Table, order: int) -> pa.
         if not len(codes):
             continue
         good = np.isin(rows.column("doc_id").fill_null(0).to_numpy(), ids) & rows.column("doc_id").is_valid().to_numpy()
+        if across:
+            names, keys, counts = [], [], []
+            for chars, some, owner in _text_grams(codes, vocabulary.to_pylist(), offsets, order):
+                names.append(chars)
+                keys.append(some.dictionary.to_numpy())
+                counts.append(np.bincount(some.indices.to_numpy(), weights=good[owner], minlength=len(chars)))
+            _, first, index = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
+            row = np.concatenate(names)[first].tobytes().decode("utf-32-le")
+            found.append((language, [row[p : p + order] for p in range(0, len(row), order)], np.bincount(index, weights=np.concatenate(counts)).astype(np.int64)))
+            continue
         times = np.bincount(codes[np.repeat(good, np.diff(offsets))], minlength=len(vocabulary))
         row, keys, place, owner = _word_grams(vocabulary.to_pylist(), order)
         _, first, index = np.unique(keys, return_index=True, return_inverse=True)
@@ -77,7 +114,7 @@ def _gram_rows(block: int, docs: pa.Table, trusted: pa.Table, order: int) -> pa.
     })
 
 
-def _scores(docs: pa.Table, grams: pa.Table, trusted: pa.Table, order: int) -> pa.Table:
+def _scores(docs: pa.Table, grams: pa.Table, trusted: pa.Table, order: int, across: bool) -> pa.Table:
     """Log probability and n-gram count of each document of a block."""
     known = dict(_by_language(grams))
     parts = []
@@ -89,12 +126,18 @@ def _scores(docs: pa.Table, grams: pa.Table, trusted: pa.Table, order: int) -> p
             keys, logs = _gram_keys(model.column("gram").to_pylist(), order), model.column("logp").to_numpy()
             by = np.argsort(keys)
             keys, logs = keys[by], logs[by]
-            _, wanted, _, owner = _word_grams(vocabulary.to_pylist(), order)
-            at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-            word = np.bincount(owner, weights=logs[at], minlength=len(vocabulary))
-            text = np.repeat(np.arange(rows.num_rows), np.diff(offsets))
-            total = np.bincount(text, weights=word[codes], minlength=rows.num_rows)
-            size = np.bincount(text, weights=np.bincount(owner, minlength=len(vocabulary))[codes], minlength=rows.num_rows).astype(np.int64)
+            if across:
+                for _, wanted, owner in _text_grams(codes, vocabulary.to_pylist(), offsets, order):
+                    at = np.minimum(np.searchsorted(keys, wanted.dictionary.to_numpy()), len(keys) - 1)
+                    total += np.bincount(owner, weights=logs[at][wanted.indices.to_numpy()], minlength=rows.num_rows)
+                    size += np.bincount(owner, minlength=rows.num_rows)
+            else:
+                _, wanted, _, owner = _word_grams(vocabulary.to_pylist(), order)
+                at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+                word = np.bincount(owner, weights=logs[at], minlength=len(vocabulary))
+                text = np.repeat(np.arange(rows.num_rows), np.diff(offsets))
+                total = np.bincount(text, weights=word[codes], minlength=rows.num_rows)
+                size = np.bincount(text, weights=np.bincount(owner, minlength=len(vocabulary))[codes], minlength=rows.num_rows).astype(np.int64)
         good = rows.column("doc_id").is_valid().to_numpy() & np.isin(rows.column("doc_id").fill_null(0).to_numpy(), trusted)
         parts.append(pa.table({"doc_id": rows.column("doc_id"), "language": rows.column("language"), "trusted": pa.array(good), "n_grams": pa.array(size), "logp": pa.array(total)}))
     return pa.concat_tables(parts)
@@ -141,12 +184,14 @@ def _probabilities(counts: DataFrame, order: int) -> DataFrame:
     return known.select("language", "gram", p.alias("p"))
 
 
-def perplexities(docs: DataFrame, labels: DataFrame, order: int = ORDER, block_docs: int = BLOCK_ROWS) -> DataFrame:
+def perplexities(docs: DataFrame, labels: DataFrame, order: int = ORDER, block_docs: int = BLOCK_ROWS, across: bool = False) -> DataFrame:
     """(doc_id, language, trusted, n_grams, logp): log probability of every document, one row per input row.
 
     Trusted are documents labelled quality 1 and not toxic. A language's
     model is trained on all its trusted text: words with marks around them,
-    n-grams of characters. Documents go to blocks by a hash of their id (one
+    n-grams of characters. ``across``: n-grams run on from word to word (one
+    mark between them, start marks only before the text), so that the order
+    of words counts. Documents go to blocks by a hash of their id (one
     shuffle of the text, used twice); a block asks for its distinct n-grams
     once, counts come from the same rows, and each n-gram's probability goes
     back to the blocks that asked.
@@ -159,7 +204,7 @@ def perplexities(docs: DataFrame, labels: DataFrame, order: int = ORDER, block_d
 
     def counted(key: tuple, d: pa.Table, t: pa.Table) -> pa.Table:
         rows = unpacked(d)
-        return _gram_rows(key[0].as_py(), rows, t, order) if rows else pa.Table.from_pylist([], _GRAMS)
+        return _gram_rows(key[0].as_py(), rows, t, order, across) if rows else pa.Table.from_pylist([], _GRAMS)
 
     grams = docs.groupBy("block").cogroup(good.groupBy("block")).applyInArrow(counted, "block long, language string, gram string, count long")
     counts = grams.groupBy("language", "gram").agg(F.sum("count").alias("c"))
@@ -173,7 +218,7 @@ def perplexities(docs: DataFrame, labels: DataFrame, order: int = ORDER, block_d
     def scores(d: pa.Table, a: pa.Table) -> pa.Table:
         rows = unpacked(d)
         ids = a.column("trusted").drop_null().to_numpy()
-        return _scores(rows, a.filter(a.column("gram").is_valid()), ids, order) if rows else pa.Table.from_pylist([], _SCORES)
+        return _scores(rows, a.filter(a.column("gram").is_valid()), ids, order, across) if rows else pa.Table.from_pylist([], _SCORES)
 
     return docs.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(scores, "doc_id long, language string, trusted boolean, n_grams long, logp double")
 
@@ -181,7 +226,8 @@ def perplexities(docs: DataFrame, labels: DataFrame, order: int = ORDER, block_d
 def classify(docs: DataFrame, labels: DataFrame, order: int = ORDER, quantile: float = UPPER_QUANTILE, fence: float = FENCE, block_docs: int = BLOCK_ROWS) -> DataFrame:
     """(doc_id, language, n_grams, perplexity, threshold, kept): the verdict on every row of ``docs``.
 
-    Perplexity is per character (ends of words included). A language's
+    Perplexity is per character (ends of words included), each after the
+    characters before it, those of the words before too. A language's
     threshold comes from the quantiles of its trusted documents' log
     perplexity: median + ``fence`` * (upper quantile - median), so that text
     like the trusted is kept whatever its spread; quantiles are read off a
@@ -192,7 +238,7 @@ def classify(docs: DataFrame, labels: DataFrame, order: int = ORDER, quantile: f
     judged each by its own text (without an id never trusted). Empty tables
     give no rows; other columns are ignored.
     """
-    scored = checkpointed(perplexities(docs, labels, order, block_docs))
+    scored = checkpointed(perplexities(docs, labels, order, block_docs, across=True))
     scored = scored.withColumn("surprise", F.when(F.col("n_grams") > 0, -F.col("logp") / F.col("n_grams")))
     bins = scored.filter("trusted AND surprise IS NOT NULL").groupBy("language", F.round(F.col("surprise") / BIN).cast("long").alias("bin")).agg(F.count("*").alias("n"))
     running = bins.withColumn("up_to", F.sum("n").over(Window.partitionBy("language").orderBy("bin"))).withColumn("all", F.sum("n").over(Window.partitionBy("language")))

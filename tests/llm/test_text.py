@@ -246,6 +246,39 @@ def test_classifier_keeps_clean_text_and_rejects_noise(spark):
     assert all(r.kept for r in quality_model.classify(d, lab.limit(0)).filter("n_grams > 0").collect())
 
 
+def test_perplexity_across_words_equals_a_plain_model(spark, monkeypatch):
+    import math
+
+    monkeypatch.setattr(quality_model, "CHUNK_CHARS", 150)
+    rng = random.Random(4)
+    prose = lambda n: " ".join("".join(rng.choice("aabbcdeé") for _ in range(rng.randrange(1, 6))) for _ in range(n))
+    texts = {i: prose(15) for i in range(20)} | {30: "abc", 31: None, 32: " ", 33: "ZZ! a  b\n"}
+    d = spark.createDataFrame(list(texts.items()), "doc_id long, text string").selectExpr("doc_id", "'en' AS lang", "text")
+    lab = spark.createDataFrame([(i, 1, 0) for i in range(12)], "doc_id long, quality int, toxic int")
+    whole = {i: "\x02".join((t or "").split()) for i, t in texts.items()}
+    model = brute_model([whole[i] for i in range(12)], 3)
+    for r in quality_model.perplexities(d, lab, order=3, across=True).collect():
+        row = "\x01\x01" + whole[r.doc_id] + "\x02" if whole[r.doc_id] else ""
+        grams = ["".join(g) for g in zip(row, row[1:], row[2:])]
+        assert r.n_grams == len(grams)
+        assert math.isclose(r.logp, sum(math.log(model(g)) for g in grams), rel_tol=1e-9, abs_tol=1e-9)
+
+
+def test_classifier_hears_the_order_of_words(spark):
+    """A repeated word and shuffled words are made of trusted words, but do not read like trusted text."""
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice(["the", "an", "in", "er", "re", "ing"]) for _ in range(rng.randrange(1, 4)))
+    sentence = lambda: " ".join([word().capitalize(), *[word() for _ in range(6)]]) + "."
+    texts = [" ".join(sentence() for _ in range(12)) for _ in range(200)]
+    shuffled = [" ".join(rng.sample(t.split(), len(t.split()))) for t in texts[:20]]
+    rows = [*enumerate(texts), *enumerate(["Thean " * 80, "Rein. " * 80], 300), *enumerate(shuffled, 400)]
+    d = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("doc_id", "'en' AS lang", "text")
+    lab = spark.createDataFrame([(i, 1, 0) for i in range(0, 200, 2)], "doc_id long, quality int, toxic int")
+    kept = {r.doc_id: r.kept for r in quality_model.classify(d, lab).collect()}
+    assert all(kept[i] for i in range(200))
+    assert not kept[300] and not any(kept[400 + i] for i in range(20))
+
+
 def test_license_scan_finds_families(spark):
     rng = random.Random(3)
     prose = lambda n: " ".join("".join(rng.choice(["the", "an", "in", "er", "re", "ing", "of"]) for _ in range(rng.randrange(1, 4))) for _ in range(n))

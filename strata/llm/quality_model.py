@@ -21,6 +21,9 @@ FLOOR = 1 / 0x110000
 #: Log perplexity above median + FENCE * (upper quantile - median) of trusted text is rejected.
 UPPER_QUANTILE, FENCE = 0.99, 2.0
 BIN = 0.001
+WIDE_BIN = 0.05
+#: Classes of length per doubling, to tell long trusted documents from short ones.
+LENGTH_CLASSES = 4
 #: Characters of whole texts that are taken apart at once (bounds a task's arrays).
 CHUNK_CHARS = 1 << 20
 
@@ -223,6 +226,14 @@ def perplexities(docs: DataFrame, labels: DataFrame, order: int = ORDER, block_d
     return docs.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(scores, "doc_id long, language string, trusted boolean, n_grams long, logp double")
 
 
+def _quantiles(rows: DataFrame, value: Column, q: float, name: str, width: float = BIN) -> DataFrame:
+    """(language, ``name``): a quantile of a value, read off a histogram."""
+    bins = rows.groupBy("language", F.round(value / width).cast("long").alias("bin")).agg(F.count("*").alias("n"))
+    whole = Window.partitionBy("language")
+    running = bins.withColumns({"up_to": F.sum("n").over(whole.orderBy("bin")), "all": F.sum("n").over(whole)})
+    return running.groupBy("language").agg((F.min(F.when(F.col("up_to") >= q * F.col("all"), F.col("bin"))) * width).alias(name))
+
+
 def classify(docs: DataFrame, labels: DataFrame, order: int = ORDER, quantile: float = UPPER_QUANTILE, fence: float = FENCE, block_docs: int = BLOCK_ROWS) -> DataFrame:
     """(doc_id, language, n_grams, perplexity, threshold, kept): the verdict on every row of ``docs``.
 
@@ -230,8 +241,11 @@ def classify(docs: DataFrame, labels: DataFrame, order: int = ORDER, quantile: f
     characters before it, those of the words before too. A language's
     threshold comes from the quantiles of its trusted documents' log
     perplexity: median + ``fence`` * (upper quantile - median), so that text
-    like the trusted is kept whatever its spread; quantiles are read off a
-    histogram of width 0.001. Documents above it are rejected. A language
+    like the trusted is kept whatever its spread. The upper quantile is that
+    of the longer half of them; as the mean of few n-grams varies more, the
+    shorter half gives a quantile of (log perplexity - median) * sqrt(n-grams),
+    and a document's limit is the wider of the two at its own length.
+    Quantiles are read off histograms. Documents above it are rejected. A language
     without trusted text has no threshold and keeps all its documents. Null
     and empty texts have no perplexity and are rejected. A null lang is a
     language of its own (``""``). Rows that repeat a doc_id or have none are
@@ -240,10 +254,14 @@ def classify(docs: DataFrame, labels: DataFrame, order: int = ORDER, quantile: f
     """
     scored = checkpointed(perplexities(docs, labels, order, block_docs, across=True))
     scored = scored.withColumn("surprise", F.when(F.col("n_grams") > 0, -F.col("logp") / F.col("n_grams")))
-    bins = scored.filter("trusted AND surprise IS NOT NULL").groupBy("language", F.round(F.col("surprise") / BIN).cast("long").alias("bin")).agg(F.count("*").alias("n"))
-    running = bins.withColumn("up_to", F.sum("n").over(Window.partitionBy("language").orderBy("bin"))).withColumn("all", F.sum("n").over(Window.partitionBy("language")))
-    at = lambda q: F.min(F.when(F.col("up_to") >= q * F.col("all"), F.col("bin"))) * BIN
-    limits = running.groupBy("language").agg(at(0.5).alias("median"), at(quantile).alias("upper"))
-    limits = limits.select("language", (F.col("median") + fence * (F.col("upper") - F.col("median"))).alias("limit"))
+    good = scored.filter("trusted AND surprise IS NOT NULL").withColumn("length", F.floor(LENGTH_CLASSES * F.log2("n_grams")))
+    middle = _quantiles(good, F.col("surprise"), 0.5, "median").join(_quantiles(good, F.col("length"), 0.5, "middle", 1), "language")
+    good = good.join(middle, "language").withColumns({"long": F.col("length") >= F.col("middle"), "far": F.col("surprise") - F.col("median")})
+    far = _quantiles(good.filter("long"), F.col("far"), quantile, "far")
+    wide = _quantiles(good.filter("NOT long"), F.col("far") * F.sqrt("n_grams"), quantile, "wide", WIDE_BIN)
+    limits = middle.join(far, "language").join(wide, "language", "left")
+    scored = scored.join(limits, "language", "left")
+    by_length = F.coalesce(F.col("wide"), F.lit(0.0)) / F.sqrt(F.greatest("n_grams", F.lit(1)))
+    scored = scored.withColumn("limit", F.col("median") + F.when(F.col("far").isNotNull(), fence * F.greatest(F.col("far"), by_length, F.lit(0.0))))
     kept = F.col("surprise").isNotNull() & (F.col("limit").isNull() | (F.col("surprise") <= F.col("limit")))
-    return scored.join(limits, "language", "left").select("doc_id", "language", "n_grams", F.exp("surprise").alias("perplexity"), F.exp("limit").alias("threshold"), kept.alias("kept"))
+    return scored.select("doc_id", "language", "n_grams", F.exp("surprise").alias("perplexity"), F.exp("limit").alias("threshold"), kept.alias("kept"))

@@ -279,6 +279,21 @@ def test_classifier_hears_the_order_of_words(spark):
     assert not kept[300] and not any(kept[400 + i] for i in range(20))
 
 
+def test_classifier_keeps_short_clean_text(spark):
+    """The mean of few n-grams varies more; long noise is still rejected, and short noise too."""
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choices(["the", "an", "in", "er", "re", "ing", "ou", "xy"], [30, 20, 20, 10, 10, 10, 2, 1])[0] for _ in range(rng.randrange(1, 4)))
+    prose = lambda n: " ".join(word() for _ in range(n))
+    rows = [(i, prose(150)) for i in range(400)] + [(i, prose(rng.choice([1, 2, 3, 4]))) for i in range(400, 500)]
+    rows += [(500, "$%& XQZ! #$%"), (501, "#$%&XQZ! " * 60), (502, prose(75) + " QZXJ!" * 40)]
+    d = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("doc_id", "'en' AS lang", "text")
+    lab = spark.createDataFrame([(i, 1, 0) for i in [*range(400), 400, 401]], "doc_id long, quality int, toxic int")
+    out = {r.doc_id: r for r in quality_model.classify(d, lab).collect()}
+    assert all(out[i].kept for i in range(400)) and sum(out[i].kept for i in range(400, 500)) >= 99
+    assert not any(out[i].kept for i in (500, 501, 502))
+    assert out[500].threshold > out[501].threshold
+
+
 def test_license_scan_finds_families(spark):
     rng = random.Random(3)
     prose = lambda n: " ".join("".join(rng.choice(["the", "an", "in", "er", "re", "ing", "of"]) for _ in range(rng.randrange(1, 4))) for _ in range(n))

@@ -235,12 +235,12 @@ def joined(spans: list[Span]) -> str:
 
 
 def masked(text: str, spans: list[Span]) -> str:
-    """The text with each span replaced by its kind in angle brackets; of overlapping spans the first counts."""
+    """The text with each span replaced by its kind in angle brackets; overlapping spans are one, of the first's kind."""
     out, at = [], 0
     for kind, a, b in spans:
         if a >= at:
             out += [text[at:a], f"<{kind}>"]
-            at = b
+        at = max(at, b)
     return "".join([*out, text[at:]])
 
 

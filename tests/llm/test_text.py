@@ -142,6 +142,14 @@ def test_crf_carries_labels_to_repeated_numbers(spark):
     assert sorted(map(str, again)) == sorted(map(str, pii.digest(pii.find_spans(df)).collect()))
 
 
+def test_partly_overlapping_spans_are_masked_whole():
+    text = "10.0.0.0 4111 1111 1111 1111"
+    assert pii.base_spans(text) == [("ip", 0, 8), ("card", 7, 28)]
+    assert pii.masked(text, pii.base_spans(text)) == "<ip>"
+    assert pii.masked("a bcd ef", [("phone", 0, 5), ("card", 2, 4), ("ip", 6, 8)]) == "<phone> <ip>"
+    assert pii.masked("abcd", [("ip", 0, 2), ("card", 2, 4)]) == "<ip><card>"
+
+
 def test_masked_documents_keep_their_shape(spark):
     df = spark.createDataFrame([(1, "mail a@b.org now", 16, "s"), (2, None, None, None), (None, "plain", 5, "s")], "doc_id long, text string, n_chars long, source string")
     out = pii.mask_documents(df)

@@ -17,9 +17,9 @@ def block_count(rows: int, block_rows: int = BLOCK_ROWS) -> int:
     return max(16, -(-rows // block_rows))
 
 
-def block_of(column: str, blocks: int) -> Column:
-    """The block of a value (null: one block)."""
-    return F.pmod(F.xxhash64(F.coalesce(column, F.lit(0))), F.lit(blocks)).alias("block")
+def block_of(column: str, blocks: int, *more: str) -> Column:
+    """The block of a value (null: one block), or of a value and those of ``more`` columns."""
+    return F.pmod(F.xxhash64(F.coalesce(column, F.lit(0)), *more), F.lit(blocks)).alias("block")
 
 
 def packed(df: DataFrame) -> DataFrame:

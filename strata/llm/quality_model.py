@@ -194,16 +194,18 @@ def perplexities(docs: DataFrame, labels: DataFrame, order: int = ORDER, block_d
     model is trained on all its trusted text: words with marks around them,
     n-grams of characters. ``across``: n-grams run on from word to word (one
     mark between them, start marks only before the text), so that the order
-    of words counts. Documents go to blocks by a hash of their id (one
+    of words counts. Documents go to blocks by a hash of their id and text,
+    so that rows without an id, or with the same one, are dealt out too (one
     shuffle of the text, used twice); a block asks for its distinct n-grams
     once, counts come from the same rows, and each n-gram's probability goes
     back to the blocks that asked.
     """
-    block = block_of("doc_id", block_count(docs.count(), block_docs))
+    block = block_of("doc_id", block_count(docs.count(), block_docs), "text")
     docs = typed(docs, doc_id="bigint", lang="string", text="string")
+    where = docs.filter("doc_id IS NOT NULL").select("doc_id", block).distinct()
     docs = packed(docs.select(block, "doc_id", F.coalesce("lang", F.lit("")).alias("language"), "text"))
     good = labels.filter("quality = 1 AND coalesce(toxic, 0) = 0 AND doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
-    good = good.select(block, "doc_id")
+    good = where.join(good, "doc_id", "left_semi").select("block", "doc_id")  # every block that has rows of a trusted id
 
     def counted(key: tuple, d: pa.Table, t: pa.Table) -> pa.Table:
         rows = unpacked(d)

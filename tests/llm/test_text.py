@@ -302,6 +302,25 @@ def test_classifier_keeps_short_clean_text(spark):
     assert out[500].threshold > out[501].threshold
 
 
+def test_rows_without_or_with_one_id_are_dealt_out(spark, monkeypatch):
+    rng = random.Random(6)
+    prose = lambda: " ".join("".join(rng.choice("abcde") for _ in range(4)) for _ in range(8))
+    rows = [(None, prose()) for _ in range(300)] + [(7, prose()) for _ in range(300)] + [(1000 + i, prose()) for i in range(300)]
+    d = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("doc_id", "'en' AS lang", "text")
+    lab = spark.createDataFrame([(7, 1, 0), (1000, 1, 0)], "doc_id long, quality int, toxic int")
+    dealt, packed = [], quality_model.packed
+    monkeypatch.setattr(quality_model, "packed", lambda df: (dealt.append(df), packed(df))[1])
+    out = quality_model.perplexities(d, lab, 3, 20, True).collect()
+    assert dealt[0].groupBy("block").count().agg(F.max("count")).first()[0] < 60
+    assert len(out) == len(rows) and sum(r.trusted for r in out) == 301
+    assert all(r.trusted == (r.doc_id in (7, 1000)) for r in out)
+    model = brute_model(["\x02".join(t.split()) for i, t in rows if i in (7, 1000)], 3)
+    import math
+
+    want = sorted(sum(math.log(model("".join(g))) for g in zip(row, row[1:], row[2:])) for i, t in rows if i is None for row in ["\x01\x01" + "\x02".join(t.split()) + "\x02"])
+    assert sorted(r.logp for r in out if r.doc_id is None) == pytest.approx(want)
+
+
 def test_license_scan_finds_families(spark):
     rng = random.Random(3)
     prose = lambda n: " ".join("".join(rng.choice(["the", "an", "in", "er", "re", "ing", "of"]) for _ in range(rng.randrange(1, 4))) for _ in range(n))

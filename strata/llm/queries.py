@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import chat, decontaminate, jaccard_join, license_scan, mix, pii, quality_model, quality_rules, substring_dedup, url_rules
+from strata.llm import chat, decontaminate, dialogue_repair, jaccard_join, license_scan, mix, multi_index, pii, quality_model, quality_rules, spelling, substring_dedup, url_rules
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,11 +58,36 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.find_spans(_table(spark, sf_dir, "documents")))
 
 
+def op11_dialogue_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    whole = _table(spark, sf_dir, "conversations")
+    done = dialogue_repair.repair(dialogue_repair.damage(whole))
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    name = dialogue_repair.conv_key(F.col("conv_id")).alias("conv")
+    found = done.dialogues.select(name, *counts, "audit")
+    hashed = dialogue_repair.repaired_digests(done.turns).select(name, "sha256")
+    rows = whole.select(F.col("conv_id").cast("long").alias("conv_id")).distinct().withColumn("conv", name)
+    rows = rows.join(found, "conv", "left").join(hashed, "conv", "left")
+    empty = F.sha2(F.lit("").cast("binary"), 256)
+    return rows.select(
+        "conv_id", *(F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in counts),
+        F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("sha256", empty).alias("repaired_sha256"),
+    )
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(_table(spark, sf_dir, "documents"))
+
+
+def op13_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multi_index.nearest_rows(_table(spark, sf_dir, "embeddings"), multi_index.QUERY_NEAREST, multi_index.QUERY_EVERY)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: q
     for q in (
         op1_url_filters, op2_decontamination, op3_mix, op4_jaccard_join, op5_license_scan,
         op6_quality_rules, op7_chat_format, op8_quality_model, op9_substring_dedup, op10_personal_data,
+        op11_dialogue_repair, op12_spelling_variants, op13_nearest_vectors,
     )
 }
 
@@ -73,4 +98,6 @@ ORACLE_SQL: dict[str, str] = {
     "op6_quality_rules": quality_rules.ORACLE_SQL,
     "op7_chat_format": chat.ORACLE_SQL,
     "op9_substring_dedup": substring_dedup.ORACLE_SQL,
+    "op11_dialogue_repair": dialogue_repair.ORACLE_SQL,
+    "op12_spelling_variants": spelling.ORACLE_SQL,
 }

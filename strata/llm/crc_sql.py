@@ -9,5 +9,5 @@ TABLE = """crc_table AS (
 def crc32(text: str) -> str:
     """The CRC-32 of the UTF-8 bytes of ``text`` (code points below U+0800); crc_table has to be joined."""
     code = "unicode(c)"
-    bytes_ = f"flatten(list_transform(string_split({text}, ''), lambda c: CASE WHEN {code} < 128 THEN [{code}::BIGINT] ELSE [(192 | ({code} >> 6))::BIGINT, (128 | ({code} & 63))::BIGINT] END))"
+    bytes_ = f"flatten(list_transform(list_filter(string_split({text}, ''), lambda c: c <> ''), lambda c: CASE WHEN {code} < 128 THEN [{code}::BIGINT] ELSE [(192 | ({code} >> 6))::BIGINT, (128 | ({code} & 63))::BIGINT] END))"
     return f"xor(list_reduce([4294967295] || {bytes_}, lambda c, b: xor(c >> 8, crc_of[(xor(c, b) & 255) + 1])), 4294967295)"

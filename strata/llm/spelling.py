@@ -187,12 +187,14 @@ def near_pairs(words: DataFrame) -> DataFrame:
                 key = pa.array(np.fromiter((k for some in keys for k in some), np.int64, len(rows)))
                 yield pa.RecordBatch.from_arrays([key, *(part.column(c).take(pa.array(rows)) for c in ("word", "n"))], ["key", "word", "n"])
 
+    # both sides are the same frame, so its lists are made and shuffled once
     lists = words.mapInArrow(listed, "key long, word string, n long")
-    other = lists.select("key", F.col("word").alias("other"), F.col("n").alias("other_n"))
-    one_edit = (F.abs(F.length("word") - F.length("other")) <= 1) & (F.levenshtein("word", "other", 1) == 1)
-    met = lists.join(other, "key").where((F.col("word") < F.col("other")) & one_edit)
-    pairs = met.select("word", "n", "other", "other_n").distinct()
-    return pairs.union(pairs.select("other", "other_n", "word", "n"))
+    a, b = (F.col("a.word"), F.col("b.word"))
+    one_edit = (F.abs(F.length(a) - F.length(b)) <= 1) & (F.levenshtein(a, b, 1) == 1)
+    met = lists.alias("a").join(lists.alias("b"), (F.col("a.key") == F.col("b.key")) & (a < b) & one_edit)
+    pairs = met.select(a.alias("word"), F.col("a.n").alias("n"), b.alias("other"), F.col("b.n").alias("other_n")).distinct()
+    both = F.array(F.struct("word", "n", "other", "other_n"), F.struct(F.col("other").alias("word"), F.col("other_n").alias("n"), F.col("word").alias("other"), F.col("n").alias("other_n")))
+    return pairs.select(F.inline(both))
 
 
 def roots(forms: DataFrame) -> DataFrame:

@@ -5,17 +5,21 @@ session catalog. Path mode stores ``{base_uri}/{layer}/{table}`` in any
 Hadoop file system (``s3a://``, ``hdfs://``, ``file:``). Writes are full
 refreshes.
 
-Formats without transactions are written as versions, and a pointer is
-switched only after the job has committed:
-
-* path mode: a new ``data-...`` folder below the table, then one empty file
-  in ``_commits`` whose name holds the version. Readers take the last name.
-  Nothing is renamed or copied, which object stores could not do at once;
-* catalog mode: a new ``table__v...`` table, then ``CREATE OR REPLACE VIEW``.
-
-Until the switch, readers see the old version whole; a crash before it
-leaves the old version, one after it the new. The version before stays for
-queries that still read it; older ones are removed by the next write.
+Formats without transactions are written as versions, and a version is
+named only after the job has committed: the data goes to a new ``data-...``
+folder below the table, then the file ``_commits/<number>`` is put there if
+absent, with the folder's name in it. Readers take the last number. In
+catalog mode the table's folder is in its database's location, and the view
+``layer.table`` is moved to the new version. Nothing is renamed or copied,
+which object stores could not do at once.
+
+A writer takes the number that follows the version it found when it began.
+If another writer has taken that number meanwhile, the file is there, the
+later writer raises ``WriteConflictError`` and leaves nothing behind. Until
+the commit readers see the old version whole; a crash before it leaves the
+old version, one after it the new. The version before stays for queries
+that still read it, and so do versions that an unfinished run has pinned
+(``strata.sources.manifest``); older ones are removed by the next write.
 Writing each layer and reading it back cuts the lineage, so a lost executor
 only recomputes from the last written layer.
 """
@@ -30,32 +34,11 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-COMMITS = "_commits"
-
-
-def _fs(spark: SparkSession, path: str):
-    """(Hadoop FileSystem, Path) for ``path`` (any scheme)."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Existence of ``path`` on its Hadoop file system (any scheme)."""
-    fs, hpath = _fs(spark, path)
-    return fs.exists(hpath)
+from strata.sources import manifest
+from strata.sources.paths import names as _names
+from strata.sources.paths import path_exists, put_if_absent, read_text, remove_path
 
-
-def remove_path(spark: SparkSession, path: str) -> None:
-    fs, hpath = _fs(spark, path)
-    if fs.exists(hpath):
-        fs.delete(hpath, True)
-
-
-def _names(spark: SparkSession, path: str) -> list[str]:
-    """Names in a folder, sorted; none if it is not there."""
-    fs, hpath = _fs(spark, path)
-    return sorted(s.getPath().getName() for s in fs.listStatus(hpath)) if fs.exists(hpath) else []
+COMMITS = "_commits"
 
 
 # formats that replace a table atomically on their own
@@ -70,6 +53,10 @@ class MissingTableError(LookupError):
     """A job needs a table that its layer does not have."""
 
 
+class WriteConflictError(RuntimeError):
+    """Another writer has committed a version of the table since this write began."""
+
+
 def _shape(schema: T.StructType) -> list[tuple[str, str]]:
     return [(f.name, f.dataType.simpleString()) for f in schema.fields]
 
@@ -79,30 +66,49 @@ class LayerStore:
     spark: SparkSession
     base_uri: str | None = None
     fmt: str = "parquet"
+    prefix: str = ""                   # catalog mode: before the names of the databases
+    databases: str | None = None       # catalog mode: folder of the databases (default: the warehouse)
 
     # -- naming ---------------------------------------------------------------
     def location(self, layer: str, table: str) -> str:
         """The table's identifier or root folder."""
         if self.base_uri is None:
-            return f"{layer}.{table}"
+            return f"{self.prefix}{layer}.{table}"
         return f"{self.base_uri.rstrip('/')}/{layer}/{table}"
 
     def ensure_layer(self, layer: str) -> None:
         """Create the layer's database (catalog mode); paths need nothing."""
         if self.base_uri is None:
-            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{layer}`")
+            at = f" LOCATION '{self.databases.rstrip('/')}/{layer}'" if self.databases else ""
+            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.prefix}{layer}`{at}")
+
+    def root(self, layer: str, table: str) -> str:
+        """The folder of the table's versions."""
+        if self.base_uri is None:
+            return f"{self.spark.catalog.getDatabase(self.prefix + layer).locationUri.rstrip('/')}/{table}"
+        return self.location(layer, table)
+
+    def runs_uri(self) -> str:
+        """Where the manifests of this store's runs are."""
+        return (self.base_uri or self.databases or self.spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
+
+    def _versions(self, root: str) -> list[tuple[int, str]]:
+        """Committed (number, data folder), oldest first; a commit without its content is not one yet."""
+        numbers = [n for n in _names(self.spark, f"{root}/{COMMITS}") if n.isdigit()]
+        found = [(int(n), read_text(self.spark, f"{root}/{COMMITS}/{n}")) for n in numbers[-3:]]
+        return [(n, data) for n, data in found if data]
 
     def _data(self, layer: str, table: str) -> str | None:
-        """Path mode: the folder of the current version, or None.
+        """The folder of the current version, or None.
 
         A folder without commits that some other writer filled is read as it is.
         """
-        root = self.location(layer, table)
+        root = self.root(layer, table)
         if self.fmt in TRANSACTIONAL_FORMATS:
             return root if path_exists(self.spark, root) else None
-        commits = _names(self.spark, f"{root}/{COMMITS}")
-        if commits:
-            return f"{root}/{commits[-1].split('.', 1)[1]}"
+        versions = self._versions(root)
+        if versions:
+            return f"{root}/{versions[-1][1]}"
         foreign = [n for n in _names(self.spark, root) if not n.startswith(("_", ".", "data-"))]
         return root if foreign else None
 
@@ -112,13 +118,13 @@ class LayerStore:
             return self.spark.catalog.tableExists(self.location(layer, table))
         return self._data(layer, table) is not None
 
-    def read(self, layer: str, table: str, schema: T.StructType | None = None) -> DataFrame:
-        """The table; a known ``schema`` (path mode) spares the footer-reading job."""
-        if self.base_uri is None:
+    def read(self, layer: str, table: str, schema: T.StructType | None = None, version: str | None = None) -> DataFrame:
+        """The table, or one ``version`` of it; a known ``schema`` (path mode) spares the footer-reading job."""
+        if self.base_uri is None and version is None:
             return self.spark.table(self.location(layer, table))
-        path = self._data(layer, table)
-        if path is None:
-            raise MissingTableError(f"{self.location(layer, table)} does not exist")
+        path = self._data(layer, table) if version is None else f"{self.root(layer, table)}/{version}"
+        if path is None or version is not None and not path_exists(self.spark, path):
+            raise MissingTableError(f"{self.location(layer, table)} does not exist" + (f" in version {version}" if version else ""))
         reader = self.spark.read.format(self.fmt)
         if schema is not None:
             reader = reader.schema(schema)
@@ -145,6 +151,11 @@ class LayerStore:
 
         Returns ``{"rows": n, <metric alias>: value, ...}``.
         """
+        return self.write_version(df, layer, table, metrics, schema_may_change)[1]
+
+    def write_version(self, df: DataFrame, layer: str, table: str, metrics: Sequence[Column] = (),
+                      schema_may_change: bool = True) -> tuple[str | None, dict[str, int]]:
+        """``write_observed`` that also returns the version written (None where the format keeps its own)."""
         if not schema_may_change and self.exists(layer, table):
             old = self.read(layer, table).schema
             if _shape(old) != _shape(df.schema):
@@ -156,48 +167,46 @@ class LayerStore:
         writer = observed.write.format(self.fmt).mode("overwrite")
         if self.fmt == "delta" and schema_may_change:
             writer = writer.option("overwriteSchema", "true")
-        if self.fmt in TRANSACTIONAL_FORMATS:
-            if self.base_uri is None:
-                writer.saveAsTable(self.location(layer, table))
-            else:
-                writer.save(self.location(layer, table))
+        version = None
+        if self.fmt not in TRANSACTIONAL_FORMATS:
+            version = self._commit_folder(writer, layer, table)
         elif self.base_uri is None:
-            self._commit_table(writer, layer, table)
+            writer.saveAsTable(self.location(layer, table))
         else:
-            self._commit_folder(writer, layer, table)
-        return {k: int(v) for k, v in obs.get.items()}
-
-    def _commit_folder(self, writer, layer: str, table: str) -> None:
-        """Write a new version folder, then name it in ``_commits``."""
-        root = self.location(layer, table)
+            writer.save(self.location(layer, table))
+        return version, {k: int(v) for k, v in obs.get.items()}
+
+    def _commit_folder(self, writer, layer: str, table: str) -> str:
+        """Write a new version, then put its commit where the next number is still free."""
+        root = self.root(layer, table)
+        taken = [n for n in _names(self.spark, f"{root}/{COMMITS}") if n.isdigit()]
+        number = int(taken[-1]) + 1 if taken else 0
         data = f"data-{uuid.uuid4().hex[:12]}"
         try:
             writer.save(f"{root}/{data}")
         except Exception:
             remove_path(self.spark, f"{root}/{data}")
             raise
-        commits = _names(self.spark, f"{root}/{COMMITS}")
-        number = int(commits[-1].split(".", 1)[0]) + 1 if commits else 0
-        fs, path = _fs(self.spark, f"{root}/{COMMITS}/{number:012d}.{data}")
-        fs.create(path, False).close()
-        for old in commits[:-1]:
-            remove_path(self.spark, f"{root}/{old.split('.', 1)[1]}")
-            remove_path(self.spark, f"{root}/{COMMITS}/{old}")
-
-    def _commit_table(self, writer, layer: str, table: str) -> None:
-        """Write a new version table, then point the view ``layer.table`` at it."""
-        stem = f"{table}__v"
-        versions = sorted(t.name for t in self.spark.catalog.listTables(layer) if t.name.startswith(stem))
-        number = int(versions[-1][len(stem):].split("_", 1)[0]) + 1 if versions else 0
-        version = f"{stem}{number:012d}_{uuid.uuid4().hex[:12]}"
-        try:
-            writer.saveAsTable(f"`{layer}`.`{version}`")
-        except Exception:
-            self.spark.sql(f"DROP TABLE IF EXISTS `{layer}`.`{version}`")
-            raise
-        self.spark.sql(f"CREATE OR REPLACE VIEW `{layer}`.`{table}` AS SELECT * FROM `{layer}`.`{version}`")
-        for old in versions[:-1]:
-            self.spark.sql(f"DROP TABLE IF EXISTS `{layer}`.`{old}`")
+        if not put_if_absent(self.spark, f"{root}/{COMMITS}/{number:012d}", data):
+            remove_path(self.spark, f"{root}/{data}")
+            raise WriteConflictError(f"{self.location(layer, table)}: another writer has committed version {number}")
+        if self.base_uri is None:
+            self._point_view(layer, table)
+        kept = manifest.pinned(self.spark, self.runs_uri()) if len(taken) > 1 else ()
+        for old in taken[:-1]:
+            gone = read_text(self.spark, f"{root}/{COMMITS}/{old}")
+            if gone not in kept:
+                remove_path(self.spark, f"{root}/{COMMITS}/{old}")
+                if gone:
+                    remove_path(self.spark, f"{root}/{gone}")
+        return data
+
+    def _point_view(self, layer: str, table: str) -> None:
+        """``layer.table`` reads the last version, also if another writer commits one meanwhile."""
+        at = None
+        while at != (now := self._data(layer, table)):
+            at = now
+            self.spark.sql(f"CREATE OR REPLACE VIEW `{self.prefix}{layer}`.`{table}` AS SELECT * FROM {self.fmt}.`{at}`")
 
     def preview(self, layer: str, table: str, n: int = 10, keys: Sequence[str] = ()) -> DataFrame:
         """``n`` rows of the written table (reads back, no recompute), the first by ``keys`` if given."""

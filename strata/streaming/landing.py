@@ -17,15 +17,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from strata import fixed
-from strata.sources.files import all_string_schema
+from strata.sources.files import QUOTING, all_string_schema
 
 
 def raw_csv_stream(spark: SparkSession, folder: str, columns: Sequence[str],
                    max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming DataFrame over the CSV files of ``folder`` (all string)."""
-    # enforceSchema=false: a file whose header differs from ``columns`` fails the query
-    reader = (spark.readStream.schema(all_string_schema(columns))
-              .option("header", "true").option("encoding", "UTF-8").option("enforceSchema", "false"))
+    # enforceSchema=false: a file whose header differs from ``columns`` fails the query;
+    # multiLine: an arriving file is read by one task, its quoted fields may hold line breaks
+    reader = spark.readStream.schema(all_string_schema(columns)).options(**QUOTING, header="true", enforceSchema="false", multiLine="true")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return reader.csv(folder)

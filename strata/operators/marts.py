@@ -6,7 +6,9 @@ lazy DataFrame. Column and table names are the published mart schema.
 Scale notes (one key may hold a third of all rows):
 * every aggregate is algebraic, so Spark combines map-side before the
   shuffle; exact ``count_distinct`` shuffles on (group key, distinct
-  value), which spreads a hot group over the distinct values;
+  value), which spreads a hot group over the distinct values. No aggregate
+  counts two distinct columns: Spark would ``Expand`` every row into one
+  for each of them;
 * joins against dimensions are left outer with the fact on the left, so
   AQE's skew-join split applies to a hot key, and a small dimension is
   broadcast only when its measured size is under
@@ -21,34 +23,62 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.operators.ranking import with_rank
+
 Tables = dict[str, DataFrame]
 
 
-def _sorted(df: DataFrame, metric: str, keys: list[str], sort: bool) -> DataFrame:
-    """Descending by ``metric`` (NULLs last), keys as a tie-break."""
-    if not sort:
-        return df
-    return df.orderBy(F.col(metric).desc_nulls_last(), *[F.col(k).asc_nulls_first() for k in keys])
+#: Published order of each mart: a metric, descending, and keys that break its ties.
+ORDER: dict[str, tuple[str, tuple[str, ...]]] = {
+    "vendas_por_categoria": ("receita_total", ("category",)),
+    "pedidos_por_status": ("receita_total", ("status",)),
+    "avaliacao_produto": ("avaliacao_media", ("product_id", "product_name", "category")),
+    "resumo_clientes": ("total_gasto", ("customer_id", "customer_name", "state", "city")),
+}
+
+
+def mart_order(mart: str) -> list[Column]:
+    """Descending by the mart's metric (NULLs last), then its keys (NULLs first)."""
+    metric, keys = ORDER[mart]
+    return [F.col(metric).desc_nulls_last(), *[F.col(k).asc_nulls_first() for k in keys]]
+
+
+def _sorted(df: DataFrame, mart: str, sort: bool) -> DataFrame:
+    return df.orderBy(*mart_order(mart)) if sort else df
+
+
+def ranked_mart(df: DataFrame, mart: str) -> DataFrame:
+    """The mart with each row's place in its published order, found range by range."""
+    return with_rank(df, mart_order(mart))
 
 
 def sales_by_category(t: Tables, sort: bool = True) -> DataFrame:
-    """Revenue, items sold, distinct products and distinct orders per category."""
+    """Revenue, items sold, distinct products and distinct orders per category.
+
+    Orders are counted with the sums, per (category, order) first. Products
+    need the distinct product ids of the items only, joined with their
+    categories: the items are not gone through a second time for them.
+    """
     items = t["order_items"].select("order_id", "product_id", "quantity", "unit_price")
     products = t["products"].select("product_id", "category")
-    out = (
+    sold = (
         items.join(products, "product_id", "left")
         .groupBy("category")
         .agg(
             F.sum(F.col("quantity") * F.col("unit_price")).alias("receita_total"),
             F.sum("quantity").alias("itens_vendidos"),
-            F.count_distinct("product_id").alias("produtos_distintos"),
             F.count_distinct("order_id").alias("total_pedidos"),
         )
     )
-    return _sorted(out, "receita_total", ["category"], sort)
+    pairs = items.select("product_id").distinct().join(products, "product_id", "left").groupBy("category", "product_id").agg(F.lit(1).alias("_one"))
+    kinds = pairs.groupBy(F.col("category").alias("_category")).agg(F.count("product_id").alias("produtos_distintos"))
+    out = sold.join(kinds, F.col("category").eqNullSafe(F.col("_category")), "left").select(
+        "category", "receita_total", "itens_vendidos", "produtos_distintos", "total_pedidos",
+    )
+    return _sorted(out, "vendas_por_categoria", sort)
 
 
 def orders_by_status(t: Tables, sort: bool = True) -> DataFrame:
@@ -62,7 +92,7 @@ def orders_by_status(t: Tables, sort: bool = True) -> DataFrame:
             F.avg("total_amount").alias("ticket_medio"),
         )
     )
-    return _sorted(out, "receita_total", ["status"], sort)
+    return _sorted(out, "pedidos_por_status", sort)
 
 
 def product_rating(t: Tables, sort: bool = True) -> DataFrame:
@@ -94,7 +124,7 @@ def product_rating(t: Tables, sort: bool = True) -> DataFrame:
         "product_id", "product_name", "category",
         "avaliacao_media", "total_avaliacoes", "pior_nota", "melhor_nota",
     )
-    return _sorted(out, "avaliacao_media", ["product_id", "product_name", "category"], sort)
+    return _sorted(out, "avaliacao_produto", sort)
 
 
 def customer_summary(t: Tables, sort: bool = True) -> DataFrame:
@@ -135,8 +165,20 @@ def customer_summary(t: Tables, sort: bool = True) -> DataFrame:
         "primeiro_pedido",
         "ultimo_pedido",
     )
-    return _sorted(out, "total_gasto", ["customer_id", "customer_name", "state", "city"], sort)
-
+    return _sorted(out, "resumo_clientes", sort)
+
+
+#: The columns of the conformed tables that each mart reads.
+READS: dict[str, dict[str, tuple[str, ...]]] = {
+    "vendas_por_categoria": {"order_items": ("order_id", "product_id", "quantity", "unit_price"), "products": ("product_id", "category")},
+    "pedidos_por_status": {"orders": ("order_id", "status", "total_amount")},
+    "avaliacao_produto": {
+        "reviews": ("review_id", "order_id", "rating"), "order_items": ("order_id", "product_id"), "products": ("product_id", "product_name", "category"),
+    },
+    "resumo_clientes": {
+        "orders": ("order_id", "customer_id", "order_date", "total_amount"), "customers": ("customer_id", "customer_name", "state", "city"),
+    },
+}
 
 BUILDERS: dict[str, Callable[..., DataFrame]] = {
     "vendas_por_categoria": sales_by_category,

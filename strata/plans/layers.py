@@ -25,7 +25,8 @@ from strata.operators.conform import DEFAULT, ConformOptions, conform_table
 from strata.operators.tables import with_audit
 from strata.sources.files import read_raw_csv
 from strata.session import scratch_path
-from strata.sources.store import LayerStore, MissingTableError
+from strata.sources.manifest import RunManifest
+from strata.sources.store import TRANSACTIONAL_FORMATS, LayerStore, MissingTableError
 
 Frames = dict[str, DataFrame]
 
@@ -101,32 +102,63 @@ def layer_counts(spark: SparkSession, layers: Mapping[str, Mapping[str, DataFram
 
 # -- checks over written tables ---------------------------------------------------
 
-def check_passes(suite, table: str) -> int:
-    """How many passes over ``table`` the compiled suite makes."""
-    counters = any(t == table and r.kind in Q.COUNTER_KINDS for t, r in suite)
-    own = sum(1 for t, r in suite if t == table and r.kind in ("unique", "referential"))
-    as_parent = sum(1 for t, r in suite if r.kind == "referential" and r.parent == table)
-    return int(counters) + own + as_parent
+@dataclass
+class Demand:
+    """What is read of a layer's tables: the columns, and how often each table is gone through."""
+
+    columns: dict[str, set[str]] = field(default_factory=dict)
+    passes: dict[str, int] = field(default_factory=dict)
+    rules: list = field(default_factory=list)
+
+    def add(self, table: str, columns, passes: int = 1) -> None:
+        self.columns.setdefault(table, set()).update(columns)
+        self.passes[table] = self.passes.get(table, 0) + passes
+
+    def suite(self, suite) -> Demand:
+        """The columns of the rules; a pass for a table's counters, and one for each column that is a key."""
+        counted, keys = set(), set()
+        self.rules += suite
+        for table, rule in suite:
+            self.add(table, rule.columns, 0)
+            if rule.kind in Q.COUNTER_KINDS and table not in counted:
+                counted.add(table)
+                self.add(table, (), 1)
+            if rule.kind in Q.KEY_KINDS:
+                keys.add((table, rule.columns))
+            if rule.kind == "referential":
+                keys.add((rule.parent, (rule.parent_column,)))
+        for table, columns in keys:
+            self.add(table, columns)
+        return self
+
+    def marts(self, marts=fixed.MART_TABLES) -> Demand:
+        """What the builders of ``marts`` read."""
+        for mart in marts:
+            for table, columns in M.READS[mart].items():
+                self.add(table, columns)
+        return self
 
 
 def materialize(spark: SparkSession, layer: str, frames: Mapping[str, DataFrame | None],
-                store: LayerStore | None = None) -> tuple[dict, dict]:
-    """Write the frames the layer's suite would otherwise recompute.
-
-    A derived frame read by several check passes (counters, each uniqueness
-    and referential rule) would be recomputed in every pass; writing it once
-    below the shared folder cuts that lineage, and its counter rules are
-    observed during the write. A frame read by a single pass is left lazy.
-    Returns (frames to check, observed counter values).
+                store: LayerStore | None = None, demand: Demand | None = None) -> tuple[dict, dict]:
+    """Write the frames that would otherwise be recomputed, with the columns that are read of them.
+
+    ``demand`` says what is read (default: by the layer's suite). A derived
+    frame gone through several times is written once below the shared
+    folder, which cuts that lineage; only demanded columns are written, and
+    the row count and the counters of the demanded rules are observed during
+    the write. A frame read by a single pass is left lazy. Returns (frames
+    to read, observed values of the written ones).
     """
-    suite = Q.SUITES[layer]()
-    heavy = {t: df for t, df in frames.items() if df is not None and check_passes(suite, t) > 1}
+    demand = demand or Demand().suite(Q.SUITES[layer]())
+    heavy = {t: df.select(*[F.col(f"`{c}`") for c in df.columns if c in demand.columns[t]])
+             for t, df in frames.items() if df is not None and demand.passes.get(t, 0) > 1}
     if not heavy:
         return dict(frames), {}
     store = store or LayerStore(spark, scratch_path(spark, f"checked-{layer}"))
     store.ensure_layer(layer)
-    observed = write_tables(store, layer, heavy, False,
-                            {t: Q.counter_metrics(suite, t, df.columns) for t, df in heavy.items()})
+    metrics = {t: Q.counter_metrics(demand.rules, t, df.columns) for t, df in heavy.items()}
+    observed = write_tables(store, layer, heavy, False, metrics)
     written = store.read_layer(layer, list(heavy), {t: df.schema for t, df in heavy.items()})
     return {t: written.get(t, df) if t in heavy else df for t, df in frames.items()}, observed
 
@@ -141,7 +173,8 @@ def check_materialized(spark: SparkSession, layer: str, frames: Mapping[str, Dat
 # -- gated run -----------------------------------------------------------------
 
 def write_tables(store: LayerStore, layer: str, frames: Mapping[str, DataFrame], strict: bool = False,
-                 metrics: Mapping[str, list] | None = None, parallel: int | None = None) -> dict[str, dict]:
+                 metrics: Mapping[str, list] | None = None, parallel: int | None = None,
+                 run: RunManifest | None = None) -> dict[str, dict]:
     """Write a layer's tables as concurrent Spark jobs; observed values per table.
 
     The tables of one layer are independent. Their jobs are submitted from
@@ -149,7 +182,8 @@ def write_tables(store: LayerStore, layer: str, frames: Mapping[str, DataFrame],
     ``spark.scheduler.mode=FAIR`` they share the cluster, with the default
     FIFO a later job gets the executors an earlier one leaves idle. Each
     table's ``metrics`` are observed during its write; the result always
-    holds ``rows``.
+    holds ``rows``. With ``run`` each written table is recorded with its
+    version, and tables recorded already are not written again.
     """
     metrics = metrics or {}
     items = list(frames.items())
@@ -157,7 +191,13 @@ def write_tables(store: LayerStore, layer: str, frames: Mapping[str, DataFrame],
 
     def one(kv):
         table, df = kv
-        return store.write_observed(df, layer, table, metrics.get(table, ()), schema_may_change=not strict)
+        done = run.get(f"{layer}.{table}") if run else None
+        if done is None:
+            version, observed = store.write_version(df, layer, table, metrics.get(table, ()), schema_may_change=not strict)
+            done = {"version": version, "observed": observed}
+            if run:
+                done = run.put(f"{layer}.{table}", done)
+        return done["observed"]
 
     with ThreadPoolExecutor(max_workers=workers) as pool:
         done = [pool.submit(inheritable_thread_target(store.spark)(one), item) for item in items]
@@ -201,6 +241,8 @@ def run_layers(
     stop_on_error: bool = False,
     normalize_first: bool = False,
     gate: bool = True,
+    run_id: str | None = None,
+    until: str = fixed.MART,
 ) -> RunResult:
     """raw -> check -> conformed -> check -> marts -> check.
 
@@ -214,27 +256,53 @@ def run_layers(
     Row counts and every counter check (not empty, not NULL, range,
     non-negative, in set) are observed while a table is written, so only
     uniqueness and referential checks read the written data again.
+
+    With a ``run_id`` the run keeps a manifest in the store: the version of
+    each table it wrote, and each layer whose checks passed. A run that
+    failed goes on when it is started again with the same id: recorded
+    tables are not written and passed checks not run again, and every layer
+    is built from the run's own versions, whatever other runs have written
+    since. Once its last layer has passed, the run is finished and its
+    versions are released. ``until`` ends the run after that layer, to be
+    taken up later.
     """
+    if run_id and store.fmt in TRANSACTIONAL_FORMATS:
+        raise ValueError(f"a run's manifest pins versions of this store; format {store.fmt} keeps its own")
     result = RunResult()
+    run = RunManifest(spark, store.runs_uri(), run_id) if run_id else None
 
     def write_all(layer: str, frames: Mapping[str, DataFrame], strict: bool) -> Frames:
         store.ensure_layer(layer)
         suite = Q.SUITES[layer]()
         metrics = {t: Q.counter_metrics(suite, t, df.columns) for t, df in frames.items()}
-        observed = write_tables(store, layer, frames, strict, metrics)
+        observed = write_tables(store, layer, frames, strict, metrics, run=run)
         result.rows[layer] = {t: v["rows"] for t, v in observed.items()}
         result.measured[layer] = observed
-        return store.read_layer(layer, list(frames), {t: df.schema for t, df in frames.items()})
+        versions = {t: run.get(f"{layer}.{t}")["version"] if run else None for t in frames}
+        if run or store.base_uri is not None:
+            return {t: store.read(layer, t, df.schema, versions[t]) for t, df in frames.items()}
+        return store.read_layer(layer, list(frames))
 
     def passes(layer: str, frames: Mapping[str, DataFrame | None]) -> bool:
-        report = Q.check_layer(spark, layer, dict(frames), measured=result.measured.get(layer))
+        step = f"{layer}.checked"
+        earlier = run.get(step) if run else None
+        if earlier is not None:
+            report = Q.QualityReport(layer, spark.createDataFrame([tuple(r) for r in earlier["checks"]], Q.REPORT_SCHEMA))
+        else:
+            report = Q.check_layer(spark, layer, dict(frames), measured=result.measured.get(layer))
         result.reports[layer] = report
-        if report.ok:
-            return True
-        if gate and not stop_on_error:
+        if report.ok or not gate:
+            if run and earlier is None:
+                run.put(step, {"checks": [list(r) for r in report.rows()]})
+            if not report.ok:
+                result.blocked_at = result.blocked_at or layer
+            if run and layer == fixed.MART:
+                run.finish()
+            return layer != until
+        if not stop_on_error:
             raise Q.QualityGateError(report)
         result.blocked_at = result.blocked_at or layer
-        return not gate
+        return False
 
     raw = write_all(fixed.RAW, land_raw(sources, at), strict_raw_schema)
     if not passes(fixed.RAW, raw):

@@ -538,6 +538,17 @@ def _layer_sql() -> dict[str, str]:
     out["status_revenue"] = layered(
         "SELECT status, CAST(sum(receita_total) AS DOUBLE) AS receita, CAST(sum(total_pedidos) AS BIGINT) AS pedidos "
         "FROM mart_pedidos_por_status GROUP BY status")
+    orders = {
+        "vendas_por_categoria": ("receita_total", ["category"]), "pedidos_por_status": ("receita_total", ["status"]),
+        "avaliacao_produto": ("avaliacao_media", ["product_id", "product_name", "category"]),
+        "resumo_clientes": ("total_gasto", ["customer_id", "customer_name", "state", "city"]),
+    }
+    ranked = []
+    for m, (metric, keys) in orders.items():
+        by = ", ".join([f"{metric} DESC NULLS LAST", *(f"{k} NULLS FIRST" for k in keys)])
+        shown = ", ".join(f"coalesce({k}, '-')" for k in keys)
+        ranked.append(f"SELECT '{m}' AS mart, row_number() OVER (ORDER BY {by}) AS rank, concat_ws('|', {shown}) AS row_key, CAST({metric} AS DOUBLE) AS metric FROM mart_{m}")
+    out["ranked_marts"] = layered("\nUNION ALL\n".join(ranked))
     counts = []
     for layer, prefix, tables in ((fixed.RAW, "raw_", fixed.TABLES), (fixed.CONFORMED, "conf_", fixed.TABLES),
                                   (fixed.MART, "mart_", fixed.MART_TABLES)):
@@ -578,6 +589,15 @@ def _io_sql() -> dict[str, str]:
         "csv_keep_empty": f"SELECT {filled} FROM ({RAW['customers']})",
         "rewritten_preview": ("SELECT product_id, product_name, CAST(try_cast(price AS DECIMAL(10,2)) AS DOUBLE) AS price "
                               f"FROM ({RAW['products']}) ORDER BY product_id, product_name NULLS FIRST LIMIT 25"),
+        "csv_line_breaks": "SELECT CAST(doc_id AS VARCHAR) AS doc_id, nullif(text, '') AS text, source FROM documents",
+        "csv_rejected": """
+SELECT CASE WHEN more OR less THEN 'rejected' ELSE 'row' END AS kind, CAST(o_orderkey AS VARCHAR) AS "order",
+       CASE WHEN more THEN o_orderkey || ',"' || o_orderpriority || chr(10) || 'says ""' || o_orderstatus || '""' || '",one more'
+            WHEN less THEN CAST(o_orderkey AS VARCHAR)
+            ELSE o_orderpriority || chr(10) || 'says "' || o_orderstatus || '"' END AS note
+FROM (SELECT *, o_orderkey % 11 = 3 AS more, o_orderkey % 13 = 5 AS less FROM orders)""",
+        "resumed_sales_by_category": layered(f"SELECT {MART_PRESENT['vendas_por_categoria']} FROM mart_vendas_por_categoria"),
+        "catalog_customer_summary": layered(f"SELECT {MART_PRESENT['resumo_clientes']} FROM mart_resumo_clientes"),
         "gated_counts": layered(counts),
         "csv_roundtrip_orders": _raw_present("orders"),
         "csv_roundtrip_products": _raw_present("products"),

@@ -13,6 +13,7 @@ compared value for value.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +26,7 @@ from strata.operators import quality as Q
 from strata.operators.tables import dedup_by_key, distinct_projection, move_to_end, with_audit
 from strata.plans.layers import (
     COUNTS_SCHEMA,
+    Demand,
     check_materialized,
     conform_layer,
     materialize,
@@ -32,10 +34,9 @@ from strata.plans.layers import (
     layer_counts,
     mart_layer,
     run_layers,
-    write_tables,
 )
 from strata.session import scratch_path
-from strata.sources.files import read_driver_table, read_raw_csv, write_csv
+from strata.sources.files import read_checked_csv, read_driver_table, read_raw_csv, write_csv
 from strata.sources.star import LANDED_AT, raw_orders, raw_products, raw_tables, source_tables
 from strata.sources.store import LayerStore
 from strata.streaming.landing import land_folder_now
@@ -111,16 +112,27 @@ def status_revenue(spark, sf_dir):
 
 
 def layer_row_counts(spark, sf_dir):
-    """Every conformed table is built and written once; its count is observed during the write."""
+    """Conformed tables that marts read too are written once, with the columns read; their counts are observed."""
     r = raw(spark, sf_dir)
-    store = LayerStore(spark, scratch_path(spark, "counted"))
-    built = conform_layer(r)
-    counted = write_tables(store, fixed.CONFORMED, built)
-    c = store.read_layer(fixed.CONFORMED, built, {t: df.schema for t, df in built.items()})
-    rows = [(fixed.CONFORMED, t, counted[t]["rows"]) for t in built]
-    others = {fixed.RAW: r, fixed.MART: mart_layer(c)}
-    expected = {fixed.RAW: fixed.TABLES, fixed.MART: fixed.MART_TABLES}
-    return present(layer_counts(spark, others, expected).unionByName(spark.createDataFrame(rows, COUNTS_SCHEMA)))
+    demand = Demand().marts()
+    for t in fixed.TABLES:
+        demand.add(t, fixed.NATURAL_KEYS[t])
+    c, written = materialize(spark, fixed.CONFORMED, conform_layer(r), demand=demand)
+    rows = [(fixed.CONFORMED, t, written[t]["rows"]) for t in written]
+    lazy = {fixed.RAW: r, fixed.CONFORMED: c, fixed.MART: mart_layer(c)}
+    expected = {fixed.RAW: fixed.TABLES, fixed.CONFORMED: [t for t in c if t not in written], fixed.MART: fixed.MART_TABLES}
+    return present(layer_counts(spark, lazy, expected).unionByName(spark.createDataFrame(rows, COUNTS_SCHEMA)))
+
+
+def ranked_marts(spark, sf_dir):
+    """Every row of every mart with its place in the mart's published order."""
+    c, _ = materialize(spark, fixed.CONFORMED, conformed(spark, sf_dir), demand=Demand().marts())
+    out = []
+    for mart, df in mart_layer(c).items():
+        metric, keys = M.ORDER[mart]
+        shown = F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("-")) for k in keys])
+        out.append(M.ranked_mart(df, mart).select(F.lit(mart).alias("mart"), "rank", shown.alias("row_key"), F.col(metric).cast("double").alias("metric")))
+    return present(reduce(lambda a, b: a.unionByName(b), out))
 
 
 # -- operator queries --------------------------------------------------------------
@@ -252,6 +264,27 @@ def csv_keep_empty(spark, sf_dir):
     return present(read_raw_csv(spark, folder, fixed.RAW_COLUMNS["customers"], keep_empty=True))
 
 
+def csv_line_breaks(spark, sf_dir):
+    """Whole texts with line breaks and quotes through CSV; records are found across lines and splits."""
+    folder = scratch_path(spark, "csv-texts")
+    texts = _t(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("doc_id"), "text", "source")
+    write_csv(texts, folder)
+    return present(read_raw_csv(spark, folder, ["doc_id", "text", "source"]))
+
+
+def csv_rejected(spark, sf_dir):
+    """Orders as lines of text, some with a field too many or too few: the rows, and the records rejected."""
+    folder = scratch_path(spark, "csv-rejected")
+    o = _t(spark, sf_dir, "orders")
+    key, note = F.col("o_orderkey").cast("string"), F.concat(F.lit('"'), "o_orderpriority", F.lit('\nsays ""'), "o_orderstatus", F.lit('"""'))
+    line = (F.when(F.col("o_orderkey") % 11 == 3, F.concat_ws(",", key, note, F.lit("one more")))
+            .when(F.col("o_orderkey") % 13 == 5, key).otherwise(F.concat_ws(",", key, note)))
+    o.select(line.alias("value")).write.option("lineSep", "\n").text(folder)
+    rows, rejected = read_checked_csv(spark, folder, ["order", "note"], header=False)
+    both = rows.select(F.lit("row").alias("kind"), "order", "note")
+    return present(both.unionByName(rejected.select(F.lit("rejected").alias("kind"), F.substring_index("record", ",", 1).alias("order"), F.col("record").alias("note"))))
+
+
 def rewritten_preview(spark, sf_dir):
     """A table written, rewritten from itself with another schema, and its first rows by key."""
     store = LayerStore(spark, scratch_path(spark, "rewritten"))
@@ -261,6 +294,29 @@ def rewritten_preview(spark, sf_dir):
     return present(store.preview(fixed.RAW, "products", 25, ["product_id", "product_name"]))
 
 
+def resumed_sales_by_category(spark, sf_dir):
+    """A run that stops after its conformed layer, another run over the same store, and the first one taken up again.
+
+    The second run lands other rows (no order items); the first goes on from
+    its own versions.
+    """
+    store = LayerStore(spark, scratch_path(spark, "lake"))
+    tables = source_tables(spark, sf_dir)
+    run_layers(spark, tables, store, at=LANDED_AT, gate=False, run_id="first", until=fixed.CONFORMED)
+    other = tables | {"order_items": tables["order_items"].limit(0)}
+    run_layers(spark, other, store, at=LANDED_AT, gate=False, run_id="second", until=fixed.CONFORMED)
+    run_layers(spark, tables, store, at=LANDED_AT, gate=False, run_id="first")
+    return present(store.read(fixed.MART, "vendas_por_categoria"))
+
+
+def catalog_customer_summary(spark, sf_dir):
+    """Landed, conformed and read as ``layer.table`` of the session's catalog, in databases of this call."""
+    name = scratch_path(spark, "catalog")
+    store = LayerStore(spark, prefix=f"c{name.rsplit('-', 1)[1]}_", databases=name)
+    run_layers(spark, source_tables(spark, sf_dir), store, at=LANDED_AT, gate=False)
+    return present(spark.table(store.location(fixed.MART, "resumo_clientes")))
+
+
 def _run(spark, sf_dir, gate: bool):
     """Land, conform and build marts with a quality check after each layer.
 
@@ -371,15 +427,16 @@ def dq_conformed_suite(spark, sf_dir):
 
 
 def dq_mart_suite(spark, sf_dir):
-    """The marts share conformed tables, which are written once first."""
-    c, _ = materialize(spark, fixed.CONFORMED, conformed(spark, sf_dir))
+    """The marts share conformed tables, which are written once first, with the columns that marts read."""
+    c, _ = materialize(spark, fixed.CONFORMED, conformed(spark, sf_dir), demand=Demand().marts())
     return present(check_materialized(spark, fixed.MART, mart_layer(c)).frame)
 
 
 def _all_reports(spark, sf_dir) -> DataFrame:
     """All three suites; marts are built from the written conformed tables."""
     r = raw(spark, sf_dir)
-    c, observed = materialize(spark, fixed.CONFORMED, conform_layer(r))
+    demand = Demand().suite(Q.SUITES[fixed.CONFORMED]()).marts()
+    c, observed = materialize(spark, fixed.CONFORMED, conform_layer(r), demand=demand)
     reports = [check_materialized(spark, fixed.RAW, r).frame,
                Q.check_layer(spark, fixed.CONFORMED, c, measured=observed).frame,
                check_materialized(spark, fixed.MART, mart_layer(c)).frame]
@@ -401,6 +458,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "mart_customer_summary": mart_customer_summary,
     "top_customers": top_customers,
     "status_revenue": status_revenue,
+    "ranked_marts": ranked_marts,
     **{f"conform_{t}": _conform(t) for t in fixed.TABLES},
     "layer_row_counts": layer_row_counts,
     "strip_prefix": strip_prefix,
@@ -424,7 +482,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gated_quality_report": gated_quality_report,
     "gated_counts": gated_counts,
     "csv_keep_empty": csv_keep_empty,
+    "csv_line_breaks": csv_line_breaks,
+    "csv_rejected": csv_rejected,
     "rewritten_preview": rewritten_preview,
+    "resumed_sales_by_category": resumed_sales_by_category,
+    "catalog_customer_summary": catalog_customer_summary,
     "dq_missing_table": dq_missing_table,
     "dq_not_empty": dq_not_empty,
     "dq_unique": dq_unique,

@@ -24,6 +24,8 @@ LEAST_LENGTH, LEAST_COUNT, RATIO = 6, 5, 5
 NOISE = 199
 #: A gram in more words than this is frequent, at least; frequent grams of one length, at most; longest gram of the index.
 FREQUENT, MOST_GRAMS, LONGEST = 32, 100_000, 16
+#: Words that one task looks up in the gram dictionary, about.
+TASK_WORDS = 16384
 _RUNS = re.compile("[A-Za-z\\u00C0-\\u00FF]+")
 _STEP, _MASK = 0x9E3779B97F4A7C15, (1 << 64) - 1
 
@@ -234,6 +236,8 @@ def variants(docs: DataFrame, least_length: int = LEAST_LENGTH, least_count: int
     counts = word_counts(docs, noise).filter((F.length("word") >= least_length) & (F.col("n") >= least_count))
     counts.write.parquet(at)
     words = spark.read.parquet(at)
+    # a word costs far more than its bytes: tasks by the number of words, not by the size of the files
+    words = words.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-words.count() // TASK_WORDS)), "word")
     best = F.min(F.struct((-F.col("other_n")).alias("n"), F.col("other").alias("word"))).alias("best")
     near = checkpointed(near_pairs(words).groupBy("word", "n").agg(F.count("*").alias("n_near"), best))
     is_form = -F.col("best.n") >= ratio * F.col("n")

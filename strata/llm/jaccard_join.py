@@ -7,15 +7,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.blocks import block_count, block_of, packed, unpacked
-from strata.llm.components import checkpointed, components, typed
+from strata.llm.blocks import block_count, packed, unpacked
+from strata.llm.components import Stages, components, typed
 from strata.llm.exchange import shared_keys
 from strata.llm.words import STEP, chunks, mix, windows, word_hashes
-from strata.session import scratch_path
-from strata.sources.store import remove_path
 
 #: Near-duplicate defaults: words of a shingle, and similarity in percent.
 SHINGLE_WORDS, THRESHOLD = 5, 85
@@ -27,8 +26,11 @@ PAIRED_BELOW = 64
 SMALL_GROUP = 16
 #: Pieces that a task combines at once (bounds its memory).
 KEYS_AT_ONCE = 400_000
+#: Words of 64 bits of a class's dense sketch.
+SKETCH_WORDS = 8
+_SKETCH = tuple(f"s{i}" for i in range(SKETCH_WORDS))
 _TEXTS = pa.schema([("class", pa.int64()), ("text", pa.string())])
-_CLASSES = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("class", pa.int64())])
+_CLASSES = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("class", pa.int64()), *((c, pa.int64()) for c in _SKETCH)])
 
 
 def _bands(top: int) -> tuple[int, ...]:
@@ -92,6 +94,30 @@ def _set_ids(sets: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return mix(total[offsets[1:]] - total[offsets[:-1]] + np.diff(offsets).astype(np.uint64) * STEP).view(np.int64)
 
 
+def dense_sketches(sets: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """64 * ``SKETCH_WORDS`` bits for each set, as int64 columns: every element toggles one bit.
+
+    The Hamming distance of two sketches is at most the symmetric difference
+    of their sets: elements that both hold toggle the same bit in both.
+    """
+    bits = 64 * SKETCH_WORDS
+    rows = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+    spot = rows * bits + (mix(sets ^ np.uint64(int(STEP) * 3 % (1 << 64))) >> np.uint64(64 - (bits - 1).bit_length())).astype(np.int64)
+    odd = (np.bincount(spot, minlength=(len(offsets) - 1) * bits) & 1).astype(np.uint8)
+    return np.packbits(odd).view(np.int64).reshape(-1, SKETCH_WORDS)
+
+
+def _may_link(threshold: int) -> Column:
+    """Whether a class (n, s0...) and a pivot (pivot_n, pivot_s0...) can link, by their sizes and sketches.
+
+    Sets of a similarity of t percent or more differ in at most
+    (n + m) (100 - t) / (100 + t) elements.
+    """
+    sizes = 100 * F.least("n", "pivot_n") >= threshold * F.greatest("n", "pivot_n")
+    differ = sum((F.bit_count(F.col(c).bitwiseXOR(F.col(f"pivot_{c}"))) for c in _SKETCH), F.lit(0))
+    return sizes & ((100 + threshold) * differ <= (100 - threshold) * (F.col("n") + F.col("pivot_n")))
+
+
 def _piece_keys(sets: np.ndarray, offsets: np.ndarray, rows: np.ndarray, band: int, low: int, above: int, threshold: int) -> tuple[np.ndarray, np.ndarray]:
     """(key, row) of the sketch pieces of some sets, as members of a band.
 
@@ -129,17 +155,17 @@ def _piece_keys(sets: np.ndarray, offsets: np.ndarray, rows: np.ndarray, band: i
     return mix(value ^ mix((slot % count).astype(np.uint64) + np.uint64(band << 32) + STEP)), rows[slot // count]
 
 
-def _joined(labels: DataFrame | None, links: DataFrame) -> DataFrame:
+def _joined(stages: Stages, labels: DataFrame | None, links: DataFrame) -> DataFrame:
     """Component labels after more links: components of the components the links connect."""
     if labels is None:
-        return checkpointed(components(links))
+        return stages.put("labels", components(links, stages))
     for end in "ab":
         known = labels.select(F.col("node").alias(end), F.col("component").alias("c"))
         links = links.join(known, end, "left").withColumn(end, F.coalesce("c", end)).drop("c")
-    merged = checkpointed(components(links))
+    merged = stages.put("merged", components(links, stages))
     old = labels.join(merged.select(F.col("node").alias("component"), F.col("component").alias("c")), "component", "left")
     old = old.select("node", F.coalesce("c", "component").alias("component"))
-    return checkpointed(old.union(merged.join(labels.select("node"), "node", "left_anti")))
+    return stages.put("labels", old.union(merged.join(labels.select("node"), "node", "left_anti")))
 
 
 def jaccard_components(docs: DataFrame, k: int = SHINGLE_WORDS, threshold: int = THRESHOLD, partitions: int | None = None) -> DataFrame:
@@ -150,21 +176,22 @@ def jaccard_components(docs: DataFrame, k: int = SHINGLE_WORDS, threshold: int =
     component_id (least doc_id reachable by links, itself included), one row
     per input row. Words are those of the lower-cased (A-Z) text; a text of
     fewer than ``k`` words is one shingle, one without words or a null text
-    has none and links with nothing. Rows that repeat a doc_id link by their
-    own texts. A row with a null doc_id joins the component of documents with
-    an equal set and links with no others (alone, its component_id is null).
-    Other columns are ignored.
+    has none and links with nothing. Rows that repeat a doc_id, or have none,
+    link by their own texts like any other; a component of rows without a
+    doc_id has a null component_id. Other columns are ignored.
 
     Method: equal sets form classes. Every class toggles one bit of a sparse
     sketch per shingle; the sketch is split into more pieces than linked sets
     can differ in, so linked classes share a piece (pigeonhole), in the band
-    of the smaller set's size. Classes sharing a piece are candidates; they
-    are verified on their whole shingle sets. In each group of one piece a
-    few pivots are compared with the others per round (8 times as many in
-    each), whatever is already connected needs no further comparison, and a
-    group is done when its members are one component or each has been a
-    pivot: no link between components can be missed, and no large group is
-    expanded into pairs up front.
+    of the smaller set's size. Classes sharing a piece are candidates, unless
+    their dense sketches differ in more bits than linked sets can; what is
+    left is verified on whole shingle sets. Groups with the same members are
+    looked at once. In each group a few pivots are compared with the others
+    per round (8 times as many in each), taken from outside the group's
+    largest component; whatever is already connected needs no further
+    comparison, and a group is done when its members are one component or
+    all outside the largest one have been pivots: no link between components
+    can be missed, and no large group is expanded into pairs up front.
     """
     spark = docs.sparkSession
     partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -174,7 +201,9 @@ def jaccard_components(docs: DataFrame, k: int = SHINGLE_WORDS, threshold: int =
         for batch in batches:
             for part in chunks(batch):
                 sets, offsets = shingle_sets(part.column("text"), k)
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(np.diff(offsets)), pa.array(_set_ids(sets, offsets))], schema=_CLASSES)
+                sketches = dense_sketches(sets, offsets)
+                columns = [part.column("doc_id"), pa.array(np.diff(offsets)), pa.array(_set_ids(sets, offsets)), *(pa.array(sketches[:, i]) for i in range(SKETCH_WORDS))]
+                yield pa.RecordBatch.from_arrays(columns, schema=_CLASSES)
 
     def pieces(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         keys, ids, seen = [], [], set()
@@ -217,63 +246,74 @@ def jaccard_components(docs: DataFrame, k: int = SHINGLE_WORDS, threshold: int =
                     ok[i] = 100 * both >= threshold * (len(x) + len(y) - both)
                 yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b"), pa.array(ok)], ["a", "b", "ok"])
 
-    def own_texts(d: pa.Table, w: pa.Table) -> pa.Table:
-        """(class, text) of the wanted classes, from the rows of their documents."""
+    def class_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """One text of each class of a batch, with the block the class belongs to."""
+        for batch in batches:
+            for part in chunks(batch):
+                sets, offsets = shingle_sets(part.column("text"), k)
+                ids = _set_ids(sets, offsets)
+                first = np.unique(ids, return_index=True)[1]
+                first = pa.array(np.sort(first[np.diff(offsets)[first] > 0]))
+                ids = pa.array(ids).take(first)
+                block = np.mod(ids.to_numpy(), blocks)
+                yield pa.RecordBatch.from_arrays([pa.array(block), ids, part.column("text").take(first)], ["block", "class", "text"])
+
+    def wanted_texts(d: pa.Table, w: pa.Table) -> pa.Table:
+        """One text of each of the block's wanted classes."""
         rows = unpacked(d)
         if rows is None or not w.num_rows:
             return pa.Table.from_pylist([], _TEXTS)
-        rows = rows.join(w.select(["doc_id", "class"]), "doc_id", join_type="inner").combine_chunks()
-        out = []
-        for batch in rows.to_batches():
-            for part in chunks(batch):
-                sets, offsets = shingle_sets(part.column("text"), k)
-                same = _set_ids(sets, offsets) == part.column("class").to_numpy()
-                out.append(part.select(["class", "text"]).filter(pa.array(same)))
-        found = pa.Table.from_batches(out, _TEXTS)
-        first = np.unique(found.column("class").to_numpy(), return_index=True)[1]
-        return found.take(pa.array(first))
-
-    members = checkpointed(docs.mapInArrow(classes, "doc_id long, n_shingles long, class long"))
-    groups_at, texts_at = scratch_path(spark, "jaccard-groups"), scratch_path(spark, "jaccard-texts")
-    sizes = members.groupBy("class").agg(F.first("n_shingles").alias("n"))  # the same for all of a class
-    found = shared_keys(docs.filter("doc_id IS NOT NULL"), pieces, partitions, as_rows=True).withColumnRenamed("doc_id", "class")
-    found.join(sizes, "class").write.parquet(groups_at)
-    groups = spark.read.parquet(groups_at)
-    block = block_of("doc_id", block_count(members.count()))
-    wanted = members.join(groups.select("class").distinct(), "class", "left_semi").groupBy("class").agg(F.min("doc_id").alias("doc_id"))
-    wanted = wanted.select(block, "doc_id", "class")
-    told = packed(docs.filter("doc_id IS NOT NULL").select(block, "doc_id", "text")).groupBy("block").cogroup(wanted.groupBy("block"))
-    told.applyInArrow(own_texts, "class long, text string").write.option("compression", "zstd").parquet(texts_at)
-    texts = spark.read.parquet(texts_at)
+        first = np.unique(rows.column("class").to_numpy(), return_index=True)[1]
+        rows = rows.take(pa.array(first))
+        return rows.filter(pc.is_in(rows.column("class"), w.column("class").combine_chunks())).cast(_TEXTS)
+
+    stages = Stages(spark)
+    layout = ", ".join(f"{c} long" for c in ("doc_id", "n_shingles", "class", *_SKETCH))
+    members = stages.put("members", docs.mapInArrow(classes, layout))
+    blocks = block_count(members.count())
+    # one row of each class; all rows of a class agree
+    known = members.filter("n_shingles > 0").groupBy("class").agg(F.first("n_shingles").alias("n"), *[F.first(c).alias(c) for c in _SKETCH])
+    found = stages.put("found", shared_keys(docs, pieces, partitions, as_rows=True).withColumnRenamed("doc_id", "class"))
+    # groups of the same classes need one look: by two independent sums over their members
+    same = [F.bit_xor(F.xxhash64("class", F.lit(i))).alias(f"h{i}") for i in (1, 2)]
+    alike = found.groupBy("key").agg(F.count("*").alias("m"), *same).filter("m > 1").groupBy("m", "h1", "h2").agg(F.min("key").alias("key"))
+    groups = found.join(alike.select("key"), "key", "left_semi").join(known, "class")
+    left = stages.put("left", groups.withColumn("component", F.col("class")))
+    stages.drop("found")
+    wanted = left.select("class").distinct()
+    told = packed(docs.select("text").mapInArrow(class_texts, "block long, class long, text string")).groupBy("block")
+    wanted = wanted.select(F.pmod("class", F.lit(blocks)).alias("block"), "class").groupBy("block")
+    texts = stages.put("texts", told.cogroup(wanted).applyInArrow(wanted_texts, "class long, text string"))
     text_a, text_b = (texts.select(F.col("class").alias(c), F.col("text").alias(f"text_{c}")) for c in "ab")
 
     labels, tested, links, pivots = None, None, None, 1
-    left = groups.withColumn("component", F.col("class"))
+    own = ("class", "component", "n", *_SKETCH)
     while True:
-        several = left.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("m"))
-        left = checkpointed(left.join(several.filter("x <> y").select("key", "m"), "key"))
+        sizes = left.groupBy("key", "component").agg(F.count("*").alias("c")).groupBy("key")
+        several = sizes.agg(F.count("*").alias("parts"), F.sum("c").alias("m"), F.max(F.struct("c", "component"))["component"].alias("main"))
+        left = stages.put("left", left.drop("m", "main").join(several.filter("parts > 1").drop("parts"), "key"))
         if left.isEmpty():
             break
-        order = F.xxhash64("class", "key")
+        # the same classes are pivots of all the groups they are in
+        order = F.xxhash64("class")
         slot = F.when(F.col("m") <= SMALL_GROUP, F.col("class")).otherwise(F.pmod(order, F.lit(pivots)))
-        pivot = left.groupBy("key", slot.alias("slot")).agg(F.min(F.struct(order.alias("order"), "class", "component", "n")).alias("p"))
-        pivot = pivot.select("key", F.col("p.class").alias("pivot"), F.col("p.component").alias("pivot_component"), F.col("p.n").alias("pivot_n"))
-        fit = 100 * F.least("n", "pivot_n") >= threshold * F.greatest("n", "pivot_n")
-        pairs = left.join(pivot, "key").filter((F.col("component") != F.col("pivot_component")) & fit)
-        pairs = pairs.select(F.least("class", "pivot").alias("a"), F.greatest("class", "pivot").alias("b")).distinct()
+        pivot = left.filter("component <> main").groupBy("key", slot.alias("slot")).agg(F.min(F.struct(order.alias("order"), *own)).alias("p"))
+        pivot = pivot.select("key", *[F.col(f"p.{c}").alias(f"pivot_{c}") for c in own])
+        other = F.col("component") != F.col("pivot_component")
+        pairs = left.join(pivot, "key").filter(other & _may_link(threshold))
+        pairs = pairs.select(F.least("class", "pivot_class").alias("a"), F.greatest("class", "pivot_class").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         told = pairs.join(text_b, "b").join(text_a, "a").select("a", "b", "text_a", "text_b")
-        told = checkpointed(told.mapInArrow(verified, "a long, b long, ok boolean"))
+        told = stages.put("told", told.mapInArrow(verified, "a long, b long, ok boolean"))
         new = told.filter("ok").select("a", "b")
-        tested = told.select("a", "b") if tested is None else tested.union(told.select("a", "b"))
-        links = new if links is None else links.union(new)
-        labels = _joined(labels, new)
-        left = left.drop("component", "m").join(pivot.select("key", F.col("pivot").alias("class")), ["key", "class"], "left_anti")
+        tested = stages.put("tested", told.select("a", "b") if tested is None else tested.union(told.select("a", "b")))
+        links = stages.put("links", new if links is None else links.union(new))
+        labels = _joined(stages, labels, new)
+        left = left.drop("component").join(pivot.select("key", F.col("pivot_class").alias("class")), ["key", "class"], "left_anti")
         left = left.join(labels.withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))
         pivots *= 8
-    remove_path(spark, groups_at)
-    remove_path(spark, texts_at)
+    stages.drop("left", "texts", "told", "tested", "stars", "merged")
 
     known = members.filter("n_shingles > 0")
     if links is None:

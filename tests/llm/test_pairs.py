@@ -62,8 +62,7 @@ def brute_components(rows, k=5, threshold=85):
     for a in range(len(known)):
         for b in range(a):
             x, y = known[a][1], known[b][1]
-            named = known[a][0] is not None and known[b][0] is not None
-            if x and y and (x == y or named and 100 * len(x & y) >= threshold * len(x | y)):
+            if x and y and 100 * len(x & y) >= threshold * len(x | y):
                 parent[root(a)] = root(b)
     least = {}
     for i, (d, _) in enumerate(known):
@@ -117,6 +116,68 @@ def test_families_around_the_threshold(spark):
     assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in out) == brute_components(rows)[0]
 
 
+def test_rows_without_an_id_link_like_any_other(spark):
+    """1 and 2 are linked by a row without a doc_id only; so are two nameless rows with each other."""
+    rng = random.Random(12)
+    middle = text(rng, 200, 10**6).split()
+    left, right = list(middle), list(middle)
+    left[20] = "left"
+    right[150] = "right"
+    rows = [(1, " ".join(left)), (None, " ".join(middle)), (2, " ".join(right)), (3, text(rng, 50, 10**6))]
+    lonely = text(rng, 100, 10**6).split()
+    rows += [(None, " ".join(lonely)), (None, " ".join([*lonely, "more"]))]
+    for threshold, want in ((96, {1: 1, 2: 1, 3: 3}), (99, {1: 1, 2: 2, 3: 3})):
+        df = spark.createDataFrame(rows, "doc_id long, text string")
+        found = jaccard_join.jaccard_components(df, 4, threshold).collect()
+        named, nameless = brute_components(rows, 4, threshold)
+        assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in found if r.doc_id is not None) == named
+        assert sorted((r.n_shingles, -1 if r.component_id is None else r.component_id) for r in found if r.doc_id is None) == nameless
+        assert {r.doc_id: r.component_id for r in found if r.doc_id is not None} == want
+
+
+def test_rows_of_one_id_and_none_are_dealt_out(spark):
+    rng = random.Random(13)
+    base = text(rng, 80, 10**6).split()
+    rows = []
+    for i in range(1200):
+        copy = list(base) if i % 3 == 0 else text(rng, 40, 10**6).split()
+        copy[rng.randrange(len(copy))] = f"n{rng.randrange(30)}"
+        rows.append((7 if i % 2 else None, " ".join(copy)))
+    rows.append((3, " ".join(base)))
+    found = jaccard_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(6), 4, 85).collect()
+    linked = [r for r in found if r.component_id == 3]
+    assert len(found) == 1201 and len(linked) == 401 and max(r.n_links for r in linked) >= 2
+    assert {r.component_id for r in found if r.doc_id == 7} == {3, 7}
+
+
+def test_sketches_bound_the_symmetric_difference():
+    import pyarrow as pa
+
+    rng = random.Random(3)
+    base = text(rng, 300, 10**6).split()
+    texts = [" ".join(w if rng.random() > p else f"x{rng.random()}" for w in base) for p in (0, 0, 0.01, 0.05, 0.3, 1)] + ["", None, "one"]
+    sets, offsets = jaccard_join.shingle_sets(pa.array(texts), 4)
+    sketches = jaccard_join.dense_sketches(sets, offsets)
+    of = [set(sets[offsets[i] : offsets[i + 1]].tolist()) for i in range(len(texts))]
+    for i in range(len(texts)):
+        for j in range(len(texts)):
+            differ = sum(bin(int(a ^ b) & (2**64 - 1)).count("1") for a, b in zip(sketches[i], sketches[j]))
+            assert differ <= len(of[i] ^ of[j]) and (differ - len(of[i] ^ of[j])) % 2 == 0
+
+
+def test_no_folder_is_left_over(spark):
+    """What the rounds wrote is gone; what the result reads goes with the process."""
+    from strata import session
+
+    before = set(session._scratch)
+    docs = spark.createDataFrame([(i, t) for i, t in corpus()[:60]], "doc_id long, text string")
+    jaccard_join.jaccard_components(docs).collect()
+    from strata.sources.paths import path_exists
+
+    left = [p for p in set(session._scratch) - before if path_exists(spark, p)]
+    assert sorted(p.rsplit("/", 1)[1].rsplit("-", 1)[0] for p in left) in (["stage-labels", "stage-links", "stage-members"], ["stage-members"])
+
+
 @pytest.mark.parametrize("run", [jaccard_join.jaccard_components, substring_dedup.remove_repeats])
 def test_empty_table(spark, run):
     assert run(spark.createDataFrame([], "doc_id long, text string")).count() == 0

@@ -596,6 +596,13 @@ SELECT CASE WHEN more OR less THEN 'rejected' ELSE 'row' END AS kind, CAST(o_ord
             WHEN less THEN CAST(o_orderkey AS VARCHAR)
             ELSE o_orderpriority || chr(10) || 'says "' || o_orderstatus || '"' END AS note
 FROM (SELECT *, o_orderkey % 11 = 3 AS more, o_orderkey % 13 = 5 AS less FROM orders)""",
+        "csv_missing_file": "\nUNION ALL\n".join(
+            f"SELECT '{t}' AS table_name, true AS found, (SELECT count(*) FROM ({RAW[t]})) AS rows" if i < 4
+            else f"SELECT '{t}' AS table_name, false AS found, -1 AS rows" for i, t in enumerate(fixed.TABLES)),
+        "strict_overwrite": f"SELECT {', '.join(fixed.RAW_COLUMNS['products'])}, true AS refused FROM ({RAW['products']}) WHERE product_name IS NOT NULL",
+        "relocated_store": (f"SELECT {cols}, CASE WHEN lower(trim(status)) = 'delivered' THEN 'second' ELSE 'first' END AS location "
+                            f"FROM ({RAW['orders']}) WHERE status IS NOT NULL"),
+        "now_in_zone": f"SELECT event_id, date_diff('minute', now() AT TIME ZONE 'UTC', now() AT TIME ZONE '{ZONE}') AS minutes_ahead FROM events",
         "resumed_sales_by_category": layered(f"SELECT {MART_PRESENT['vendas_por_categoria']} FROM mart_vendas_por_categoria"),
         "catalog_customer_summary": layered(f"SELECT {MART_PRESENT['resumo_clientes']} FROM mart_resumo_clientes"),
         "gated_counts": layered(counts),

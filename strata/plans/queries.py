@@ -15,6 +15,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,7 +39,7 @@ from strata.plans.layers import (
 from strata.session import scratch_path
 from strata.sources.files import read_checked_csv, read_driver_table, read_raw_csv, write_csv
 from strata.sources.star import LANDED_AT, raw_orders, raw_products, raw_tables, source_tables
-from strata.sources.store import LayerStore
+from strata.sources.store import LayerStore, SchemaMismatchError
 from strata.streaming.landing import land_folder_now
 
 TS_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
@@ -193,6 +194,13 @@ def _segment_with_gaps():
     )
 
 
+def now_in_zone(spark, sf_dir):
+    """How far the local clock is from UTC at the moment of the query, on every event."""
+    e = _t(spark, sf_dir, "events")
+    local, utc = C.now_in_zone(fixed.LOCAL_ZONE), C.now_in_zone("UTC")
+    return present(e.select("event_id", F.timestamp_diff("MINUTE", utc, local).alias("minutes_ahead")))
+
+
 def null_default(spark, sf_dir):
     c = _t(spark, sf_dir, "customer")
     return present(c.select("c_custkey", C.default_if_null(_segment_with_gaps(), fixed.UNKNOWN).alias("segment")))
@@ -285,6 +293,47 @@ def csv_rejected(spark, sf_dir):
     return present(both.unionByName(rejected.select(F.lit("rejected").alias("kind"), F.substring_index("record", ",", 1).alias("order"), F.col("record").alias("note"))))
 
 
+def csv_missing_file(spark, sf_dir):
+    """Raw tables as CSV, two of them never written: found or not, and the rows read."""
+    folder = scratch_path(spark, "csv-some")
+    sources = source_tables(spark, sf_dir)
+    for t in fixed.TABLES[:4]:
+        write_csv(sources[t], f"{folder}/{t}.csv")
+    rows = []
+    for t in fixed.TABLES:
+        try:
+            rows.append(read_raw_csv(spark, f"{folder}/{t}.csv", fixed.RAW_COLUMNS[t]).agg(F.lit(t).alias("table_name"), F.lit(True).alias("found"), F.count("*").alias("rows")))
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            rows.append(spark.createDataFrame([(t, False, -1)], "table_name string, found boolean, rows long"))
+    return present(reduce(lambda a, b: a.unionByName(b), rows))
+
+
+def strict_overwrite(spark, sf_dir):
+    """Raw products, then an overwrite of another schema that has to be refused, then one of the same schema."""
+    store = LayerStore(spark, scratch_path(spark, "strict"))
+    products = raw_products(_t(spark, sf_dir, "part"))
+    store.write(products, fixed.RAW, "products", schema_may_change=False)
+    refused = False
+    try:
+        store.write(products.withColumn("price", C.to_money("price")), fixed.RAW, "products", schema_may_change=False)
+    except SchemaMismatchError:
+        refused = True
+    store.write(store.read(fixed.RAW, "products").filter(F.col("product_name").isNotNull()), fixed.RAW, "products", schema_may_change=False)
+    return present(store.read(fixed.RAW, "products").withColumn("refused", F.lit(refused)))
+
+
+def relocated_store(spark, sf_dir):
+    """One table in two locations: rows of the first are read from there and written to the second."""
+    first, second = (LayerStore(spark, scratch_path(spark, name)) for name in ("store-a", "store-b"))
+    first.write(raw_orders(_t(spark, sf_dir, "orders")), fixed.RAW, "orders")
+    second.write(first.read(fixed.RAW, "orders").filter(F.lower(F.trim("status")) == "delivered"), fixed.RAW, "orders")
+    first.write(first.read(fixed.RAW, "orders").filter(F.lower(F.trim("status")) != "delivered"), fixed.RAW, "orders")
+    tables = [s.read(fixed.RAW, "orders").withColumn("location", F.lit(n)) for n, s in (("first", first), ("second", second))]
+    return present(tables[0].unionByName(tables[1]))
+
+
 def rewritten_preview(spark, sf_dir):
     """A table written, rewritten from itself with another schema, and its first rows by key."""
     store = LayerStore(spark, scratch_path(spark, "rewritten"))
@@ -464,6 +513,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "strip_prefix": strip_prefix,
     "text_normalise": text_normalise,
     "utc_to_zone": utc_to_zone,
+    "now_in_zone": now_in_zone,
     "money_cast": money_cast,
     "int_try_cast": int_try_cast,
     "date_try_cast": date_try_cast,
@@ -483,6 +533,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gated_counts": gated_counts,
     "csv_keep_empty": csv_keep_empty,
     "csv_line_breaks": csv_line_breaks,
+    "csv_missing_file": csv_missing_file,
+    "strict_overwrite": strict_overwrite,
+    "relocated_store": relocated_store,
     "csv_rejected": csv_rejected,
     "rewritten_preview": rewritten_preview,
     "resumed_sales_by_category": resumed_sales_by_category,

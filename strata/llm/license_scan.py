@@ -5,6 +5,7 @@ DataFrame functions and Spark's own (JVM) logistic regression only.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression
@@ -59,6 +60,8 @@ FAMILIES = ("none", *sorted(TEMPLATES))
 VARIANTS, NEGATIVES = 40, 4000
 #: A feature may occur in at most this share of the "none" examples; false alarms allowed on held-out ones.
 COMMON, FALSE_ALARMS = 0.005, 0.001
+#: Stands for the names of a licence that is none of the families, and the share of such notices that may pass for one.
+STRANGER, MISTAKEN = "acme", 0.05
 #: Share of a template's words that a paragraph must hold to confirm its family.
 LEAST_SIMILARITY = 0.6
 
@@ -104,13 +107,34 @@ def _examples(docs: DataFrame) -> DataFrame:
     return good.union(none)
 
 
+def _strangers(spark: SparkSession) -> DataFrame:
+    """(words) of the notices with the words of one family alone exchanged for ``STRANGER``: licence texts of no family.
+
+    Notices that share few words with other families' are left out: without
+    their own words little of them remains.
+    """
+    split = lambda t: re.findall(r"[a-z0-9]+(?:[.-][a-z0-9]+)*", t.lower())
+    used = {f: {w for t in TEMPLATES[f] for w in split(t)} for f in TEMPLATES}
+    rows = []
+    for f in TEMPLATES:
+        own = used[f] - set().union(*(used[g] for g in TEMPLATES if g != f))
+        for t in TEMPLATES[f]:
+            text = split(t)
+            shared = [w for w in text if w not in own]
+            if 2 * len(shared) >= len(text) > len(shared):
+                rows.append(([STRANGER if w in own else w for w in text],))
+                rows.append((shared,))
+    return spark.createDataFrame(rows, "words array<string>")
+
+
 def fit(docs: DataFrame) -> Model:
     """Train on variants of the notices and a bounded sample of the corpus' paragraphs.
 
     Features are the notices' words and word pairs that are rare in the
     sample; L1 keeps the weights sparse. The probability from which a family
     is named is the least one that lets through at most ``FALSE_ALARMS`` of
-    the held-out paragraphs and no less than half.
+    the held-out paragraphs and ``MISTAKEN`` of the notices of a licence of
+    another name, and no less than half.
     """
     examples = _examples(docs).withColumn("grams", grams("words")).cache()
     plain = examples.filter("label = 0")
@@ -121,40 +145,49 @@ def fit(docs: DataFrame) -> Model:
     vectors.setBinary(True)
     shown = vectors.transform(examples).withColumn("weight", F.when(F.col("label") == 0, 1.0).otherwise(2.0))
     regression = LogisticRegression(featuresCol="x", labelCol="label", weightCol="weight", family="multinomial", regParam=2e-4, elasticNetParam=0.5, maxIter=80, standardization=False)
-    trained = regression.fit(shown.filter("NOT held").union(shown.filter("held AND label = 0").limit(0)))
+    trained = regression.fit(shown.filter("NOT held"))
     weights, intercepts = trained.coefficientMatrix.toArray().tolist(), list(trained.interceptVector)
     p = vector_to_array("probability")
     held = trained.transform(shown.filter("held AND label = 0")).select(F.array_max(F.slice(p, 2, len(FAMILIES) - 1)).alias("p"))
     alarm = held.agg(F.percentile("p", 1 - FALSE_ALARMS)).first()[0]
+    others = trained.transform(vectors.transform(_strangers(docs.sparkSession).withColumn("grams", grams("words"))))
+    mistaken = others.filter(F.element_at(p, 1) < 0.5).agg(F.percentile(F.array_max(F.slice(p, 2, len(FAMILIES) - 1)), 1 - MISTAKEN)).first()[0]
     examples.unpersist()
     # a paragraph without a feature that speaks for some family against "none" is "none"
     useful = [g for k, g in enumerate(features) if any(row[k] > weights[0][k] + 1e-9 for row in weights[1:])]
     single = {g for g in useful if " " not in g}
     pairs = [g for g in useful if " " in g and not single & set(g.split())]
     clue = "|".join([rf"(?:{'|'.join(x.replace('.', '[.]') for x in sorted(single))})"] * bool(single) + [g.replace(".", "[.]").replace(" ", "[^a-z0-9]+") for g in pairs])
-    return Model(features, weights, intercepts, max(0.5, alarm or 0.0), rf"(?<![a-z0-9])(?:{clue})(?![a-z0-9])")
+    return Model(features, weights, intercepts, max(0.5, alarm or 0.0, mistaken or 0.0), rf"(?<![a-z0-9])(?:{clue})(?![a-z0-9])")
+
+
+def _text_key() -> list[Column]:
+    """Equal texts, equal keys: what a text holds is found once for all rows that repeat it."""
+    return [F.xxhash64("text").alias("text_hash"), F.length("text").alias("text_length")]
 
 
 def paragraphs(docs: DataFrame, model: Model) -> DataFrame:
-    """(doc_id, paragraph, family, p, similarity): every paragraph that the classifier takes for a licence text.
+    """(text_hash, text_length, paragraph, family, p, similarity): every paragraph that the classifier takes for a licence text.
 
-    ``family`` is ``unknown`` where no family reaches the calibrated
-    probability or no template of it confirms; ``similarity`` is the largest
-    share of a template's words that the paragraph holds. Paragraphs are
-    lines, counted from 0.
+    One row for each such paragraph of each distinct text. ``family`` is
+    ``unknown`` where no family reaches the calibrated probability or no
+    template of it confirms; ``similarity`` is the largest share of a
+    template's words that the paragraph holds. Paragraphs are lines, counted
+    from 0.
     """
     spark: SparkSession = docs.sparkSession
-    lines = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).filter(F.lower("text").rlike(model.clue))
-    lines = lines.select("doc_id", F.posexplode(F.split("text", "\n")).alias("paragraph", "line")).filter(F.lower("line").rlike(model.clue))
+    lines = docs.select(F.col("text").cast("string").alias("text")).filter(F.lower("text").rlike(model.clue))
+    lines = lines.select(*_text_key(), F.posexplode(F.split("text", "\n")).alias("paragraph", "line")).filter(F.lower("line").rlike(model.clue))
+    # rows that repeat a text have the same lines
+    lines = lines.groupBy("text_hash", "text_length", "paragraph").agg(F.first("line").alias("line"))
     lines = lines.withColumn("words", words(F.col("line")))
     lines = lines.withColumn("found", F.array_intersect(grams("words"), F.array(*map(F.lit, model.features)))).filter("size(found) > 0")
     table = [(g, [row[k] for row in model.weights]) for k, g in enumerate(model.features)]
     weights = spark.createDataFrame(table, "gram string, w array<double>")  # bounded by the templates
-    start = [F.lit(b) for b in model.intercepts]
-    hits = lines.select("doc_id", "paragraph", "line", "words", F.explode("found").alias("gram")).join(F.broadcast(weights), "gram")
-    scored = hits.groupBy("doc_id", "paragraph", "line", "words").agg(*[F.sum(F.col("w")[k]).alias(f"z{k}") for k in range(len(FAMILIES))])
-    z = F.array(*[F.col(f"z{k}") + b for k, b in enumerate(start)])
-    scored = scored.select("doc_id", "paragraph", "words", z.alias("z")).withColumn("top", F.array_max("z"))
+    hits = lines.select("text_hash", "text_length", "paragraph", "words", F.explode("found").alias("gram")).join(F.broadcast(weights), "gram")
+    scored = hits.groupBy("text_hash", "text_length", "paragraph").agg(F.first("words").alias("words"), *[F.sum(F.col("w")[k]).alias(f"z{k}") for k in range(len(FAMILIES))])
+    z = F.array(*[F.col(f"z{k}") + b for k, b in enumerate(model.intercepts)])
+    scored = scored.select("text_hash", "text_length", "paragraph", "words", z.alias("z")).withColumn("top", F.array_max("z"))
     scored = scored.withColumn("p", F.transform("z", lambda x: F.exp(x - F.col("top")))).withColumn("total", F.aggregate("p", F.lit(0.0), lambda a, x: a + x))
     best = F.array_max(F.slice("p", 2, len(FAMILIES) - 1))
     scored = scored.filter(F.element_at("p", 1) < 0.5 * F.col("total")).withColumns({"best": best, "k": F.array_position("p", best)})
@@ -164,7 +197,7 @@ def paragraphs(docs: DataFrame, model: Model) -> DataFrame:
     similar = F.array_max(F.transform("templates", lambda t: F.size(F.array_intersect(t, F.col("words"))) / F.size(t)))
     scored = scored.withColumns({"p": F.col("best") / F.col("total"), "similarity": similar})
     sure = (F.col("p") >= model.least) & (F.col("similarity") >= LEAST_SIMILARITY)
-    return scored.select("doc_id", F.col("paragraph").cast("long").alias("paragraph"), F.when(sure, F.col("guess")).otherwise("unknown").alias("family"), "p", "similarity")
+    return scored.select("text_hash", "text_length", F.col("paragraph").cast("long").alias("paragraph"), F.when(sure, F.col("guess")).otherwise("unknown").alias("family"), "p", "similarity")
 
 
 def scan(docs: DataFrame, model: Model | None = None) -> DataFrame:
@@ -172,12 +205,12 @@ def scan(docs: DataFrame, model: Model | None = None) -> DataFrame:
 
     ``families`` lists the distinct families by name, comma-joined, and is
     empty where the document has no licence text; ``unknown`` stands for
-    licence texts of no known family. Null and empty texts have none. Rows
-    that repeat a doc_id (or have none) show what all their texts hold
-    together. An empty table gives no rows. Other columns are ignored.
+    licence texts of no known family. Null and empty texts have none. Every
+    row shows what its own text holds, whether or not it repeats a doc_id or
+    has none. An empty table gives no rows. Other columns are ignored.
     """
     model = model or fit(docs)
-    key = F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("key")
-    found = paragraphs(docs, model).groupBy(key).agg(F.count("*").alias("n"), F.array_join(F.array_sort(F.collect_set("family")), ",").alias("families"))
-    out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), key).join(found, "key", "left")
+    found = paragraphs(docs, model).groupBy("text_hash", "text_length").agg(F.count("*").alias("n"), F.array_join(F.array_sort(F.collect_set("family")), ",").alias("families"))
+    out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).select("doc_id", *_text_key())
+    out = out.join(found, ["text_hash", "text_length"], "left")
     return out.select("doc_id", F.coalesce("n", F.lit(0)).alias("n_paragraphs"), F.coalesce("families", F.lit("")).alias("families"))

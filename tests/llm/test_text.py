@@ -1,6 +1,7 @@
 """Decontamination, personal data, quality model, licence scan."""
 
 import hashlib
+import math
 import random
 import re
 
@@ -345,6 +346,42 @@ def test_license_scan_finds_families(spark):
     assert sum(told[i] == f for i, f, _ in other) / len(other) > 0.7
 
 
+def test_license_scores_equal_plain_logistic_scoring(spark):
+    """Every line of every row by the weights, in plain Python; repeated rows and ids score like one row."""
+    rng = random.Random(8)
+    prose = lambda n: " ".join("".join(rng.choice(["the", "an", "in", "er", "re"]) for _ in range(rng.randrange(1, 4))) for _ in range(n))
+    notices = [t for f in license_scan.TEMPLATES for t in license_scan.TEMPLATES[f]]
+    corpus = [(i, "\n".join(prose(12) for _ in range(4))) for i in range(200)]
+    model = license_scan.fit(spark.createDataFrame(corpus, "doc_id long, text string"))
+    lines = ["Licensed under the License Foo version 9 terms apply", "source code is subject to the terms of a contract", "Released under the FOO License."]
+    lines += [" ".join(w for w in t.split() if rng.random() > 0.2) for t in notices * 2] + [prose(9) for _ in range(20)]
+    rows = [(i, f"{a}\n{prose(8)}\n{b}") for i, (a, b) in enumerate(zip(lines, lines[::-1]))] + [(500 + i, t) for i, t in enumerate(lines)]
+    rows += [(500, lines[0])] * 2 + [(None, lines[1])] * 3 + [(501, lines[4]), (7, None), (8, ""), (9, " ".join([lines[3]] + [prose(5000)]))]
+
+    def plain(line):
+        words = re.findall(r"[a-z0-9]+(?:[.-][a-z0-9]+)*", line.lower())
+        held = {*words, *(" ".join(p) for p in zip(words, words[1:]))}
+        z = [b + sum(model.weights[k][j] for j, g in enumerate(model.features) if g in held) for k, b in enumerate(model.intercepts)]
+        e = [math.exp(x - max(z)) for x in z]
+        p = [x / sum(e) for x in e]
+        if not held & set(model.features) or p[0] >= 0.5:
+            return None
+        best = max(range(1, len(p)), key=lambda k: p[k])
+        family = license_scan.FAMILIES[best]
+        templates = [set(re.findall(r"[a-z0-9]+(?:[.-][a-z0-9]+)*", t.lower())) for t in license_scan.TEMPLATES[family]]
+        similar = max(len(t & set(words)) / len(t) for t in templates)
+        return family if p[best] >= model.least and similar >= license_scan.LEAST_SIMILARITY else "unknown"
+
+    want = []
+    for doc, text in rows:
+        found = [f for f in map(plain, (text or "").split("\n")) if f]
+        want.append((str(doc), len(found), ",".join(sorted(set(found)))))
+    got = [(str(r.doc_id), r.n_paragraphs, r.families) for r in license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), model).collect()]
+    assert sorted(got) == sorted(want)
+    assert {f for *_, f in want} >= {"unknown", "mit", "apache"}
+    assert model.least > 0.5 and plain(lines[2]) == "unknown"
+
+
 def test_license_clue_misses_nothing(spark):
     """Paragraphs that the pattern leaves out have no weight for any family."""
     df = spark.createDataFrame([(i, f"plain words number {i} of a text that is long") for i in range(100)], "doc_id long, text string")

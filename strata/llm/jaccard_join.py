@@ -10,6 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.llm.blocks import block_count, packed, unpacked
 from strata.llm.components import Stages, components, typed
@@ -168,13 +169,48 @@ def _joined(stages: Stages, labels: DataFrame | None, links: DataFrame) -> DataF
     return stages.put("labels", old.union(merged.join(labels.select("node"), "node", "left_anti")))
 
 
+def with_class(docs: DataFrame, k: int = SHINGLE_WORDS) -> DataFrame:
+    """``docs`` and, as ``__class``, the class of each row's text; null without shingles."""
+    schema = T.StructType([*docs.schema.fields, T.StructField("__class", T.LongType())])
+
+    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in chunks(batch):
+                sets, offsets = shingle_sets(part.column("text"), k)
+                ids = pa.array(_set_ids(sets, offsets), mask=np.diff(offsets) == 0)
+                yield pa.RecordBatch.from_arrays([*part.columns, ids], [*part.schema.names, "__class"])
+
+    return docs.mapInArrow(named, schema)
+
+
+def one_of_each(docs: DataFrame, k: int = SHINGLE_WORDS, threshold: int = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` without near duplicates: of each group of linked rows one stays.
+
+    It is the row with the least doc_id (rows without one come last, ties by
+    the class of the text, then by the row's values). Rows without shingles
+    link with nothing and stay. The columns are those of ``docs``.
+    """
+    found = jaccard_components(docs, k, threshold).filter("group IS NOT NULL")
+    first = found.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "class")).alias("first")).select("first.*")
+    rows = found.groupBy("doc_id", "class").agg(F.count("*").alias("rows"))
+    first = first.join(rows.select(F.col("doc_id").alias("id"), F.col("class").alias("c"), "rows"), (F.col("class") == F.col("c")) & F.col("doc_id").eqNullSafe(F.col("id")))
+    stay = first.select(F.col("id").alias("__id"), F.col("class").alias("__stays"), F.col("rows").alias("__rows"))
+    named = with_class(docs, k)
+    kept = named.join(stay, (F.col("__class") == F.col("__stays")) & F.col("doc_id").cast("long").eqNullSafe(F.col("__id")))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    once = kept.filter("__rows = 1").select(*columns)
+    least = kept.filter("__rows > 1").groupBy("__class", "__id").agg(F.min(F.struct(*columns)).alias("row")).select("row.*")
+    return once.unionByName(least).unionByName(named.filter("__class IS NULL").select(*columns))
+
+
 def jaccard_components(docs: DataFrame, k: int = SHINGLE_WORDS, threshold: int = THRESHOLD, partitions: int | None = None) -> DataFrame:
     """Link documents whose sets of ``k``-word shingles have a Jaccard similarity of ``threshold`` percent or more.
 
     Returns doc_id, n_shingles (set size), class (id of documents with equal
-    sets), n_links (linked classes found and verified for its class) and
-    component_id (least doc_id reachable by links, itself included), one row
-    per input row. Words are those of the lower-cased (A-Z) text; a text of
+    sets), n_links (linked classes found and verified for its class),
+    component_id (least doc_id reachable by links, itself included) and group
+    (id of the component, also where it has no doc_id; null without
+    shingles), one row per input row. Words are those of the lower-cased (A-Z) text; a text of
     fewer than ``k`` words is one shingle, one without words or a null text
     has none and links with nothing. Rows that repeat a doc_id, or have none,
     link by their own texts like any other; a component of rows without a
@@ -323,8 +359,8 @@ def jaccard_components(docs: DataFrame, k: int = SHINGLE_WORDS, threshold: int =
         by_class = labels.withColumnRenamed("node", "class").join(degree, "class", "left")
         known = known.join(by_class, "class", "left").withColumns({"component": F.coalesce("component", "class"), "n_links": F.coalesce("n_links", F.lit(0))})
     least = known.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    known = known.join(least, "component").select("doc_id", "n_shingles", "class", "n_links", "component_id")
-    alone = members.filter("n_shingles = 0").select("doc_id", "n_shingles", "class", F.lit(0).cast("long").alias("n_links"), F.col("doc_id").alias("component_id"))
+    known = known.join(least, "component").select("doc_id", "n_shingles", "class", "n_links", "component_id", F.col("component").alias("group"))
+    alone = members.filter("n_shingles = 0").select("doc_id", "n_shingles", "class", F.lit(0).cast("long").alias("n_links"), F.col("doc_id").alias("component_id"), F.lit(None).cast("long").alias("group"))
     return known.union(alone)
 
 

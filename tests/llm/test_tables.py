@@ -277,3 +277,25 @@ def test_near_duplicate_stage_links_from_80_percent(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     kept = corpus_pipeline.near_duplicates(spark, docs, "").collect()
     assert sorted(r.doc_id for r in kept) == [1, 3, 4]
+
+
+def test_near_duplicate_stage_decides_row_by_row(spark):
+    """One row of each group stays, where rows repeat an id or have none; no row without shingles goes."""
+    one, two, three = (" ".join(f"{c}{i}" for i in range(60)) for c in "xyz")
+    near = one + " more"
+    rows = [
+        (5, one, "a", 1), (5, one, "a", 1), (5, near, "b", 2), (None, one, "c", 3), (9, near, "d", 4),      # one group: one row of id 5 stays
+        (None, two, "e", 5), (None, two, "e", 5), (None, two + " word", "f", 6),                             # one group without an id
+        (5, three, "g", 7),                                                                                 # the same id, another text
+        (5, None, "h", 8), (None, "", "i", 9), (None, "", "i", 9), (6, "  ", None, None),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, class string, component int").repartition(3)
+    kept = corpus_pipeline.near_duplicates(spark, docs, "")
+    assert kept.columns == docs.columns
+    got = sorted((tuple(r) for r in kept.collect()), key=str)
+    alone = sorted((r for r in rows if not (r[1] or "").strip()), key=str)
+    assert [r for r in got if not (r[1] or "").strip()] == alone
+    named, nameless = [r for r in got if r[0] == 5 and r[1] and r[1].strip()], [r for r in got if r[0] is None and r[1]]
+    assert len(named) == 2 and (5, three, "g", 7) in named and {r[1] for r in named} <= {one, near, three}
+    assert len(nameless) == 1 and nameless[0][1].startswith(two) and len(got) == 3 + len(alone)
+    assert corpus_pipeline.near_duplicates(spark, docs.limit(0), "").count() == 0

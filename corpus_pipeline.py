@@ -2,9 +2,9 @@
 
 Quality classifier, near duplicates, benchmark decontamination, personal
 data, source mix. All stages but the last return the columns of
-``documents``. Rows without a doc_id pass the stages that decide by id
-together (they cannot be told apart); rows that repeat one stay or go
-together.
+``documents``. The quality stage decides by doc_id: rows that repeat one, or
+have none, stay together if one of them does. The other stages decide row by
+row.
 """
 
 from __future__ import annotations
@@ -31,9 +31,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one with the least doc_id."""
-    groups = jaccard_join.jaccard_components(docs, NEAR_WORDS, NEAR_THRESHOLD)
-    return _only(docs, groups.filter("doc_id IS NULL OR doc_id = component_id").select("doc_id"))
+    """Of each group of linked rows the one with the least doc_id, also where rows repeat an id or have none."""
+    return jaccard_join.one_of_each(docs, NEAR_WORDS, NEAR_THRESHOLD)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -4,7 +4,10 @@
     python -m strata conform  --lake URI [--preview N] [--blank-as-missing --all-whitespace --normalize-first]
     python -m strata marts    --lake URI [--preview N]
     python -m strata check    {bronze,silver,gold} --lake URI     # exit 1 on a failed ERROR
-    python -m strata run      --source URI --lake URI [conform options]   # all layers, gated
+    python -m strata run      --source URI --lake URI [--run-id ID] [conform options]   # all layers, gated
+
+A ``run`` with a ``--run-id`` that failed goes on from its last written table
+when it is started again with the same id.
 
 ``--lake`` is the layer store root (any Hadoop URI); without it the session
 catalog's ``bronze``/``silver``/``gold`` databases are used, which needs a
@@ -24,7 +27,8 @@ from strata.operators import quality as Q
 from strata.operators.conform import ConformOptions
 from strata.plans import layers as L
 from strata.session import build_session
-from strata.sources.store import LayerStore, MissingTableError
+from strata.sources.manifest import RunFinishedError
+from strata.sources.store import LayerStore, MissingTableError, WriteConflictError
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -45,6 +49,7 @@ def _parser() -> argparse.ArgumentParser:
         c.add_argument("--blank-as-missing", action="store_true", help="blank text also gets the defaults")
         c.add_argument("--all-whitespace", action="store_true", help="trim tabs/newlines too when normalising")
         c.add_argument("--normalize-first", action="store_true", help="deduplicate on normalised keys")
+    sub.choices["run"].add_argument("--run-id", help="keep a manifest, and go on with the run of this id if it failed")
     c = sub.add_parser("check")
     c.add_argument("layer", choices=fixed.LAYERS)
     c.add_argument("--lake")
@@ -70,7 +75,7 @@ def main(argv: list[str] | None = None) -> int:
         return 2
     try:
         return _run(args, spark)
-    except MissingTableError as error:
+    except (MissingTableError, RunFinishedError, WriteConflictError) as error:
         print(f"error: {error}", file=sys.stderr)
         return 2
 
@@ -100,7 +105,7 @@ def _run(args: argparse.Namespace, spark: SparkSession) -> int:
         return 0 if report.ok else 1
     elif args.cmd == "run":
         result = L.run_layers(spark, L.read_raw(spark, args.source), store, options=_options(args),
-                              stop_on_error=True, normalize_first=args.normalize_first)
+                              stop_on_error=True, normalize_first=args.normalize_first, run_id=args.run_id)
         for report in result.reports.values():
             print(report.summary())
         return 0 if result.ok else 1

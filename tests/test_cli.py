@@ -50,3 +50,10 @@ def test_conform_options_from_the_command_line(spark, tmp_uri):
     assert main(["conform", "--lake", lake, "--blank-as-missing", "--all-whitespace", "--normalize-first"]) == 0
     orders = LayerStore(spark, lake).read(fixed.CONFORMED, "orders")
     assert orders.count() == orders.select("order_id").distinct().count()
+
+
+def test_a_finished_run_is_not_run_again(spark, tmp_uri, capsys):
+    write_shop(raw_shop(spark, dirty=False), tmp_uri + "/csv")
+    run = ["run", "--source", tmp_uri + "/csv", "--lake", tmp_uri + "/lake", "--run-id", "monday"]
+    assert main(run) == 0
+    assert main(run) == 2 and "run monday is finished" in capsys.readouterr().err

@@ -19,9 +19,9 @@ LEAST_WORDS, MOST_REPEATED = 10, 20  # words; percent of the words
 #: Ratios that get thresholds, and the slack within which no threshold is set, per 10,000.
 RATIOS = {"symbols": 300, "word_length": 40_000, "dup_lines": 500, "repeats": 1500}
 #: A threshold is the median plus FENCE times the distance to this quantile (in percent).
-FENCE, QUANTILE = 4, 90
-#: Documents a group's own sketch needs; smaller groups use their language's, then the whole corpus'.
-LEAST_DOCS = 50
+FENCE, QUANTILE = 4, 75
+#: A group's median is drawn towards its language's as if by so many documents, and that towards the corpus'.
+PRIOR_DOCS = 50
 
 
 def _pairwise(values: Column, size: Column) -> Column:
@@ -88,16 +88,15 @@ def least_of(b: str) -> Column:
     return F.expr(f"CASE WHEN {b} < 64 THEN {b} ELSE shiftleft({b} % 32 + 32, CAST({b} div 32 - 1 AS INT)) END")
 
 
-def thresholds(sketches: DataFrame, by: list[str]) -> DataFrame:
-    """(by..., metric, docs, most): threshold of each metric from bucket counts merged over ``by``."""
+def quantiles(sketches: DataFrame, by: list[str]) -> DataFrame:
+    """(by..., metric, docs, mid, spread): median, and its distance to the upper quantile, from bucket counts merged over ``by``."""
     merged = sketches.groupBy(*by, "metric", "bucket").agg(F.sum("docs").alias("docs"))
     order = Window.partitionBy(*by, "metric").orderBy("bucket")
     running = merged.withColumns({"up_to": F.sum("docs").over(order), "every": F.sum("docs").over(Window.partitionBy(*by, "metric"))})
     at = lambda q: F.min(F.when(100 * F.col("up_to") >= q * F.col("every"), F.col("bucket")))
     found = running.groupBy(*by, "metric").agg(F.sum("docs").alias("docs"), at(50).alias("mid"), at(QUANTILE).alias("high"))
-    slack = F.element_at(F.create_map(*[F.lit(x) for kv in RATIOS.items() for x in kv]), F.col("metric"))
-    found = found.withColumns({"mid": least_of("mid"), "high": least_of("high")})
-    return found.select(*by, "metric", "docs", (F.col("mid") + F.greatest(FENCE * (F.col("high") - F.col("mid")), slack)).cast("long").alias("most"))
+    found = found.withColumns({"mid": least_of("mid").cast("long"), "high": least_of("high").cast("long")})
+    return found.select(*by, "metric", "docs", "mid", (F.col("high") - F.col("mid")).alias("spread"))
 
 
 def judge(docs: DataFrame) -> DataFrame:
@@ -106,10 +105,12 @@ def judge(docs: DataFrame) -> DataFrame:
     Documents that fail the base rules are rejected. The others are sketched:
     counts by language, source, ratio and log-linear bucket (relative error
     1/32). Per group, a ratio may be at most its median plus ``FENCE`` times
-    the distance to the 90th percentile, or plus the ratio's slack if that is
-    more; groups of fewer than ``LEAST_DOCS`` documents take the threshold of
-    their language's merged sketch, or the whole corpus' where that is as
-    small. The thresholds are joined to the documents. Null lang and source
+    its spread, or plus the ratio's slack if that is more. The spread is the
+    distance from the median to the upper quartile, the least one of the
+    group, its language and the corpus: junk that is a minority of a source
+    neither moves the median far nor widens the spread. Medians are weighted
+    means with those of the next wider group (``PRIOR_DOCS``), so that few
+    documents say little. The thresholds are joined to the documents. Null lang and source
     are groups of their own; repeated rows count each; null doc_ids are
     judged like others; null and empty texts fail the base rules; an empty
     table gives no rows. Other columns are ignored.
@@ -118,13 +119,18 @@ def judge(docs: DataFrame) -> DataFrame:
     rows = checkpointed(measured(docs).withColumns({"l": key("lang"), "s": key("source")}))
     rated = rows.filter("NOT base_failed").select("l", "s", F.explode(F.create_map(*[x for name, r in ratios().items() for x in (F.lit(name), r)])).alias("metric", "x"))
     sketches = rated.groupBy("l", "s", "metric", bucket("x").cast("long").alias("bucket")).agg(F.count("*").alias("docs"))
-    wide = lambda t, by, name: t.groupBy(*by).agg(F.max("docs").alias(f"{name}_docs"), *[F.max(F.when(F.col("metric") == m, F.col("most"))).alias(f"{name}_{m}") for m in RATIOS])
-    own = wide(thresholds(sketches, ["l", "s"]), ["l", "s"], "own")
-    language = wide(thresholds(sketches, ["l"]), ["l"], "lang")
-    corpus = wide(thresholds(sketches.withColumn("c", F.lit(1)), ["c"]), ["c"], "all")  # one row
+    wide = lambda t, by, name: t.groupBy(*by).agg(F.max("docs").alias(f"{name}_docs"), *[F.max(F.when(F.col("metric") == m, F.col(c))).alias(f"{name}_{c}_{m}") for m in RATIOS for c in ("mid", "spread")])
+    own = wide(quantiles(sketches, ["l", "s"]), ["l", "s"], "own")
+    language = wide(quantiles(sketches, ["l"]), ["l"], "lang")
+    corpus = wide(quantiles(sketches.withColumn("c", F.lit(1)), ["c"]), ["c"], "all")  # one row
     groups = own.join(language, "l").withColumn("c", F.lit(1)).join(corpus, "c")
-    pick = lambda m: F.when(F.col("own_docs") >= LEAST_DOCS, F.col(f"own_{m}")).when(F.col("lang_docs") >= LEAST_DOCS, F.col(f"lang_{m}")).otherwise(F.col(f"all_{m}"))
-    groups = groups.select("l", "s", *[pick(m).alias(f"most_{m}") for m in RATIOS])
+    drawn = lambda docs, mid, wider: f"({docs} * {mid} + {PRIOR_DOCS} * {wider}) div ({docs} + {PRIOR_DOCS})"
+
+    def most(m: str) -> Column:
+        mid = drawn("own_docs", f"own_mid_{m}", drawn("lang_docs", f"lang_mid_{m}", f"all_mid_{m}"))
+        return F.expr(f"{mid} + greatest({FENCE} * least(own_spread_{m}, lang_spread_{m}, all_spread_{m}), {RATIOS[m]})").alias(f"most_{m}")
+
+    groups = groups.select("l", "s", *[most(m) for m in RATIOS])
     joined = rows.join(groups, ["l", "s"], "left")
     within = F.lit(True)
     for name, ratio in ratios().items():
@@ -133,22 +139,26 @@ def judge(docs: DataFrame) -> DataFrame:
     return joined.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", kept.alias("kept"))
 
 
-def _limits(by: str, name: str) -> str:
-    """SQL of one level of thresholds, from the table ``sketches``."""
+def _quantile_sql(by: str, name: str) -> str:
+    """SQL of one level of quantiles, from the table ``sketches``."""
     keys = f"{by}, " if by else ""
     over = f"PARTITION BY {keys}metric"
-    slack = " ".join(f"WHEN '{m}' THEN {s}" for m, s in RATIOS.items())
     low = lambda b: f"(CASE WHEN {b} < 64 THEN {b} ELSE ({b} % 32 + 32) << ({b} // 32 - 1)::INT END)"
-    most = ", ".join(f"max(most) FILTER (metric = '{m}') AS {name}_{m}" for m in RATIOS)
+    columns = ", ".join(f"max({c}) FILTER (metric = '{m}') AS {name}_{c}_{m}" for m in RATIOS for c in ("mid", "spread"))
     return f"""
 {name}_merged AS (SELECT {keys}metric, bucket, sum(docs)::BIGINT AS docs FROM sketches GROUP BY {keys}metric, bucket),
 {name}_running AS (SELECT *, sum(docs) OVER ({over} ORDER BY bucket) AS up_to, sum(docs) OVER ({over}) AS every FROM {name}_merged),
 {name}_found AS (
-  SELECT {keys}metric, sum(docs) AS docs, min(bucket) FILTER (100 * up_to >= 50 * every) AS mid, min(bucket) FILTER (100 * up_to >= {QUANTILE} * every) AS high
+  SELECT {keys}metric, sum(docs)::BIGINT AS docs, min(bucket) FILTER (100 * up_to >= 50 * every) AS mid, min(bucket) FILTER (100 * up_to >= {QUANTILE} * every) AS high
   FROM {name}_running GROUP BY {keys}metric),
-{name}_limits AS (
-  SELECT {keys}metric, docs, {low("mid")} + greatest({FENCE} * ({low("high")} - {low("mid")}), CASE metric {slack} END) AS most FROM {name}_found),
-{name}_wide AS (SELECT {keys}max(docs) AS {name}_docs, {most} FROM {name}_limits {f"GROUP BY {by}" if by else ""})"""
+{name}_limits AS (SELECT {keys}metric, docs, {low("mid")} AS mid, {low("high")} - {low("mid")} AS spread FROM {name}_found),
+{name}_wide AS (SELECT {keys}max(docs) AS {name}_docs, {columns} FROM {name}_limits {f"GROUP BY {by}" if by else ""})"""
+
+
+def _most_sql(m: str) -> str:
+    language = f"(lang_docs * lang_mid_{m} + {PRIOR_DOCS} * corpus_mid_{m}) // (lang_docs + {PRIOR_DOCS})"
+    middle = f"(own_docs * own_mid_{m} + {PRIOR_DOCS} * ({language})) // (own_docs + {PRIOR_DOCS})"
+    return f"{middle} + greatest({FENCE} * least(own_spread_{m}, lang_spread_{m}, corpus_spread_{m}), {RATIOS[m]}) AS most_{m}"
 
 
 _RATIO_SQL = {
@@ -179,11 +189,11 @@ rated AS ({" UNION ALL ".join(f"SELECT lang, source, '{m}' AS metric, {r} AS x F
 sketches AS (
   SELECT lang, source, metric, CASE WHEN x < 32 THEN x ELSE (length(bin(x)) - 6) * 32 + (x >> (length(bin(x)) - 6)::INT) END AS bucket, count(*) AS docs
   FROM rated GROUP BY ALL),
-{_limits("lang, source", "own")},
-{_limits("lang", "lang")},
-{_limits("", "corpus")},
+{_quantile_sql("lang, source", "own")},
+{_quantile_sql("lang", "lang")},
+{_quantile_sql("", "corpus")},
 groups AS (
-  SELECT o.lang, o.source, {", ".join(f"CASE WHEN own_docs >= {LEAST_DOCS} THEN own_{m} WHEN lang_docs >= {LEAST_DOCS} THEN lang_{m} ELSE corpus_{m} END AS most_{m}" for m in RATIOS)}
+  SELECT o.lang, o.source, {", ".join(map(_most_sql, RATIOS))}
   FROM own_wide o JOIN lang_wide l ON o.lang IS NOT DISTINCT FROM l.lang, corpus_wide)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND coalesce({" AND ".join(f"({r}) <= most_{m}" for m, r in _RATIO_SQL.items())}, false) AS kept

@@ -225,6 +225,26 @@ def test_quality_rules_counts_and_thresholds(spark):
     assert quality_rules.judge(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("percent", [15, 30, 45])
+def test_junk_in_a_source_does_not_let_itself_in(spark, percent):
+    """A source with much junk beside clean ones; one that has more symbols by nature, and a small one, stay."""
+    rng = random.Random(percent)
+
+    def doc(symbols):
+        words = [rng.choice(["plain", "words", "of", "a", "text", "here", "some"]) + str(rng.randrange(10**4)) for _ in range(60)]
+        return " ".join(w if rng.random() > symbols else rng.choice("#$%&|<>") * 3 for w in words)
+
+    rows = []
+    for source, n in (("clean", 300), ("dirty", 200), ("code", 200), ("few", 5)):
+        for _ in range(n):
+            junk = source == "dirty" and rng.random() < percent / 100
+            rows.append((len(rows), doc(0.85 if junk else 0.12 if source == "code" else 0.0), "en", source, int(junk)))
+    out = {r.doc_id: r for r in quality_rules.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, junk int")).collect()}
+    assert not any(out[i].kept for i, *_, junk in rows if junk)
+    assert all(out[i].kept for i, _, _, source, junk in rows if not junk and source != "code")
+    assert sum(out[i].kept for i, _, _, source, _ in rows if source == "code") > 150
+
+
 def test_buckets_keep_order_and_precision(spark):
     values = list(range(200)) + [2**k + d for k in range(8, 50, 3) for d in (-1, 0, 1)]
     df = spark.createDataFrame([(v,) for v in values], "x long").withColumn("b", quality_rules.bucket("x").cast("long")).withColumn("low", quality_rules.least_of("b"))

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.blocks import BLOCK_ROWS, block_count, block_of, packed, unpacked
+from strata.llm.blocks import block_count, block_of, packed, unpacked
 from strata.llm.components import checkpointed, typed
 from strata.llm.words import mix, split_words, windows
 
@@ -27,6 +27,9 @@ LENGTH_CLASSES = 4
 #: Characters of whole texts that are taken apart at once (bounds a task's arrays).
 CHUNK_CHARS = 1 << 20
 
+#: Documents of a block, on average: the more, the fewer n-grams are asked for twice; a task holds a block's texts.
+BLOCK_DOCS = 6144
+
 _GRAMS = pa.schema([("block", pa.int64()), ("language", pa.string()), ("gram", pa.string()), ("count", pa.int64())])
 _SCORES = pa.schema([("doc_id", pa.int64()), ("language", pa.string()), ("trusted", pa.bool_()), ("n_grams", pa.int64()), ("logp", pa.float64())])
 
@@ -187,7 +190,7 @@ def _probabilities(counts: DataFrame, order: int) -> DataFrame:
     return known.select("language", "gram", p.alias("p"))
 
 
-def perplexities(docs: DataFrame, labels: DataFrame, order: int = ORDER, block_docs: int = BLOCK_ROWS, across: bool = False) -> DataFrame:
+def perplexities(docs: DataFrame, labels: DataFrame, order: int = ORDER, block_docs: int = BLOCK_DOCS, across: bool = False) -> DataFrame:
     """(doc_id, language, trusted, n_grams, logp): log probability of every document, one row per input row.
 
     Trusted are documents labelled quality 1 and not toxic. A language's
@@ -236,7 +239,7 @@ def _quantiles(rows: DataFrame, value: Column, q: float, name: str, width: float
     return running.groupBy("language").agg((F.min(F.when(F.col("up_to") >= q * F.col("all"), F.col("bin"))) * width).alias(name))
 
 
-def classify(docs: DataFrame, labels: DataFrame, order: int = ORDER, quantile: float = UPPER_QUANTILE, fence: float = FENCE, block_docs: int = BLOCK_ROWS) -> DataFrame:
+def classify(docs: DataFrame, labels: DataFrame, order: int = ORDER, quantile: float = UPPER_QUANTILE, fence: float = FENCE, block_docs: int = BLOCK_DOCS) -> DataFrame:
     """(doc_id, language, n_grams, perplexity, threshold, kept): the verdict on every row of ``docs``.
 
     Perplexity is per character (ends of words included), each after the

@@ -48,11 +48,11 @@ def _pieces(low: int, above: int, threshold: int) -> tuple[int, int, int]:
     Sets of Jaccard similarity >= t whose smaller one has a elements differ in
     at most d = a (1 - t) / t. Of d + 1 + spare pieces of two such sketches
     more than ``spare`` are untouched: equal, and made of the same elements.
-    Pieces of less than two elements say little (one frequent shingle alone
-    in its piece would bring together all texts that hold it); as soon as one
-    of the two sketches has at most ``spare`` of them, another piece is equal
-    too. ``spare`` is set above the number that chance gives, as far as that
-    does not thin the pieces further. Small sets have few elements a piece;
+    An empty piece says nothing (all sets that hold nothing there would come
+    together); as soon as one of the two sketches has at most ``spare`` of
+    them, another piece is equal too. ``spare`` is set above the number that
+    chance gives, as far as that does not thin the pieces further. Small sets
+    have few elements a piece;
     of their d + 2 pieces two are untouched, and pairs of pieces are joined.
     """
     most = (100 - threshold) * (above - 1) // threshold
@@ -61,7 +61,7 @@ def _pieces(low: int, above: int, threshold: int) -> tuple[int, int, int]:
     spare = 0
     while spare < most // 2 + 2:
         mean = low / (most + 1 + spare)
-        weak = (most + 1 + spare) * math.exp(-mean) * (1 + mean)
+        weak = (most + 1 + spare) * math.exp(-mean)
         if spare >= weak + 3 * math.sqrt(weak) + 1:
             break
         spare += 1
@@ -137,7 +137,6 @@ def _piece_keys(sets: np.ndarray, offsets: np.ndarray, rows: np.ndarray, band: i
     starts = np.flatnonzero(np.r_[True, slot[1:] != slot[:-1]]) if len(slot) else np.empty(0, np.int64)
     if not len(slot):
         return codes, rows[:0]
-    held = np.diff(np.r_[starts, len(slot)])
     value, slot = np.bitwise_xor.reduceat(codes, starts), slot[starts]
     if above <= PAIRED_BELOW:
         sketch = np.zeros(len(rows) * count, np.uint64)
@@ -146,9 +145,9 @@ def _piece_keys(sets: np.ndarray, offsets: np.ndarray, rows: np.ndarray, band: i
         name = mix((i * count + j).astype(np.uint64) + np.uint64(band << 32) + STEP)
         sketch = sketch.reshape(-1, count)
         return mix(mix(sketch[:, i] ^ name) + sketch[:, j]).ravel(), np.repeat(rows, len(i))
-    strong = (held > 1) & (value != 0)
+    strong = value != 0
     weak = count - np.bincount(slot[strong] // count, minlength=len(rows))
-    rare = weak > spare  # such a set also lists its weak pieces, the empty ones too
+    rare = weak > spare  # such a set also lists its empty pieces
     keep = strong | rare[slot // count]
     more = [np.setdiff1d(np.arange(count) + i * count, slot[slot // count == i]) for i in np.flatnonzero(rare)]
     missing = np.concatenate([np.empty(0, np.int64), *more])

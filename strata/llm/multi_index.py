@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.session import scratch_path
@@ -150,6 +150,13 @@ def depth_for(recall: float, wanted: dict[int, list[int]], cells: Callable[[int]
     return needs[max(0, int(np.ceil(recall * len(needs))) - 1)] if needs else 1
 
 
+def _sampled(rows: DataFrame, order: Column, most: int, n: int) -> DataFrame:
+    """At most ``most`` of the ``n`` rows, the first by a hash; tasks send twice as many together, however many tasks there are."""
+    share = min(1.0, 2 * most / max(n, 1))
+    some = rows.withColumn("__order", order).filter(F.shiftrightunsigned("__order", 32) <= int(share * (2**32 - 1)))
+    return some.orderBy("__order", "vector").limit(most)
+
+
 def usable(vectors: DataFrame) -> tuple[DataFrame, int]:
     """(vec_id, copies, vector), distinct, and the number of components.
 
@@ -209,7 +216,7 @@ def nearest_rows(vectors: DataFrame, nearest: int = 10, every: int = QUERY_EVERY
     first = first.withColumn("nth", F.row_number().over(same)).filter(F.col("nth") <= nearest + 1).drop("nth")
 
     n, half = rows.count(), max(dims // 2, 1)
-    sample = rows.orderBy(F.xxhash64("vector", "vec_id"), "vector").limit(SAMPLE_ROWS).select("vector").toArrow()
+    sample = _sampled(rows, F.xxhash64("vector", "vec_id"), SAMPLE_ROWS, n).select("vector").toArrow()
     units = _units(_matrix(sample.column("vector"), dims)) if n else np.ones((1, dims))
     count = int(min(MAX_CENTROIDS, max(1, round((n / 16) ** 0.5))))
     left, right = centroids(units[:, :half], count), centroids(units[:, half:], count)
@@ -232,7 +239,8 @@ def nearest_rows(vectors: DataFrame, nearest: int = 10, every: int = QUERY_EVERY
     total = int(held.sum())
 
     # the depth, from a bounded sample of queries against every row
-    tried = asks.orderBy(F.xxhash64("key"), "key").limit(SAMPLE_QUERIES).toArrow()
+    n_asks = asks.count()
+    tried = _sampled(asks, F.xxhash64("key"), SAMPLE_QUERIES, n_asks).toArrow()
     tests, test_keys, test_ids = _matrix(tried.column("vector"), dims), tried.column("key").to_pylist(), tried.column("vec_id").to_pylist()
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -289,6 +297,6 @@ def nearest_rows(vectors: DataFrame, nearest: int = 10, every: int = QUERY_EVERY
                 yield _found([(asked_ids[i], asked[i], ids[j], keys[j], score, cell[j]) for i, score, j in best])
 
     index = entries.mapInArrow(dealt, f"{_ENTRY}, cell long, block long").groupBy("block").applyInArrow(held_by, "block long, entries binary")
-    packs = asks.repartition(max(1, -(-asks.count() // PACK_QUERIES)), "key").mapInArrow(walked, "block long, queries binary")
+    packs = asks.repartition(max(1, -(-n_asks // PACK_QUERIES)), "key").mapInArrow(walked, "block long, queries binary")
     found = packs.join(index, "block").mapInArrow(reranked, _FOUND)
     return _ranked(found, nearest).select("query_id", "rank", "vec_id", "score")

@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: zstd level of packed rows: texts take an eighth less room than at the fastest one.
+LEVEL = 9
 #: Rows of a block, on average.
 BLOCK_ROWS = 2048
 
@@ -37,7 +39,7 @@ def packed(df: DataFrame) -> DataFrame:
             rows = batch.drop_columns(["block"])
             for a, b in zip(cuts, np.r_[cuts[1:], len(block)].astype(int)):
                 sink = pa.BufferOutputStream()
-                with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", LEVEL))) as out:
                     out.write_batch(rows.take(pa.array(order[a:b])))
                 yield pa.RecordBatch.from_pydict({"block": [int(block[order[a]])], "rows": [sink.getvalue().to_pybytes()]})
 

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.blocks import block_count, block_of, packed, unpacked
+from strata.llm.blocks import BLOCK_ROWS, block_count, block_of, packed, unpacked
 from strata.llm.components import checkpointed, typed
 from strata.llm.words import mix, split_words, windows
 
@@ -27,8 +27,8 @@ LENGTH_CLASSES = 4
 #: Characters of whole texts that are taken apart at once (bounds a task's arrays).
 CHUNK_CHARS = 1 << 20
 
-#: Documents of a block, on average: the more, the fewer n-grams are asked for twice; a task holds a block's texts.
-BLOCK_DOCS = 6144
+#: Answers that a task packs by block at once.
+ANSWERS = 1 << 18
 
 _GRAMS = pa.schema([("block", pa.int64()), ("language", pa.string()), ("gram", pa.string()), ("count", pa.int64())])
 _SCORES = pa.schema([("doc_id", pa.int64()), ("language", pa.string()), ("trusted", pa.bool_()), ("n_grams", pa.int64()), ("logp", pa.float64())])
@@ -120,16 +120,48 @@ def _gram_rows(block: int, docs: pa.Table, trusted: pa.Table, order: int, across
     })
 
 
-def _scores(docs: pa.Table, grams: pa.Table, trusted: pa.Table, order: int, across: bool) -> pa.Table:
+def _packed_answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(block, language, grams, logs): what a task has for a block, its n-grams in a row and their log probabilities."""
+
+    def packed_rows(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        rows = pa.Table.from_batches(held).sort_by([("block", "ascending"), ("language", "ascending"), ("gram", "ascending")])
+        block, language = rows.column("block").to_numpy(), rows.column("language").combine_chunks().dictionary_encode()
+        named = language.combine_chunks() if isinstance(language, pa.ChunkedArray) else language
+        code = named.indices.to_numpy()
+        cuts = np.flatnonzero(np.r_[True, (block[1:] != block[:-1]) | (code[1:] != code[:-1])])
+        ends = np.r_[cuts[1:], len(block)]
+        grams, logs = rows.column("gram").to_pylist(), rows.column("logp").to_numpy()
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(block[cuts]), named.dictionary.take(pa.array(code[cuts])),
+                pa.array(["".join(grams[a:b]) for a, b in zip(cuts, ends)], pa.string()), pa.array([logs[a:b].tobytes() for a, b in zip(cuts, ends)], pa.binary()),
+            ],
+            ["block", "language", "grams", "logs"],
+        )
+
+    held, size = [], 0
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+            size += batch.num_rows
+        if size >= ANSWERS:
+            yield packed_rows(held)
+            held, size = [], 0
+    if held:
+        yield packed_rows(held)
+
+
+def _scores(docs: pa.Table, answers: pa.Table, trusted: pa.Table, order: int, across: bool) -> pa.Table:
     """Log probability and n-gram count of each document of a block."""
-    known = dict(_by_language(grams))
+    known = dict(_by_language(answers))
     parts = []
     for language, rows in _by_language(docs):
         codes, vocabulary, offsets = split_words(_text(rows))
         total, size = np.zeros(rows.num_rows), np.zeros(rows.num_rows, np.int64)
         if len(codes):
             model = known[language]
-            keys, logs = _gram_keys(model.column("gram").to_pylist(), order), model.column("logp").to_numpy()
+            keys = _gram_keys(model.column("grams").to_pylist(), order)
+            logs = np.frombuffer(b"".join(model.column("logs").to_pylist()), np.float64)
             by = np.argsort(keys)
             keys, logs = keys[by], logs[by]
             if across:
@@ -190,7 +222,7 @@ def _probabilities(counts: DataFrame, order: int) -> DataFrame:
     return known.select("language", "gram", p.alias("p"))
 
 
-def perplexities(docs: DataFrame, labels: DataFrame, order: int = ORDER, block_docs: int = BLOCK_DOCS, across: bool = False) -> DataFrame:
+def perplexities(docs: DataFrame, labels: DataFrame, order: int = ORDER, block_docs: int = BLOCK_ROWS, across: bool = False) -> DataFrame:
     """(doc_id, language, trusted, n_grams, logp): log probability of every document, one row per input row.
 
     Trusted are documents labelled quality 1 and not toxic. A language's
@@ -218,15 +250,16 @@ def perplexities(docs: DataFrame, labels: DataFrame, order: int = ORDER, block_d
     counts = grams.groupBy("language", "gram").agg(F.sum("count").alias("c"))
     model = _probabilities(counts, order).select("language", "gram", F.log("p").alias("logp"))
     asked = grams.select("block", "language", "gram").join(model, ["language", "gram"])
+    answers = asked.select("block", "language", "gram", "logp").mapInArrow(_packed_answers, "block long, language string, grams string, logs binary")
     # the trusted ids travel with the answers: one right side for each block
-    answers = asked.select("block", "language", "gram", "logp", F.lit(None).cast("long").alias("trusted")).union(
-        good.select("block", F.lit(None).cast("string"), F.lit(None).cast("string"), F.lit(None).cast("double"), "doc_id")
+    answers = answers.withColumn("trusted", F.lit(None).cast("long")).union(
+        good.select("block", F.lit(None).cast("string"), F.lit(None).cast("string"), F.lit(None).cast("binary"), "doc_id")
     )
 
     def scores(d: pa.Table, a: pa.Table) -> pa.Table:
         rows = unpacked(d)
         ids = a.column("trusted").drop_null().to_numpy()
-        return _scores(rows, a.filter(a.column("gram").is_valid()), ids, order, across) if rows else pa.Table.from_pylist([], _SCORES)
+        return _scores(rows, a.filter(a.column("grams").is_valid()), ids, order, across) if rows else pa.Table.from_pylist([], _SCORES)
 
     return docs.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(scores, "doc_id long, language string, trusted boolean, n_grams long, logp double")
 
@@ -239,7 +272,7 @@ def _quantiles(rows: DataFrame, value: Column, q: float, name: str, width: float
     return running.groupBy("language").agg((F.min(F.when(F.col("up_to") >= q * F.col("all"), F.col("bin"))) * width).alias(name))
 
 
-def classify(docs: DataFrame, labels: DataFrame, order: int = ORDER, quantile: float = UPPER_QUANTILE, fence: float = FENCE, block_docs: int = BLOCK_DOCS) -> DataFrame:
+def classify(docs: DataFrame, labels: DataFrame, order: int = ORDER, quantile: float = UPPER_QUANTILE, fence: float = FENCE, block_docs: int = BLOCK_ROWS) -> DataFrame:
     """(doc_id, language, n_grams, perplexity, threshold, kept): the verdict on every row of ``docs``.
 
     Perplexity is per character (ends of words included), each after the

@@ -247,10 +247,13 @@ def perplexities(docs: DataFrame, labels: DataFrame, order: int = ORDER, block_d
         return _gram_rows(key[0].as_py(), rows, t, order, across) if rows else pa.Table.from_pylist([], _GRAMS)
 
     grams = docs.groupBy("block").cogroup(good.groupBy("block")).applyInArrow(counted, "block long, language string, gram string, count long")
-    counts = grams.groupBy("language", "gram").agg(F.sum("count").alias("c"))
+    # dealt by n-gram once, for the counts and for the answers: both uses read all columns, so that they share the
+    # shuffle. An n-gram comes once from each block that holds it, so a frequent one is no hot key.
+    grams = grams.filter("language IS NOT NULL AND gram IS NOT NULL").repartition("language", "gram")  # none is null; a join would ask
+    counts = grams.groupBy("language", "gram").agg(F.sum(F.when(F.col("block") >= 0, F.col("count"))).alias("c"))
     model = _probabilities(counts, order).select("language", "gram", F.log("p").alias("logp"))
-    asked = grams.select("block", "language", "gram").join(model, ["language", "gram"])
-    answers = asked.select("block", "language", "gram", "logp").mapInArrow(_packed_answers, "block long, language string, grams string, logs binary")
+    asked = grams.join(model, ["language", "gram"])
+    answers = asked.select("block", "language", "gram", "logp", "count").mapInArrow(_packed_answers, "block long, language string, grams string, logs binary")
     # the trusted ids travel with the answers: one right side for each block
     answers = answers.withColumn("trusted", F.lit(None).cast("long")).union(
         good.select("block", F.lit(None).cast("string"), F.lit(None).cast("string"), F.lit(None).cast("binary"), "doc_id")

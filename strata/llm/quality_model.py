@@ -28,7 +28,7 @@ LENGTH_CLASSES = 4
 CHUNK_CHARS = 1 << 20
 
 #: Answers that a task packs by block at once.
-ANSWERS = 1 << 18
+ANSWERS = 1 << 16
 
 _GRAMS = pa.schema([("block", pa.int64()), ("language", pa.string()), ("gram", pa.string()), ("count", pa.int64())])
 _SCORES = pa.schema([("doc_id", pa.int64()), ("language", pa.string()), ("trusted", pa.bool_()), ("n_grams", pa.int64()), ("logp", pa.float64())])

@@ -26,7 +26,9 @@ PAIRED_BELOW = 64
 #: A group of at most so many classes is compared in one round.
 SMALL_GROUP = 16
 #: Pieces that a task combines at once (bounds its memory).
-KEYS_AT_ONCE = 400_000
+KEYS_AT_ONCE = 200_000
+#: Text bytes taken apart at once (a longer text stands alone).
+TEXT_BYTES = 1 << 20
 #: Words of 64 bits of a class's dense sketch.
 SKETCH_WORDS = 8
 _SKETCH = tuple(f"s{i}" for i in range(SKETCH_WORDS))
@@ -95,6 +97,12 @@ def _set_ids(sets: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return mix(total[offsets[1:]] - total[offsets[:-1]] + np.diff(offsets).astype(np.uint64) * STEP).view(np.int64)
 
 
+def _parts(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBatch]:
+    """Slices of a batch; unused memory goes back afterwards, for idle workers count as the executor's too."""
+    yield from chunks(batch, column, TEXT_BYTES)
+    pa.default_memory_pool().release_unused()
+
+
 def dense_sketches(sets: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """64 * ``SKETCH_WORDS`` bits for each set, as int64 columns: every element toggles one bit.
 
@@ -174,7 +182,7 @@ def with_class(docs: DataFrame, k: int = SHINGLE_WORDS) -> DataFrame:
 
     def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in chunks(batch):
+            for part in _parts(batch):
                 sets, offsets = shingle_sets(part.column("text"), k)
                 ids = pa.array(_set_ids(sets, offsets), mask=np.diff(offsets) == 0)
                 yield pa.RecordBatch.from_arrays([*part.columns, ids], [*part.schema.names, "__class"])
@@ -234,7 +242,7 @@ def jaccard_components(docs: DataFrame, k: int = SHINGLE_WORDS, threshold: int =
 
     def classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in chunks(batch):
+            for part in _parts(batch):
                 sets, offsets = shingle_sets(part.column("text"), k)
                 sketches = dense_sketches(sets, offsets)
                 columns = [part.column("doc_id"), pa.array(np.diff(offsets)), pa.array(_set_ids(sets, offsets)), *(pa.array(sketches[:, i]) for i in range(SKETCH_WORDS))]
@@ -242,7 +250,7 @@ def jaccard_components(docs: DataFrame, k: int = SHINGLE_WORDS, threshold: int =
 
     def pieces(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         keys, ids, seen = [], [], set()
-        for part in chunks(batch):
+        for part in _parts(batch):
             sets, offsets = shingle_sets(part.column("text"), k)
             named, sizes = _set_ids(sets, offsets), np.diff(offsets)
             fresh = [i for i, c in enumerate(named.tolist()) if sizes[i] and not (c in seen or seen.add(c))]
@@ -267,7 +275,7 @@ def jaccard_components(docs: DataFrame, k: int = SHINGLE_WORDS, threshold: int =
 
     def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in chunks(batch, "text_b"):
+            for part in _parts(batch, "text_b"):
                 left = part.column("a").to_numpy()
                 first = np.unique(left, return_index=True)[1]
                 mine = dict(zip(left[first].tolist(), np.arange(len(first))))
@@ -284,7 +292,7 @@ def jaccard_components(docs: DataFrame, k: int = SHINGLE_WORDS, threshold: int =
     def class_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """One text of each class of a batch, with the block the class belongs to."""
         for batch in batches:
-            for part in chunks(batch):
+            for part in _parts(batch):
                 sets, offsets = shingle_sets(part.column("text"), k)
                 ids = _set_ids(sets, offsets)
                 first = np.unique(ids, return_index=True)[1]

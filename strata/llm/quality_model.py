@@ -25,7 +25,7 @@ WIDE_BIN = 0.05
 #: Classes of length per doubling, to tell long trusted documents from short ones.
 LENGTH_CLASSES = 4
 #: Characters of whole texts that are taken apart at once (bounds a task's arrays).
-CHUNK_CHARS = 1 << 20
+CHUNK_CHARS = 1 << 18
 
 #: Answers that a task packs by block at once.
 ANSWERS = 1 << 16

@@ -24,6 +24,19 @@ def block_of(column: str, blocks: int, *more: str) -> Column:
     return F.pmod(F.xxhash64(F.coalesce(column, F.lit(0)), *more), F.lit(blocks)).alias("block")
 
 
+def packed_rows(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """(block, rows) of a batch: what it has for each ``block`` (one of its columns), as one compressed stream."""
+    block = batch.column("block").to_numpy()
+    order = np.argsort(block, kind="stable")
+    cuts = np.flatnonzero(np.r_[True, np.diff(block[order]) != 0]) if len(block) else []
+    rows = batch.drop_columns(["block"])
+    for a, b in zip(cuts, np.r_[cuts[1:], len(block)].astype(int)):
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", LEVEL))) as out:
+            out.write_batch(rows.take(pa.array(order[a:b])))
+        yield pa.RecordBatch.from_pydict({"block": [int(block[order[a]])], "rows": [sink.getvalue().to_pybytes()]})
+
+
 def packed(df: DataFrame) -> DataFrame:
     """(block, rows): what a batch of ``df`` has for a ``block`` (one of its columns), as one stream.
 
@@ -33,15 +46,7 @@ def packed(df: DataFrame) -> DataFrame:
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            block = batch.column("block").to_numpy()
-            order = np.argsort(block, kind="stable")
-            cuts = np.flatnonzero(np.r_[True, np.diff(block[order]) != 0]) if len(block) else []
-            rows = batch.drop_columns(["block"])
-            for a, b in zip(cuts, np.r_[cuts[1:], len(block)].astype(int)):
-                sink = pa.BufferOutputStream()
-                with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", LEVEL))) as out:
-                    out.write_batch(rows.take(pa.array(order[a:b])))
-                yield pa.RecordBatch.from_pydict({"block": [int(block[order[a]])], "rows": [sink.getvalue().to_pybytes()]})
+            yield from packed_rows(batch)
 
     return df.mapInArrow(pack, "block long, rows binary")
 

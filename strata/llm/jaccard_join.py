@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.blocks import block_count, packed, unpacked
+from strata.llm.blocks import block_count, packed_rows, unpacked
 from strata.llm.components import Stages, components, typed
 from strata.llm.exchange import shared_keys
 from strata.llm.words import STEP, chunks, mix, windows, word_hashes
@@ -290,16 +290,16 @@ def jaccard_components(docs: DataFrame, k: int = SHINGLE_WORDS, threshold: int =
                 yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b"), pa.array(ok)], ["a", "b", "ok"])
 
     def class_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """One text of each class of a batch, with the block the class belongs to."""
+        """One text of each class of a batch, packed for the block the class belongs to."""
         for batch in batches:
+            found, seen = [], set()
             for part in _parts(batch):
                 sets, offsets = shingle_sets(part.column("text"), k)
                 ids = _set_ids(sets, offsets)
-                first = np.unique(ids, return_index=True)[1]
-                first = pa.array(np.sort(first[np.diff(offsets)[first] > 0]))
-                ids = pa.array(ids).take(first)
-                block = np.mod(ids.to_numpy(), blocks)
-                yield pa.RecordBatch.from_arrays([pa.array(block), ids, part.column("text").take(first)], ["block", "class", "text"])
+                fresh = [i for i, c in enumerate(ids.tolist()) if offsets[i + 1] > offsets[i] and not (c in seen or seen.add(c))]
+                found.append(pa.table({"block": np.mod(ids[fresh], blocks), "class": ids[fresh], "text": part.column("text").take(pa.array(fresh, pa.int64()))}))
+            for rows in pa.concat_tables(found).combine_chunks().to_batches() if found else ():
+                yield from packed_rows(rows)
 
     def wanted_texts(d: pa.Table, w: pa.Table) -> pa.Table:
         """One text of each of the block's wanted classes."""
@@ -324,7 +324,7 @@ def jaccard_components(docs: DataFrame, k: int = SHINGLE_WORDS, threshold: int =
     left = stages.put("left", groups.withColumn("component", F.col("class")))
     stages.drop("found")
     wanted = left.select("class").distinct()
-    told = packed(docs.select("text").mapInArrow(class_texts, "block long, class long, text string")).groupBy("block")
+    told = docs.select("text").mapInArrow(class_texts, "block long, rows binary").groupBy("block")
     wanted = wanted.select(F.pmod("class", F.lit(blocks)).alias("block"), "class").groupBy("block")
     texts = stages.put("texts", told.cogroup(wanted).applyInArrow(wanted_texts, "class long, text string"))
     text_a, text_b = (texts.select(F.col("class").alias(c), F.col("text").alias(f"text_{c}")) for c in "ab")

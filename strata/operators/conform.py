@@ -115,19 +115,21 @@ def conform_table(
     options: ConformOptions = DEFAULT,
     zone: str | None = fixed.LOCAL_ZONE,
     normalize_first: bool = False,
+    dedup: Callable[[DataFrame, list], DataFrame] = dedup_by_key,
 ) -> DataFrame:
     """dedup by natural key -> typed transform -> audit zone -> audit last.
 
     By default duplicates are removed on the raw key text, so ``O1`` and
     ``O000001`` both survive (and the uniqueness check reports them);
-    ``normalize_first`` deduplicates on the normalised key instead.
+    ``normalize_first`` deduplicates on the normalised key instead. For a
+    frame read from files ``dedup`` may be ``dedup_repeated``.
     """
     keys = list(keys or fixed.NATURAL_KEYS[table])
     transform = TRANSFORMS[table]
     if normalize_first:
-        out = dedup_by_key(transform(df, options), keys)
+        out = dedup(transform(df, options), keys)
     else:
-        out = transform(dedup_by_key(df, keys), options)
+        out = transform(dedup(df, keys), options)
     if fixed.AUDIT_COLUMN in out.columns:
         if zone:
             out = shift_audit_zone(out, zone)

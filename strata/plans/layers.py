@@ -7,7 +7,7 @@ layers, so a lost executor recomputes at most one layer.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime
@@ -22,7 +22,7 @@ from strata import fixed
 from strata.operators import marts as M
 from strata.operators import quality as Q
 from strata.operators.conform import DEFAULT, ConformOptions, conform_table
-from strata.operators.tables import with_audit
+from strata.operators.tables import dedup_by_key, dedup_repeated, with_audit
 from strata.sources.files import read_raw_csv
 from strata.session import scratch_path
 from strata.sources.manifest import RunManifest
@@ -61,6 +61,26 @@ def conform_layer(raw: Mapping[str, DataFrame], options: ConformOptions = DEFAUL
             for t, df in require(fixed.RAW, raw).items()}
 
 
+def conform_written(raw: Mapping[str, DataFrame], options: ConformOptions = DEFAULT, zone: str | None = fixed.LOCAL_ZONE,
+                    normalize_first: bool = False, lazy: Collection[str] = ()) -> Frames:
+    """``conform_layer`` over a written raw layer: repeated keys are looked up at once.
+
+    The look-ups are concurrent jobs, one per table (see
+    ``dedup_repeated``); tables named in ``lazy`` are left to
+    ``dedup_by_key``.
+    """
+    tables = require(fixed.RAW, raw)
+    spark = next(iter(tables.values())).sparkSession
+
+    def one(table: str) -> DataFrame:
+        dedup = dedup_by_key if table in lazy else dedup_repeated
+        return conform_table(tables[table], table, options=options, zone=zone, normalize_first=normalize_first, dedup=dedup)
+
+    with ThreadPoolExecutor(max_workers=len(tables)) as pool:
+        done = {t: pool.submit(inheritable_thread_target(spark)(one), t) for t in tables}
+        return {t: d.result() for t, d in done.items()}
+
+
 # -- marts -------------------------------------------------------------------
 
 def mart_layer(conformed: Mapping[str, DataFrame]) -> Frames:
@@ -307,7 +327,8 @@ def run_layers(
     raw = write_all(fixed.RAW, land_raw(sources, at), strict_raw_schema)
     if not passes(fixed.RAW, raw):
         return result
-    conformed = write_all(fixed.CONFORMED, conform_layer(raw, options, zone, normalize_first), False)
+    recorded = [t for t in raw if run and run.get(f"{fixed.CONFORMED}.{t}")]
+    conformed = write_all(fixed.CONFORMED, conform_written(raw, options, zone, normalize_first, recorded), False)
     if not passes(fixed.CONFORMED, conformed):
         return result
     marts = write_all(fixed.MART, mart_layer(conformed), False)

@@ -236,8 +236,8 @@ class RunResult:
         return self.blocked_at is None
 
     def report(self) -> DataFrame:
-        """The reports of every checked layer as one DataFrame."""
-        return reduce(lambda a, b: a.unionByName(b), [r.frame for r in self.reports.values()])
+        """The reports of every checked layer as one DataFrame (the run has fetched them: no check runs again)."""
+        return reduce(lambda a, b: a.unionByName(b), [r.result() for r in self.reports.values()])
 
     def counts(self, spark: SparkSession) -> DataFrame:
         """Rows per (layer, table) as observed during the writes: no pass over data.

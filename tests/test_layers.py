@@ -44,6 +44,13 @@ def test_gate_blocks_next_layer(spark, tmp_uri):
     assert store.exists(fixed.CONFORMED, "reviews") and not store.exists(fixed.MART, "resumo_clientes")
 
 
+def test_the_report_of_a_run_runs_no_check_again(spark, tmp_uri):
+    result = run_layers(spark, raw_shop(spark), LayerStore(spark, tmp_uri + "/lake"), at="2025-01-01 12:00:00", gate=False)
+    assert "Scan parquet" not in result.report()._jdf.queryExecution().executedPlan().toString()
+    want = [r for layer in result.reports.values() for r in layer.frame.collect()]
+    assert sorted(result.report().collect()) == sorted(want)
+
+
 def test_layer_counts_reports_absent_tables_as_null(spark):
     df = spark.range(3)
     out = {(r.layer, r.table_name): r.rows for r in layer_counts(

@@ -58,23 +58,25 @@ def ranked_mart(df: DataFrame, mart: str) -> DataFrame:
 def sales_by_category(t: Tables, sort: bool = True) -> DataFrame:
     """Revenue, items sold, distinct products and distinct orders per category.
 
-    Orders are counted with the sums, per (category, order) first. Products
-    need the distinct product ids of the items only, joined with their
-    categories: the items are not gone through a second time for them.
+    The sums are taken per product before its categories are joined, and
+    added up per category with its distinct products: that join sees one
+    row per product. Orders need the (order, product) ids of the items only.
+    A product with several rows counts in full for each of them, as in a
+    join of the items.
     """
     items = t["order_items"].select("order_id", "product_id", "quantity", "unit_price")
     products = t["products"].select("product_id", "category")
-    sold = (
-        items.join(products, "product_id", "left")
-        .groupBy("category")
-        .agg(
-            F.sum(F.col("quantity") * F.col("unit_price")).alias("receita_total"),
-            F.sum("quantity").alias("itens_vendidos"),
-            F.count_distinct("order_id").alias("total_pedidos"),
-        )
+    per_product = items.groupBy("product_id").agg(
+        F.sum(F.col("quantity") * F.col("unit_price")).alias("_revenue"),
+        F.sum("quantity").alias("_items"),
+    )
+    sold = per_product.join(products, "product_id", "left").groupBy("category").agg(
+        F.sum("_revenue").cast(per_product.schema["_revenue"].dataType).alias("receita_total"),
+        F.sum("_items").alias("itens_vendidos"),
+        F.count_distinct("product_id").alias("produtos_distintos"),
     )
-    pairs = items.select("product_id").distinct().join(products, "product_id", "left").groupBy("category", "product_id").agg(F.lit(1).alias("_one"))
-    kinds = pairs.groupBy(F.col("category").alias("_category")).agg(F.count("product_id").alias("produtos_distintos"))
+    ordered = items.select("order_id", "product_id").join(products, "product_id", "left")
+    kinds = ordered.groupBy(F.col("category").alias("_category")).agg(F.count_distinct("order_id").alias("total_pedidos"))
     out = sold.join(kinds, F.col("category").eqNullSafe(F.col("_category")), "left").select(
         "category", "receita_total", "itens_vendidos", "produtos_distintos", "total_pedidos",
     )

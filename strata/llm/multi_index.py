@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strata.llm.blocks import packed, packed_rows, unpacked
 from strata.session import scratch_path
 
 #: What the registered query asks for: nearest rows, of every vec_id that this divides.
@@ -21,6 +22,8 @@ SAMPLE_ROWS, MAX_CENTROIDS = 16384, 256
 SAMPLE_QUERIES, RECALL = 256, 0.97
 #: Entries of a block of the index and queries of a packed row, about.
 BLOCK_ENTRIES, PACK_QUERIES = 4096, 1024
+#: Blocks and queries that a task holds at once, at most (about).
+TILE_BLOCKS, TILE_QUERIES = 8, 1 << 15
 #: Scores this close to the last one kept are computed again in one fixed order.
 NEAR = 1e-9
 _ENTRY = "key long, vec_id long, vector binary"
@@ -64,39 +67,39 @@ def traverse(left: np.ndarray, right: np.ndarray, held: np.ndarray, depth: int)
 
     ``left`` and ``right`` are one query's squared distances to the centroids
     of its halves, ``held`` the entries of each cell (left * len(right) +
-    right). A heap walks the pairs by the sum of their distances: a pair is
-    opened once the pairs before it in its row and in its column are done.
+    right). Pairs go by the sum of their distances; only as many as the depth
+    takes are put in order.
     """
+    if depth <= 0:
+        return []
     a, b = np.argsort(left, kind="stable"), np.argsort(right, kind="stable")
-    near_a, near_b = left[a].tolist(), right[b].tolist()
-    names_a, names_b, sizes = (a * len(right)).tolist(), b.tolist(), held.tolist()
-    done_in_row = [0] * len(names_a)  # pairs of each row that are done
-    heap, cells, covered = [(near_a[0] + near_b[0], 0, 0)], [], 0
-    while heap and covered < depth:
-        _, i, j = heapq.heappop(heap)
-        cell = names_a[i] + names_b[j]
-        done_in_row[i] = j + 1
-        if sizes[cell]:
-            cells.append(cell)
-            covered += sizes[cell]
-        if j + 1 < len(names_b) and (i == 0 or done_in_row[i - 1] > j + 1):
-            heapq.heappush(heap, (near_a[i] + near_b[j + 1], i, j + 1))
-        if i + 1 < len(names_a) and done_in_row[i + 1] == j:
-            heapq.heappush(heap, (near_a[i + 1] + near_b[j], i + 1, j))
-    return cells
-
-
-def _best(queries: np.ndarray, asks: list[int], vectors: np.ndarray, keys: list[int], ids: list[int | None], may: np.ndarray | None, nearest: int) -> Iterator[tuple[int, float, int]]:
-    """(query, score, entry) of the nearest entries of each query, its own one left out."""
+    cells = (a[:, None] * len(right) + b).ravel()
+    full = np.flatnonzero(held[cells])
+    cells, sums = cells[full], (left[a][:, None] + right[b]).ravel()[full]
+    few = 64
+    while few < len(cells):
+        last = np.partition(sums, few)[few]
+        near = sums <= last
+        if held[cells[near]].sum() >= depth:
+            cells, sums = cells[near], sums[near]
+            break
+        few *= 8
+    cells = cells[np.argsort(sums, kind="stable")]
+    return cells[: int(np.searchsorted(np.cumsum(held[cells]), depth)) + 1].tolist()
+
+
+def _best(queries: np.ndarray, asks: list[int], vectors: np.ndarray, keys: list[int], ids: list[int | None], may: np.ndarray | None, nearest: int, least: np.ndarray | None = None) -> Iterator[tuple[int, float, int]]:
+    """(query, score, entry) of the nearest entries of each query, its own one left out; none below ``least`` where it is given."""
     scores = _units(queries) @ _units(vectors).T
     if may is not None:
         scores[~may] = -np.inf
     at = {key: i for i, key in enumerate(keys)}
-    for i, ask in enumerate(asks):
-        row = scores[i]
+    for i in range(len(asks)) if least is None else np.flatnonzero(scores.max(1) >= least - NEAR).tolist():
+        row, ask = scores[i], asks[i]
         if ask in at:
             row[at[ask]] = -np.inf
         last = np.partition(row, len(row) - nearest)[len(row) - nearest] if len(row) > nearest else -np.inf
+        last = last if least is None else max(last, least[i])
         some = np.flatnonzero((row >= last - NEAR) & (row > -np.inf))
         exact = cosines(np.broadcast_to(queries[i], (len(some), queries.shape[1])), vectors[some])
         ranked = heapq.nsmallest(nearest, ((-s, ids[e] is None, ids[e] or 0, keys[e], e) for s, e in zip(exact.tolist(), some.tolist())))
@@ -117,13 +120,6 @@ def _ranked(found: DataFrame, nearest: int) -> DataFrame:
     return found.withColumn("rank", F.row_number().over(by_query)).filter(F.col("rank") <= nearest)
 
 
-def _streams(batch: pa.Table | pa.RecordBatch) -> bytes:
-    sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, batch.schema) as out:
-        out.write(batch)
-    return sink.getvalue().to_pybytes()
-
-
 def blocks_of(held: np.ndarray, block_entries: int = BLOCK_ENTRIES) -> tuple[np.ndarray, np.ndarray]:
     """(first block, blocks) of each cell: small cells share one, a cell of more than ``block_entries`` has its own."""
     parts = np.maximum(-(-held // block_entries), 1)
@@ -197,7 +193,10 @@ def nearest_rows(vectors: DataFrame, nearest: int = 10, every: int = QUERY_EVERY
     order are cut into blocks of about ``BLOCK_ENTRIES`` entries (a larger
     cell is dealt over several). Each query walks the cells by summed
     distance and goes to the blocks it meets, where the entries of its cells
-    are compared in double precision. How deep it walks is measured: the
+    are compared in double precision. Blocks meet queries in tiles: some
+    blocks, held once, and the queries that meet them, each with the distance
+    of its last cell instead of a list of them; a tile answers with the best
+    rows of each query. How deep a query walks is measured: the
     share of all entries within which a bounded sample of queries, compared
     with every row, has ``recall`` of its true neighbours. Every row is
     indexed; of equal vectors the first ``nearest`` + 1 rows stand for all,
@@ -258,45 +257,68 @@ def nearest_rows(vectors: DataFrame, nearest: int = 10, every: int = QUERY_EVERY
     depth = depth_for(recall, wanted, lambda q: traverse(a[q], b[q], held, total), held)
     start, parts = blocks_of(held)
 
+    # a tile: some blocks and a slice of the queries, so that neither side of one grows with the table
+    slices = max(1, -(-n_asks // TILE_QUERIES))
+    blocks = int((start + parts).max())
+    each = min(TILE_BLOCKS, max(1, blocks // (2 * int(spark.conf.get("spark.sql.shuffle.partitions")))))
+    first_tile, last_tile = start // each, (start + parts - 1) // each
+
     def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             cell = batch.column("cell").to_numpy()
             several = parts[cell]
             salt = [zlib.crc32(v) % m if m > 1 else 0 for v, m in zip(batch.column("vector").to_pylist(), several.tolist())]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(start[cell] + np.array(salt, np.int64))], [*batch.schema.names, "block"])
-
-    def held_by(table: pa.Table) -> pa.Table:
-        return pa.table({"block": table.column("block").slice(0, 1), "entries": [_streams(table.drop_columns(["block"]))]})
+            tile = (start[cell] + np.array(salt, np.int64)) // each
+            for i in range(slices):
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(tile * slices + i)], [*batch.schema.names, "block"])
 
     def walked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """For each block the queries that meet it, with their cells there."""
+        """For each tile the queries that meet it, with the distance of the last cell they walk to."""
         for batch in batches:
             for some in (batch.slice(i, PACK_QUERIES) for i in range(0, batch.num_rows, PACK_QUERIES)):
                 a, b = halves(_matrix(some.column("vector"), dims))
-                met: dict[int, list] = {}
+                far, query, tile = np.empty(some.num_rows), [], []
                 for q in range(some.num_rows):
-                    mine: dict[int, list] = {}
-                    for cell in traverse(a[q], b[q], held, depth):
-                        for block in range(start[cell], start[cell] + parts[cell]):
-                            mine.setdefault(block, []).append(cell)
-                    for block, own in mine.items():
-                        met.setdefault(block, []).append((q, np.array(own, np.int64).tobytes()))
-                for block, of in met.items():
-                    queries = pa.table(some.take(pa.array([q for q, _ in of])).columns, some.schema.names).append_column("cells", pa.array([c for _, c in of], pa.binary()))
-                    yield pa.RecordBatch.from_pydict({"block": [block], "queries": [_streams(queries)]})
-
-    def reranked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for e, q in zip(batch.column("entries"), batch.column("queries")):
-                of, by = (pa.ipc.open_stream(x.as_buffer()).read_all() for x in (e, q))
-                keys, ids, cell = (of.column(c).to_pylist() for c in ("key", "vec_id", "cell"))
-                at_cell = of.column("cell").to_numpy()
-                may = np.stack([np.isin(at_cell, np.frombuffer(c, np.int64)) for c in by.column("cells").to_pylist()])
-                asked, asked_ids = by.column("key").to_pylist(), by.column("vec_id").to_pylist()
-                best = _best(_matrix(by.column("vector"), dims), asked, _matrix(of.column("vector"), dims), keys, ids, may, nearest)
-                yield _found([(asked_ids[i], asked[i], ids[j], keys[j], score, cell[j]) for i, score, j in best])
-
-    index = entries.mapInArrow(dealt, f"{_ENTRY}, cell long, block long").groupBy("block").applyInArrow(held_by, "block long, entries binary")
-    packs = asks.repartition(max(1, -(-n_asks // PACK_QUERIES)), "key").mapInArrow(walked, "block long, queries binary")
-    found = packs.join(index, "block").mapInArrow(reranked, _FOUND)
+                    own = np.array(traverse(a[q], b[q], held, depth))
+                    far[q] = a[q, own[-1] // len(right)] + b[q, own[-1] % len(right)]
+                    wide = own[last_tile[own] > first_tile[own]].tolist()
+                    met = np.unique(np.concatenate([first_tile[own], *(np.arange(first_tile[c] + 1, last_tile[c] + 1) for c in wide)]))
+                    query.append(np.full(len(met), q))
+                    tile.append(met)
+                query, tile = np.concatenate(query), np.concatenate(tile)
+                own_slice = (some.column("key").to_numpy().view(np.uint64) % np.uint64(slices)).astype(np.int64)
+                named = pa.RecordBatch.from_arrays([*some.columns, pa.array(far)], [*some.schema.names, "far"])
+                for t in np.unique(tile).tolist():
+                    here = query[tile == t]
+                    yield from packed_rows(pa.RecordBatch.from_arrays([*named.take(pa.array(here)).columns, pa.array(t * slices + own_slice[here])], [*named.schema.names, "block"]))
+
+    def reranked(q: pa.Table, e: pa.Table) -> pa.Table:
+        """The best rows of each query of a tile."""
+        by, of = unpacked(q), unpacked(e)
+        if by is None or of is None:
+            return pa.Table.from_batches([_found([])])
+        of = of.take(pa.array(np.argsort(of.column("cell").to_numpy(), kind="stable")))
+        rows = []
+        for asked in (by.slice(i, PACK_QUERIES) for i in range(0, by.num_rows, PACK_QUERIES)):
+            x, asked_keys, asked_ids, far = _matrix(asked.column("vector"), dims), asked.column("key").to_pylist(), asked.column("vec_id").to_pylist(), asked.column("far").to_numpy()
+            a, b = halves(x)
+            best: list[list] = [[] for _ in asked_keys]
+            least = np.full(len(best), -np.inf)
+            for part in (of.slice(i, BLOCK_ENTRIES) for i in range(0, of.num_rows, BLOCK_ENTRIES)):
+                cell, at_cell = np.unique(part.column("cell").to_numpy(), return_inverse=True)
+                # distances may differ in their last digits from those the query walked by
+                may = a[:, cell // len(right)] + b[:, cell % len(right)] <= far[:, None] + NEAR
+                keys, ids = part.column("key").to_pylist(), part.column("vec_id").to_pylist()
+                more: dict[int, list] = {}
+                for i, score, j in _best(x, asked_keys, _matrix(part.column("vector"), dims), keys, ids, None if may.all() else may[:, at_cell], nearest, least):
+                    more.setdefault(i, []).append((-score, ids[j] is None, ids[j] or 0, keys[j], int(cell[at_cell[j]])))
+                for i, new in more.items():
+                    best[i] = sorted(best[i] + new)[:nearest]
+                    least[i] = -best[i][-1][0] if len(best[i]) == nearest else -np.inf
+            rows += [(asked_ids[i], asked_keys[i], None if none else j, key, -negative, c) for i, own in enumerate(best) for negative, none, j, key, c in own]
+        return pa.Table.from_batches([_found(rows)])
+
+    index = packed(entries.mapInArrow(dealt, f"{_ENTRY}, cell long, block long"))
+    packs = asks.repartition(max(1, -(-n_asks // PACK_QUERIES)), "key").mapInArrow(walked, "block long, rows binary")
+    found = packs.groupBy("block").cogroup(index.groupBy("block")).applyInArrow(reranked, _FOUND)
     return _ranked(found, nearest).select("query_id", "rank", "vec_id", "score")

@@ -168,6 +168,35 @@ def test_whole_depth_equals_brute_force(spark, monkeypatch):
     assert any(q == 3450 and i == 3400 and abs(s - 1) < 1e-12 for q, _, i, s in got)
 
 
+@pytest.mark.parametrize("tile_blocks,tile_queries", [(1, 4), (5, 3), (1000, 10**6)])
+def test_tiles_equal_brute_force(spark, monkeypatch, tile_blocks, tile_queries):
+    """Blocks meet queries in tiles; neither the tiles' size nor slices of the queries change a row."""
+    rows = clustered(400, 8, spread=0.5) + [(10**6 + 50 * i, [1.0] * 8) for i in range(12)]
+    monkeypatch.setattr(multi_index, "BLOCK_ENTRIES", 16)
+    monkeypatch.setattr(multi_index, "PACK_QUERIES", 3)
+    monkeypatch.setattr(multi_index, "TILE_BLOCKS", tile_blocks)
+    monkeypatch.setattr(multi_index, "TILE_QUERIES", tile_queries)
+    found = multi_index.nearest_rows(table(spark, rows), 5, 50, recall=1.0)
+    rounded = lambda some: Counter((q, r, round(s, 9)) for q, r, _, s in some)
+    assert rounded(tuple(r) for r in found.collect()) == rounded(brute_nearest(rows, 5, 50, 8))
+    # a join would write the entries of a block once for each pack of queries that meets it
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "FlatMapCoGroupsInArrow" in plan
+
+
+def test_traversal_stops_at_the_depth():
+    rng = np.random.default_rng(3)
+    left, right = rng.random(60), rng.random(50)
+    held = rng.integers(0, 3, 3000)
+    order = sorted(np.flatnonzero(held).tolist(), key=lambda c: left[c // 50] + right[c % 50])
+    for depth in (0, 1, 2, 150, 1999, 10**9):
+        cells, covered = [], 0
+        while covered < depth and len(cells) < len(order):
+            cells.append(order[len(cells)])
+            covered += held[cells[-1]]
+        assert multi_index.traverse(left, right, held, depth) == cells
+
+
 def test_recall_of_the_measured_depth(spark):
     rows = clustered(3000, 16, spread=0.15)
     got = {}

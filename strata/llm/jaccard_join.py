@@ -32,7 +32,9 @@ TEXT_BYTES = 1 << 20
 #: Words of 64 bits of a class's dense sketch.
 SKETCH_WORDS = 8
 _SKETCH = tuple(f"s{i}" for i in range(SKETCH_WORDS))
-_TEXTS = pa.schema([("class", pa.int64()), ("text", pa.string())])
+#: Bits of the filter that tells which texts a round compares.
+FILTER_BITS = 1 << 23
+_TEXTS = pa.schema([("class", pa.int64()), ("n", pa.int64()), ("sketch", pa.binary()), ("text", pa.string())])
 _CLASSES = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("class", pa.int64()), *((c, pa.int64()) for c in _SKETCH)])
 
 
@@ -116,6 +118,39 @@ def dense_sketches(sets: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.packbits(odd).view(np.int64).reshape(-1, SKETCH_WORDS)
 
 
+def wide_sketches(sets: np.ndarray, offsets: np.ndarray, rows: np.ndarray) -> list[bytes]:
+    """Like ``dense_sketches``, for some sets, in at least as many bits as the set has elements (a power of two)."""
+    spread = mix(sets ^ np.uint64(int(STEP) * 3 % (1 << 64)))
+    out = []
+    for i in rows.tolist():
+        own = spread[offsets[i] : offsets[i + 1]]
+        power = max(64 * SKETCH_WORDS, len(own)) - 1
+        bits = np.bincount((own >> np.uint64(64 - power.bit_length())).astype(np.int64), minlength=1 << power.bit_length())
+        out.append(np.packbits(bits & 1).tobytes())
+    return out
+
+
+def sketch_distance(a: bytes, b: bytes) -> int:
+    """Bits in which two sketches of ``wide_sketches`` differ, the wider one folded to the width of the other."""
+    x, y = sorted((np.unpackbits(np.frombuffer(v, np.uint8)) for v in (a, b)), key=len)
+    return int(np.count_nonzero(x ^ np.bitwise_xor.reduce(y.reshape(len(x), -1), axis=1)))
+
+
+def class_filter(classes: DataFrame) -> np.ndarray:
+    """A filter of fixed size for ``classes`` (class): bit ``class`` modulo its size is set for each of them."""
+    at = F.shiftright(F.col("class").bitwiseAND(F.lit(FILTER_BITS - 1)), 6).cast("int")
+    words = classes.groupBy(at.alias("at")).agg(F.bit_or(F.expr("shiftleft(1L, CAST(class & 63 AS INT))")).alias("bits")).toArrow()
+    held = np.zeros(FILTER_BITS // 64, np.int64)
+    held[words.column("at").to_numpy()] = words.column("bits").to_numpy()
+    return held.view(np.uint64)
+
+
+def _in_filter(held: np.ndarray, classes: np.ndarray) -> np.ndarray:
+    """Whether classes may be among those of the filter (never wrong about those that are)."""
+    spot = classes.view(np.uint64) & np.uint64(len(held) * 64 - 1)
+    return (held[(spot >> np.uint64(6)).astype(np.int64)] >> (spot & np.uint64(63))) & np.uint64(1) != 0
+
+
 def _may_link(threshold: int) -> Column:
     """Whether a class (n, s0...) and a pivot (pivot_n, pivot_s0...) can link, by their sizes and sketches.
 
@@ -228,7 +263,8 @@ def jaccard_components(docs: DataFrame, k: int = SHINGLE_WORDS, threshold: int =
     can differ in, so linked classes share a piece (pigeonhole), in the band
     of the smaller set's size. Classes sharing a piece are candidates, unless
     their dense sketches differ in more bits than linked sets can; what is
-    left is verified on whole shingle sets. Groups with the same members are
+    left after wider sketches, of a bit or more for each shingle, have been
+    compared too is verified on whole shingle sets. Groups with the same members are
     looked at once. In each group a few pivots are compared with the others
     per round (8 times as many in each), taken from outside the group's
     largest component; whatever is already connected needs no further
@@ -289,6 +325,13 @@ def jaccard_components(docs: DataFrame, k: int = SHINGLE_WORDS, threshold: int =
                     ok[i] = 100 * both >= threshold * (len(x) + len(y) - both)
                 yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b"), pa.array(ok)], ["a", "b", "ok"])
 
+    def alike_by_sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()
+            differ = [sketch_distance(x, y) for x, y in zip(batch.column("sketch_a").to_pylist(), batch.column("sketch_b").to_pylist())]
+            may = (100 + threshold) * np.array(differ, np.int64) <= (100 - threshold) * sizes
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(may)], ["a", "b", "may"])
+
     def class_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """One text of each class of a batch, packed for the block the class belongs to."""
         for batch in batches:
@@ -297,7 +340,9 @@ def jaccard_components(docs: DataFrame, k: int = SHINGLE_WORDS, threshold: int =
                 sets, offsets = shingle_sets(part.column("text"), k)
                 ids = _set_ids(sets, offsets)
                 fresh = [i for i, c in enumerate(ids.tolist()) if offsets[i + 1] > offsets[i] and not (c in seen or seen.add(c))]
-                found.append(pa.table({"block": np.mod(ids[fresh], blocks), "class": ids[fresh], "text": part.column("text").take(pa.array(fresh, pa.int64()))}))
+                texts = part.column("text").take(pa.array(fresh, pa.int64()))
+                sketches = pa.array(wide_sketches(sets, offsets, np.array(fresh, np.int64)), pa.binary())
+                found.append(pa.table({"block": np.mod(ids[fresh], blocks), "class": ids[fresh], "n": np.diff(offsets)[fresh], "sketch": sketches, "text": texts}))
             for rows in pa.concat_tables(found).combine_chunks().to_batches() if found else ():
                 yield from packed_rows(rows)
 
@@ -326,8 +371,20 @@ def jaccard_components(docs: DataFrame, k: int = SHINGLE_WORDS, threshold: int =
     wanted = left.select("class").distinct()
     told = docs.select("text").mapInArrow(class_texts, "block long, rows binary").groupBy("block")
     wanted = wanted.select(F.pmod("class", F.lit(blocks)).alias("block"), "class").groupBy("block")
-    texts = stages.put("texts", told.cogroup(wanted).applyInArrow(wanted_texts, "class long, text string"))
-    text_a, text_b = (texts.select(F.col("class").alias(c), F.col("text").alias(f"text_{c}")) for c in "ab")
+    texts = stages.put("texts", told.cogroup(wanted).applyInArrow(wanted_texts, "class long, n long, sketch binary, text string"))
+    sketch_a, sketch_b = (texts.select(F.col("class").alias(c), F.col("n").alias(f"n_{c}"), F.col("sketch").alias(f"sketch_{c}")) for c in "ab")
+
+    def texts_of(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """(a, text_a) and (b, text_b) of the classes of some pairs, and of few others."""
+        held = class_filter(pairs.select(F.col("a").alias("class")).union(pairs.select("b")))
+
+        def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield batch.filter(pa.array(_in_filter(held, batch.column("class").to_numpy())))
+
+        some = texts.select("class", "text").mapInArrow(named, "class long, text string")
+        return tuple(some.select(F.col("class").alias(c), F.col("text").alias(f"text_{c}")) for c in "ab")
+
 
     labels, tested, links, pivots = None, None, None, 1
     own = ("class", "component", "n", *_SKETCH)
@@ -347,16 +404,21 @@ def jaccard_components(docs: DataFrame, k: int = SHINGLE_WORDS, threshold: int =
         pairs = pairs.select(F.least("class", "pivot_class").alias("a"), F.greatest("class", "pivot_class").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        told = pairs.join(text_b, "b").join(text_a, "a").select("a", "b", "text_a", "text_b")
+        pairs = pairs.join(sketch_b, "b").join(sketch_a, "a").select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b")
+        pairs = stages.put("pairs", pairs.mapInArrow(alike_by_sketch, "a long, b long, may boolean"))
+        # texts move for pairs that both sketches leave, and only theirs
+        near = pairs.filter("may").select("a", "b")
+        text_a, text_b = texts_of(near)
+        told = near.join(text_b, "b").join(text_a, "a").select("a", "b", "text_a", "text_b")
         told = stages.put("told", told.mapInArrow(verified, "a long, b long, ok boolean"))
         new = told.filter("ok").select("a", "b")
-        tested = stages.put("tested", told.select("a", "b") if tested is None else tested.union(told.select("a", "b")))
+        tested = stages.put("tested", pairs.select("a", "b") if tested is None else tested.union(pairs.select("a", "b")))
         links = stages.put("links", new if links is None else links.union(new))
         labels = _joined(stages, labels, new)
         left = left.drop("component").join(pivot.select("key", F.col("pivot_class").alias("class")), ["key", "class"], "left_anti")
         left = left.join(labels.withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))
         pivots *= 8
-    stages.drop("left", "texts", "told", "tested", "stars", "merged")
+    stages.drop("left", "texts", "pairs", "told", "tested", "stars", "merged")
 
     known = members.filter("n_shingles > 0")
     if links is None:

@@ -3,9 +3,11 @@
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from strata.llm import components, exchange, jaccard_join, substring_dedup, words
 
@@ -165,6 +167,65 @@ def test_sketches_bound_the_symmetric_difference():
             assert differ <= len(of[i] ^ of[j]) and (differ - len(of[i] ^ of[j])) % 2 == 0
 
 
+def test_wide_sketches_bound_the_symmetric_difference():
+    rng = np.random.default_rng(8)
+    whole = np.unique(rng.integers(0, 2**63, 9000, dtype=np.uint64))
+    picked = [whole[:n] for n in (1, 300, 511, 512, 513, 1000, 1025, 4000, 4096, 8999)] + [np.delete(whole[:4200], slice(0, 900, 9)), whole[4000:8200]]
+    offsets = np.r_[0, np.cumsum([len(x) for x in picked])]
+    sketches = jaccard_join.wide_sketches(np.concatenate(picked), offsets, np.arange(len(picked)))
+    for x, a in zip(picked, sketches):
+        assert max(512, len(x)) <= 8 * len(a) < max(513, 2 * len(x))
+        for y, b in zip(picked, sketches):
+            assert jaccard_join.sketch_distance(a, b) == jaccard_join.sketch_distance(b, a) <= len(np.setxor1d(x, y))
+    assert jaccard_join.sketch_distance(sketches[-1], sketches[-2]) > 2000  # long sets apart are seen to be
+
+
+def test_filter_holds_all_its_classes(spark):
+    rng = np.random.default_rng(9)
+    own = np.r_[rng.integers(-(2**63), 2**63 - 1, 3000), -1, 0, 63, 64, -(2**63), 2**63 - 1]
+    held = jaccard_join.class_filter(spark.createDataFrame([(int(c),) for c in own], "class long"))
+    assert jaccard_join._in_filter(held, own).all()
+    assert jaccard_join._in_filter(held, rng.integers(-(2**63), 2**63 - 1, 10000)).mean() < 0.01
+    assert not jaccard_join._in_filter(jaccard_join.class_filter(spark.createDataFrame([], "class long")), own).any()
+
+
+def test_long_texts_that_share_a_passage_are_not_compared_whole(spark, monkeypatch):
+    """Their sketches of 512 bits say nothing; as many pairs as the square of their number would move their texts."""
+    rng = random.Random(10)
+    passage = text(rng, 400, 10**6)
+    rows = [(i, f"{text(rng, 2600, 10**6)} {passage}") for i in range(30)]
+    near = rows[0][1].split()
+    near[5::100] = ["other"] * len(near[5::100])
+    rows.append((100, " ".join(near)))
+    compared, put = [], components.Stages.put
+
+    def counted(self, name, df):
+        out = put(self, name, df)
+        if name == "told":
+            compared.append(out.count())
+        return out
+
+    monkeypatch.setattr(components.Stages, "put", counted)
+    found = {r.doc_id: r.component_id for r in jaccard_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), 5, 80).collect()}
+    assert found == {i: 0 if i == 100 else i for i, _ in rows}
+    assert sum(compared) == 1
+
+
+def test_tables_leave_no_shuffle_files(spark):
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    blocks = lambda: {x.name() for x in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(manager.getAllBlocks()) if x.isShuffle()}
+    setting, before = spark.conf.get(components.CLEANUP), blocks()
+    stages = components.Stages(spark)
+    rows = stages.put("rows", spark.range(5000).groupBy((F.col("id") % 700).alias("k")).agg(F.count("*").alias("c")))
+    rows = stages.put("rows", rows.join(rows.groupBy("c").agg(F.min("k").alias("least")), "c"))
+    until = time.monotonic() + 10  # files may go in the background
+    while (left := blocks() - before) and time.monotonic() < until:
+        time.sleep(0.1)
+    assert not left and spark.conf.get(components.CLEANUP) == setting
+    assert rows.count() == 700
+    stages.drop("rows")
+
+
 def test_no_folder_is_left_over(spark):
     """What the rounds wrote is gone; what the result reads goes with the process."""
     from strata import session
